@@ -26,13 +26,19 @@ _QUOTED = (
 )
 VALUE = _FLAGS + rf"(?:{_QUOTED}|\S++)"
 LEXEME = _FLAGS + rf"""\G(?:{_QUOTED}|#[^\n]*+|[^'"#;_]*\s|\S++)\s*+"""
-# A value with the white space and comments behind it.
+# A value or a comment with the white space behind it.
 PIECE = _FLAGS + rf"\G(?:(?>{_QUOTED}|#[^\n]*+|\S++)\s*+)"
 
+# As the row pattern, but each value keeps the comments in front of it; the width goes in between.
+ROW_WITH_COMMENTS = (_FLAGS + rf"\G(?:(?:(?>#[^\n]*+)\s*+)*+(?>{_QUOTED}|[^\s#]\S*+)\s*+){{1,", "}+")
+
 
 def row_pattern(width: Column) -> Column:
-    """Pattern that takes up to ``width`` values of a loop body at a time."""
-    return F.concat(F.lit(_FLAGS + rf"\G\s*+(?:(?>{_QUOTED}|\S++)\s*+){{1,"), width.cast("string"), F.lit("}+"))
+    """Pattern that takes up to ``width`` values of a loop body at a time.
+
+    A row keeps the white space in front of it, so a ``;`` that opens it is still seen to be in column 1 or not.
+    """
+    return F.concat(F.lit(_FLAGS + rf"\G(?:\s*+(?>{_QUOTED}|\S++)){{1,"), width.cast("string"), F.lit("}+"))
 
 
 def _all(text: Column, pattern: Column | str) -> Column:

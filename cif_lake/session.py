@@ -17,5 +17,6 @@ def local_session(cpus: str | int = "*", partitions: int = 8, memory: str = "16g
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("CIF_LAKE_DRIVER_MEMORY", memory))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

@@ -104,13 +104,20 @@ def _gunzip(content: pd.Series) -> pd.Series:
     return content.map(lambda b: None if b is None else gzip.decompress(b))
 
 
-def text(src: DataFrame) -> DataFrame:
-    """Replace ``content`` by ``text``. Gzip is told by its first two bytes; only gzip content visits Python."""
+def raw(src: DataFrame) -> DataFrame:
+    """Plain bytes as ``content``. Gzip is told by its first two bytes; only gzip content visits Python."""
     if isinstance(src.schema["content"].dataType, T.StringType):
-        return src.withColumnRenamed("content", "text")
+        return src.withColumn("content", F.col("content").cast("binary"))
     zipped = F.substring("content", 1, 2) == F.lit(b"\x1f\x8b")
     unzipped = _gunzip(F.when(zipped, F.col("content")))
-    return src.withColumn("text", F.coalesce(unzipped, F.col("content")).cast("string")).drop("content")
+    return src.withColumn("content", F.coalesce(unzipped, F.col("content")))
+
+
+def text(src: DataFrame) -> DataFrame:
+    """Replace ``content`` by ``text``."""
+    if isinstance(src.schema["content"].dataType, T.StringType):
+        return src.withColumnRenamed("content", "text")
+    return raw(src).withColumn("text", F.col("content").cast("string")).drop("content")
 
 
 def file_name(path: Column) -> Column:
