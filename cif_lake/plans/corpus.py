@@ -226,3 +226,254 @@ def multi_entries(spark: SparkSession, sf_dir: str, per_file: int = 32) -> DataF
         F.concat(F.lit("multi/"), F.col("fkey").cast("string"), F.lit(".cif")).alias("path"),
         F.array_join(F.transform("b", lambda x: x["block"]), "").alias("content"),
     )
+
+
+# --- structures: orders -> linked categories -----------------------------------------------------------------
+
+STRUCTURE_COLUMNS = {
+    "atom_site": [
+        "group_PDB", "id", "type_symbol", "label_comp_id", "label_asym_id", "label_entity_id", "label_seq_id",
+        "B_iso_or_equiv", "auth_asym_id",
+    ],
+    "struct_conf": [
+        "conf_type_id", "id", "beg_label_asym_id", "beg_label_seq_id", "end_label_asym_id", "end_label_seq_id",
+        "beg_auth_asym_id", "end_auth_asym_id",
+    ],
+    "struct_sheet_range": [
+        "sheet_id", "id", "beg_label_asym_id", "beg_label_seq_id", "end_label_asym_id", "end_label_seq_id",
+        "beg_auth_asym_id", "end_auth_asym_id",
+    ],
+    "struct_conf_type": ["id"],
+    "struct_asym": ["id", "entity_id"],
+    "pdbx_struct_assembly_gen": ["assembly_id", "oper_expression", "asym_id_list"],
+    "pdbx_struct_assembly": ["id", "details"],
+    "entity": ["id", "type"],
+    "struct_ref": ["id", "entity_id", "db_name", "pdbx_db_accession"],
+    "struct_ref_seq": ["align_id", "ref_id", "pdbx_strand_id", "pdbx_db_accession", "db_align_beg", "db_align_end"],
+    "chem_comp": ["id", "type"],
+}
+
+STRUCTURES_SQL = """o AS (SELECT o_orderkey // 64 AS fkey, o_orderkey AS row_id, o_orderkey AS k, o_custkey AS c, * FROM orders),
+f AS (SELECT DISTINCT fkey FROM o),
+atom_site AS (SELECT fkey, row_id, 'ATOM' AS "group_PDB", CAST(k AS VARCHAR) AS id, (['C','N','O','S'])[1 + k % 4] AS type_symbol,
+  (['ALA','GLY','SER','LIG','HOH'])[1 + k % 5] AS label_comp_id, (['A','B','C','D'])[1 + c % 4] AS label_asym_id,
+  CAST(1 + c % 3 AS VARCHAR) AS label_entity_id, c % 50 AS label_seq_id, o_totalprice / 5000 AS "B_iso_or_equiv",
+  CASE WHEN k % 13 <> 0 THEN (['A','B'])[1 + c % 2] END AS auth_asym_id FROM o),
+struct_conf AS (SELECT fkey, row_id, CASE WHEN o_orderstatus = 'O' THEN 'HELX_P' ELSE 'TURN_P' END AS conf_type_id,
+  CAST(k AS VARCHAR) AS id, (['A','B','C','D'])[1 + c % 4] AS beg_label_asym_id, c % 100 AS beg_label_seq_id,
+  (['A','B','C','D'])[1 + c % 4] AS end_label_asym_id, c % 100 + k % 20 AS end_label_seq_id,
+  (['A','B'])[1 + c % 2] AS beg_auth_asym_id, (['A','B'])[1 + k % 2] AS end_auth_asym_id FROM o),
+struct_sheet_range AS (SELECT fkey, row_id, left(o_orderpriority, 1) AS sheet_id, CAST(k AS VARCHAR) AS id,
+  (['A','B','C','D'])[1 + c % 4] AS beg_label_asym_id, c % 90 AS beg_label_seq_id,
+  (['A','B','C','D'])[1 + c % 4] AS end_label_asym_id, c % 90 + k % 7 AS end_label_seq_id,
+  (['A','B'])[1 + c % 2] AS beg_auth_asym_id, (['A','B'])[1 + k % 2] AS end_auth_asym_id
+  FROM o WHERE o_orderpriority < '3'),
+struct_conf_type AS (SELECT fkey, i AS row_id, (['HELX_P','TURN_P','STRN'])[i + 1] AS id FROM f, range(3) t(i)),
+struct_asym AS (SELECT fkey, i AS row_id, (['A','B','C','D'])[i + 1] AS id, CAST(1 + i % 3 AS VARCHAR) AS entity_id FROM f, range(4) t(i)),
+pdbx_struct_assembly_gen AS (SELECT fkey, i AS row_id, CAST(i + 1 AS VARCHAR) AS assembly_id, '1' AS oper_expression,
+  (['A,C','A,B,C,D'])[i + 1] AS asym_id_list FROM f, range(2) t(i)),
+pdbx_struct_assembly AS (SELECT fkey, i AS row_id, CAST(i + 1 AS VARCHAR) AS id, 'assembly of ''x''' AS details FROM f, range(3) t(i)),
+entity AS (SELECT fkey, i AS row_id, CAST(i + 1 AS VARCHAR) AS id, 'polymer' AS type FROM f, range(3) t(i)),
+struct_ref AS (SELECT fkey, row_id, CAST(k AS VARCHAR) AS id, CAST(1 + c % 3 AS VARCHAR) AS entity_id,
+  CASE WHEN o_orderstatus = 'P' THEN 'PDB' ELSE 'UNP' END AS db_name, 'P' || (c % 7) AS pdbx_db_accession FROM o),
+struct_ref_seq AS (SELECT fkey, row_id, CAST(k AS VARCHAR) AS align_id, CAST(k AS VARCHAR) AS ref_id,
+  (['A','B','C','D'])[1 + k % 4] AS pdbx_strand_id, 'Q' || (c % 5) AS pdbx_db_accession, k % 100 + 1 AS db_align_beg,
+  k % 100 + c % 50 + 1 AS db_align_end FROM o),
+chem_comp AS (SELECT fkey, i AS row_id, (['ALA','GLY','SER','LIG','HOH','XXX'])[i + 1] AS id, 'NON-POLYMER' AS type FROM f, range(6) t(i))"""
+
+
+def structure_rows(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    o = table(spark, sf_dir, "orders").withColumn("fkey", F.floor(k / ROWS_PER_FILE)).withColumn("row_id", k)
+    abcd, ab = (lambda n: pick(n, "A", "B", "C", "D")), (lambda n: pick(n, "A", "B"))
+    lead = ["fkey", "row_id"]
+
+    def fixed(*columns: Column, rows: int) -> DataFrame:
+        """The same few rows in every file."""
+        frame = o.select("fkey").distinct()
+        return frame.withColumn("row_id", F.explode(F.sequence(F.lit(0), F.lit(rows - 1)))).select(*lead, *columns)
+
+    i = F.col("row_id")
+    number = (i + 1).cast("string")
+
+    def spans(first: Column, modulus: int, length: int) -> DataFrame:
+        return o.select(
+            *lead, "o_orderpriority", first, k.cast("string").alias("id"),
+            abcd(c).alias("beg_label_asym_id"), (c % modulus).alias("beg_label_seq_id"),
+            abcd(c).alias("end_label_asym_id"), (c % modulus + k % length).alias("end_label_seq_id"),
+            ab(c).alias("beg_auth_asym_id"), ab(k).alias("end_auth_asym_id"),
+        )
+
+    helix = F.when(F.col("o_orderstatus") == "O", "HELX_P").otherwise("TURN_P").alias("conf_type_id")
+    sheet = F.substring("o_orderpriority", 1, 1).alias("sheet_id")
+    return {
+        "atom_site": o.select(
+            *lead, F.lit("ATOM").alias("group_PDB"), k.cast("string").alias("id"), pick(k, "C", "N", "O", "S").alias("type_symbol"),
+            pick(k, "ALA", "GLY", "SER", "LIG", "HOH").alias("label_comp_id"), abcd(c).alias("label_asym_id"),
+            (1 + c % 3).cast("string").alias("label_entity_id"), (c % 50).alias("label_seq_id"),
+            (F.col("o_totalprice") / 5000).alias("B_iso_or_equiv"), F.when(k % 13 != 0, ab(c)).alias("auth_asym_id"),
+        ),
+        "struct_conf": spans(helix, 100, 20),
+        "struct_sheet_range": spans(sheet, 90, 7).filter(F.col("o_orderpriority") < "3"),
+        "struct_conf_type": fixed(pick(i, "HELX_P", "TURN_P", "STRN").alias("id"), rows=3),
+        "struct_asym": fixed(abcd(i).alias("id"), (1 + i % 3).cast("string").alias("entity_id"), rows=4),
+        "pdbx_struct_assembly_gen": fixed(
+            number.alias("assembly_id"), F.lit("1").alias("oper_expression"), pick(i, "A,C", "A,B,C,D").alias("asym_id_list"), rows=2
+        ),
+        "pdbx_struct_assembly": fixed(number.alias("id"), F.lit("assembly of 'x'").alias("details"), rows=3),
+        "entity": fixed(number.alias("id"), F.lit("polymer").alias("type"), rows=3),
+        "struct_ref": o.select(
+            *lead, k.cast("string").alias("id"), (1 + c % 3).cast("string").alias("entity_id"),
+            F.when(F.col("o_orderstatus") == "P", "PDB").otherwise("UNP").alias("db_name"),
+            F.concat(F.lit("P"), (c % 7).cast("string")).alias("pdbx_db_accession"),
+        ),
+        "struct_ref_seq": o.select(
+            *lead, k.cast("string").alias("align_id"), k.cast("string").alias("ref_id"), abcd(k).alias("pdbx_strand_id"),
+            F.concat(F.lit("Q"), (c % 5).cast("string")).alias("pdbx_db_accession"),
+            (k % 100 + 1).alias("db_align_beg"), (k % 100 + c % 50 + 1).alias("db_align_end"),
+        ),
+        "chem_comp": fixed(pick(i, "ALA", "GLY", "SER", "LIG", "HOH", "XXX").alias("id"), F.lit("NON-POLYMER").alias("type"), rows=6),
+    }
+
+
+def structures(spark: SparkSession, sf_dir: str, *only: str) -> DataFrame:
+    rows = structure_rows(spark, sf_dir)
+    return files({c: (rows[c], STRUCTURE_COLUMNS[c]) for c in only or rows}, "structures", loops=True)
+
+
+# --- model quality: events -------------------------------------------------------------------------------------
+
+MODEL_SQL = """local AS (SELECT event_id // 64 AS fkey, event_id AS row_id, event_id AS ordinal_id, 1 + event_id % 2 AS model_id,
+  'A' AS label_asym_id, event_id % 64 AS label_seq_id, 1 + event_id % 3 AS metric_id, value AS metric_value FROM events),
+f AS (SELECT DISTINCT fkey FROM local),
+metric AS (SELECT fkey, i AS row_id, i + 1 AS id, (['pLDDT','PAE','ipTM'])[i + 1] AS name, (['local','global','global'])[i + 1] AS mode FROM f, range(3) t(i)),
+model AS (SELECT fkey, i AS row_id, i + 1 AS ordinal_id, i + 1 AS model_id, 'Model ' || (i + 1) AS model_name FROM f, range(2) t(i))"""
+
+
+def models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("event_id")
+    e = table(spark, sf_dir, "events")
+    local = e.select(
+        F.floor(n / ROWS_PER_FILE).alias("fkey"), n.alias("row_id"), n.alias("ordinal_id"), (1 + n % 2).alias("model_id"),
+        F.lit("A").alias("label_asym_id"), (n % 64).alias("label_seq_id"), (1 + n % 3).alias("metric_id"),
+        F.col("value").alias("metric_value"),
+    )
+    i = F.col("row_id")
+    fixed = lambda rows: local.select("fkey").distinct().withColumn("row_id", F.explode(F.sequence(F.lit(0), F.lit(rows - 1))))
+    metric = fixed(3).select(
+        "fkey", "row_id", (i + 1).alias("id"), pick(i, "pLDDT", "PAE", "ipTM").alias("name"), pick(i, "local", "global", "global").alias("mode")
+    )
+    model = fixed(2).select(
+        "fkey", "row_id", (i + 1).alias("ordinal_id"), (i + 1).alias("model_id"), F.concat(F.lit("Model "), (i + 1).cast("string")).alias("model_name")
+    )
+    return files(
+        {
+            "ma_model_list": (model, ["ordinal_id", "model_id", "model_name"]),
+            "ma_qa_metric": (metric, ["id", "name", "mode"]),
+            "ma_qa_metric_local": (
+                local, ["ordinal_id", "model_id", "label_asym_id", "label_seq_id", "metric_id", "metric_value"]
+            ),
+        },
+        "models",
+        loops=True,
+    )
+
+
+# --- small shapes: customer, supplier --------------------------------------------------------------------------------
+
+
+def two_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file per customer with the blocks ``first`` and ``Second``; words of the format hide in text and comments."""
+    c = table(spark, sf_dir, "customer")
+    key, name = F.col("c_custkey").cast("string"), F.col("c_name")
+    text = F.concat(
+        F.lit("# data_comment\ndata_first\n_entry.id "), key, F.lit("\n_struct.title\n;About\ndata_text\nloop_\n;\n"),
+        F.lit("data_Second # _not.a tag\n_entry.id '"), name, F.lit("'\nloop_\n_struct_asym.id\n_struct_asym.entity_id\n_struct_asym.details\n"),
+        F.lit("A 1 "), F.col("c_nationkey").cast("string"), F.lit(" # first\nB 2 '"), F.col("c_mktsegment"), F.lit("'\n"),
+    )
+    path = F.concat(F.lit("two/"), key, F.lit(".cif"))
+    return c.select(F.lit(0).alias("file_ord"), path.alias("path"), text.alias("content"))
+
+
+def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file per supplier; ``atom_site`` with other items and other case in every second one."""
+    s = table(spark, sf_dir, "supplier")
+    key = F.col("s_suppkey").cast("string")
+    even = F.concat(F.lit("data_a\nloop_\n_atom_site.id\n_atom_site.Cartn_x\n"), key, F.lit(" "), F.col("s_acctbal").cast("string"), F.lit("\n"))
+    odd = F.concat(F.lit("data_b\nloop_\n_ATOM_SITE.type_symbol\n_ATOM_SITE.ID\nO "), key, F.lit("\n"))
+    text = F.when(F.col("s_suppkey") % 2 == 0, even).otherwise(odd)
+    path = F.concat(F.lit("mixed/"), F.lpad(key, 12, "0"), F.lit(".cif"))
+    return s.select(F.lit(0).alias("file_ord"), path.alias("path"), text.alias("content"))
+
+
+def marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file per customer: NULL markers bare and quoted, and a last row that is cut short."""
+    c = table(spark, sf_dir, "customer")
+    key = F.col("c_custkey").cast("string")
+    mark = pick(F.col("c_custkey"), ".", "?", "'.'", "'?'")
+    text = F.concat(
+        F.lit("data_m\nloop_\n_p.a\n_p.b\n_p.c\n"), key, F.lit(" "), mark, F.lit(" ?x\n"), key, F.lit(" \"it's\" .5\n"), key, F.lit(" # cut\n")
+    )
+    path = F.concat(F.lit("marked/"), key, F.lit(".cif"))
+    return c.select(F.lit(0).alias("file_ord"), path.alias("path"), text.alias("content"))
+
+
+# --- dictionaries: supplier -> .dic ---------------------------------------------------------------------------------------
+
+PER_DIC = 16
+
+
+def dics(spark: SparkSession, sf_dir: str, conflicts: bool = False) -> DataFrame:
+    """Dictionary sources, 16 suppliers each. A category ``c<key>`` has the items ``id`` and ``acctbal``.
+
+    Keys 0, 4, .. link to the entry, 1, 5, .. to nothing, 2, 6, .. to category ``c<key div 4>``, 3, 7, .. to an item nobody
+    defines. Every source of the extension repeats the items of its suppliers in other case; with ``conflicts`` some of
+    them with another type.
+    """
+    s = table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    n = k.cast("string")
+    fkey = F.floor(k / PER_DIC)
+    parent = (
+        F.when(k % 4 == 0, F.lit("_entry.id"))
+        .when(k % 4 == 2, F.concat(F.lit("_c"), F.floor(k / 4).cast("string"), F.lit(".id")))
+        .when(k % 4 == 3, F.lit("_absent.id"))
+    )
+    link = F.when(
+        parent.isNotNull(),
+        F.concat(F.lit("loop_\n_item_linked.child_name\n_item_linked.parent_name\n'_c"), n, F.lit(".id' '"), parent, F.lit("'\n'_c"), n, F.lit(".other' ?\n")),
+    ).otherwise("")
+    base = F.concat(
+        F.lit("save_c"), n, F.lit("\n_category.id c"), n, F.lit("\n_category.description\n; "), F.col("s_name"), F.lit("\n\tof the lake \n;\n_category.mandatory_code "),
+        pick(k, "yes", "no", "conditional"), F.lit("\n_category_key.name '_c"), n, F.lit(".id'\nloop_\n_category_group.id\nz_group\ng"),
+        F.col("s_nationkey").cast("string"), F.lit("\nz_group\nsave_\nsave__c"), n, F.lit(".id\n_item.name '_c"), n, F.lit(".id'\n_item_type.code "),
+        pick(k, "int", "float", "line"), F.lit("\n"), link, F.lit("save_\nsave__c"), n, F.lit(".acctbal\n_item.name '_c"), n,
+        F.lit(".acctbal'\n_item_type.code float\n"), F.when(k % 5 == 0, "_pdbx_item_type.code int-range\n").otherwise(""), F.lit("save_\n"),
+    )
+    shifted = F.when(k % 7 == 0, pick(k + 1, "int", "float", "line")) if conflicts else F.lit(None).cast("string")
+    ext = F.concat(
+        F.lit("save__C"), n, F.lit(".ID\n_item_type.code "), F.coalesce(shifted, pick(k, "positive_int", "float", "line")), F.lit("\nsave_\n")
+    )
+    entry = "save_entry\n_category.id entry\n_category_key.name '_entry.id'\nsave_\nsave__entry.id\n_item.name '_entry.id'\n_item_type.code code\nsave_\n"
+
+    def sources(name: str, text: Column, extra: str) -> DataFrame:
+        grouped = s.groupBy(fkey.alias("fkey")).agg(F.array_sort(F.collect_list(F.struct(k.alias("k"), text.alias("t")))).alias("l"))
+        content = F.concat(
+            F.lit(f"data_{name}\n_dictionary.version 1."), F.col("fkey").cast("string"), F.lit("\n" + extra),
+            F.array_join(F.transform("l", lambda x: x["t"]), ""),
+        )
+        path = F.concat(F.lit(f"{name}"), F.col("fkey").cast("string"), F.lit(".dic"))
+        return grouped.select(F.lit(0).alias("file_ord"), path.alias("path"), content.alias("content"))
+
+    return sources("base", base, entry).unionAll(sources("ext", ext, ""))
+
+
+def dic_sources(src: DataFrame) -> DataFrame:
+    """Priority and documentation address of each dictionary source: all base sources come first."""
+    base = F.col("path").startswith("base")
+    number = F.regexp_extract("path", r"(\d+)\.dic$", 1).cast("bigint")
+    return src.select(
+        F.col("path").alias("source"),
+        F.struct(F.when(base, 0).otherwise(1).alias("rank"), number.alias("number")).alias("priority"),
+        F.concat(F.lit("https://example.org/"), "path").alias("documentation_url"),
+    )

@@ -265,12 +265,11 @@ def dict_conflicts(items: DataFrame, resolutions: DataFrame | None = None) -> Da
     ``resolutions(key, types map<source, dtype>, use)``. Gives ``key, types, use, status`` with the status
     ``resolved``, ``unresolved``, ``invalid`` (the chosen source does not define the item) or ``stale``.
     """
-    entries = F.array_sort(F.collect_set(F.struct("source", "dtype")))  # at most one entry per source
-    found = (
-        items.groupBy(F.lower("item").alias("key"))
-        .agg(entries.alias("types"), F.min("dtype").alias("lo"), F.max("dtype").alias("hi"))
-        .filter(F.col("lo") != F.col("hi"))
-        .drop("lo", "hi")
+    keyed = items.withColumn("key", F.lower("item"))
+    differ = keyed.groupBy("key").agg(F.min("dtype").alias("lo"), F.max("dtype").alias("hi")).filter(F.col("lo") != F.col("hi"))
+    # Only items in conflict are listed, with one entry per source that defines them.
+    found = keyed.join(differ.select("key"), "key", "left_semi").groupBy("key").agg(
+        F.array_sort(F.collect_set(F.struct("source", "dtype"))).alias("types")
     )
     if resolutions is None:
         return found.select("key", "types", F.lit(None).cast("string").alias("use"), F.lit("unresolved").alias("status"))
@@ -304,7 +303,7 @@ def dict_merge(items: DataFrame, sources: DataFrame, resolutions: DataFrame | No
         conflicts, F.col("status") != "resolved", F.concat(F.col("status"), F.lit(" type conflict: "), F.col("key"))
     )
     chosen = ranked.join(conflicts.select("key", "use"), "key", "left")
-    order = F.when(F.col("use") == F.col("source"), -1).otherwise(F.col("priority"))
+    order = F.struct(F.coalesce(F.col("use") != F.col("source"), F.lit(True)).alias("other"), "priority")
     best = chosen.groupBy("key").agg(
         F.min_by(F.struct("item", "dtype", F.col("documentation_url").alias("url"), "source"), order).alias("b")
     )

@@ -13,6 +13,7 @@ from __future__ import annotations
 import gzip
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -82,15 +83,18 @@ def source(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     if any(p is None for p in patterns):
         raise ValueError("a path must not be NULL")
     frames = []
-    for n, pattern in enumerate(patterns):
+    for pattern in patterns:
         frame = _load(spark, pattern)
         if "**" in pattern and not frame.inputFiles():
             raise ValueError(f"no files match {pattern}")
-        frames.append(frame.select(F.lit(n).alias("file_ord"), "path", "content"))
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionAll(frame)
-    return out
+        frames.append(frame)
+    return in_order(frames)
+
+
+def in_order(frames: Sequence[DataFrame]) -> DataFrame:
+    """One source frame of several, in list order; files of an earlier one come first."""
+    parts = [f.select(F.lit(n).alias("file_ord"), "path", "content") for n, f in enumerate(frames)]
+    return reduce(DataFrame.unionAll, parts)
 
 
 def matched_files(spark: SparkSession, paths: str | Sequence[str]) -> int:
@@ -184,6 +188,12 @@ def list_blocks(src: DataFrame) -> DataFrame:
     return blocks(src).filter(F.col("block_name").isNotNull()).select(*KEYS)
 
 
+def split_blocks(src: DataFrame, partitions: int | None = None) -> DataFrame:
+    """One row per block with its text: ``KEYS, text``; ``partitions`` spreads the blocks of large files over tasks."""
+    out = blocks(src).select(*KEYS, F.array_join("lex", "").alias("text"))
+    return out.repartition(partitions, "path", "block_ord") if partitions else out
+
+
 # --- records -------------------------------------------------------------------------------------
 
 
@@ -451,6 +461,14 @@ def typed_rows(
     return values.select(*out, *extra)
 
 
+def unknown_items(src: DataFrame, category: str, dictionary: Dictionary, data_block: str | None = None) -> DataFrame:
+    """Items of a category that the dictionary does not define: ``path, item``. A scan would stop at them."""
+    found = unroll(headers(blocks(src, data_block), [category]), ["path", "category"], "items", "pos", "item")
+    known = dictionary.items.select(F.lower("item").alias("key"))
+    key = F.lower(F.concat(F.lit("_"), "category", F.lit("."), "item"))
+    return found.withColumn("key", key).join(known, "key", "left_anti").select("path", "item")
+
+
 def scan_paths(spark: SparkSession, paths: str | Sequence[str], category: str, dictionary=None, **options) -> DataFrame:
     """Scan files; a ``filename`` column is added when more than one file matches."""
     options.setdefault("filename", matched_files(spark, paths) > 1)
