@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["scans"]
+MODULES = ["scans", "relational", "structural"]
 
 
 def load():

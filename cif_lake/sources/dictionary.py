@@ -6,7 +6,6 @@ that many dictionaries (or one per collection) compile side by side.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 from functools import cached_property
 
@@ -14,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cif_lake.functions import grammar as g
+from cif_lake.operators.relational import use_checkpoints
 from cif_lake.sources import seed
 
 ITEMS_SCHEMA = "item string, dtype string, url string"
@@ -373,13 +373,6 @@ def dict_parents(frames: DataFrame) -> DataFrame:
     return paired.filter(F.col("parent").isNotNull() & ~F.col("child").isin(".", "?")).select("parent", "child").distinct()
 
 
-def _checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder of the cluster; only a session without one (tests) gets its own."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="cif_lake_checkpoint_"))
-
-
 def _grow(start: DataFrame, step) -> DataFrame:
     """Least fixpoint of ``known -> step(known)`` over one-column sets; lineage is cut with reliable checkpoints."""
     known = start.distinct().checkpoint()
@@ -399,7 +392,7 @@ def dict_row_constraints(metadata: DataFrame, parents: DataFrame, items: DataFra
     known items and one of them varies; NULL (unknown) otherwise, as for cycles and unresolved links.
     """
     spark = metadata.sparkSession
-    _checkpoint_dir(spark)
+    use_checkpoints(spark)
     keys = metadata.filter(F.size("keys") > 0).select("category", F.explode("keys").alias("key")).checkpoint()
     items = items.select("item").distinct().withColumn("category", item_category(F.col("item"))).checkpoint()
     parents = parents.checkpoint()
