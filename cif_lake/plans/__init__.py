@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["scans", "relational", "structural"]
+MODULES = ["scans", "relational", "structural", "editing", "dictionaries"]
 
 
 def load():

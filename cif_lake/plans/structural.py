@@ -184,7 +184,7 @@ def confidence_recount(spark, sf):
 def quality_metrics(spark, sf):
     src = corpus.models(spark, sf)
     local, metric, model = (read.scan(src, c) for c in ("ma_qa_metric_local", "ma_qa_metric", "ma_model_list"))
-    named = analyses.quality_metrics(local.drop("ordinal_id").withColumn("ordinal", local["ordinal_id"]), metric, model)
+    named = analyses.quality_metrics(local.withColumnRenamed("ordinal_id", "ordinal"), metric, model)
     out = named.filter(F.col("metric_value").between(0, 20))
     return numbered(out.select("filename", F.col("ordinal").alias("ordinal_id"), "metric_name", "model_name", "metric_value"))
 
