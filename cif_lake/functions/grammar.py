@@ -8,13 +8,13 @@ A file is cut three times, each time by one regular expression that runs in the
 * *values*: the tokens of one row, only when a column of that row is asked for.
 
 Nothing here recurses: the only repeated group is the row pattern, bounded by the number of columns.
+
+Functions take and give SQL text (a column name, or an expression over lambda variables), to be used with ``F.expr``: one
+call builds a whole expression, where the Column API takes one call to the JVM for every operator of every column.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Flags: d = only \n ends a line, m = ^ matches at each line, s = . matches \n.
 _FLAGS = "(?dms)"
 _QUOTED = (
@@ -33,116 +33,117 @@ PIECE = _FLAGS + rf"\G(?:(?>{_QUOTED}|#[^\n]*+|\S++)\s*+)"
 ROW_WITH_COMMENTS = (_FLAGS + rf"\G(?:(?:(?>#[^\n]*+)\s*+)*+(?>{_QUOTED}|[^\s#]\S*+)\s*+){{1,", "}+")
 
 
-def row_pattern(width: Column) -> Column:
+def lit(text: str) -> str:
+    """SQL literal."""
+    for plain, escaped in (("\\", "\\\\"), ("'", "\\'"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\x00", "\\0")):
+        text = text.replace(plain, escaped)
+    return f"'{text}'"
+
+
+def row_pattern(width: str) -> str:
     """Pattern that takes up to ``width`` values of a loop body at a time.
 
     A row keeps the white space in front of it, so a ``;`` that opens it is still seen to be in column 1 or not.
     """
-    return F.concat(F.lit(_FLAGS + rf"\G(?:\s*+(?>{_QUOTED}|\S++)){{1,"), width.cast("string"), F.lit("}+"))
+    return f"concat({lit(_FLAGS + rf'\G(?:\s*+(?>{_QUOTED}|\S++)){{1,')}, {width}, '}}+')"
 
 
-def _all(text: Column, pattern: Column | str) -> Column:
-    return F.regexp_extract_all(text, F.lit(pattern) if isinstance(pattern, str) else pattern, F.lit(0))
+def all_of(text: str, pattern: str) -> str:
+    return f"regexp_extract_all({text}, {pattern}, 0)"
 
 
-def lexemes(text: Column) -> Column:
-    return _all(text, LEXEME)
+def lexemes(text: str) -> str:
+    return all_of(text, lit(LEXEME))
 
 
-def values(text: Column) -> Column:
+def values(text: str) -> str:
     """Raw tokens (with their quotes) of a piece of text that holds no comments."""
-    return _all(text, VALUE)
+    return all_of(text, lit(VALUE))
 
 
-def is_comment(lexeme: Column) -> Column:
-    return lexeme.startswith("#")
+def pieces(text: str) -> str:
+    return all_of(text, lit(PIECE))
 
 
-def without_comments(text_lexemes: Column) -> Column:
+def is_comment(lexeme: str) -> str:
+    return f"startswith({lexeme}, '#')"
+
+
+def without_comments(text_lexemes: str) -> str:
     """Join lexemes to text, each comment replaced by the line end that closed it."""
-    return F.array_join(F.transform(text_lexemes, lambda x: F.when(is_comment(x), F.lit("\n")).otherwise(x)), "")
+    return f"array_join(transform({text_lexemes}, wc -> CASE WHEN startswith(wc, '#') THEN '\\n' ELSE wc END), '')"
+
 
+def block_starts(lex: str) -> str:
+    """Positions (from 1) of the block headers."""
+    return f"filter(transform({lex}, (x, i) -> CASE WHEN lower(left(x, 5)) = 'data_' THEN i + 1 END), p -> p IS NOT NULL)"
 
-def _is_blank(lexeme: Column) -> Column:
-    return ~lexeme.rlike(r"\S")
 
+def header_name(lexeme: str) -> str:
+    """``x`` of ``data_x`` or ``save_x``."""
+    return f"regexp_extract({lexeme}, {lit(r'(?s)^.{5}(\S*)')}, 1)"
 
-def kind(lexeme: Column, previous: Column) -> Column:
+
+def kind(lexeme: str, previous: str) -> str:
     """Structural kind: D(ata block), L(oop), S(ave frame), T(ag), X (other reserved word), or NULL for a value.
 
     ``data_`` counts anywhere between values; the other words count at the start of a line or
     behind another structural word, so a stray ``_x`` inside a row stays a value.
     """
-    word = F.lower(F.substring(lexeme, 1, 7))
-    may_start = (
-        previous.isNull()
-        | previous.startswith("_")
-        | F.lower(F.substring(previous, 1, 5)).isin("loop_", "data_", "save_")
-        | previous.rlike(r"\n\s*\z")
-        | _is_blank(previous)
-    )
-    found = (
-        F.when(word.startswith("_"), F.lit("T"))
-        .when(word.startswith("loop_"), F.lit("L"))
-        .when(word.startswith("save_"), F.lit("S"))
-        .when((word.startswith("stop_") | word.startswith("global_")) & previous.startswith("_"), F.lit("X"))
-    )
-    return F.when(word.startswith("data_"), F.lit("D")).when(found.isNotNull() & may_start, found)
-
-
-def tag_part(lexeme: Column, part: int) -> Column:
+    x, p = lexeme, previous
+    return f"""CASE WHEN lower(left({x}, 5)) = 'data_' THEN 'D'
+        WHEN (startswith({x}, '_') OR lower(left({x}, 5)) IN ('loop_', 'save_')
+              OR (startswith({p}, '_') AND (lower(left({x}, 5)) = 'stop_' OR lower(left({x}, 7)) = 'global_')))
+         AND ({p} IS NULL OR startswith({p}, '_') OR lower(left({p}, 5)) IN ('loop_', 'data_', 'save_')
+              OR {p} RLIKE {lit(r"\n\s*\z")} OR NOT {p} RLIKE {lit(r"\S")})
+        THEN CASE WHEN startswith({x}, '_') THEN 'T' WHEN lower(left({x}, 5)) = 'loop_' THEN 'L'
+                  WHEN lower(left({x}, 5)) = 'save_' THEN 'S' ELSE 'X' END END"""
+
+
+def tag_part(lexeme: str, part: int) -> str:
     """Category (1) or item (2) of a ``_category.item`` tag; NULL when the tag has no dot."""
-    parts = F.regexp_extract(lexeme, r"(?s)^_([^.\s]*)\.(\S*)", part)
-    return F.when(lexeme.rlike(r"^_[^.\s]*\."), parts)
+    found = f"regexp_extract({lexeme}, {lit(r'(?s)^_([^.\s]*)\.(\S*)')}, {part})"
+    return f"CASE WHEN {lexeme} RLIKE {lit(r'^_[^.\s]*\.')} THEN {found} END"
 
 
-def is_null(raw: Column) -> Column:
-    return raw.isNull() | raw.isin(".", "?")
+def is_null(raw: str) -> str:
+    return f"({raw} IS NULL OR {raw} IN ('.', '?'))"
 
 
-def is_quoted(raw: Column) -> Column:
-    return raw.startswith("'") | raw.startswith('"') | is_text_field(raw)
+def is_text_field(raw: str) -> str:
+    return f"(startswith({raw}, ';') AND contains({raw}, '\\n'))"
 
 
-def is_text_field(raw: Column) -> Column:
-    return raw.startswith(";") & raw.contains("\n")
+def is_quoted(raw: str) -> str:
+    return f"(left({raw}, 1) IN ('\\'', '\"') OR {is_text_field(raw)})"
 
 
-def unquote(raw: Column) -> Column:
+def unquote(raw: str) -> str:
     """The value behind a raw token; NULL for a bare ``.`` or ``?``."""
-    size = F.length(raw)
-    first, last = F.substring(raw, 1, 1), F.substring(raw, -1, 1)
-    triple = (
-        (size >= 6)
-        & (F.substring(raw, 1, 3) == F.repeat(first, F.lit(3)))
-        & (F.substring(raw, -3, 3) == F.repeat(first, F.lit(3)))
-    )
-    quoted = (
-        F.when(triple, F.substr(raw, F.lit(4), size - 6))
-        .when((size >= 2) & (first == last), F.substr(raw, F.lit(2), size - 2))
-        .otherwise(F.substr(raw, F.lit(2)))
-    )
-    field = F.regexp_replace(F.substr(raw, F.lit(2)), r"\r?\n;\z", "")
-    return (
-        F.when(is_null(raw), F.lit(None).cast("string"))
-        .when(first.isin("'", '"'), quoted)
-        .when(is_text_field(raw), field)
-        .otherwise(raw)
-    )
-
-
-def typed(value: Column, dtype: str, where: Column, on_malformed: str = "error") -> Column:
-    """Cast text to a dictionary type. Whole numbers round half away from zero, as in ``2.5`` -> 3."""
+    r = raw
+    return f"""CASE WHEN {is_null(r)} THEN NULL
+        WHEN left({r}, 1) IN ('\\'', '\"') THEN CASE
+            WHEN length({r}) >= 6 AND left({r}, 3) = repeat(left({r}, 1), 3) AND right({r}, 3) = repeat(left({r}, 1), 3)
+            THEN substring({r}, 4, length({r}) - 6)
+            WHEN length({r}) >= 2 AND left({r}, 1) = right({r}, 1) THEN substring({r}, 2, length({r}) - 2)
+            ELSE substring({r}, 2) END
+        WHEN {is_text_field(r)} THEN regexp_replace(substring({r}, 2), {lit(chr(92) + "r?" + chr(92) + "n;" + chr(92) + "z")}, '')
+        ELSE {r} END"""
+
+
+def typed(value: str, dtype: str, where: str, on_malformed: str = "error") -> str:
+    """Cast text to a dictionary type. Whole numbers round half away from zero, as in ``2.5`` -> 3.
+
+    ``where`` is SQL text that names the place in the error message.
+    """
     if dtype == "string":
         return value
     if dtype == "bigint":
-        cast = F.coalesce(
-            value.try_cast("bigint"),
-            F.round(value.try_cast("decimal(38,10)")).cast("decimal(38,0)").cast("bigint"),
-        )
+        whole = f"CAST(CAST(round(try_cast({value} AS decimal(38,10))) AS decimal(38,0)) AS bigint)"
+        cast = f"coalesce(try_cast({value} AS bigint), {whole})"
     else:
-        cast = value.try_cast(dtype)
+        cast = f"try_cast({value} AS {dtype})"
     if on_malformed == "null":
         return cast
-    error = F.raise_error(F.concat(F.lit("malformed "), F.lit(dtype), F.lit(" in "), where, F.lit(": "), value))
-    return F.when(value.isNotNull(), F.coalesce(cast, error.cast(dtype)))
+    error = f"CAST(raise_error(concat('malformed {dtype} in ', {where}, ': ', {value})) AS {dtype})"
+    return f"CASE WHEN {value} IS NOT NULL THEN coalesce({cast}, {error}) END"

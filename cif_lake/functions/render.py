@@ -9,25 +9,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed values of the format: first characters and words a bare value must not start with.
+from cif_lake.functions.grammar import lit
+
+# Fixed values of the format: characters that need quotes, and first characters and words a bare value must not start with.
+_WIDE = "[ \t\r\x0b\x0c'\"]"
 _SPECIAL_FIRST = r"^[$#_;()\[\]{}]"
 _RESERVED = r"(?i)^(?:data_|loop_|save_|stop_|global_)"
+_NEEDS_QUOTES = f"{_WIDE}|{_SPECIAL_FIRST}|{_RESERVED}|^[.?]\\z"
 
 
-def _col(value: Column | str) -> Column:
-    return F.col(value) if isinstance(value, str) else value
-
-
-def needs_text_field(value: Column | str) -> Column:
+def needs_text_field(value: str) -> str:
     """Values that only a text field can hold: more than one line, or both kinds of quotes."""
-    value = _col(value)
-    return value.contains("\n") | (value.contains("'") & value.contains('"'))
+    return f"(contains({value}, '\\n') OR (contains({value}, '\\'') AND contains({value}, '\"')))"
 
 
-def unwritable(value: Column | str) -> Column:
+def unwritable(value: str) -> str:
     """Values no CIF text can hold: they need a text field and a line of theirs starts with ``;`` (or the end would be lost)."""
-    value = _col(value)
-    return needs_text_field(value) & (value.startswith(";") | value.contains("\n;") | value.endswith("\r"))
+    bad = f"(startswith({value}, ';') OR contains({value}, '\\n;') OR endswith({value}, '\\r'))"
+    return f"({needs_text_field(value)} AND {bad})"
 
 
 def unwritable_values(frame: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -36,33 +35,29 @@ def unwritable_values(frame: DataFrame, keys: Sequence[str], columns: Sequence[s
     return frame.select(*keys, F.explode(cells).alias("c")).select(*keys, "c.*").filter(unwritable("value"))
 
 
-def value(value: Column | str, item: str = "value") -> Column:
+def value(value: str, item: str = "value", eol: str = "'\\n'") -> str:
     """Text of one value with the least quoting that reads back the same; a text field starts in column 1.
 
     NULL and empty text are ``?``; text that reads ``.`` or ``?`` is quoted. Unwritable text stops the job.
     """
-    value = _col(value)
-    wide = value.rlike("[ \t\r\x0b\x0c'\"]") | value.rlike(_SPECIAL_FIRST) | value.rlike(_RESERVED) | value.isin(".", "?")
-    error = F.raise_error(F.concat(F.lit(f"cannot write value of '{item}', a line of it starts with ';': "), value))
-    return (
-        F.when(value.isNull() | (value == ""), F.lit("?"))
-        .when(unwritable(value), error.cast("string"))
-        .when(needs_text_field(value), F.concat(F.lit(";"), value, F.lit("\n;")))
-        .when(wide & value.contains("'"), F.concat(F.lit('"'), value, F.lit('"')))
-        .when(wide, F.concat(F.lit("'"), value, F.lit("'")))
-        .otherwise(value)
-    )
-
-
-def _cells(frame: DataFrame, columns: Sequence[str]) -> list[tuple[Column, Column | None]]:
+    v = value
+    message = lit(f"cannot write value of '{item}', a line of it starts with ';': ")
+    return f"""CASE WHEN {v} IS NULL OR {v} = '' THEN '?'
+        WHEN {unwritable(v)} THEN CAST(raise_error(concat({message}, {v})) AS string)
+        WHEN {needs_text_field(v)} THEN concat(';', {v}, {eol}, ';')
+        WHEN contains({v}, '\\'') THEN concat('"', {v}, '"')
+        WHEN {v} RLIKE {lit(_NEEDS_QUOTES)} THEN concat('\\'', {v}, '\\'')
+        ELSE {v} END"""
+
+
+def _cells(frame: DataFrame, columns: Sequence[str]) -> list[tuple[str, str | None]]:
     """(text, is text field or None) per column; numbers need no quoting."""
     out = []
     for c in columns:
-        col = F.col(f"`{c}`")
         if isinstance(frame.schema[c].dataType, T.StringType):
-            out.append((value(col, c), F.coalesce(needs_text_field(col), F.lit(False))))
+            out.append((value(f"`{c}`", c), f"coalesce({needs_text_field(f'`{c}`')}, false)"))
         else:
-            out.append((F.coalesce(col.cast("string"), F.lit("?")), None))
+            out.append((f"coalesce(CAST(`{c}` AS string), '?')", None))
     return out
 
 
@@ -72,18 +67,17 @@ def row(frame: DataFrame, columns: Sequence[str]) -> Column:
     parts = [cells[0][0]]
     for (_, before), (text, here) in zip(cells, cells[1:]):
         fields = [f for f in (before, here) if f is not None]
-        gap = F.when(reduce(lambda a, b: a | b, fields), "\n").otherwise(" ") if fields else F.lit(" ")
-        parts += [gap, text]
-    return F.concat(*parts)
+        parts += [f"CASE WHEN {' OR '.join(fields)} THEN '\\n' ELSE ' ' END" if fields else "' '", text]
+    return F.expr(f"concat({', '.join(parts)})")
 
 
 def pairs(frame: DataFrame, category: str, columns: Sequence[str]) -> Column:
     """Text of a key-value category: one ``_category.item value`` per line."""
     lines = []
     for c, (text, field) in zip(columns, _cells(frame, columns)):
-        gap = F.when(field, "\n").otherwise(" ") if field is not None else F.lit(" ")
-        lines.append(F.concat(F.lit(f"_{category}.{c}"), gap, text, F.lit("\n")))
-    return F.concat(*lines)
+        gap = f"CASE WHEN {field} THEN '\\n' ELSE ' ' END" if field is not None else "' '"
+        lines += [lit(f"_{category}.{c}"), gap, text, "'\\n'"]
+    return F.expr(f"concat({', '.join(lines)})")
 
 
 def header(category: str, columns: Sequence[str]) -> str:

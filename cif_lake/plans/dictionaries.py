@@ -123,8 +123,8 @@ def dict_category_metadata(spark, sf):
     )
 
 
-_LIMITS = """WITH RECURSIVE up(k, at) AS (SELECT s_suppkey, s_suppkey FROM supplier UNION ALL SELECT k, at // 4 FROM up WHERE at % 4 = 2),
-    lim AS (SELECT 'c' || k AS category, CASE arg_max(at % 4, -at) WHEN 0 THEN true WHEN 1 THEN false END AS is_single_row FROM up GROUP BY k UNION ALL SELECT 'entry', true)"""
+_LIMITS = """WITH RECURSIVE up(k, a) AS (SELECT s_suppkey, s_suppkey FROM supplier UNION ALL SELECT k, a // 4 FROM up WHERE a % 4 = 2),
+    lim AS (SELECT 'c' || k AS category, CASE arg_max(a % 4, -a) WHEN 0 THEN true WHEN 1 THEN false END AS is_single_row FROM up GROUP BY k UNION ALL SELECT 'entry', true)"""
 
 
 def limits(spark, sf):

@@ -205,12 +205,12 @@ def category_row_counts(spark, sf):
 def typed_cast(spark, sf):
     """Text to the types of the dictionary: whole numbers round half away from zero, malformed text is an error or NULL."""
     text = corpus.table(spark, sf, "customer").select(F.col("c_custkey").alias("key"), F.col("c_acctbal").cast("string").alias("t"), "c_name")
-    where = F.lit("acctbal")
-    return text.select(
+    where = "'acctbal'"
+    return text.selectExpr(
         "key",
-        g.typed(F.col("t"), "double", where).alias("d"),
-        g.typed(F.col("t"), "bigint", where).alias("i"),
-        g.typed(F.col("c_name"), "double", where, "null").alias("bad"),
+        f"{g.typed('t', 'double', where)} AS d",
+        f"{g.typed('t', 'bigint', where)} AS i",
+        f"{g.typed('c_name', 'double', where, 'null')} AS bad",
     )
 
 
@@ -338,7 +338,7 @@ def render_value(spark, sf):
     p, d = corpus.table(spark, sf, "pages"), corpus.table(spark, sf, "documents")
     v = p.select(F.col("page_id").alias("key"), F.col("url").alias("v"))
     v = v.unionAll(p.select("page_id", corpus.safe_text(F.col("html")))).unionAll(d.select("doc_id", corpus.safe_text(F.col("text"))))
-    return v.unionAll(d.select("doc_id", "source")).select("key", render.value("v").alias("text"))
+    return v.unionAll(d.select("doc_id", "source")).selectExpr("key", f"{render.value('v')} AS text")
 
 
 @query(

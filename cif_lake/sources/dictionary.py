@@ -145,36 +145,22 @@ def dict_frames(src: DataFrame) -> DataFrame:
     """
     from cif_lake.sources import read
 
-    lexed = read.text(src).select(F.col("path").alias("source"), g.lexemes(F.col("text")).alias("lex"))
-    lex = F.col("lex")
+    lexed = read.text(src).selectExpr("path AS source", f"{g.lexemes('text')} AS lex")
+    open_field = f"startswith(x, ';') AND contains(x, '\\n') AND NOT x RLIKE {g.lit(r'(?s)\n;\s*\z')}"
+    open_quote = f"x RLIKE {g.lit(r'^[\x27\x22]')} AND NOT x RLIKE {g.lit(r'(?s)^([\x27\x22]).*\1\s*\z')}"
     lexed = _fail_if(
         lexed,
-        F.exists(
-            lex,
-            lambda x: (x.startswith(";") & x.contains("\n") & ~x.rlike(r"(?s)\n;\s*\z"))
-            | (x.rlike(r"^['\"]") & ~x.rlike(r"(?s)^(['\"]).*\1\s*\z")),
-        ),
+        F.expr(f"exists(lex, x -> ({open_field}) OR ({open_quote}))"),
         F.concat(F.lit("unterminated quote or text field in "), F.col("source")),
     )
-    starts = F.filter(
-        F.transform(lex, lambda x, i: F.when(F.lower(F.substring(x, 1, 5)) == "save_", i + 1)),
-        lambda p: p.isNotNull(),
+    starts = "filter(transform(lex, (x, i) -> CASE WHEN lower(left(x, 5)) = 'save_' THEN i + 1 END), p -> p IS NOT NULL)"
+    placed = lexed.selectExpr("*", f"concat(array(1), {starts}) AS starts")
+    one = (
+        f"named_struct('frame_ord', i, 'frame', CASE WHEN i = 0 THEN '' ELSE {g.header_name('element_at(lex, p)')} END, "
+        "'lex', slice(lex, p, coalesce(get(starts, i + 1), size(lex) + 1) - p))"
     )
-    placed = lexed.withColumn("starts", F.concat(F.array(F.lit(1)), starts))
-
-    def one(p: Column, i: Column) -> Column:
-        end = F.coalesce(F.get("starts", i + 1), F.size(lex) + 1)
-        name = F.regexp_extract(F.element_at(lex, p), r"(?si)^save_(\S*)", 1)
-        return F.struct(
-            i.alias("frame_ord"), F.when(i == 0, "").otherwise(name).alias("frame"), F.slice(lex, p, end - p).alias("lex")
-        )
-
-    cut = read.unroll(placed, ["source"], F.transform("starts", one), "f").select(
-        F.lit(0).alias("file_ord"),
-        F.col("source").alias("path"),
-        F.col("f.frame_ord").alias("block_ord"),
-        F.col("f.frame").alias("block_name"),
-        "f.lex",
+    cut = read.unroll(placed, ["source"], F.expr(f"transform(starts, (p, i) -> {one})"), "f").selectExpr(
+        "0 AS file_ord", "source AS path", "f.frame_ord AS block_ord", "f.frame AS block_name", "f.lex"
     )
     recs = read.records(cut, every=True)
     recs = _fail_if(
@@ -183,23 +169,23 @@ def dict_frames(src: DataFrame) -> DataFrame:
         F.concat(F.lit("missing value for an item of "), F.col("category"), F.lit(" in "), F.col("path")),
     )
     keep = ["path", "block_ord", "block_name", "rec_ord", "category", "items"]
-    rows = read.unroll(recs, keep, "rows", "row_id", "row").withColumn("raw", g.values(F.col("row")))
+    rows = read.unroll(recs, keep, "rows", "row_id", "row").selectExpr("*", f"{g.values('row')} AS raw")
     rows = _fail_if(
         rows,
         F.size("raw") < F.size("items"),
         F.concat(F.lit("incomplete loop of "), F.col("category"), F.lit(" in "), F.col("path")),
     )
-    cells = F.transform("items", lambda x, i: F.struct(x.alias("item"), F.get("raw", i).alias("raw")))
-    value = F.coalesce(g.unquote(F.col("c.raw")), F.col("c.raw"))  # . and ? stay text here
+    cells = F.expr("transform(items, (x, i) -> named_struct('item', x, 'raw', get(raw, i)))")
     keep = ["path", "block_ord", "block_name", "rec_ord", "row_id", "category"]
-    return read.unroll(rows, keep, cells, "c").select(
-        F.col("path").alias("source"),
-        F.col("block_ord").alias("frame_ord"),
-        F.col("block_name").alias("frame"),
+    cut = read.unroll(rows, keep, cells, "c").select(*keep, "c.item", "c.raw")
+    return cut.selectExpr(
+        "path AS source",
+        "block_ord AS frame_ord",
+        "block_name AS frame",
         "rec_ord",
-        F.col("row_id").cast("bigint").alias("row_id"),
-        F.lower(F.concat(F.lit("_"), "category", F.lit("."), "c.item")).alias("tag"),
-        value.alias("value"),
+        "CAST(row_id AS bigint) AS row_id",
+        "lower(concat('_', category, '.', item)) AS tag",
+        f"coalesce({g.unquote('raw')}, raw) AS value",  # . and ? stay text here
     )
 
 
@@ -272,7 +258,9 @@ def dict_conflicts(items: DataFrame, resolutions: DataFrame | None = None) -> Da
         F.array_sort(F.collect_set(F.struct("source", "dtype"))).alias("types")
     )
     if resolutions is None:
-        return found.select("key", "types", F.lit(None).cast("string").alias("use"), F.lit("unresolved").alias("status"))
+        # The status hangs on an aggregate, so a check of it is not moved below the test for conflicts.
+        status = F.when(F.size("types") > 0, "unresolved")
+        return found.select("key", "types", F.lit(None).cast("string").alias("use"), status.alias("status"))
     reviewed = resolutions.select(
         F.col("key").alias("rkey"),
         F.array_sort(

@@ -138,47 +138,24 @@ def blocks(src: DataFrame, data_block: str | None = "*") -> DataFrame:
     every file must hold exactly once. A file without a block header is one block without a name.
     """
     # Laid out in stages so that the lexemes and the block starts are computed once.
-    lexed = text(src).select("file_ord", "path", g.lexemes(F.col("text")).alias("lex"))
-    lex = F.col("lex")
-    starts = F.filter(
-        F.transform(lex, lambda x, i: F.when(F.lower(F.substring(x, 1, 5)) == "data_", i + 1)),
-        lambda p: p.isNotNull(),
-    )
-    placed = lexed.withColumn("starts", starts).withColumn(
-        "names",
-        F.transform("starts", lambda p: F.regexp_extract(F.element_at(lex, p), r"(?s)^.{5}(\S*)", 1)),
-    )
-    wanted = F.sequence(F.lit(0), F.size("starts") - 1)
-    wanted = F.when(F.size("starts") > 0, wanted).otherwise(F.array(F.lit(0)))
+    lexed = text(src).selectExpr("file_ord", "path", f"{g.lexemes('text')} AS lex")
+    placed = lexed.selectExpr("*", f"{g.block_starts('lex')} AS starts")
+    placed = placed.selectExpr("*", f"transform(starts, p -> {g.header_name('element_at(lex, p)')}) AS names")
     if data_block is None:
-        wanted = F.array(F.lit(0))
-    elif data_block != "*":
-        name = data_block.lower()
-        wanted = F.filter(
-            F.transform("names", lambda x, i: F.when(F.lower(x) == name, i)), lambda i: i.isNotNull()
-        )
-    placed = placed.withColumn("wanted", wanted)
+        wanted = "array(0)"
+    elif data_block == "*":
+        wanted = "CASE WHEN size(starts) > 0 THEN sequence(0, size(starts) - 1) ELSE array(0) END"
+    else:
+        same = f"CASE WHEN lower(x) = {g.lit(data_block.lower())} THEN i END"
+        wanted = f"filter(transform(names, (x, i) -> {same}), i -> i IS NOT NULL)"
+    placed = placed.selectExpr("*", f"{wanted} AS wanted")
     if data_block not in (None, "*"):
-        placed = placed.filter(
-            F.when(F.size("wanted") == 1, F.lit(True)).otherwise(
-                F.raise_error(
-                    F.concat(
-                        F.lit(f"data block '{data_block}' "),
-                        F.when(F.size("wanted") == 0, F.lit("not present in ")).otherwise(F.lit("is ambiguous in ")),
-                        F.col("path"),
-                    )
-                ).cast("boolean")
-            )
-        )
-
-    def one(n: Column) -> Column:
-        start = F.coalesce(F.get("starts", n), F.lit(1))
-        end = F.coalesce(F.get("starts", n + 1), F.size(lex) + 1)
-        return F.struct(
-            n.alias("block_ord"), F.get("names", n).alias("block_name"), F.slice(lex, start, end - start).alias("lex")
-        )
-
-    return unroll(placed, ["file_ord", "path"], F.transform("wanted", one), "b").select(
+        fault = "CASE WHEN size(wanted) = 0 THEN ' not present in ' ELSE ' is ambiguous in ' END"
+        message = f"concat({g.lit(f"data block '{data_block}'")}, {fault}, path)"
+        placed = placed.filter(f"CASE WHEN size(wanted) = 1 THEN true ELSE CAST(raise_error({message}) AS boolean) END")
+    start, end = "coalesce(get(starts, n), 1)", "coalesce(get(starts, n + 1), size(lex) + 1)"
+    one = f"named_struct('block_ord', n, 'block_name', get(names, n), 'lex', slice(lex, {start}, {end} - {start}))"
+    return unroll(placed, ["file_ord", "path"], F.expr(f"transform(wanted, n -> {one})"), "b").select(
         "file_ord", "path", "b.block_ord", "b.block_name", "b.lex"
     )
 
@@ -199,82 +176,46 @@ def split_blocks(src: DataFrame, partitions: int | None = None) -> DataFrame:
 
 def _marks(frame: DataFrame) -> DataFrame:
     """Add ``marks``: the structural lexemes ``(p, k, n, has, cat, item)``, n lexemes up to the next one."""
-    lex = F.col("lex")
-    found = F.filter(
-        F.transform(
-            lex, lambda x, i: F.struct((i + 1).alias("p"), g.kind(x, F.get(lex, i - 1)).alias("k"))
-        ),
-        lambda m: m["k"].isNotNull(),
-    )
-    frame = frame.withColumn("found", found)
-    width = F.transform(
-        "found",
-        lambda m, j: F.struct(
-            m["p"].alias("p"),
-            m["k"].alias("k"),
-            (F.coalesce(F.get("found", j + 1)["p"], F.size(lex) + 1) - m["p"] - 1).alias("n"),
-        ),
-    )
-    frame = frame.withColumn("found", width)
-    marks = F.transform(
-        "found",
-        lambda m: F.struct(
-            m["p"].alias("p"),
-            m["k"].alias("k"),
-            m["n"].alias("n"),
-            F.exists(F.slice(lex, m["p"] + 1, m["n"]), lambda x: ~g.is_comment(x)).alias("has"),
-            F.when(m["k"] == "T", g.tag_part(F.element_at(lex, m["p"]), 1)).alias("cat"),
-            F.when(m["k"] == "T", g.tag_part(F.element_at(lex, m["p"]), 2)).alias("item"),
-        ),
-    )
-    return frame.withColumn("marks", marks).drop("found")
-
-
-def _located(frame: DataFrame, categories: Sequence[str] | None, every: bool = False) -> DataFrame:
-    """Add ``recs``: per category ``(cat, is_loop, tags)``. The first record of a category counts, unless ``every``."""
-    frame = _marks(frame)
-    frame = frame.withColumn("keys", F.transform("marks", lambda m: F.lower(m["cat"])))
+    kind = g.kind("x", "get(lex, i - 1)")
+    found = f"filter(transform(lex, (x, i) -> named_struct('p', i + 1, 'k', {kind})), m -> m.k IS NOT NULL)"
+    frame = frame.selectExpr("*", f"{found} AS found0")
+    width = "coalesce(get(found0, j + 1).p, size(lex) + 1) - m.p - 1"
+    frame = frame.selectExpr("*", f"transform(found0, (m, j) -> named_struct('p', m.p, 'k', m.k, 'n', {width})) AS found")
+    has = f"exists(slice(lex, m.p + 1, m.n), x -> NOT {g.is_comment('x')})"
+    part = lambda n: f"CASE WHEN m.k = 'T' THEN {g.tag_part('element_at(lex, m.p)', n)} END"
+    mark = f"named_struct('p', m.p, 'k', m.k, 'n', m.n, 'has', {has}, 'cat', {part(1)}, 'item', {part(2)})"
+    return frame.selectExpr("*", f"transform(found, m -> {mark}) AS marks").drop("found0", "found")
+
+
+def located(frame: DataFrame, categories: Sequence[str] | None, every: bool = False) -> DataFrame:
+    """Add ``recs``: per category ``(category, is_loop, tags)``. The first record of a category counts, unless ``every``."""
+    frame = _marks(frame).selectExpr("*", "transform(marks, m -> lower(m.cat)) AS keys")
     if every:
-        opens = lambda m, i: F.when(
-            m["cat"].isNotNull() & ~F.coalesce(F.get("marks", i - 1)["cat"] == m["cat"], F.lit(False)), i + 1
-        )
-        return _records_at(frame, F.filter(F.transform("marks", opens), lambda p: p.isNotNull()))
-    if categories is None:
-        wanted = F.array_distinct(F.filter("keys", lambda k: k.isNotNull()))
+        opens = "m.cat IS NOT NULL AND NOT coalesce(get(marks, i - 1).cat = m.cat, false)"
+        at = f"filter(transform(marks, (m, i) -> CASE WHEN {opens} THEN i + 1 END), p -> p IS NOT NULL)"
+    elif categories is None:
+        at = "transform(array_distinct(filter(keys, k -> k IS NOT NULL)), c -> CAST(array_position(keys, c) AS int))"
     else:
-        names = F.array(*[F.lit(c.lower()) for c in dict.fromkeys(categories)])
-        wanted = F.filter(names, lambda c: F.array_contains("keys", c))
-    return _records_at(frame, F.transform(wanted, lambda c: F.array_position("keys", c).cast("int")))
-
-
-def _records_at(frame: DataFrame, at: Column) -> DataFrame:
-    frame = frame.withColumn("at", at)
-    tails = F.transform(
-        "at",
-        lambda f: F.struct(
-            F.coalesce(F.get("marks", f - 2)["k"] == "L", F.lit(False)).alias("is_loop"),
-            F.get("marks", f - 1)["cat"].alias("cat"),
-            F.slice("marks", f, F.size("marks") - f + 1).alias("tail"),
-        ),
-    )
-
-    def record(t: Column) -> Column:
-        other = F.array_position(F.transform(t["tail"], lambda m: F.coalesce(m["cat"] == t["cat"], F.lit(False))), False)
-        run = F.when(other == 0, F.size(t["tail"])).otherwise(other - 1)
-        first = F.array_position(F.transform(t["tail"], lambda m: m["has"]), True)
-        width = F.when(t["is_loop"] & (first > 0), F.least(run, first)).otherwise(run)
-        return F.struct(
-            t["cat"].alias("category"), t["is_loop"].alias("is_loop"), F.slice(t["tail"], 1, width.cast("int")).alias("tags")
-        )
-
-    return frame.withColumn("recs", F.transform(tails, record)).drop(
-        "keys", "at"
-    )
+        names = ", ".join(g.lit(c.lower()) for c in dict.fromkeys(categories))
+        at = f"transform(filter(array({names}), c -> array_contains(keys, c)), c -> CAST(array_position(keys, c) AS int))"
+    frame = frame.selectExpr("*", f"{at} AS at")
+    tail = "slice(marks, f, size(marks) - f + 1)"
+    tails = f"named_struct('is_loop', coalesce(get(marks, f - 2).k = 'L', false), 'cat', get(marks, f - 1).cat, 'tail', {tail})"
+    frame = frame.selectExpr("*", f"transform(at, f -> {tails}) AS tails")
+    # How many tags of the category follow each other, and the first one with values.
+    other = "array_position(transform(t.tail, m -> coalesce(m.cat = t.cat, false)), false)"
+    first = "array_position(transform(t.tail, m -> m.has), true)"
+    runs = f"named_struct('is_loop', t.is_loop, 'cat', t.cat, 'tail', t.tail, 'other', {other}, 'first', {first})"
+    frame = frame.selectExpr("*", f"transform(tails, t -> {runs}) AS runs")
+    run = "CASE WHEN t.other = 0 THEN size(t.tail) ELSE t.other - 1 END"
+    width = f"CASE WHEN t.is_loop AND t.first > 0 THEN least({run}, t.first) ELSE {run} END"
+    record = f"named_struct('category', t.cat, 'is_loop', t.is_loop, 'tags', slice(t.tail, 1, CAST({width} AS int)))"
+    return frame.selectExpr("*", f"transform(runs, t -> {record}) AS recs").drop("keys", "at", "tails", "runs")
 
 
 def headers(block_frame: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
     """One row per record without its data: ``KEYS, rec_ord, category, is_loop, items``."""
-    found = _located(block_frame, categories)
+    found = located(block_frame, categories)
     return unroll(found, KEYS, "recs", "rec_ord", "r").select(
         *KEYS, "rec_ord", "r.category", "r.is_loop", F.col("r.tags.item").alias("items")
     )
@@ -285,34 +226,23 @@ def records(block_frame: DataFrame, categories: Sequence[str] | None = None, eve
 
     ``rows`` holds the text of each row; ``has`` tells for each tag whether values follow it.
     """
-    found = _located(block_frame, categories, every)
-    lex = F.col("lex")
-
-    def with_parts(r: Column) -> Column:
-        last = F.element_at(r["tags"], -1)
-        loop = F.array(F.slice(lex, last["p"] + 1, last["n"]))
-        pairs = F.transform(r["tags"], lambda t: F.slice(lex, t["p"] + 1, t["n"]))
-        return F.struct(
-            r["category"].alias("category"),
-            r["is_loop"].alias("is_loop"),
-            F.transform(r["tags"], lambda t: t["item"]).alias("items"),
-            F.transform(r["tags"], lambda t: t["has"]).alias("has"),
-            F.when(r["is_loop"], loop).otherwise(pairs).alias("parts"),
-        )
-
-    cut = unroll(found, KEYS, F.transform("recs", with_parts), "rec_ord", "r").select(
-        *KEYS, "rec_ord", "r.category", "r.is_loop", "r.items", "r.has", "r.parts"
+    found = located(block_frame, categories, every)
+    loop = "array(slice(lex, element_at(r.tags, -1).p + 1, element_at(r.tags, -1).n))"
+    pairs = "transform(r.tags, t -> slice(lex, t.p + 1, t.n))"
+    parts = f"CASE WHEN r.is_loop THEN {loop} ELSE {pairs} END"
+    record = (
+        "named_struct('category', r.category, 'is_loop', r.is_loop, 'items', transform(r.tags, t -> t.item), "
+        f"'has', transform(r.tags, t -> t.has), 'parts', {parts})"
     )
-
-    def first_value(part: Column) -> Column:
-        raw = F.coalesce(F.get(g.values(g.without_comments(part)), 0), F.lit("?"))
-        return F.concat(F.when(g.is_text_field(raw), F.lit("\n")).otherwise(F.lit(" ")), raw)
-
-    loop_rows = F.regexp_extract_all(
-        g.without_comments(F.get("parts", 0)), g.row_pattern(F.size("items")), F.lit(0)
+    cut = unroll(found, KEYS, F.expr(f"transform(recs, r -> {record})"), "rec_ord", "r").select(
+        *KEYS, "rec_ord", "r.category", "r.is_loop", "r.items", "r.has", "r.parts"
     )
-    pair_row = F.array(F.array_join(F.transform("parts", first_value), ""))
-    return cut.withColumn("rows", F.when(F.col("is_loop"), loop_rows).otherwise(pair_row)).drop("parts")
+    loop_rows = g.all_of(g.without_comments("get(parts, 0)"), g.row_pattern("size(items)"))
+    # A key-value record is one row of its first values; a text field starts a line.
+    first = f"coalesce(get({g.values(g.without_comments('part'))}, 0), '?')"
+    gap = f"CASE WHEN {g.is_text_field('v')} THEN '\\n' ELSE ' ' END"
+    pair_row = f"array(array_join(transform(transform(parts, part -> {first}), v -> concat({gap}, v)), ''))"
+    return cut.selectExpr(*cut.columns, f"CASE WHEN is_loop THEN {loop_rows} ELSE {pair_row} END AS rows").drop("parts")
 
 
 def row_counts(src: DataFrame, categories: Sequence[str] | None = None, data_block: str | None = "*") -> DataFrame:
@@ -327,19 +257,19 @@ def long_cells(
 ) -> DataFrame:
     """All cells of all categories in one pass: ``KEYS, category, row_id, pos, item, value``."""
     rows = unroll(records(blocks(src, data_block), categories), [*KEYS, "category", "items"], "rows", "row_id", "row")
-    cells = F.transform("items", lambda x, i: F.struct(x.alias("item"), F.get("raw", i).alias("raw")))
+    cells = F.expr("transform(items, (x, i) -> named_struct('item', x, 'raw', get(raw, i)))")
     keep = [*KEYS, F.lower("category").alias("category"), F.col("row_id").cast("bigint").alias("row_id")]
-    return unroll(rows.withColumn("raw", g.values(F.col("row"))), keep, cells, "pos", "cell").select(
-        *KEYS, "category", "row_id", "pos", "cell.item", g.unquote(F.col("cell.raw")).alias("value")
+    cut = unroll(rows.selectExpr("*", f"{g.values('row')} AS raw"), keep, cells, "pos", "cell")
+    return cut.select(*KEYS, "category", "row_id", "pos", "cell.item", "cell.raw").selectExpr(
+        *KEYS, "category", "row_id", "pos", "item", f"{g.unquote('raw')} AS value"
     )
 
 
 def tokenize(frame: DataFrame, column: str, *keys: str) -> DataFrame:
     """Tokens of a text column: ``keys, ord, value, is_null, quoted``; comments are skipped."""
-    plain = g.without_comments(g.lexemes(F.col(column)))
-    raw = F.col("raw")
-    return unroll(frame, keys, g.values(plain), "ord", "raw").select(
-        *keys, "ord", g.unquote(raw).alias("value"), g.is_null(raw).alias("is_null"), g.is_quoted(raw).alias("quoted")
+    plain = g.values(g.without_comments(g.lexemes(column)))
+    return unroll(frame, keys, F.expr(plain), "ord", "raw").selectExpr(
+        *keys, "ord", f"{g.unquote('raw')} AS value", f"{g.is_null('raw')} AS is_null", f"{g.is_quoted('raw')} AS quoted"
     )
 
 
@@ -419,46 +349,32 @@ def typed_rows(
     on_malformed: str = "error",
 ) -> DataFrame:
     """Rows of the records of one category as typed columns."""
-    recs = recs.withColumn("lower_items", F.transform("items", lambda i: F.lower(i)))
+    recs = recs.selectExpr("*", "transform(items, i -> lower(i)) AS lower_items")
     if known is not None:
-        allowed = F.array(*[F.lit(k.lower()) for k in known])
-        unknown = F.array_except("lower_items", allowed)
-        recs = recs.filter(
-            F.when(F.size(unknown) == 0, F.lit(True)).otherwise(
-                F.raise_error(
-                    F.concat(
-                        F.lit(f"items of '{category}' that are not in the dictionary: "),
-                        F.array_join(unknown, ", "),
-                        F.lit(" in "),
-                        F.col("path"),
-                    )
-                ).cast("boolean")
-            )
-        )
+        allowed = ", ".join(g.lit(k.lower()) for k in known)
+        unknown = f"array_except(lower_items, array({allowed}))"
+        text_ = g.lit(f"items of '{category}' that are not in the dictionary: ")
+        error = f"raise_error(concat({text_}, array_join({unknown}, ', '), ' in ', path))"
+        recs = recs.filter(f"CASE WHEN size({unknown}) = 0 THEN true ELSE CAST({error} AS boolean) END")
     lead = ["file_ord", "path", "block_ord"]
-    at = [
-        (F.array_position("lower_items", item.lower()).cast("int") - 1).alias(f"at{n}") for n, item in enumerate(items)
-    ]
-    at_names = [f"at{n}" for n in range(len(items))]
-    rows = unroll(recs.select(*lead, *at, "rows"), [*lead, *at_names], "rows", "row_id", "row")
+    names = [f"at{n}" for n in range(len(items))]
+    at = [f"CAST(array_position(lower_items, {g.lit(i.lower())}) AS int) - 1 AS {n}" for n, i in zip(names, items)]
+    rows = unroll(recs.selectExpr(*lead, *at, "rows"), [*lead, *names], "rows", "row_id", "row")
     # One stage per step, so that no step is computed twice for one cell. The one-element unroll holds back filters on
     # columns: below it they would cut the row text once more for every column they name.
     keep = [*lead, "row_id"]
-    tokens = unroll(rows, [*keep, *at_names], F.array(g.values(F.col("row"))), "tokens")
-    raw = tokens.select(*keep, *[F.get("tokens", F.col(f"at{n}")).alias(f"c{n}") for n in range(len(items))])
-    values = raw.select(*keep, *[g.unquote(F.col(f"c{n}")).alias(f"c{n}") for n in range(len(items))])
-    out = [
-        g.typed(
-            F.col(f"c{n}"),
-            dictionary.item_type(category, item),
-            F.concat(F.lit(f"{category}.{item} of "), F.col("path")),
-            on_malformed,
-        ).alias(item)
-        for n, item in enumerate(items)
-    ]
-    extra = [F.col("file_ord"), F.col("block_ord"), F.col("row_id").cast("bigint").alias("row_id")] if row_id else []
-    extra += [F.col("path").alias("filename")] if filename else []
-    return values.select(*out, *extra)
+    tokens = unroll(rows, [*keep, *names], F.expr(f"array({g.values('row')})"), "tokens")
+    raw_cells = tokens.selectExpr(*keep, *[f"get(tokens, {n}) AS c{i}" for i, n in enumerate(names)])
+    values = raw_cells.selectExpr(*keep, *[f"{g.unquote(f'c{i}')} AS c{i}" for i in range(len(items))])
+    out = []
+    for i, item in enumerate(items):
+        where = f"concat({g.lit(f'{category}.{item} of ')}, path)"
+        out.append(f"{g.typed(f'c{i}', dictionary.item_type(category, item), where, on_malformed)} AS `{item}`")
+    if row_id:
+        out += ["file_ord", "block_ord", "CAST(row_id AS bigint) AS row_id"]
+    if filename:
+        out.append("path AS filename")
+    return values.selectExpr(*out)
 
 
 def unknown_items(src: DataFrame, category: str, dictionary: Dictionary, data_block: str | None = None) -> DataFrame:
