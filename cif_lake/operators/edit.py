@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cif_lake.operators.relational import use_checkpoints
+
 KEYS = ("filename",)
 
 
@@ -58,7 +60,9 @@ def keep_in(table: DataFrame, column: str, allowed: DataFrame, keys: Sequence[st
     the set keeps every row of that file.
     """
     name = next(c for c in allowed.columns if c not in keys)
-    allowed = allowed.select(*keys, F.col(name).alias("allowed")).distinct()
+    # The set is used twice and is often the result of other edits: computed once, kept in the checkpoint folder.
+    use_checkpoints(table.sparkSession)
+    allowed = allowed.select(*keys, F.col(name).alias("allowed")).distinct().checkpoint()
     stats = allowed.groupBy(*keys).agg(F.count("*").alias("size"), F.count_if(F.col("allowed").isNull()).alias("nulls"))
     hit = allowed.filter(F.col("allowed").isNotNull()).withColumn("hit", F.lit(True))
     marked = table.withColumn("allowed", F.col(column)).join(hit, [*keys, "allowed"], "left").join(stats, list(keys), "left")

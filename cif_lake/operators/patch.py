@@ -13,281 +13,221 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cif_lake.functions import grammar as g
 from cif_lake.functions import render
+from cif_lake.operators.relational import use_checkpoints
 from cif_lake.sources import read
 
 GONE = "\x00"
 _RUN = r"\x00(?:[\s\x00]*\x00)?"
 _KEYS = ["path", "block_ord"]
 _REGION = [*_KEYS, "category"]
-
-
-def _bytes_as_text(value: Column) -> Column:
-    return F.decode(F.encode(value, "UTF-8"), "ISO-8859-1")
+# Edit values as text of one character per byte.
+_VALUE = "decode(encode(value, 'UTF-8'), 'ISO-8859-1')"
 
 
 def _latin(src: DataFrame) -> DataFrame:
     """Source frame whose content is a string of bytes-as-characters."""
-    plain = read.raw(src)
-    return plain.withColumn("content", F.decode("content", "ISO-8859-1"))
+    return read.raw(src).withColumn("content", F.decode("content", "ISO-8859-1"))
 
 
 def _sections(src: DataFrame) -> DataFrame:
     """Text in front of the first block (``block_ord`` -1) and the blocks: ``path, block_ord, block_name, lex``."""
-    lexed = src.select("path", g.lexemes(F.col("content")).alias("lex"))
-    lex = F.col("lex")
-    starts = F.filter(
-        F.transform(lex, lambda x, i: F.when(F.lower(F.substring(x, 1, 5)) == "data_", i + 1)), lambda p: p.isNotNull()
+    lexed = src.selectExpr("path", f"{g.lexemes('content')} AS lex")
+    placed = lexed.selectExpr("*", f"concat(array(1), {g.block_starts('lex')}) AS starts")
+    one = (
+        f"named_struct('block_ord', i - 1, 'block_name', CASE WHEN i > 0 THEN {g.header_name('element_at(lex, p)')} END, "
+        "'lex', slice(lex, p, coalesce(get(starts, i + 1), size(lex) + 1) - p))"
     )
-    placed = lexed.withColumn("starts", starts).withColumn("starts", F.concat(F.array(F.lit(1)), "starts"))
-
-    def one(p: Column, i: Column) -> Column:
-        end = F.coalesce(F.get("starts", i + 1), F.size(lex) + 1)
-        name = F.when(i > 0, F.regexp_extract(F.element_at(lex, p), r"(?s)^.{5}(\S*)", 1))
-        return F.struct((i - 1).alias("block_ord"), name.alias("block_name"), F.slice(lex, p, end - p).alias("lex"))
-
+    cut = read.unroll(placed, ["path", F.size("starts").alias("n")], F.expr(f"transform(starts, (p, i) -> {one})"), "s")
     # A file without a block header is its front part only.
-    return read.unroll(placed, ["path", F.size("starts").alias("n")], F.transform("starts", one), "s").select(
-        "path",
-        F.when(F.col("n") == 1, F.lit(0)).otherwise(F.col("s.block_ord")).alias("block_ord"),
-        "s.block_name",
-        "s.lex",
-    )
+    return cut.selectExpr("path", "CASE WHEN n = 1 THEN 0 ELSE s.block_ord END AS block_ord", "s.block_name", "s.lex")
 
 
 def _regions(sections: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Edited categories: ``path, block_ord, category, is_loop, items, start, width, text, segs``.
+    """Edited categories: ``path, block_ord, category, is_loop, items, start, width, segs, lead, tail, eol``.
 
     ``segs`` are the rows of a loop (each with the comments in front of it) or the items of a key-value category;
     ``lead`` is the last header tag of a loop, ``tail`` what follows its last row.
     """
-    framed = sections.select(F.lit(0).alias("file_ord"), "path", "block_ord", "block_name", "lex")
-    found = read._located(framed, None)
-    lex = F.col("lex")
-
-    def one(r: Column) -> Column:
-        first, last = F.get(r["tags"], 0), F.element_at(r["tags"], -1)
-        start = F.when(r["is_loop"], last["p"]).otherwise(first["p"])
-        items = F.transform(r["tags"], lambda t: F.array_join(F.slice(lex, t["p"], t["n"] + 1), ""))
-        body = F.array_join(F.slice(lex, last["p"] + 1, last["n"]), "")
-        return F.struct(
-            F.lower(r["category"]).alias("category"),
-            r["category"].alias("spelling"),
-            r["is_loop"].alias("is_loop"),
-            F.transform(r["tags"], lambda t: t["item"]).alias("items"),
-            start.alias("start"),
-            (last["p"] + last["n"] - start + 1).alias("width"),
-            F.when(r["is_loop"], F.array(F.element_at(lex, last["p"]), body)).otherwise(items).alias("parts"),
-        )
-
-    regions = read.unroll(found, _KEYS, F.transform("recs", one), "r").select(*_KEYS, "r.*")
+    framed = sections.selectExpr("0 AS file_ord", "path", "block_ord", "block_name", "lex")
+    found = read.located(framed, None)
+    first, last = "get(r.tags, 0)", "element_at(r.tags, -1)"
+    start = f"(CASE WHEN r.is_loop THEN {last}.p ELSE {first}.p END)"
+    body = f"array_join(slice(lex, {last}.p + 1, {last}.n), '')"
+    items = "transform(r.tags, t -> array_join(slice(lex, t.p, t.n + 1), ''))"
+    one = (
+        "named_struct('category', lower(r.category), 'spelling', r.category, 'is_loop', r.is_loop, "
+        f"'items', transform(r.tags, t -> t.item), 'start', {start}, 'width', {last}.p + {last}.n - {start} + 1, "
+        f"'parts', CASE WHEN r.is_loop THEN array(element_at(lex, {last}.p), {body}) ELSE {items} END)"
+    )
+    regions = read.unroll(found, _KEYS, F.expr(f"transform(recs, r -> {one})"), "r").select(*_KEYS, "r.*")
     regions = regions.join(wanted.select(*_REGION).distinct(), _REGION, "left_semi")
-    row = F.concat(F.lit(g.ROW_WITH_COMMENTS[0]), F.size("items").cast("string"), F.lit(g.ROW_WITH_COMMENTS[1]))
-    body = F.get("parts", 1)
-    cut = F.regexp_extract_all(body, row, F.lit(0))
-    regions = regions.withColumn("segs", F.when(F.col("is_loop"), cut).otherwise(F.col("parts")))
-    used = F.length(F.array_join("segs", ""))
-    return regions.withColumn("lead", F.when(F.col("is_loop"), F.get("parts", 0)).otherwise("")).withColumn(
-        "tail", F.when(F.col("is_loop"), F.substr(body, used + 1)).otherwise("")
-    ).withColumn("eol", F.when(F.array_join("parts", "").contains("\r\n"), "\r\n").otherwise("\n")).drop("parts")
-
-
-def _text_field(value: Column, eol: Column) -> Column:
-    return F.concat(F.lit(";"), value, eol, F.lit(";"))
-
-
-def _rendered(value: Column, eol: Column) -> Column:
-    text = F.when(render.needs_text_field(value) & ~render.unwritable(value), _text_field(value, eol))
-    return text.otherwise(render.value(value))
+    rows = g.all_of("get(parts, 1)", f"concat({g.lit(g.ROW_WITH_COMMENTS[0])}, size(items), {g.lit(g.ROW_WITH_COMMENTS[1])})")
+    regions = regions.selectExpr("*", f"CASE WHEN is_loop THEN {rows} ELSE parts END AS segs")
+    return regions.selectExpr(
+        *_REGION, "spelling", "is_loop", "items", "start", "width", "segs",
+        "CASE WHEN is_loop THEN get(parts, 0) ELSE '' END AS lead",
+        "CASE WHEN is_loop THEN substring(get(parts, 1), length(array_join(segs, '')) + 1) ELSE '' END AS tail",
+        "CASE WHEN contains(array_join(parts, ''), '\\r\\n') THEN '\\r\\n' ELSE '\\n' END AS eol",
+    )
 
 
 def _patched_segments(regions: DataFrame, edits: DataFrame) -> DataFrame:
-    """Rows (or items) with their edits applied: ``path, block_ord, category, segs[(no, main, rest)]``."""
+    """Rows (or items) with their edits applied: ``path, block_ord, category, segs[(no, main, rest, gone)]``."""
     changed = (
         edits.filter(F.col("op").isin("update", "delete"))
         .groupBy(*_REGION, "row_id")
         .agg(
-            F.max(F.col("op") == "delete").alias("gone"),
-            F.map_from_entries(
-                F.collect_list(F.when(F.col("op") == "update", F.struct(F.lower("item"), F.struct(_bytes_as_text(F.col("value")).alias("v")))))
-            ).alias("new"),
+            F.expr("max(op = 'delete') AS gone"),
+            F.expr(f"map_from_entries(collect_list(CASE WHEN op = 'update' THEN struct(lower(item), struct({_VALUE} AS v)) END)) AS new"),
         )
     )
     inserts = edits.filter(F.col("op") == "insert").select(*_REGION).distinct().withColumn("adds", F.lit(True))
-    pos = F.transform(
-        "segs",
-        lambda s, i: F.struct(
-            i.alias("no"), s.alias("s"),
-            F.coalesce(F.substring(F.get("segs", i - 1), -1, 1) == "\n", F.substring("lead", -1, 1).isin("\n", "")).alias("at_line"),
-            (i < F.size("segs") - 1).alias("more"),
-        ),
-    )
-    rows = read.unroll(regions, [*_REGION, "is_loop", "items", "eol", "tail"], pos, "x").select(
-        *_REGION, "is_loop", "items", "eol", "tail", "x.*", F.when(F.col("is_loop"), F.col("x.no")).otherwise(0).cast("bigint").alias("row_id")
+    at_line = "coalesce(right(get(segs, i - 1), 1) = '\\n', right(lead, 1) IN ('\\n', ''))"
+    placed = f"transform(segs, (s, i) -> named_struct('no', i, 's', s, 'at_line', {at_line}, 'more', i < size(segs) - 1))"
+    rows = read.unroll(regions, [*_REGION, "is_loop", "items", "eol", "tail"], F.expr(placed), "x").selectExpr(
+        *_REGION, "is_loop", "items", "eol", "tail", "x.*", "CAST(CASE WHEN is_loop THEN x.no ELSE 0 END AS bigint) AS row_id"
     )
     rows = rows.join(changed, [*_REGION, "row_id"], "left").join(inserts, _REGION, "left")
-    rows = rows.withColumn("pieces", F.regexp_extract_all("s", F.lit(g.PIECE), F.lit(0)))
-    # Number of the token in its row, and its item.
-    numbered = F.transform(
-        "pieces",
-        lambda x, i: F.struct(
-            x.alias("x"),
-            F.regexp_extract(x, r"(?s)(\s*)\z", 1).alias("ws"),
-            F.size(F.filter(F.slice("pieces", 1, i), lambda y: ~g.is_comment(y))).alias("k"),
-            g.is_comment(x).alias("comment"),
-            F.when(i == 0, F.col("at_line")).otherwise(F.substring(F.get("pieces", i - 1), -1, 1) == "\n").alias("at_line"),
-            ((i < F.size("pieces") - 1) | F.col("more") | (F.length("tail") > 0)).alias("more"),
-        ),
+    rows = rows.selectExpr("*", f"{g.pieces('s')} AS cut", "coalesce(gone, false) AS is_gone", "coalesce(adds, false) AS has_adds")
+    # Every piece with the number of its token in the row, and the value it is to get.
+    numbered = (
+        "named_struct('x', x, 'ws', regexp_extract(x, '(?s)(\\\\s*)\\\\z', 1), "
+        "'k', size(filter(slice(cut, 1, i), y -> NOT startswith(y, '#'))), 'comment', startswith(x, '#'), "
+        "'at_line', CASE WHEN i = 0 THEN at_line ELSE right(get(cut, i - 1), 1) = '\\n' END, "
+        "'more', i < size(cut) - 1 OR more OR length(tail) > 0)"
+    )
+    rows = rows.selectExpr("*", f"transform(cut, (x, i) -> {numbered}) AS numbered")
+    own = "lower(get(items, no))"
+    rows = rows.selectExpr(
+        "*",
+        # Key-value rows that get company become a loop: the tags leave the values.
+        "NOT is_loop AND has_adds AND NOT is_gone AS promoted",
+        "exists(numbered, p -> NOT p.comment AND p.k = 1) AS has_value",
+        f"try_element_at(new, {own}) AS own",
+    )
+    item = f"CASE WHEN is_loop THEN lower(get(items, p.k)) WHEN p.k = 1 THEN {own} END"
+    role = "CASE WHEN p.comment THEN 'comment' WHEN NOT is_loop AND p.k = 0 THEN 'tag' WHEN is_loop OR p.k = 1 THEN 'value' ELSE 'stray' END"
+    found = f"CASE WHEN {role} = 'value' THEN try_element_at(new, {item}) WHEN {role} = 'tag' AND NOT has_value THEN own END"
+    step = f"named_struct('x', p.x, 'ws', p.ws, 'at_line', p.at_line, 'more', p.more, 'comment', p.comment, 'role', {role}, 'found', {found})"
+    rows = rows.selectExpr("*", f"transform(numbered, p -> {step}) AS pieces")
+    field = f"coalesce({render.needs_text_field('p.found.v')}, false)"
+    shown = render.value("p.found.v", eol="eol")
+    replaced = (
+        f"concat(CASE WHEN {field} AND NOT p.at_line THEN eol ELSE '' END, {shown}, "
+        f"CASE WHEN {field} AND p.more AND NOT contains(p.ws, '\\n') THEN eol ELSE '' END, p.ws)"
+    )
+    tag = (
+        "concat(CASE WHEN promoted THEN '' ELSE substring(p.x, 1, length(p.x) - length(p.ws)) END, "
+        f"CASE WHEN p.found IS NOT NULL THEN concat(CASE WHEN {field} THEN eol ELSE ' ' END, {shown}) "
+        "WHEN promoted AND NOT has_value THEN ' ?' ELSE '' END, "
+        f"CASE WHEN promoted AND has_value THEN regexp_replace(p.ws, {g.lit(r'^[ \t\r]*\n')}, '') ELSE p.ws END)"
+    )
+    rewritten = (
+        f"CASE WHEN is_gone AND p.role IN ('tag', 'value') THEN concat({g.lit(GONE)}, p.ws) WHEN p.role = 'tag' THEN {tag} "
+        f"WHEN p.role = 'value' AND p.found IS NOT NULL THEN {replaced} ELSE p.x END"
+    )
+    rows = rows.selectExpr(
+        "*",
+        f"transform(pieces, p -> {rewritten}) AS texts",
+        "array_max(transform(pieces, (p, i) -> CASE WHEN NOT p.comment THEN i + 1 END)) AS last",
     )
-    rows = rows.withColumn("pieces", numbered).withColumn("gone", F.coalesce("gone", F.lit(False)))
-    is_tag = lambda p: ~F.col("is_loop") & (p["k"] == 0) & ~p["comment"]
-    # Key-value rows that get company become a loop: the tags leave the values.
-    promoted = ~F.col("is_loop") & F.coalesce("adds", F.lit(False)) & ~F.col("gone")
-    item = lambda p: F.lower(F.when(F.col("is_loop"), F.get("items", p["k"])).when(p["k"] == 1, F.get("items", F.col("no"))))
-    has_value = F.exists("pieces", lambda p: ~p["comment"] & (p["k"] == 1))
-    own_item = F.lower(F.get("items", F.col("no")))
-
-    def new_value(key: Column) -> Column:
-        return F.try_element_at("new", key)
-
-    def replaced(p: Column, found: Column) -> Column:
-        v = found["v"]
-        field = F.coalesce(render.needs_text_field(v), F.lit(False))
-        before = F.when(field & ~p["at_line"], F.col("eol")).otherwise("")
-        after = F.when(field & p["more"] & ~p["ws"].contains("\n"), F.col("eol")).otherwise("")
-        return F.concat(before, _rendered(v, F.col("eol")), after, p["ws"])
-
-    def filled(p: Column) -> Column:
-        """A tag without a value that gets one."""
-        v = new_value(own_item)["v"]
-        field = F.coalesce(render.needs_text_field(v), F.lit(False))
-        return F.concat(F.when(field, F.col("eol")).otherwise(" "), _rendered(v, F.col("eol")))
-
-    def tag(p: Column) -> Column:
-        name = F.regexp_extract(p["x"], r"(?s)^(\S+)", 1)
-        filler = (
-            F.when(has_value, F.lit(""))
-            .when(new_value(own_item).isNotNull(), filled(p))
-            .when(promoted, F.lit(" ?"))
-            .otherwise("")
-        )
-        ws = F.when(promoted & has_value, F.regexp_replace(p["ws"], r"^[ \t\r]*\n", "")).otherwise(p["ws"])
-        return F.concat(F.when(promoted, F.lit("")).otherwise(name), filler, ws)
-
-    def rewritten(p: Column) -> Column:
-        found = new_value(item(p))
-        value_here = ~p["comment"] & (F.col("is_loop") | (p["k"] == 1))
-        return (
-            F.when(F.col("gone") & (value_here | is_tag(p)), F.concat(F.lit(GONE), p["ws"]))
-            .when(is_tag(p), tag(p))
-            .when(value_here & found.isNotNull(), replaced(p, found))
-            .otherwise(p["x"])
-        )
-
-    rows = rows.withColumn("texts", F.transform("pieces", rewritten))
-    last = F.array_max(F.transform("pieces", lambda p, i: F.when(~p["comment"], i))) + 1
     # New rows go behind the line of the last value: comments further down stay behind them.
-    rows = rows.withColumn(
-        "seg",
-        F.struct(
-            "no",
-            F.array_join(F.slice("texts", F.lit(1), last), "").alias("main"),
-            F.array_join(F.slice("texts", last + 1, F.size("texts")), "").alias("rest"),
-            "gone",
-        ),
+    seg = (
+        "named_struct('no', no, 'main', array_join(slice(texts, 1, last), ''), "
+        "'rest', array_join(slice(texts, last + 1, size(texts)), ''), 'gone', is_gone)"
     )
-    return rows.groupBy(*_REGION).agg(F.array_sort(F.collect_list("seg")).alias("segs"))
+    return rows.selectExpr(*_REGION, f"{seg} AS seg").groupBy(*_REGION).agg(F.expr("array_sort(collect_list(seg)) AS segs"))
 
 
 def _inserted(edits: DataFrame) -> DataFrame:
     """New rows of each category in order: ``path, block_ord, category, added[map item -> value]``."""
     cells = edits.filter(F.col("op") == "insert")
-    rows = cells.groupBy(*_REGION, "row_id").agg(
-        F.map_from_entries(F.collect_list(F.struct(F.lower("item"), _bytes_as_text(F.col("value"))))).alias("row")
-    )
-    return rows.groupBy(*_REGION).agg(F.collect_list(F.struct("row_id", "row")).alias("added")).withColumn(
-        "added", F.transform(F.array_sort("added", lambda a, b: (a["row_id"] - b["row_id"]).cast("int")), lambda x: x["row"])
-    )
-
-
-def _row_text(cells: Column, eol: Column) -> Column:
-    """Loop row of an array of values."""
-    field = lambda v: F.coalesce(render.needs_text_field(v), F.lit(False))
-    gap = lambda v, i: F.when(i == 0, "").when(field(v) | field(F.get(cells, i - 1)), eol).otherwise(" ")
-    return F.concat(F.array_join(F.transform(cells, lambda v, i: F.concat(gap(v, i), _rendered(v, eol))), ""), eol)
+    rows = cells.groupBy(*_REGION, "row_id").agg(F.expr(f"map_from_entries(collect_list(struct(lower(item), {_VALUE}))) AS row"))
+    order = "CASE WHEN a.row_id < b.row_id THEN -1 WHEN a.row_id > b.row_id THEN 1 ELSE 0 END"
+    listed = f"transform(array_sort(collect_list(struct(row_id, row)), (a, b) -> {order}), x -> x.row)"
+    return rows.groupBy(*_REGION).agg(F.expr(f"{listed} AS added"))
 
 
 def _patched_regions(regions: DataFrame, edits: DataFrame) -> DataFrame:
     """New text of each edited category: ``path, block_ord, category, start, width, text``."""
-    joined = regions.drop("segs").join(_patched_segments(regions, edits), _REGION, "left").join(
-        _inserted(edits), _REGION, "left"
-    )
-    segs = F.coalesce("segs", F.array().cast("array<struct<no:int,main:string,rest:string,gone:boolean>>"))
-    joined = joined.withColumn("segs", segs).withColumn("n", F.size("segs"))
+    joined = regions.drop("segs").join(_patched_segments(regions, edits), _REGION, "left").join(_inserted(edits), _REGION, "left")
     # Head: up to the end of the line of the last value. An empty loop takes new rows at its very end.
-    end = F.element_at("segs", -1)
-    all_but = F.array_join(
-        F.transform(F.slice("segs", F.lit(1), F.greatest(F.col("n") - 1, F.lit(0))), lambda s: F.concat(s["main"], s["rest"])), ""
+    joined = joined.selectExpr(
+        *[c for c in joined.columns if c != "segs"],
+        "coalesce(segs, CAST(array() AS array<struct<no:int,main:string,rest:string,gone:boolean>>)) AS segs",
+    )
+    joined = joined.selectExpr("*", "size(segs) AS n", "CASE WHEN size(segs) > 0 THEN element_at(segs, -1).main ELSE '' END AS main")
+    all_but = "array_join(transform(slice(segs, 1, greatest(n - 1, 0)), s -> concat(s.main, s.rest)), '')"
+    joined = joined.selectExpr("*", f"regexp_extract(main, {g.lit(r'(?s)^(.*\S[^\S\n]*\n?)\s*\z')}, 1) AS line")
+    joined = joined.selectExpr(
+        "*",
+        f"concat(lead, {all_but}, line) AS head0",
+        "concat(substring(main, length(line) + 1), CASE WHEN n > 0 THEN element_at(segs, -1).rest ELSE '' END, tail) AS after0",
     )
-    main = F.when(F.col("n") == 0, F.lit("")).otherwise(end["main"])
-    line = F.regexp_extract(main, r"(?s)^(.*\S[^\S\n]*\n?)\s*\z", 1)
-    blank = F.substr(main, F.length(line) + 1)
-    after = F.concat(blank, F.when(F.col("n") == 0, "").otherwise(end["rest"]), "tail")
-    joined = joined.withColumn("head0", F.concat("lead", all_but, line)).withColumn("after0", after)
     # A comment behind the last value finishes its line.
-    open_line = ~F.col("head0").endswith("\n") & (F.length("after0") > 0)
-    moved = F.when(F.col("n") == 0, F.col("after0")).when(open_line, F.regexp_extract("after0", r"^([^\n]*\n?)", 1)).otherwise("")
-    joined = joined.withColumn("head", F.concat("head0", moved)).withColumn("after", F.substr("after0", F.length(moved) + 1))
-
-    gone = F.exists("segs", lambda s: s["gone"])
-    eol = F.col("eol")
-    header = F.concat(
-        F.lit("loop_"), eol,
-        F.array_join(F.transform("items", lambda i: F.concat(F.lit("_"), "spelling", F.lit("."), i, eol)), ""),
-    )
-    cells = lambda row: F.transform("items", lambda i: F.try_element_at(row, F.lower(i)))
-    loop_rows = F.array_join(F.transform("added", lambda r: _row_text(cells(r), eol)), "")
-
-    def pair_line(row: Column, i: Column) -> Column:
-        v = F.try_element_at(row, F.lower(i))
-        gap = F.when(F.coalesce(render.needs_text_field(v), F.lit(False)), eol).otherwise(" ")
-        return F.concat(F.lit("_"), "spelling", F.lit("."), i, gap, _rendered(v, eol), eol)
-
-    pairs = F.array_join(F.transform("items", lambda i: pair_line(F.get("added", 0), i)), "")
-    added = (
-        F.when(F.col("added").isNull(), "")
-        .when(F.col("is_loop") | ~gone, loop_rows)
-        .when(F.size("added") > 1, F.concat(header, loop_rows))
-        .otherwise(pairs)
+    moved = (
+        "CASE WHEN n = 0 THEN after0 WHEN NOT endswith(head0, '\\n') AND length(after0) > 0 "
+        f"THEN regexp_extract(after0, {g.lit(r'^([^\n]*\n?)')}, 1) ELSE '' END"
+    )
+    joined = joined.selectExpr("*", f"{moved} AS moved", "exists(segs, s -> s.gone) AS gone")
+    header = "concat('loop_', eol, array_join(transform(items, i -> concat('_', spelling, '.', i, eol)), ''))"
+    # New rows as arrays of values in the order of the items.
+    joined = joined.selectExpr(
+        "*",
+        "concat(head0, moved) AS head",
+        "substring(after0, length(moved) + 1) AS after",
+        f"{header} AS header",
+        "transform(added, row -> transform(items, i -> try_element_at(row, lower(i)))) AS cells",
+    )
+    field = lambda v: f"coalesce({render.needs_text_field(v)}, false)"
+    shown = render.value("v", eol="eol")
+    gap = f"CASE WHEN i = 0 THEN '' WHEN {field('v')} OR {field('get(c, i - 1)')} THEN eol ELSE ' ' END"
+    loop_row = f"concat(array_join(transform(c, (v, i) -> concat({gap}, {shown})), ''), eol)"
+    pair = f"concat('_', spelling, '.', get(items, i), CASE WHEN {field('v')} THEN eol ELSE ' ' END, {shown}, eol)"
+    joined = joined.selectExpr(
+        "*",
+        f"array_join(transform(cells, c -> {loop_row}), '') AS loop_rows",
+        f"array_join(transform(get(cells, 0), (v, i) -> {pair}), '') AS pair_rows",
     )
-    added = F.when((F.length(added) > 0) & ~F.col("head").endswith("\n"), F.concat(eol, added)).otherwise(added)
-    promote = F.when(F.col("added").isNotNull() & ~F.col("is_loop") & ~gone, header).otherwise("")
-    text = F.concat(promote, "head", added, "after")
-    clean = F.regexp_replace(text, r"(?d)\n[ \t\r]*" + _RUN + r"[ \t\r]*\z", "")
-    clean = F.regexp_replace(clean, r"(?dm)^[ \t\r]*" + _RUN + r"[ \t\r]*\n", "")
-    clean = F.regexp_replace(clean, r"(?dm)^([ \t]*)" + _RUN + r"[ \t\r]*", "$1")
-    clean = F.regexp_replace(clean, r"[ \t\r]*" + _RUN, "")
-    return joined.select(*_REGION, "start", "width", F.when(gone, clean).otherwise(text).alias("text"))
+    rows = (
+        "CASE WHEN added IS NULL THEN '' WHEN is_loop OR NOT gone THEN loop_rows "
+        "WHEN size(added) > 1 THEN concat(header, loop_rows) ELSE pair_rows END"
+    )
+    joined = joined.selectExpr("*", f"{rows} AS new_rows")
+    promote = "CASE WHEN added IS NOT NULL AND NOT is_loop AND NOT gone THEN header ELSE '' END"
+    open_end = "CASE WHEN new_rows <> '' AND NOT endswith(head, '\\n') THEN eol ELSE '' END"
+    joined = joined.selectExpr(*_REGION, "start", "width", "gone", f"concat({promote}, head, {open_end}, new_rows, after) AS text")
+    clean = "text"
+    for pattern, kept in (
+        (r"(?d)\n[ \t\r]*" + _RUN + r"[ \t\r]*\z", ""),
+        (r"(?dm)^[ \t\r]*" + _RUN + r"[ \t\r]*\n", ""),
+        (r"(?dm)^([ \t]*)" + _RUN + r"[ \t\r]*", "$1"),
+        (r"[ \t\r]*" + _RUN, ""),
+    ):
+        clean = f"regexp_replace({clean}, {g.lit(pattern)}, '{kept}')"
+    return joined.selectExpr(*_REGION, "start", "width", f"CASE WHEN gone THEN {clean} ELSE text END AS text")
 
 
 def patch_files(src: DataFrame, edits: DataFrame) -> DataFrame:
     """Source frame of the edited files; files without edits are not in it."""
-    edits = edits.withColumn("category", F.lower("category"))
+    # Edits, lexemes and edited categories are each used several times: computed once, kept in the checkpoint folder.
+    use_checkpoints(src.sparkSession)
+    edits = edits.withColumn("category", F.lower("category")).checkpoint()
     touched = _latin(src.join(edits.select("path").distinct(), "path", "left_semi"))
-    touched = touched.filter(
-        F.when(F.col("content").contains(GONE), F.raise_error(F.concat(F.lit("NUL byte in "), "path")).cast("boolean")).otherwise(True)
-    )
-    sections = _sections(touched)
+    error = "CAST(raise_error(concat('NUL byte in ', path)) AS boolean)"
+    touched = touched.filter(f"CASE WHEN contains(content, {g.lit(GONE)}) THEN {error} ELSE true END")
+    sections = _sections(touched).checkpoint()
     named = sections.filter(F.col("block_ord") >= 0).select("path", "block_ord", F.lower("block_name").alias("bname"))
     wanted = edits.withColumn("want", F.lower("block_name")).drop("block_name")
     wanted = wanted.join(named, "path").filter(
         F.when(F.col("want").isNull(), F.col("block_ord") == 0).otherwise(F.col("bname") == F.col("want"))
     ).drop("want", "bname")
-    regions = _regions(sections, wanted)
+    regions = _regions(sections, wanted).checkpoint()
     new = _patched_regions(regions, wanted)
     # Every edit must have met a category, or it would be lost.
     missing = wanted.select(*_REGION).distinct().join(regions.select(*_REGION), _REGION, "left_anti")
@@ -299,23 +239,14 @@ def patch_files(src: DataFrame, edits: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("start", "width", "text"))).alias("patches")
     )
     pieces = sections.join(patches, _KEYS, "left")
-    lex, n = F.col("lex"), F.size("patches")
-
-    def between(i: Column) -> Column:
-        """Untouched lexemes in front of patch ``i`` and its text."""
-        begin = F.when(i == 0, F.lit(1)).otherwise(F.get("patches", i - 1)["start"] + F.get("patches", i - 1)["width"])
-        upto = F.get("patches", i)["start"]
-        return F.concat(F.array_join(F.slice(lex, begin, upto - begin), ""), F.get("patches", i)["text"])
-
-    end = F.get("patches", n - 1)
-    rest = F.array_join(F.slice(lex, end["start"] + end["width"], F.size(lex)), "")
-    rebuilt = F.concat(F.array_join(F.transform(F.sequence(F.lit(0), n - 1), between), ""), rest)
-    text = F.when(F.col("patches").isNull(), F.array_join(lex, "")).otherwise(rebuilt)
-    files = pieces.select("path", "block_ord", text.alias("text")).groupBy("path").agg(
-        F.array_sort(F.collect_list(F.struct("block_ord", "text"))).alias("b")
-    )
-    whole = F.array_join(F.transform("b", lambda x: x["text"]), "")
-    return files.select(F.lit(0).alias("file_ord"), "path", F.encode(whole, "ISO-8859-1").alias("content"))
+    # Untouched lexemes in front of each patch, its text, and what follows the last one.
+    begin = "CASE WHEN i = 0 THEN 1 ELSE get(patches, i - 1).start + get(patches, i - 1).width END"
+    between = f"concat(array_join(slice(lex, {begin}, x.start - ({begin})), ''), x.text)"
+    end = "element_at(patches, -1).start + element_at(patches, -1).width"
+    rebuilt = f"concat(array_join(transform(patches, (x, i) -> {between}), ''), array_join(slice(lex, {end}, size(lex)), ''))"
+    texts = pieces.selectExpr("path", "block_ord", f"CASE WHEN patches IS NULL THEN array_join(lex, '') ELSE {rebuilt} END AS text")
+    files = texts.groupBy("path").agg(F.expr("array_sort(collect_list(struct(block_ord, text))) AS b"))
+    return files.selectExpr("0 AS file_ord", "path", "encode(array_join(transform(b, x -> x.text), ''), 'ISO-8859-1') AS content")
 
 
 def edits_of(frame: DataFrame, category: str, op: str, items: list[str], block_name: str | None = None) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cif_lake.functions import render
+from cif_lake.functions.grammar import lit
 from cif_lake.sources.dictionary import ITEMS_SCHEMA, Dictionary
 
 ROWS_PER_FILE = 64
@@ -93,29 +94,28 @@ ATOMS_SQL = """atoms AS (
 
 
 def atom_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "embeddings")
-    n, label = F.col("vec_id"), F.col("label")
-    xyz = lambda i: F.get("embedding", i).cast("double")
-    return e.select(
-        F.floor(n / ROWS_PER_FILE).alias("fkey"),
-        n.alias("row_id"),
-        F.when(n % 7 == 0, "HETATM").otherwise("ATOM").alias("group_PDB"),
-        n.cast("string").alias("id"),
-        pick(n, "C", "N", "O", "S").alias("type_symbol"),
-        pick(n, "CA", "N", "C", "O", "CB", "O5'").alias("label_atom_id"),
-        F.lit(None).cast("string").alias("label_alt_id"),
-        pick(n, "ALA", "GLY", "SER", "LIG", "HOH").alias("label_comp_id"),
-        F.char(65 + label).alias("label_asym_id"),
-        (1 + label % 3).cast("string").alias("label_entity_id"),
-        F.when(n % 5 != 4, F.floor(n / 8)).alias("label_seq_id"),
-        (xyz(0) * 50).alias("Cartn_x"),
-        (xyz(1) * 50).alias("Cartn_y"),
-        (xyz(2) * 50).alias("Cartn_z"),
-        F.lit(1.0).alias("occupancy"),
-        (F.abs(xyz(3)) * 200).alias("B_iso_or_equiv"),
-        F.floor(n / 4).cast("string").alias("auth_seq_id"),
-        pick(label, "A", "B").alias("auth_asym_id"),
-        F.lit(1).cast("bigint").alias("pdbx_PDB_model_num"),
+    xyz = lambda i: f"CAST(get(embedding, {i}) AS double)"
+    named = lambda number, *names: f"get(array({', '.join(lit(n) for n in names)}), CAST({number} % {len(names)} AS int))"
+    return table(spark, sf_dir, "embeddings").selectExpr(
+        f"vec_id DIV {ROWS_PER_FILE} AS fkey",
+        "vec_id AS row_id",
+        "CASE WHEN vec_id % 7 = 0 THEN 'HETATM' ELSE 'ATOM' END AS group_PDB",
+        "CAST(vec_id AS string) AS id",
+        f"{named('vec_id', 'C', 'N', 'O', 'S')} AS type_symbol",
+        named("vec_id", "CA", "N", "C", "O", "CB", "O5'") + " AS label_atom_id",
+        "CAST(NULL AS string) AS label_alt_id",
+        f"{named('vec_id', 'ALA', 'GLY', 'SER', 'LIG', 'HOH')} AS label_comp_id",
+        "char(65 + label) AS label_asym_id",
+        "CAST(1 + label % 3 AS string) AS label_entity_id",
+        "CASE WHEN vec_id % 5 <> 4 THEN vec_id DIV 8 END AS label_seq_id",
+        f"{xyz(0)} * 50 AS Cartn_x",
+        f"{xyz(1)} * 50 AS Cartn_y",
+        f"{xyz(2)} * 50 AS Cartn_z",
+        "1D AS occupancy",
+        f"abs({xyz(3)}) * 200 AS B_iso_or_equiv",
+        "CAST(vec_id DIV 4 AS string) AS auth_seq_id",
+        f"{named('label', 'A', 'B')} AS auth_asym_id",
+        "1L AS pdbx_PDB_model_num",
     )
 
 
