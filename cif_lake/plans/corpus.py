@@ -25,8 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def letter(number: Column, letters: int) -> Column:
-    return F.char(F.lit(65) + F.pmod(number, F.lit(letters)))
+def spread(frame: DataFrame) -> DataFrame:
+    """Use all cores when the scan has fewer partitions than there are: parsing costs more than moving the rows.
+
+    A large table has enough partitions and is not shuffled.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
 
 
 def pick(number: Column, *names: str) -> Column:
@@ -148,7 +153,7 @@ def line_dictionary(spark: SparkSession) -> Dictionary:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"))
     ship = F.date_format("l_shipdate", "yyyy-MM-dd").alias("l_shipdate")
     return batches(li.select(*[ship if c == "l_shipdate" else c for c in LINE_TYPES]), "lineitem", "lines")
 
@@ -179,8 +184,8 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entry_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One block text per order: ``o_orderkey, block``; narrow."""
-    o = table(spark, sf_dir, "orders")
+    """One block text per order: ``o_orderkey, block``."""
+    o = spread(table(spark, sf_dir, "orders"))
     key = F.col("o_orderkey")
     code = F.concat(F.lit("O"), key.cast("string"))
     refine = F.when(
@@ -384,7 +389,7 @@ def models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def two_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file per customer with the blocks ``first`` and ``Second``; words of the format hide in text and comments."""
-    c = table(spark, sf_dir, "customer")
+    c = spread(table(spark, sf_dir, "customer"))
     key, name = F.col("c_custkey").cast("string"), F.col("c_name")
     text = F.concat(
         F.lit("# data_comment\ndata_first\n_entry.id "), key, F.lit("\n_struct.title\n;About\ndata_text\nloop_\n;\n"),
