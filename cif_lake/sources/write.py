@@ -14,7 +14,7 @@ from cif_lake.functions import render
 
 def work_folder(spark: SparkSession) -> str:
     """A fresh folder below the shared folder the session names; machine-local only where it names none (tests)."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    shared = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
         return "file://" + tempfile.mkdtemp(prefix="cif_lake_")
     return f"{shared.rstrip('/')}/cif_lake-{spark.sparkContext.applicationId}-{os.urandom(4).hex()}"
@@ -32,7 +32,7 @@ def write_files(files: DataFrame, directory: str) -> None:
     def save(part) -> None:
         from pyarrow import fs
 
-        base, root = fs.FileSystem.from_uri(directory)
+        base, root = fs.FileSystem.from_uri(directory.replace("s3a://", "s3://", 1))
         for row in part:
             target = f"{root}/{row['name']}"
             content = bytes(row["content"])
