@@ -24,7 +24,9 @@ _QUOTED = (
     r"|'.*?(?:'(?=\s|\z)|\z)"
     r'|".*?(?:"(?=\s|\z)|\z)'
 )
-VALUE = _FLAGS + rf"(?:{_QUOTED}|\S++)"
+# Most values start with neither a quote nor a semicolon: tried first.
+_ANY = rf"""[^\s'";]\S*+|{_QUOTED}|\S++"""
+VALUE = _FLAGS + rf"(?:{_ANY})"
 LEXEME = _FLAGS + rf"""\G(?:{_QUOTED}|#[^\n]*+|[^'"#;_]*\s|\S++)\s*+"""
 # A value or a comment with the white space behind it.
 PIECE = _FLAGS + rf"\G(?:(?>{_QUOTED}|#[^\n]*+|\S++)\s*+)"
@@ -45,7 +47,7 @@ def row_pattern(width: str) -> str:
 
     A row keeps the white space in front of it, so a ``;`` that opens it is still seen to be in column 1 or not.
     """
-    return f"concat({lit(_FLAGS + rf'\G(?:\s*+(?>{_QUOTED}|\S++)){{1,')}, {width}, '}}+')"
+    return f"concat({lit(_FLAGS + rf'\G(?:\s*+(?>{_ANY})){{1,')}, {width}, '}}+')"
 
 
 def all_of(text: str, pattern: str) -> str:

@@ -140,3 +140,15 @@ def test_filters_stay_above_one_parse(source):
     plan = scanned._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all(row#") == 1
     assert rows(scanned, "id") == [("1",)]
+
+
+def test_a_large_loop_and_a_long_text_field(spark):
+    """Neither the length of a loop nor of a text field costs stack."""
+    lines = "transform(sequence(1, 60000), i -> concat(i, ' C', i % 7, CASE WHEN i % 3 = 0 THEN '\\'' ELSE '' END, ' \"O5\\' b\"'))"
+    field = "repeat('text _x loop_ \\' #\\n', 100000)"
+    content = f"concat('data_b\\nloop_\\n_a.id\\n_a.name\\n_a.q\\n', array_join({lines}, '\\n'), '\\n_t.x\\n;', {field}, '\\n;\\n_u.id 7\\n')"
+    src = spark.range(1).selectExpr("0 AS file_ord", "'big' AS path", f"{content} AS content")
+    got = read.scan(src, "a", column_source="files").agg(F.count("*"), F.sum(F.col("id").cast("long")), F.max("q"), F.max("name"))
+    assert tuple(got.first()) == (60000, 1800030000, "O5' b", "C6'")
+    assert read.scan(src, "t", column_source="files").select(F.length("x")).first()[0] == 100_000 * len("text _x loop_ ' #\n")
+    assert rows(read.scan(src, "u", column_source="files"), "id") == [("7",)]
