@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from cif_lake.llm import decontaminate
+from cif_lake.llm import bpe, decontaminate, simhash
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1,
+    "op3_byte_bpe": bpe.op3,
+    "op4_simhash": simhash.op4,
 }
 ORACLES: dict[str, str] = {}
