@@ -268,11 +268,16 @@ class Tokenizer:
         return documents.withColumn(name, arrow_function(run, "binary")(ids))
 
 
-def op3(spark, sf_dir: str) -> DataFrame:
-    """Ids of every document, and what they decode to."""
+def public_tokenizer(spark: SparkSession, name: str = "byte_bpe_50k.tiktoken") -> Tokenizer:
+    """By a rank file of the installed public vocabularies."""
     import public_tokenizers
 
-    tokenizer = Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return Tokenizer(spark, public_tokenizers.path(name), public_tokenizers.PATTERN)
+
+
+def op3(spark, sf_dir: str) -> DataFrame:
+    """Ids of every document, and what they decode to."""
+    tokenizer = public_tokenizer(spark)
     both = tokenizer.decode(tokenizer.encode(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"))
     return both.select(
         "doc_id",

@@ -221,3 +221,26 @@ def op1(spark, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "leaks.items").cast("binary"), 256).alias("items_sha256"),
         (F.size("leaks.spans") > 0).alias("contaminated"),
     )
+
+
+#: op1 in DuckDB's SQL: all windows spelled out and joined by text.
+OP1_SQL = r"""
+WITH doc AS (
+  SELECT doc_id, rowid_ AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM (SELECT *, row_number() OVER () AS rowid_ FROM documents)
+), item AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS l, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS t
+  FROM item, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS u(i) WHERE len(w) > 0
+), seen AS (
+  SELECT r, l, i, array_to_string(w[i:i + l - 1], ' ') AS t
+  FROM doc, (SELECT DISTINCT l FROM windows), unnest(range(1, len(w) - l + 2)) AS u(i) WHERE len(w) >= l
+), hits AS (SELECT r, l, i, item_id FROM seen JOIN windows USING (l, t)),
+marked AS (SELECT r, count(DISTINCT i + k) AS n FROM hits, unnest(range(0, l)) AS u(k) GROUP BY r),
+listed AS (SELECT r, count(*) AS n, string_agg(x, ',' ORDER BY x) AS s FROM (SELECT DISTINCT r, item_id::VARCHAR AS x FROM hits WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(marked.n, 0)::BIGINT AS n_hit, coalesce(listed.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256, marked.n IS NOT NULL AS contaminated
+FROM doc LEFT JOIN marked USING (r) LEFT JOIN listed USING (r)
+"""
