@@ -48,10 +48,10 @@ def _sections(src: DataFrame) -> DataFrame:
 
 
 def _regions(sections: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Edited categories: ``path, block_ord, category, is_loop, items, start, width, segs, lead, tail, eol``.
+    """Edited categories: ``path, block_ord, category, is_loop, items, start, width, segs, lead, tail, eol, missing``.
 
     ``segs`` are the rows of a loop (each with the comments in front of it) or the items of a key-value category;
-    ``lead`` is the last header tag of a loop, ``tail`` what follows its last row.
+    ``lead`` is the last header tag of a loop, ``tail`` what follows its last row, ``missing`` how many values that row lacks.
     """
     framed = sections.selectExpr("0 AS file_ord", "path", "block_ord", "block_name", "lex")
     found = read.located(framed, None)
@@ -65,11 +65,13 @@ def _regions(sections: DataFrame, wanted: DataFrame) -> DataFrame:
         f"'parts', CASE WHEN r.is_loop THEN array(element_at(lex, {last}.p), {body}) ELSE {items} END)"
     )
     regions = read.unroll(found, _KEYS, F.expr(f"transform(recs, r -> {one})"), "r").select(*_KEYS, "r.*")
-    regions = regions.join(wanted.select(*_REGION).distinct(), _REGION, "left_semi")
+    regions = regions.join(wanted, ["path", "category"], "left_semi")
     rows = g.all_of("get(parts, 1)", f"concat({g.lit(g.ROW_WITH_COMMENTS[0])}, size(items), {g.lit(g.ROW_WITH_COMMENTS[1])})")
     regions = regions.selectExpr("*", f"CASE WHEN is_loop THEN {rows} ELSE parts END AS segs")
+    had = f"size(filter({g.pieces('element_at(segs, -1)')}, x -> NOT {g.is_comment('x')}))"
     return regions.selectExpr(
         *_REGION, "spelling", "is_loop", "items", "start", "width", "segs",
+        f"CASE WHEN is_loop AND size(segs) > 0 THEN size(items) - {had} ELSE 0 END AS missing",
         "CASE WHEN is_loop THEN get(parts, 0) ELSE '' END AS lead",
         "CASE WHEN is_loop THEN substring(get(parts, 1), length(array_join(segs, '')) + 1) ELSE '' END AS tail",
         "CASE WHEN contains(array_join(parts, ''), '\\r\\n') THEN '\\r\\n' ELSE '\\n' END AS eol",
@@ -213,8 +215,73 @@ def _patched_regions(regions: DataFrame, edits: DataFrame) -> DataFrame:
     return joined.selectExpr(*_REGION, "start", "width", f"CASE WHEN gone THEN {clean} ELSE text END AS text")
 
 
+def _fault() -> str:
+    """What is wrong with an edit that was joined with its block and its category; NULL if nothing is."""
+    cell = "op IN ('update', 'insert')"
+    rules = [
+        ("op IS NULL OR op NOT IN ('update', 'delete', 'insert')", "concat('unknown operation ', coalesce(op, 'NULL'))"),
+        ("NOT in_src", "'no such file'"),
+        ("block_ord IS NULL", "concat('no block ', coalesce(want, 'at all'))"),
+        ("blocks > 1", "concat('block ', want, ' is ambiguous')"),
+        ("items IS NULL", "concat('category ', coalesce(category, 'NULL'), ' is not in the block')"),
+        ("row_id IS NULL", "'an edit without a row_id'"),
+        (f"{cell} AND item IS NULL", "'a cell without an item'"),
+        (f"{cell} AND NOT array_contains(transform(items, i -> lower(i)), lower(item))", "concat('no item ', item, ' in ', category)"),
+        ("op <> 'insert' AND (row_id < 0 OR row_id >= n_rows)", "concat('no row ', row_id, ' in ', category)"),
+        ("op <> 'insert' AND deletes > 0 AND (updates > 0 OR deletes > 1)", "concat('two operations on row ', row_id, ' of ', category)"),
+        (f"{cell} AND same > 1", "concat('two values for ', item, ' in row ', row_id, ' of ', category)"),
+    ]
+    return "CASE " + " ".join(f"WHEN {test} THEN {text}" for test, text in rules) + " END"
+
+
+def _checked(edits: DataFrame, src: DataFrame, sections: DataFrame, regions: DataFrame) -> DataFrame:
+    """Every edit with the block it is for; the first one that has no place, or a rival, stops the job.
+
+    ``pads`` marks edits that need all cells of a cut-short last row to be there.
+    """
+    edits = edits.withColumn("want", F.lower("block_name")).drop("block_name")
+    files = src.select("path").distinct().withColumn("found", F.lit(True))
+    edits = edits.join(files, "path", "left").withColumn("in_src", F.coalesce("found", F.lit(False))).drop("found")
+    named = sections.filter(F.col("block_ord") >= 0).select("path", "block_ord", F.lower("block_name").alias("bname"))
+    first = named.filter("block_ord = 0").select("path", "block_ord", F.lit(None).cast("string").alias("bname"), F.lit(1).cast("bigint").alias("blocks"))
+    by_name = named.filter("bname IS NOT NULL").groupBy("path", "bname").agg(F.min("block_ord").alias("block_ord"), F.count("*").alias("blocks"))
+    where = first.unionByName(by_name).withColumnsRenamed({"path": "bpath", "bname": "bwant"})
+    placed = edits.join(where, (F.col("path") == F.col("bpath")) & F.col("want").eqNullSafe(F.col("bwant")), "left").drop("bpath", "bwant")
+    shape = regions.selectExpr(*_REGION, "items", "CASE WHEN is_loop THEN size(segs) ELSE 1 END AS n_rows", "is_loop", "missing")
+    placed = placed.join(shape, _REGION, "left")
+    of_row = ["path", "want", "category", "row_id"]
+    rivals = placed.groupBy(*of_row).agg(F.count_if(F.col("op") == "update").alias("updates"), F.count_if(F.col("op") == "delete").alias("deletes"))
+    twins = placed.groupBy(*of_row, "op", F.lower("item").alias("key")).agg(F.count("*").alias("same"))
+    same = lambda left, right, on: left.join(right.withColumnsRenamed({c: f"_{c}" for c in on}), [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in on], "left").drop(*[f"_{c}" for c in on])
+    placed = same(placed, rivals, of_row)
+    placed = same(placed.withColumn("key", F.lower("item")), twins, [*of_row, "op", "key"]).drop("key")
+    error = f"CAST(raise_error(concat('cannot apply an edit to ', coalesce(path, 'NULL'), ': ', {_fault()})) AS boolean)"
+    placed = placed.filter(f"CASE WHEN {_fault()} IS NULL THEN true ELSE {error} END")
+    cut = "array_position(transform(items, i -> lower(i)), lower(item)) > size(items) - missing"
+    pads = f"is_loop AND missing > 0 AND (op = 'insert' OR (op = 'update' AND row_id = n_rows - 1 AND {cut}))"
+    return placed.selectExpr("path", "block_ord", "category", "op", "row_id", "item", "value", f"{pads} AS pads")
+
+
+def _filled(regions: DataFrame, edits: DataFrame) -> DataFrame:
+    """Regions whose cut-short last row gets a ``?`` for each missing value, where an edit needs it."""
+    needed = edits.filter("pads").select(*_REGION).distinct().withColumn("fill", F.lit(True))
+    last = "element_at(segs, -1)"
+    at = f"array_max(transform({g.pieces(last)}, (x, i) -> CASE WHEN NOT {g.is_comment('x')} THEN i END))"
+    blank = f"regexp_extract(x, {g.lit(r'(?s)(\s*)\z')}, 1)"
+    full = f"concat(substring(x, 1, length(x) - length({blank})), repeat(' ?', missing), {blank})"
+    row = f"array_join(transform({g.pieces(last)}, (x, i) -> CASE WHEN i = {at} THEN {full} ELSE x END), '')"
+    joined = regions.join(needed, _REGION, "left")
+    segs = f"CASE WHEN fill THEN concat(slice(segs, 1, size(segs) - 1), array({row})) ELSE segs END AS segs"
+    return joined.selectExpr(*[c for c in regions.columns if c not in ("segs", "missing")], segs)
+
+
 def patch_files(src: DataFrame, edits: DataFrame) -> DataFrame:
-    """Source frame of the edited files; files without edits are not in it."""
+    """Source frame of the edited files; files without edits are not in it.
+
+    An edit that has no place stops the job: an unknown file, block, category, item or row, two values for one cell, a row that
+    is deleted and edited or deleted twice. Where a loop ends in the middle of a row, an edit of its missing cells or a new
+    row behind it fills the row with ``?`` first.
+    """
     # Edits, lexemes and edited categories are each used several times: computed once, kept in the checkpoint folder.
     use_checkpoints(src.sparkSession)
     edits = edits.withColumn("category", F.lower("category")).checkpoint()
@@ -222,20 +289,11 @@ def patch_files(src: DataFrame, edits: DataFrame) -> DataFrame:
     error = "CAST(raise_error(concat('NUL byte in ', path)) AS boolean)"
     touched = touched.filter(f"CASE WHEN contains(content, {g.lit(GONE)}) THEN {error} ELSE true END")
     sections = _sections(touched).checkpoint()
-    named = sections.filter(F.col("block_ord") >= 0).select("path", "block_ord", F.lower("block_name").alias("bname"))
-    wanted = edits.withColumn("want", F.lower("block_name")).drop("block_name")
-    wanted = wanted.join(named, "path").filter(
-        F.when(F.col("want").isNull(), F.col("block_ord") == 0).otherwise(F.col("bname") == F.col("want"))
-    ).drop("want", "bname")
-    regions = _regions(sections, wanted).checkpoint()
+    regions = _regions(sections, edits.select("path", "category").distinct()).checkpoint()
+    wanted = _checked(edits, src, sections, regions).checkpoint()
+    regions = _filled(regions.join(wanted.select(*_REGION).distinct(), _REGION, "left_semi"), wanted)
     new = _patched_regions(regions, wanted)
-    # Every edit must have met a category, or it would be lost.
-    missing = wanted.select(*_REGION).distinct().join(regions.select(*_REGION), _REGION, "left_anti")
-    fail = missing.select(
-        *_KEYS, F.lit(0).alias("start"), F.lit(0).alias("width"),
-        F.raise_error(F.concat(F.lit("category '"), "category", F.lit("' is not in "), "path")).cast("string").alias("text"),
-    )
-    patches = new.drop("category").unionByName(fail).groupBy(*_KEYS).agg(
+    patches = new.drop("category").groupBy(*_KEYS).agg(
         F.array_sort(F.collect_list(F.struct("start", "width", "text"))).alias("patches")
     )
     pieces = sections.join(patches, _KEYS, "left")

@@ -78,45 +78,42 @@ def patch_delete(spark, sf):
     return numbered(read.scan(out, "atom_site", columns=["id"], row_id=True).drop("file_ord", "block_ord"))
 
 
+def _texts(patched):
+    """Whole texts of patched files."""
+    return patched.select("path", F.decode("content", "UTF-8").alias("text"))
+
+
 @query(
-    """SELECT 'O' || o_orderkey AS id, 'REFMAC|' || CASE WHEN o_orderkey % 11 = 0 THEN 'AlphaFold' ELSE 'Coot 1' END || '|it''s new' AS software FROM orders"""
+    f"""WITH {corpus.ENTRY_PARTS_SQL} SELECT 'entries/' || k || '.cif' AS path, head || title || method || refine || price || refine_end || status || status_end
+    || software || '3 "it''s new"' || nl || software_end AS text FROM entry_parts"""
 )
 def patch_insert(spark, sf):
+    """A new row in a loop of every file; all other bytes stay."""
     src = corpus.entries(spark, sf)
     new = src.select("path", F.lit(0).alias("row_id"), F.lit("3").alias("pdbx_ordinal"), F.lit("it's new").alias("name"))
-    out = patch.patch_files(src, patch.edits_of(new, "software", "insert", ["pdbx_ordinal", "name"]))
-    named = read.scan(out, "software", columns=["name"], row_id=True).groupBy("filename").agg(
-        F.array_sort(F.collect_list(F.struct("row_id", "name"))).alias("s")
-    )
-    listed = F.array_join(F.transform("s", lambda x: x["name"]), "|")
-    return read.scan(out, "entry").join(named, "filename").select("id", listed.alias("software"))
+    return _texts(patch.patch_files(src, patch.edits_of(new, "software", "insert", ["pdbx_ordinal", "name"])))
 
 
 @query(
-    """SELECT o_orderkey AS key, CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice + 1 END AS resolution,
-    CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey % 2 = 1 THEN CAST(o_orderdate AS DATE) END AS day,
-    'changed' || chr(10) || 'order ' || o_orderkey AS title FROM orders"""
+    f"""WITH {corpus.ENTRY_PARTS_SQL} SELECT 'entries/' || k || '.cif' AS path, head || ';changed' || nl || 'order ' || k || nl || ';' || nl || method || refine
+    || CASE WHEN price <> '' THEN CAST(o_totalprice + 1 AS VARCHAR) ELSE '' END || refine_end || CASE WHEN k % 2 = 0 THEN '' ELSE status END || status_end
+    || software || software_end AS text FROM entry_parts"""
 )
 def patch_files(spark, sf):
-    """Updates, deletes and text fields in several categories of every file, as one unit."""
+    """Updates, deletes and text fields in several categories of every file, as one unit; all other bytes stay."""
     src = corpus.entries(spark, sf)
-    zero = F.lit(0).alias("row_id")
-    refine = _path(read.scan(src, "refine", columns=["ls_d_res_high"])).select("path", zero, (F.col("ls_d_res_high") + 1).alias("ls_d_res_high"))
+    wanted = {"refine": ["ls_d_res_high"], "pdbx_database_status": ["entry_id"]}
+    many = _path(read.scan_many(src, wanted)).withColumn("row_id", F.lit(0))
+    refine = many.filter("category = 'refine'").select("path", "row_id", (F.col("refine.ls_d_res_high") + 1).alias("ls_d_res_high"))
     key = F.regexp_extract("path", r"(\d+)\.cif$", 1).cast("bigint")
-    dated = _path(read.scan(src, "pdbx_database_status", columns=["status_code"])).filter(key % 2 == 0).select("path", zero)
-    titles = src.select("path", zero, F.concat(F.lit("changed\norder "), key.cast("string")).alias("title"))
+    dated = many.filter("category = 'pdbx_database_status'").filter(key % 2 == 0).select("path", "row_id")
+    titles = src.select("path", F.lit(0).alias("row_id"), F.concat(F.lit("changed\norder "), key.cast("string")).alias("title"))
     edits = patch.union_edits(
         patch.edits_of(refine, "refine", "update", ["ls_d_res_high"]),
         patch.edits_of(dated, "pdbx_database_status", "delete", []),
         patch.edits_of(titles, "struct", "update", ["title"]),
     )
-    out = patch.patch_files(src, edits)
-    status = read.scan(out, "pdbx_database_status", columns=["recvd_initial_deposition_date"])
-    joined = read.scan(out, "struct", columns=["title"]).join(read.scan(out, "refine", columns=["ls_d_res_high"]), "filename", "left")
-    return joined.join(status, "filename", "left").select(
-        F.regexp_extract("filename", r"(\d+)\.cif$", 1).cast("bigint").alias("key"), F.col("ls_d_res_high").alias("resolution"),
-        F.to_date("recvd_initial_deposition_date").alias("day"), "title",
-    )
+    return _texts(patch.patch_files(src, edits))
 
 
 @query(

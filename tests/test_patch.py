@@ -1,166 +1,158 @@
-"""Write-back: the expected bytes of whole files, all cases patched in one job."""
+"""Write-back. Each case states one rule; the texts of all cases are patched in one job and compared byte by byte."""
 
 import pytest
 
 from cif_lake.operators import patch
+from cif_lake.sources import read
 
-PLAIN = "# top\ndata_test\n#\nloop_\n_atom.id\n_atom.name\n1 alpha\n2 beta\n# trailing\n"
-SHARED = "data_t\nloop_\n_c.x\n_c.y\n  1 2 3 4\n5 6\n"
-SHEAD = "data_t\nloop_\n_c.x\n_c.y\n"
-CRLF = "# top\r\ndata_t\r\nloop_\r\n_atom.id\r\n_atom.name\r\n1 alpha\r\n2 beta\r\n"
+EDITS = "path string, block_name string, category string, op string, row_id long, item string, value string"
 
+# A shop, not a molecule: a key-value category, a loop, and comments in all places.
+SHOP = (
+    "# written by hand\ndata_shop\n_owner.name 'Ada B.'   # since May\n_owner.since 1999\n\nloop_\n_stock.code\n_stock.label\n_stock.price\n"
+    "a1 tea 2.50\nb2   'green tea' 3\n# seasonal\nc3 \"mum's mix\" 4\n#\n"
+)
+HEAD = "data_q\nloop_\n_q.a\n_q.b\n"
 
-def up(category, row, item, value, block=None):
+
+def change(category, row, item, value, block=None):
     return (block, category, "update", row, item, value)
 
 
-def rm(category, *rows, block=None):
-    return [(block, category, "delete", r, None, None) for r in rows]
+def drop(category, *rows, block=None):
+    return [(block, category, "delete", row, None, None) for row in rows]
 
 
-def add(category, row, block=None, **cells):
+def new(category, row, block=None, **cells):
     return [(block, category, "insert", row, item, value) for item, value in cells.items()]
 
 
-# name: (text, edits, expected)
-CASES = {
-    "update": (PLAIN, [up("atom", 0, "name", "ALPHA")], PLAIN.replace("alpha", "ALPHA")),
-    "update case": (PLAIN, [up("ATOM", 0, "NAME", "ALPHA")], PLAIN.replace("alpha", "ALPHA")),
-    "delete": (PLAIN, rm("atom", 0), PLAIN.replace("1 alpha\n", "")),
-    "shared first": (SHARED, rm("c", 0), SHEAD + "  3 4\n5 6\n"),
-    "shared last": (SHARED, rm("c", 1), SHEAD + "  1 2\n5 6\n"),
-    "shared both": (SHARED, rm("c", 0, 1), SHEAD + "5 6\n"),
-    "shared span": (SHARED, rm("c", 1, 2), SHEAD + "  1 2\n"),
-    "shared all": (SHARED, rm("c", 0, 1, 2), SHEAD),
-    "comment kept": ("data_t\nloop_\n_c.x\nA\n# about B\nB\nC\n", rm("c", 0, 1), "data_t\nloop_\n_c.x\n# about B\nC\n"),
-    "pairs gone": (
-        "data_t\n#\n_entry.title\n;a long\ntitle\n;\n_entry.id B\n#\n_x.y 1\n",
-        rm("entry", 0),
-        "data_t\n#\n#\n_x.y 1\n",
-    ),
-    "insert shared": (
-        "data_t\nloop_\n_c.x\n_c.y\n1 2 3 4\n# end\n",
-        add("c", 0, x="5", y="6"),
-        "data_t\nloop_\n_c.x\n_c.y\n1 2 3 4\n5 6\n# end\n",
-    ),
-    "insert eof": (SHEAD + "1 2", add("c", 0, x="3", y="4"), SHEAD + "1 2\n3 4\n"),
-    "insert eof, first row gone": (SHEAD + "1 2", [*add("c", 0, x="3", y="4"), *rm("c", 0)], SHEAD + "3 4\n"),
-    "delete eof": (SHEAD + "1 2", rm("c", 0), SHEAD[:-1]),
-    "insert": (PLAIN, add("atom", 0, id="3", name="gamma"), PLAIN.replace("2 beta\n", "2 beta\n3 gamma\n")),
-    "insert part": (PLAIN, add("atom", 0, id="3"), PLAIN.replace("2 beta\n", "2 beta\n3 ?\n")),
-    "text field": (
-        PLAIN,
-        [up("atom", 0, "name", "line one\nline two")],
-        PLAIN.replace("1 alpha\n", "1 \n;line one\nline two\n;\n"),
-    ),
-    "text field mid row": (
-        "data_t\nloop_\n_c.x\n_c.y\n_c.z\n1 a 2\n",
-        [up("c", 0, "y", "both ' and \""), *add("c", 0, x="3", y="x\ny", z="4")],
-        "data_t\nloop_\n_c.x\n_c.y\n_c.z\n1 \n;both ' and \"\n;\n 2\n3\n;x\ny\n;\n4\n",
-    ),
-    "quotes": (
-        PLAIN,
-        [up("atom", 0, "name", "H5'1"), up("atom", 1, "name", 'a"b')],
-        PLAIN.replace("alpha", "\"H5'1\"").replace("beta", "'a\"b'"),
-    ),
-    "blocks": (
-        "# preamble\ndata_A\nloop_\n_a.id\n_a.v\n1 one\n# between\ndata_B\n_a.id 9\n_a.v 'second value'\n",
-        [up("a", 0, "v", "ONE")],
-        "# preamble\ndata_A\nloop_\n_a.id\n_a.v\n1 ONE\n# between\ndata_B\n_a.id 9\n_a.v 'second value'\n",
-    ),
-    "second block": (
-        "# preamble\ndata_A\nloop_\n_a.id\n_a.v\n1 one\n# between\ndata_B\n_a.id 9\n_a.v 'second value'\n",
-        [up("a", 0, "v", "x", block="b")],
-        "# preamble\ndata_A\nloop_\n_a.id\n_a.v\n1 one\n# between\ndata_B\n_a.id 9\n_a.v x\n",
-    ),
-    "crlf": (CRLF, [up("atom", 0, "name", "ALPHA")], CRLF.replace("alpha", "ALPHA")),
-    "crlf field": (
-        CRLF,
-        [up("atom", 1, "name", "both 'quotes' and \"quotes\"")],
-        CRLF.replace("2 beta\r\n", "2 \r\n;both 'quotes' and \"quotes\"\r\n;\r\n"),
-    ),
-    "promote": (
-        "data_t\n_entry.id original\n\n# keep\n_entry.note\n;long\nnote\n;\n_entry.empty\n",
-        [up("entry", 0, "id", "updated"), *add("entry", 0, id="added", note="new note", empty="present")],
-        "data_t\nloop_\n_entry.id\n_entry.note\n_entry.empty\n updated\n\n# keep\n;long\nnote\n;\n ?\nadded 'new note' present\n",
-    ),
-    "replace pairs by one row": (
-        "data_t\n_e.id a\n_e.n b\n",
-        [*rm("e", 0), *add("e", 0, id="c", n="d e")],
-        "data_t\n_e.id c\n_e.n 'd e'\n",
-    ),
-    "replace pairs by two rows": (
-        "data_t\n_e.id a\n_e.n b\n",
-        [*rm("e", 0), *add("e", 0, id="c", n="d"), *add("e", 1, id="f", n="g")],
-        "data_t\nloop_\n_e.id\n_e.n\nc d\nf g\n",
-    ),
-    "fill missing": ("data_t\n_e.id\n_e.n b\n", [up("e", 0, "id", "x y")], "data_t\n_e.id 'x y'\n_e.n b\n"),
-    "empty loop": (
-        "data_t\nloop_\n_e.id\n# keep\nloop_\n_o.id\nx\n",
-        add("e", 0, id="new"),
-        "data_t\nloop_\n_e.id\n# keep\nnew\nloop_\n_o.id\nx\n",
-    ),
-    "tag apart from value": (
-        "data_t\n_entry.id\n# between tag and value\n\noriginal\n_other.id keep\n",
-        rm("entry", 0),
-        "data_t\n# between tag and value\n\n_other.id keep\n",
-    ),
-    "comment inside row": (
-        "data_t\nloop_\n_e.id\n_e.note\nA\n# inside row\nB\nC D\n",
-        rm("e", 0),
-        "data_t\nloop_\n_e.id\n_e.note\n# inside row\nC D\n",
-    ),
-    "comment inside row, crlf": (
-        "data_t\r\nloop_\r\n_e.id\r\n_e.note\r\nA\r\n# inside row\r\nB\r\nC D\r\n",
-        rm("e", 0),
-        "data_t\r\nloop_\r\n_e.id\r\n_e.note\r\n# inside row\r\nC D\r\n",
-    ),
-    "comment inside pairs": (
-        "data_t\n_e.id\n# before value\nA\n# between items\n_e.note\n;body\n# part of value\n;\n_o.id keep\n",
-        rm("e", 0),
-        "data_t\n# before value\n# between items\n_o.id keep\n",
-    ),
-    "same line comment": (
-        SHEAD + "1 2 # note\n# end\n",
-        add("c", 0, x="3", y="4"),
-        SHEAD + "1 2 # note\n3 4\n# end\n",
-    ),
-    "two categories": (
-        "data_t\n_e.id a\nloop_\n_c.x\n1\n2\n#\n_z.z 1\n",
-        [up("e", 0, "id", "b"), up("z", 0, "z", "é"), *rm("c", 1)],
-        "data_t\n_e.id b\nloop_\n_c.x\n1\n#\n_z.z é\n",
-    ),
+# rule: (text, edits, [(old, new), ...]) where the pieces of text that change are named, nothing else may.
+RULES = {
+    "a cell of a loop": (SHOP, [change("stock", 1, "price", "3.20")], [("'green tea' 3\n", "'green tea' 3.20\n")]),
+    "names in any case": (SHOP, [change("STOCK", 0, "Label", "coffee")], [("a1 tea", "a1 coffee")]),
+    "a value that needs quotes": (SHOP, [change("stock", 0, "label", "black tea")], [("a1 tea 2", "a1 'black tea' 2")]),
+    "a value that loses its quotes": (SHOP, [change("stock", 2, "label", "mix")], [('"mum\'s mix"', "mix")]),
+    "a null": (SHOP, [change("stock", 0, "price", None)], [("2.50", "?")]),
+    "text that looks like a null": (SHOP, [change("stock", 0, "label", "?")], [("tea 2.50", "'?' 2.50")]),
+    "a key-value cell before a comment": (SHOP, [change("owner", 0, "name", "Eve")], [("'Ada B.'   # since", "Eve   # since")]),
+    "several cells of a row": (SHOP, [change("stock", 1, "code", "B"), change("stock", 1, "label", "x")], [("b2   'green tea'", "B   x")]),
+    "a first row goes": (SHOP, drop("stock", 0), [("a1 tea 2.50\n", "")]),
+    "a row goes, the comment in front of it stays": (SHOP, drop("stock", 2), [("c3 \"mum's mix\" 4\n", "")]),
+    "all rows go": (SHOP, drop("stock", 0, 1, 2), [("a1 tea 2.50\nb2   'green tea' 3\n", ""), ("c3 \"mum's mix\" 4\n", "")]),
+    "a new last row": (SHOP, new("stock", 0, code="d4", label="ice tea", price="5"), [("mix\" 4\n", "mix\" 4\nd4 'ice tea' 5\n")]),
+    "new rows in their order": (SHOP, [*new("stock", 7, code="z"), *new("stock", 3, code="y")], [("mix\" 4\n", "mix\" 4\ny ? ?\nz ? ?\n")]),
+    "a value of two lines": (SHOP, [change("owner", 0, "since", "one\ntwo")], [("_owner.since 1999\n", "_owner.since \n;one\ntwo\n;\n")]),
+    "a row of a line that others share": ("data_q\nloop_\n_q.a\n_q.b\n 1 2  3 4\n5 6\n", drop("q", 1), [(" 1 2  3 4\n", " 1 2\n")]),
+    "a new row without a line end before it": (HEAD + "1 2", new("q", 0, a="3", b="4"), [("1 2", "1 2\n3 4\n")]),
+    "into a loop without rows": ("data_q\nloop_\n_q.a\n_r.x 1\n", new("q", 0, a="7"), [("_q.a\n", "_q.a\n7\n")]),
+    "a second row makes a loop": (
+        "data_q\n_q.a 1\n_q.b 2\n", new("q", 0, a="3", b="4"), [("_q.a 1\n_q.b 2\n", "loop_\n_q.a\n_q.b\n 1\n 2\n3 4\n")]
+    ),
+    "one row for another": ("data_q\n_q.a 1\n_q.b 2\n", [*drop("q", 0), *new("q", 0, a="8", b="9 9")], [("_q.a 1\n_q.b 2\n", "_q.a 8\n_q.b '9 9'\n")]),
+    "a tag without its value": ("data_q\n_q.a\n_q.b 2\n", [change("q", 0, "a", "v")], [("_q.a\n", "_q.a v\n")]),
+    "line ends of the file": (
+        "data_q\r\nloop_\r\n_q.a\r\n_q.b\r\n1 2\r\n", [change("q", 0, "b", "x\ny"), *new("q", 0, a="5")], [("1 2\r\n", "1 \r\n;x\ny\r\n;\r\n5 ?\r\n")]
+    ),
+    "the first block unless one is named": ("data_u\n_q.a 1\ndata_V\n_q.a 1\n", [change("q", 0, "a", "2")], [("data_u\n_q.a 1", "data_u\n_q.a 2")]),
+    "a named block": ("data_u\n_q.a 1\ndata_V\n_q.a 1\n", [change("q", 0, "a", "2", block="v")], [("data_V\n_q.a 1", "data_V\n_q.a 2")]),
+    "letters beyond ASCII": (SHOP, [change("owner", 0, "since", "größe")], [("1999", "größe")]),
+    "a cut-short row in front of a new one": (HEAD + "1 x\n2\n", new("q", 0, a="3", b="z"), [("2\n", "2 ?\n3 z\n")]),
+    "a missing cell of a cut-short row": (HEAD + "1 x\n2 # end\n", [change("q", 1, "b", "y")], [("2 # end", "2 y # end")]),
+    "another cell of a cut-short row": (HEAD + "1 x\n2\n", [change("q", 1, "a", "9")], [("2\n", "9\n")]),
+    "several values missing": ("data_q\nloop_\n_q.a\n_q.b\n_q.c\n1\n", [change("q", 0, "c", "3")], [("1\n", "1 ? 3\n")]),
 }
 
 
-def edits_frame(spark, edits):
-    return spark.createDataFrame(
-        edits, "path string, block_name string, category string, op string, row_id long, item string, value string"
-    )
+def expected(text, changes):
+    for old, replacement in changes:
+        assert text.count(old) == 1, old
+        text = text.replace(old, replacement)
+    return text
+
+
+def run(spark, source, cases):
+    edits = spark.createDataFrame([(path, *e) for path, (_, es) in cases.items() for e in es], EDITS)
+    out = patch.patch_files(source({path: text for path, (text, _) in cases.items()}), edits).collect()
+    return {r["path"]: bytes(r["content"]).decode() for r in out}
 
 
 @pytest.fixture(scope="module")
 def patched(spark, source):
-    edits = [(name, *e) for name, (_, es, _) in CASES.items() for e in es]
-    src = source({name: text for name, (text, _, _) in CASES.items()})
-    out = patch.patch_files(src, edits_frame(spark, edits)).collect()
-    return {r["path"]: bytes(r["content"]).decode() for r in out}
+    return run(spark, source, {rule: (text, edits) for rule, (text, edits, _) in RULES.items()})
+
+
+@pytest.mark.parametrize("rule", RULES)
+def test_rule(patched, rule):
+    text, _, changes = RULES[rule]
+    assert patched[rule] == expected(text, changes)
+
+
+def test_files_without_edits_are_not_returned(spark, source):
+    cases = {"a": (SHOP, [change("owner", 0, "since", "2000")]), "b": (SHOP, [])}
+    assert list(run(spark, source, cases)) == ["a"]
+
+
+def test_other_bytes_survive(spark):
+    content = b"data_q\n# caf\xe9 \xff\n_q.a 1\n"
+    src = spark.createDataFrame([(0, "f", bytearray(content))], "file_ord int, path string, content binary")
+    out = patch.patch_files(src, spark.createDataFrame([("f", *change("q", 0, "a", "2"))], EDITS)).collect()
+    assert bytes(out[0]["content"]) == content.replace(b"q.a 1", b"q.a 2")
+
+
+FAULTS = {
+    "no such file": [("elsewhere", *change("stock", 0, "price", "1"))],
+    "no block none": [("f", *change("stock", 0, "price", "1", block="none"))],
+    "is not in the block": [("f", *change("nothing", 0, "price", "1"))],
+    "no item colour": [("f", *change("stock", 0, "colour", "red"))],
+    "no item size": [("f", *e) for e in new("stock", 0, code="x", size="9")],
+    "no row 3": [("f", *change("stock", 3, "price", "1"))],
+    "no row 17": [("f", *e) for e in drop("stock", 17)],
+    "no row -1": [("f", *e) for e in drop("stock", -1)],
+    "no row 1 in owner": [("f", *change("owner", 1, "since", "1"))],
+    "without a row_id": [("f", *change("stock", None, "price", "1"))],
+    "without an item": [("f", *change("stock", 0, None, "1"))],
+    "two operations": [("f", *change("stock", 0, "price", "1")), *[("f", *e) for e in drop("stock", 0)]],
+    "two operations on row 1": [("f", *e) for e in drop("stock", 1, 1)],
+    "two values": [("f", *change("stock", 0, "price", "1")), ("f", *change("stock", 0, "PRICE", "2"))],
+    "unknown operation": [("f", None, "stock", "replace", 0, "price", "1")],
+    "cannot write": [("f", *change("stock", 0, "label", "a\n;b"))],
+}
+
+
+@pytest.fixture(scope="module")
+def parsed(spark, source):
+    """Blocks and categories of the shop, cut once for all faults."""
+    src = source({"f": SHOP})
+    sections = patch._sections(patch._latin(src)).checkpoint()
+    wanted = spark.createDataFrame([("f", "stock"), ("f", "owner")], "path string, category string")
+    return src, sections, patch._regions(sections, wanted).checkpoint()
+
+
+@pytest.mark.parametrize("fault", [f for f in FAULTS if f != "cannot write"])
+def test_an_edit_without_a_place_stops_the_job(spark, parsed, fault):
+    """One good edit and the faulty ones: none gets through."""
+    good = ("f", *change("owner", 0, "since", "2001"))
+    with pytest.raises(Exception, match=fault):
+        patch._checked(spark.createDataFrame([good, *FAULTS[fault]], EDITS), *parsed).collect()
 
 
-@pytest.mark.parametrize("name", CASES)
-def test_patch(patched, name):
-    assert patched[name] == CASES[name][2]
+@pytest.mark.parametrize("fault", ["no row 3", "cannot write"])
+def test_nothing_is_written_then(spark, source, fault):
+    with pytest.raises(Exception, match=fault):
+        patch.patch_files(source({"f": SHOP}), spark.createDataFrame(FAULTS[fault], EDITS)).collect()
 
 
-def test_bytes_that_are_not_utf8_survive(spark):
-    src = spark.createDataFrame(
-        [(0, "f", bytearray(b"data_t\n# caf\xe9\n_e.id a\n"))], "file_ord int, path string, content binary"
-    )
-    out = patch.patch_files(src, edits_frame(spark, [("f", *up("e", 0, "id", "b"))])).collect()
-    assert bytes(out[0]["content"]) == b"data_t\n# caf\xe9\n_e.id b\n"
+def test_an_ambiguous_block(spark, source):
+    text = "data_u\n_q.a 1\ndata_U\n_q.a 2\n"
+    with pytest.raises(Exception, match="ambiguous"):
+        patch.patch_files(source({"f": text}), spark.createDataFrame([("f", *change("q", 0, "a", "3", block="u"))], EDITS)).collect()
 
 
-def test_unwritable_value_and_unknown_category_stop_the_job(spark, source):
-    for edit in (up("atom", 0, "name", "ok\n;not ok"), up("none", 0, "name", "x")):
-        with pytest.raises(Exception, match="cannot write|is not in"):
-            patch.patch_files(source(PLAIN), edits_frame(spark, [("f.cif", *edit)])).collect()
+def test_what_is_written_reads_back(spark, source):
+    awkward = ["plain", "two words", "it's", 'say "x"', "both ' and \"", "_tag", "#no comment", "data_x", "loop_", "a\nb", "; semicolon", ".", "?", "é漢"]
+    text = HEAD + "".join(f"{i} v{i}\n" for i in range(len(awkward)))
+    edits = spark.createDataFrame([("f", *change("q", i, "b", v)) for i, v in enumerate(awkward)], EDITS)
+    out = patch.patch_files(source({"f": text}), edits)
+    rows = read.scan(out, "q", column_source="files", filename=False, row_id=True).orderBy("row_id").collect()
+    assert [r["b"] for r in rows] == awkward
