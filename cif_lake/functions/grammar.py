@@ -72,8 +72,9 @@ def is_comment(lexeme: str) -> str:
 
 
 def without_comments(text_lexemes: str) -> str:
-    """Join lexemes to text, each comment replaced by the line end that closed it."""
-    return f"array_join(transform({text_lexemes}, wc -> CASE WHEN startswith(wc, '#') THEN '\\n' ELSE wc END), '')"
+    """Join lexemes to text, each comment cut back to the white space behind it: a blank there keeps a ``;`` out of column 1."""
+    rest = f"regexp_replace(wc, {lit('^#[^' + chr(10) + ']*')}, '')"
+    return f"array_join(transform({text_lexemes}, wc -> CASE WHEN startswith(wc, '#') THEN {rest} ELSE wc END), '')"
 
 
 def block_starts(lex: str) -> str:
@@ -140,9 +141,20 @@ def typed(value: str, dtype: str, where: str, on_malformed: str = "error") -> st
     """
     if dtype == "string":
         return value
+    # Spark also takes suffixes (1.5d), hexadecimal floats and words; a number of a file is digits, a point and an exponent.
+    number = f"trim({value}) RLIKE {lit(r'^[+-]?(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:[eE][+-]?[0-9]+)?$')}"
     if dtype == "bigint":
-        whole = f"CAST(CAST(round(try_cast({value} AS decimal(38,10))) AS decimal(38,0)) AS bigint)"
-        cast = f"coalesce(try_cast({value} AS bigint), {whole})"
+        # Digits far behind the point are cut, not rounded: they must not carry into the first one, which decides.
+        far = lit(r"^([^eE]*[.][0-9]{18})[0-9]+$")
+        cut = f"regexp_replace(trim({value}), {far}, '$1')"
+        wide = f"try_cast({cut} AS decimal(38,18))"
+        half = f"try_cast(round({wide}) AS decimal(38,0))"
+        cast = f"CASE WHEN {number} THEN coalesce(try_cast(trim({value}) AS bigint), try_cast({half} AS bigint)) END"
+    elif dtype == "double":
+        word = f"lower(trim({value})) RLIKE '^(?:nan|[+-]?inf(?:inity)?)$'"
+        real = f"try_cast(trim({value}) AS double)"
+        # Digits that overflow are malformed; infinity has to be written as such.
+        cast = f"CASE WHEN {word} THEN {real} WHEN {number} AND abs({real}) < double('infinity') THEN {real} END"
     else:
         cast = f"try_cast({value} AS {dtype})"
     if on_malformed == "null":

@@ -85,7 +85,7 @@ def source(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     frames = []
     for pattern in patterns:
         frame = _load(spark, pattern)
-        if "**" in pattern and not frame.inputFiles():
+        if "**" in pattern and frame.select("path").isEmpty():
             raise ValueError(f"no files match {pattern}")
         frames.append(frame)
     return in_order(frames)
@@ -97,10 +97,10 @@ def in_order(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
-def matched_files(spark: SparkSession, paths: str | Sequence[str]) -> int:
-    """How many files the patterns match, a file named twice counted twice."""
+def several_files(spark: SparkSession, paths: str | Sequence[str]) -> bool:
+    """Whether the patterns match more than one file, a file named twice counted twice; two names are looked at, at most."""
     patterns = [paths] if isinstance(paths, str) else list(paths)
-    return sum(len(_load(spark, p).inputFiles()) for p in patterns)
+    return len(patterns) > 1 or _load(spark, patterns[0]).select("path").limit(2).count() > 1
 
 
 @F.pandas_udf(T.BinaryType())
@@ -377,6 +377,62 @@ def typed_rows(
     return values.selectExpr(*out)
 
 
+def scan_many(
+    src: DataFrame,
+    wanted: dict[str, Sequence[str]],
+    dictionary: Dictionary | None = None,
+    *,
+    data_block: str | None = None,
+    filename: bool = True,
+    row_id: bool = False,
+    on_malformed: str = "error",
+) -> DataFrame:
+    """Items of several categories in one pass over the text: the rows of all of them, each with its ``category``.
+
+    There is one struct column for each category, by its name in ``wanted``; it is NULL in the rows of the others. Files with
+    items that the dictionary does not define are rejected, as in ``scan``.
+    """
+    dictionary = dictionary or Dictionary.seed(src.sparkSession)
+    recs = records(blocks(src, data_block), list(wanted)).selectExpr(
+        "*", "lower(category) AS cat", "transform(items, i -> lower(i)) AS lower_items"
+    )
+    allowed, at = "CASE cat", "CASE cat"
+    for category, items in wanted.items():
+        known = dictionary.columns(category)
+        missing = [i for i in items if i.lower() not in {k.lower() for k in known}]
+        if not known or missing:
+            raise ValueError(f"category '{category}' is not in the dictionary" if not known else f"no such items in '{category}': {missing}")
+        key = g.lit(category.lower())
+        allowed += f" WHEN {key} THEN array({', '.join(g.lit(k.lower()) for k in known)})"
+        at += f" WHEN {key} THEN array({', '.join(f'CAST(array_position(lower_items, {g.lit(i.lower())}) AS int) - 1' for i in items)})"
+    unknown = f"array_except(lower_items, {allowed} END)"
+    error = f"raise_error(concat('items of ', category, ' that are not in the dictionary: ', array_join({unknown}, ', '), ' in ', path))"
+    recs = recs.filter(f"CASE WHEN size({unknown}) = 0 THEN true ELSE CAST({error} AS boolean) END")
+    lead = ["file_ord", "path", "block_ord", "cat"]
+    rows = unroll(recs.selectExpr(*lead, f"{at} END AS at", "rows"), [*lead, "at"], "rows", "row_id", "row")
+    # The one-element unroll keeps filters and repeated use above the cut of the row text, as in typed_rows.
+    tokens = unroll(rows, [*lead, "row_id", "at"], F.expr(f"array({g.values('row')})"), "tokens")
+    picked = tokens.selectExpr(*lead, "row_id", "transform(at, n -> get(tokens, n)) AS raw")
+    values = unroll(picked, [*lead, "row_id"], F.expr(f"array(transform(raw, r -> {g.unquote('r')}))"), "v")
+    out = ["cat AS category"]
+    for category, items in wanted.items():
+        cells = []
+        for n, item in enumerate(items):
+            where = f"concat({g.lit(f'{category}.{item} of ')}, path)"
+            cells.append(f"{g.lit(item)}, {g.typed(f'get(v, {n})', dictionary.item_type(category, item), where, on_malformed)}")
+        out.append(f"CASE WHEN cat = {g.lit(category.lower())} THEN named_struct({', '.join(cells)}) END AS `{category}`")
+    if row_id:
+        out += ["file_ord", "block_ord", "CAST(row_id AS bigint) AS row_id"]
+    if filename:
+        out.append("path AS filename")
+    return values.selectExpr(*out)
+
+
+def file_list(src: DataFrame) -> DataFrame:
+    """The files of a source, by ``filename``: those that hold none of a category too."""
+    return src.select(F.col("path").alias("filename"))
+
+
 def unknown_items(src: DataFrame, category: str, dictionary: Dictionary, data_block: str | None = None) -> DataFrame:
     """Items of a category that the dictionary does not define: ``path, item``. A scan would stop at them."""
     found = unroll(headers(blocks(src, data_block), [category]), ["path", "category"], "items", "pos", "item")
@@ -387,7 +443,7 @@ def unknown_items(src: DataFrame, category: str, dictionary: Dictionary, data_bl
 
 def scan_paths(spark: SparkSession, paths: str | Sequence[str], category: str, dictionary=None, **options) -> DataFrame:
     """Scan files; a ``filename`` column is added when more than one file matches."""
-    options.setdefault("filename", matched_files(spark, paths) > 1)
+    options.setdefault("filename", several_files(spark, paths))
     return scan(source(spark, paths), category, dictionary, **options)
 
 
