@@ -25,6 +25,18 @@ def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "le
     return left.join(right, list(keys), how) if keys else left.join(right, how="cross")
 
 
+def _every_file(result: DataFrame, files: DataFrame | None, seen: DataFrame, keys: Sequence[str], zero: Sequence[str] = ()) -> DataFrame:
+    """The result with a row for each file of ``files`` (without it, of the frame that was analysed): counts are 0, sums NULL.
+
+    Without keys all rows are one structure, and the result has its one row already.
+    """
+    if not keys:
+        return result
+    listed = (seen if files is None else files).select(*keys).distinct()
+    out = listed.join(result, list(keys), "left")
+    return out.fillna(0, subset=list(zero)) if zero else out
+
+
 # --- metadata ----------------------------------------------------------------------------------------
 
 
@@ -37,7 +49,7 @@ def entry_summary(
         # A scalar subquery: more than one row of a file is an error.
         one = frame.groupBy(*keys).agg(F.count("*").alias("n"), F.first(column).alias(name))
         return one.filter(
-            F.when(F.col("n") == 1, True).otherwise(
+            F.when(F.col("n") <= 1, True).otherwise(
                 F.raise_error(F.lit(f"more than one row for {column}")).cast("boolean")
             )
         ).drop("n")
@@ -59,14 +71,18 @@ def entry_summary(
     )
 
 
-def residue_count(atoms: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Distinct (chain, sequence number) over polymer atoms; residues without a number are not counted."""
+def residue_count(atoms: DataFrame, keys: Sequence[str] = KEYS, files: DataFrame | None = None) -> DataFrame:
+    """Distinct (chain, sequence number) over polymer atoms; residues without a number are not counted.
+
+    ``files`` lists the files by ``keys``; one without any such residue has 0.
+    """
     residues = (
         atoms.filter((F.col("group_PDB") == "ATOM") & F.col("label_asym_id").isNotNull() & F.col("label_seq_id").isNotNull())
         .select(*keys, "label_asym_id", "label_seq_id")
         .distinct()
     )
-    return residues.groupBy(*keys).agg(F.count("*").alias("total_residues"))
+    counted = residues.groupBy(*keys).agg(F.count("*").alias("total_residues"))
+    return _every_file(counted, files, atoms, keys, ["total_residues"])
 
 
 def label_auth_chains(atoms: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -131,14 +147,20 @@ def chain_metadata(
     )
 
 
-def collection_metadata(entry: DataFrame, refine: DataFrame, status: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Best resolution and first deposition date of every entry of a collection."""
-    ids = entry.groupBy(*keys).agg(F.min("id").alias("id"))
-    resolutions = refine.groupBy(*keys).agg(F.min("ls_d_res_high").alias("resolution"))
-    dates = status.groupBy(*keys).agg(
-        F.min(F.to_date("recvd_initial_deposition_date")).alias("deposit_date")
+def collection_metadata(many: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Best resolution and first deposition date of every entry of a collection.
+
+    ``many`` is one scan of ``entry``, ``refine`` and ``pdbx_database_status`` (``read.scan_many``). A file without an entry has
+    no row.
+    """
+    date = F.to_date("pdbx_database_status.recvd_initial_deposition_date")
+    out = many.groupBy(*keys).agg(
+        F.count_if(F.col("category") == "entry").alias("entries"),
+        F.min("entry.id").alias("id"),
+        F.min("refine.ls_d_res_high").alias("resolution"),
+        F.min(date).alias("deposit_date"),
     )
-    return ids.join(resolutions, list(keys), "left").join(dates, list(keys), "left")
+    return out.filter("entries > 0").drop("entries")
 
 
 # --- secondary structure -------------------------------------------------------------------------------
@@ -148,16 +170,17 @@ def _span() -> Column:
     return F.col("end_label_seq_id").cast("bigint") - F.col("beg_label_seq_id").cast("bigint") + 1
 
 
-def helix_residues(conf: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    return (
-        conf.filter(F.col("conf_type_id") == "HELX_P")
-        .groupBy(*keys)
-        .agg(F.count("*").alias("nr_helices"), F.sum(_span()).alias("nr_helix_residues"))
-    )
+def helix_residues(conf: DataFrame, keys: Sequence[str] = KEYS, files: DataFrame | None = None) -> DataFrame:
+    """Helices and the residues in them; a file without helices has 0 and an empty sum."""
+    helix = F.col("conf_type_id") == "HELX_P"
+    counted = conf.groupBy(*keys).agg(F.count_if(helix).alias("nr_helices"), F.sum(F.when(helix, _span())).alias("nr_helix_residues"))
+    return _every_file(counted, files, conf, keys, ["nr_helices"])
 
 
-def strand_residues(sheet_range: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    return sheet_range.groupBy(*keys).agg(F.count("*").alias("nr_strands"), F.sum(_span()).alias("nr_sheet_residues"))
+def strand_residues(sheet_range: DataFrame, keys: Sequence[str] = KEYS, files: DataFrame | None = None) -> DataFrame:
+    """Strands and the residues in them; a file without strands has 0 and an empty sum."""
+    counted = sheet_range.groupBy(*keys).agg(F.count("*").alias("nr_strands"), F.sum(_span()).alias("nr_sheet_residues"))
+    return _every_file(counted, files, sheet_range, keys, ["nr_strands"])
 
 
 def ss_spans(conf: DataFrame, sheet_range: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -173,13 +196,19 @@ def ss_spans(conf: DataFrame, sheet_range: DataFrame, keys: Sequence[str] = KEYS
     return rows(conf.filter(F.col("conf_type_id") == "HELX_P"), "helix").unionByName(rows(sheet_range, "strand"))
 
 
-def ss_ratios(atoms: DataFrame, conf: DataFrame, sheet_range: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+def ss_ratios(
+    atoms: DataFrame, conf: DataFrame, sheet_range: DataFrame, keys: Sequence[str] = KEYS, files: DataFrame | None = None
+) -> DataFrame:
     """Share of helix and sheet residues; a structure without helices has a NULL sum, as an empty sum does."""
-    out = residue_count(atoms, keys).withColumnRenamed("total_residues", "nr_residues")
+    out = residue_count(atoms, keys, files).withColumnRenamed("total_residues", "nr_residues")
     out = _join(out, helix_residues(conf, keys).drop("nr_helices"), keys)
     out = _join(out, strand_residues(sheet_range, keys).drop("nr_strands"), keys)
-    ratio = lambda n: F.round(F.col(n) / F.col("nr_residues"), 3)
-    return out.select(
+    return _ratios(out, keys)
+
+
+def _ratios(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    ratio = lambda n: F.round(F.try_divide(F.col(n), F.col("nr_residues")), 3)
+    return counts.select(
         *keys,
         "nr_residues",
         "nr_helix_residues",
@@ -189,8 +218,31 @@ def ss_ratios(atoms: DataFrame, conf: DataFrame, sheet_range: DataFrame, keys: S
     )
 
 
+def ss_ratios_of(many: DataFrame, keys: Sequence[str] = KEYS, files: DataFrame | None = None) -> DataFrame:
+    """``ss_ratios`` from one scan of ``atom_site``, ``struct_conf`` and ``struct_sheet_range`` (``read.scan_many``).
+
+    Atoms are reduced to their residues by the first aggregate; the spans pass through it as they are, summed up.
+    """
+    span = lambda c: F.col(f"{c}.end_label_seq_id").cast("bigint") - F.col(f"{c}.beg_label_seq_id").cast("bigint") + 1
+    polymer = F.col("atom_site.group_PDB") == "ATOM"
+    rows = many.select(
+        *keys,
+        F.when(polymer, F.col("atom_site.label_asym_id")).alias("chain"),
+        F.when(polymer, F.col("atom_site.label_seq_id")).alias("number"),
+        F.when(F.col("struct_conf.conf_type_id") == "HELX_P", span("struct_conf")).alias("helix"),
+        F.when(F.col("category") == "struct_sheet_range", span("struct_sheet_range")).alias("sheet"),
+    )
+    residues = rows.groupBy(*keys, "chain", "number").agg(F.sum("helix").alias("helix"), F.sum("sheet").alias("sheet"))
+    counted = residues.groupBy(*keys).agg(
+        F.count_if(F.col("chain").isNotNull() & F.col("number").isNotNull()).alias("nr_residues"),
+        F.sum("helix").alias("nr_helix_residues"),
+        F.sum("sheet").alias("nr_sheet_residues"),
+    )
+    return _ratios(_every_file(counted, files, many, keys, ["nr_residues"]), keys)
+
+
 def ss_filter(ratios: DataFrame, min_helix_residues: int, max_sheet_ratio: float, keys: Sequence[str] = KEYS) -> DataFrame:
-    share = F.col("nr_sheet_residues") / F.col("nr_residues")
+    share = F.try_divide(F.col("nr_sheet_residues"), F.col("nr_residues"))
     return ratios.select(
         *keys, ((F.col("nr_helix_residues") >= min_helix_residues) & (share <= max_sheet_ratio)).alias("passed")
     )
@@ -213,11 +265,13 @@ def confident_residues(atoms: DataFrame, threshold: float = 70, keys: Sequence[s
 
 
 def confidence_pass(
-    atoms: DataFrame, threshold: float = 70, low: int = 200, high: int = 10_000_000, keys: Sequence[str] = KEYS
+    atoms: DataFrame, threshold: float = 70, low: int = 200, high: int = 10_000_000, keys: Sequence[str] = KEYS, files: DataFrame | None = None
 ) -> DataFrame:
+    """Whether the number of residues above the threshold lies in a range; a file without polymer atoms has 0."""
     n = _residue_confidence(atoms, keys).groupBy(*keys).agg(
         F.count_if(F.col("b") > threshold).alias("high_confidence_residues")
     )
+    n = _every_file(n, files, atoms, keys, ["high_confidence_residues"])
     return n.withColumn("passed", F.col("high_confidence_residues").between(low, high))
 
 
