@@ -8,11 +8,22 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def use_checkpoints(spark: SparkSession) -> None:
-    """Use the shared folder the session names; only a session without one (tests) gets its own."""
-    if spark.sparkContext.getCheckpointDir() is None:
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Only a session in one process (``local``, as in tests) gets a folder of its own where none is named.
+    """
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="cif_lake_checkpoint_"))
+        if named is None and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="cif_lake_checkpoint_"))
+    return context.getCheckpointDir()
+
+
+def use_checkpoints(spark: SparkSession) -> None:
+    shared_folder(spark)
 
 
 def numbered(frame: DataFrame, *order: Column | str, name: str = "rn") -> DataFrame:

@@ -1,7 +1,7 @@
 """CIF corpora that Spark derives from tables, in memory, for queries and benchmarks.
 
-Files stay small and their number grows with the tables: they are grouped on ranges of a unique key (at most a few dozen rows
-each), or cut from the scan itself, a batch of rows at a time, so no key can make one of them large.
+Files stay small and their number grows with the tables: they are grouped on ranges of a unique key, so no key can make one of
+them large, and neither the number of cores nor a retried task changes them.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ import gzip
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,13 +24,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(frame: DataFrame) -> DataFrame:
-    """Use all cores when the scan has fewer partitions than there are: parsing costs more than moving the rows.
-
-    A large table has enough partitions and is not shuffled.
-    """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+def spread(frame: DataFrame, key: str) -> DataFrame:
+    """Rows dealt by their key over all shuffle partitions: parsing costs more than moving the rows, at every size."""
+    return frame.repartition(int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
 
 def pick(number: Column, *names: str) -> Column:
@@ -48,23 +43,19 @@ def files(
     return texts.select(F.lit(0).alias("file_ord"), path.alias("path"), text.alias("content"))
 
 
-def batches(frame: DataFrame, category: str, name: str) -> DataFrame:
-    """Source frame with one file per Arrow batch of the scan, every second one gzip; no shuffle."""
-    head = f"data_{name}\n#\n" + render.header(category, frame.columns)
-    lines = frame.select(render.row(frame, frame.columns).alias("line"))
+def zipped(src: DataFrame, where: Column) -> DataFrame:
+    """Source frame of bytes, gzip where the condition holds."""
 
     def pack(parts):
-        task = TaskContext.get().partitionId()
-        for n, part in enumerate(parts):
-            content = (head + "\n".join(part.column(0).to_pylist()) + "\n#\n").encode()
-            path = f"{name}/{task}-{n}.cif"
-            if n % 2:
-                content, path = gzip.compress(content, 1, mtime=0), path + ".gz"
-            yield pa.RecordBatch.from_pydict(
-                {"file_ord": pa.array([0], pa.int32()), "path": [path], "content": pa.array([content], pa.binary())}
-            )
+        for part in parts:
+            paths, contents = [], []
+            for path, content, zip_it in zip(*(part.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
+                paths.append(path + ".gz" if zip_it else path)
+                contents.append(gzip.compress(content, 1, mtime=0) if zip_it else content)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(paths, pa.string()), pa.array(contents, pa.binary())], ["file_ord", "path", "content"])
 
-    return lines.mapInArrow(pack, "file_ord int, path string, content binary")
+    marked = src.select("file_ord", "path", F.col("content").cast("binary"), where.alias("zip_it"))
+    return marked.mapInArrow(pack, "file_ord int, path string, content binary")
 
 
 # --- atoms: embeddings -> atom_site ----------------------------------------------------------------
@@ -152,10 +143,19 @@ def line_dictionary(spark: SparkSession) -> Dictionary:
     return custom_dictionary(spark, "lineitem", LINE_TYPES)
 
 
+#: Orders whose lines make one file: a few hundred rows.
+ORDERS_PER_FILE = 256
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spread(table(spark, sf_dir, "lineitem"))
+    """One file per range of orders, every second one gzip."""
+    li = table(spark, sf_dir, "lineitem")
     ship = F.date_format("l_shipdate", "yyyy-MM-dd").alias("l_shipdate")
-    return batches(li.select(*[ship if c == "l_shipdate" else c for c in LINE_TYPES]), "lineitem", "lines")
+    fkey = F.floor(F.col("l_orderkey") / ORDERS_PER_FILE).alias("fkey")
+    row_id = (F.col("l_orderkey") * 16 + F.col("l_linenumber")).alias("row_id")
+    rows = li.select(fkey, row_id, *[ship if c == "l_shipdate" else c for c in LINE_TYPES])
+    odd = F.regexp_extract("path", r"(\d+)\.cif$", 1).cast("bigint") % 2 == 1
+    return zipped(files({"lineitem": (rows, list(LINE_TYPES))}, "lines", loops=True), odd)
 
 
 # --- documents: text fields ----------------------------------------------------------------------------
@@ -185,7 +185,7 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def entry_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One block text per order: ``o_orderkey, block``."""
-    o = spread(table(spark, sf_dir, "orders"))
+    o = spread(table(spark, sf_dir, "orders"), "o_orderkey")
     key = F.col("o_orderkey")
     code = F.concat(F.lit("O"), key.cast("string"))
     refine = F.when(
@@ -213,6 +213,22 @@ def entry_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("o_orderkey", block.alias("block"))
 
 
+# The same texts for the SQL side, part by part.
+ENTRY_PARTS_SQL = """parts AS (SELECT o_orderkey AS k, 'O' || o_orderkey AS code, chr(10) AS nl, o_totalprice, o_orderdate, o_orderpriority FROM orders),
+entry_parts AS (SELECT k, code, nl, o_totalprice, o_orderdate,
+  'data_' || code || nl || '_entry.id ' || code || nl || '#' || nl || '_struct.title' || nl AS head,
+  ';Order of' || nl || 'data_' || code || nl || ';' || nl AS title,
+  '_exptl.method ''' || o_orderpriority || '''' || nl || '#' || nl AS method,
+  CASE WHEN k % 5 <> 0 THEN '_refine.entry_id ' || code || nl || '_refine.ls_d_res_high ' ELSE '' END AS refine,
+  CASE WHEN k % 5 <> 0 THEN CAST(o_totalprice AS VARCHAR) ELSE '' END AS price,
+  CASE WHEN k % 5 <> 0 THEN nl || '#' || nl ELSE '' END AS refine_end,
+  CASE WHEN k % 7 <> 0 THEN '_pdbx_database_status.entry_id ' || code || nl || '_pdbx_database_status.recvd_initial_deposition_date '
+    || strftime(o_orderdate, '%Y-%m-%d') || nl ELSE '' END AS status,
+  CASE WHEN k % 7 <> 0 THEN '#' || nl ELSE '' END AS status_end,
+  'loop_' || nl || '_software.pdbx_ordinal' || nl || '_software.name' || nl || '1 REFMAC' || nl || '2 '
+    || CASE WHEN k % 11 = 0 THEN 'AlphaFold' ELSE '''Coot 1''' END || nl AS software, '#' || nl AS software_end FROM parts)"""
+
+
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file per order."""
     return entry_blocks(spark, sf_dir).select(
@@ -389,7 +405,7 @@ def models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def two_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file per customer with the blocks ``first`` and ``Second``; words of the format hide in text and comments."""
-    c = spread(table(spark, sf_dir, "customer"))
+    c = spread(table(spark, sf_dir, "customer"), "c_custkey")
     key, name = F.col("c_custkey").cast("string"), F.col("c_name")
     text = F.concat(
         F.lit("# data_comment\ndata_first\n_entry.id "), key, F.lit("\n_struct.title\n;About\ndata_text\nloop_\n;\n"),

@@ -288,7 +288,7 @@ def rel_temp_table(spark, sf):
     return spark.sql("SELECT label_asym_id, count(*) AS n FROM chain_labels GROUP BY label_asym_id")
 
 
-@query()
+@query(A + "SELECT type_symbol, count(*) AS n FROM atoms WHERE type_symbol = 'C' GROUP BY 1")
 def session_variable(spark, sf):
     """A session variable as the argument of a query."""
     spark.sql("DECLARE OR REPLACE VARIABLE wanted_element STRING DEFAULT 'C'")
@@ -369,15 +369,17 @@ def fn_filename(spark, sf):
 
 
 @query(
-    A + """SELECT fkey || '.cif' AS name, CAST(26 + count(*) AS INTEGER) AS lines_in_text, 'data_atoms' AS head FROM atoms GROUP BY fkey"""
+    """SELECT c_custkey || '.cif' AS name, '# data_comment' || nl || 'data_first' || nl || '_entry.id ' || c_custkey || nl || '_struct.title' || nl || ';About' || nl || 'data_text'
+    || nl || 'loop_' || nl || ';' || nl || 'data_Second # _not.a tag' || nl || '_entry.id ''' || c_name || '''' || nl || 'loop_' || nl || '_struct_asym.id' || nl
+    || '_struct_asym.entity_id' || nl || '_struct_asym.details' || nl || 'A 1 ' || c_nationkey || ' # first' || nl || 'B 2 ''' || c_mktsegment || '''' || nl AS text
+    FROM customer, (SELECT chr(10) AS nl)"""
 )
 def read_whole_file(spark, sf):
     """Whole files as text, written by one job and read by the next."""
     folder = write.work_folder(spark)
-    write.write_files(corpus.atoms(spark, sf), folder)
+    write.write_files(corpus.two_blocks(spark, sf), folder)
     t = spark.read.option("recursiveFileLookup", True).text(folder, wholetext=True)
-    n_lines = F.size(F.split("value", "\n")) + 4
-    return t.select(read.file_name(F.col("_metadata.file_path")).alias("name"), n_lines.alias("lines_in_text"), F.substring("value", 1, 10).alias("head"))
+    return t.select(read.file_name(F.col("_metadata.file_path")).alias("name"), F.col("value").alias("text"))
 
 
 @query(A + "SELECT type_symbol, count(*) AS n FROM atoms GROUP BY 1")

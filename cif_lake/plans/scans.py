@@ -122,11 +122,11 @@ _TABLES = """SELECT 'entries/' || o_orderkey || '.cif' AS path, t.* FROM orders,
 
 @query(
     f"""SELECT path, table_name, 'https://mmcif.wwpdb.org/dictionaries/mmcif_pdbx_v50.dic/Categories/' || table_name || '.html' AS comment,
-    CAST(column_count AS BIGINT) AS column_count, is_single_row, category_groups, is_mandatory FROM ({_TABLES})"""
+    CAST(column_count AS BIGINT) AS column_count, is_single_row, CAST(NULL AS VARCHAR) AS description, category_groups, is_mandatory FROM ({_TABLES})"""
 )
 def list_tables(spark, sf):
     out = read.list_tables(corpus.entries(spark, sf), Dictionary.seed(spark))
-    return out.drop("description").withColumn("category_groups", F.array_join("category_groups", ","))
+    return out.withColumn("category_groups", F.array_join("category_groups", ","))
 
 
 _COLUMNS = """SELECT 'entries/' || o_orderkey || '.cif' AS path, t.* FROM orders, (VALUES
@@ -245,22 +245,21 @@ def scan_projected(spark, sf):
     return lines(spark, sf, columns=["l_quantity", "l_orderkey"])
 
 
-@query("SELECT CAST(4 AS BIGINT) AS listed, CAST(4 AS BIGINT) AS opened, CAST(0 AS BIGINT) AS differ FROM (SELECT count(*) FROM customer)")
+@query(
+    """SELECT t.*, true AS listed, true AS opened FROM (VALUES ('entry', 'id', 'string'), ('struct_asym', 'id', 'string'), ('struct_asym', 'entity_id', 'string'),
+    ('struct_asym', 'details', 'string')) t(table_name, column_name, data_type) WHERE (SELECT count(*) FROM customer) > 0"""
+)
 def schema_parity(spark, sf):
-    """The column listing and the opened block agree on names and types, both ways."""
+    """Columns of the listing and of the opened block side by side."""
     src = corpus.two_blocks(spark, sf)
     dictionary = Dictionary.seed(spark)
-    listed = read.list_columns(src, dictionary, "second").select("table_name", "column_name", "data_type").distinct()
-    opened = [
-        (name, field.name, field.dataType.simpleString())
-        for name, frame in read.open_block(src, dictionary, "second").items()
-        if name
-        for field in frame.schema
-    ]
-    opened = spark.createDataFrame(opened, "table_name string, column_name string, data_type string")
-    differ = listed.exceptAll(opened).unionAll(opened.exceptAll(listed))
-    one = lambda frame, name: frame.agg(F.count("*").alias(name))
-    return one(listed, "listed").join(one(opened, "opened")).join(one(differ, "differ"))
+    names = ["table_name", "column_name", "data_type"]
+    listed = read.list_columns(src, dictionary, "second").select(*names).distinct().withColumn("listed", F.lit(True))
+    tables = read.open_block(src, dictionary, "second")
+    opened = [(name, field.name, field.dataType.simpleString(), True) for name, frame in tables.items() if name for field in frame.schema]
+    tables[""].unpersist()
+    opened = spark.createDataFrame(opened, "table_name string, column_name string, data_type string, opened boolean")
+    return listed.join(opened, names, "full").fillna(False, subset=["listed", "opened"])
 
 
 # --- parse jobs ------------------------------------------------------------------------------------------------
@@ -282,13 +281,12 @@ def tokenize_values(spark, sf):
 
 
 @query(
-    """SELECT 'multi/' || (o_orderkey // 32) || '.cif' AS path, 'O' || o_orderkey AS block_name,
-    CAST(20 + (CASE WHEN o_orderkey % 5 <> 0 THEN 3 ELSE 0 END) + (CASE WHEN o_orderkey % 7 <> 0 THEN 3 ELSE 0 END) - 5 AS INTEGER) AS n_lines FROM orders"""
+    f"""WITH {corpus.ENTRY_PARTS_SQL} SELECT 'multi/' || (k // 32) || '.cif' AS path, code AS block_name,
+    head || title || method || refine || price || refine_end || status || status_end || software || software_end AS text FROM entry_parts"""
 )
 def split_blocks(spark, sf):
     """Blocks as texts of their own, to spread a file of many blocks over tasks."""
-    b = read.split_blocks(corpus.multi_entries(spark, sf))
-    return b.select("path", "block_name", (F.size(F.split("text", "\n")) - 1).alias("n_lines"))
+    return read.split_blocks(corpus.multi_entries(spark, sf)).select("path", "block_name", "text")
 
 
 @query(

@@ -533,7 +533,7 @@ def dict_columns(dictionary: Dictionary) -> DataFrame:
 
 
 def write_artifacts(dictionary: Dictionary, directory: str) -> None:
-    """Sorted TSV artifacts, the same bytes for the same input. A dictionary is small enough for one file each."""
+    """TSV artifacts, sorted over their part files: the parts of one artifact, joined by name, are the same for the same input."""
     tables = {
         "types": dictionary.items.select("item", "dtype"),
         "documentation": dictionary.items.select(F.col("item").alias("key"), "url").unionAll(
@@ -544,7 +544,7 @@ def write_artifacts(dictionary: Dictionary, directory: str) -> None:
     }
     for name, table in tables.items():
         lines = table.select(F.concat_ws("\t", *table.columns).alias("line")).orderBy("line")
-        lines.coalesce(1).write.mode("overwrite").text(f"{directory}/{name}")
+        lines.write.mode("overwrite").text(f"{directory}/{name}")
 
 
 def read_artifacts(spark: SparkSession, directory: str) -> Dictionary:

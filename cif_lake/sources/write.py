@@ -4,47 +4,55 @@ from __future__ import annotations
 
 import gzip
 import os
-import tempfile
+import re
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cif_lake.functions import render
+from cif_lake.operators.relational import shared_folder
 
 
 def work_folder(spark: SparkSession) -> str:
-    """A fresh folder below the shared folder the session names; machine-local only where it names none (tests)."""
-    shared = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        return "file://" + tempfile.mkdtemp(prefix="cif_lake_")
-    return f"{shared.rstrip('/')}/cif_lake-{spark.sparkContext.applicationId}-{os.urandom(4).hex()}"
+    """A fresh folder below the shared folder that the session names."""
+    return f"{shared_folder(spark).rstrip('/')}/cif_lake-{spark.sparkContext.applicationId}-{os.urandom(4).hex()}"
 
 
-def write_files(files: DataFrame, directory: str) -> None:
-    """Write one file per row of ``path, content`` below ``directory``, gzip when the name ends in ``.gz``.
+def qualified(spark: SparkSession, directory: str) -> str:
+    """The directory with its scheme: what has none belongs to the default file system, for executors too."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+def write_files(files: DataFrame, directory: str) -> int:
+    """Write one file per row of ``path, content`` below ``directory``, gzip when the name ends in ``.gz``; gives their number.
 
     Each file is written by the task that holds it, under a temporary name that is renamed when complete, so a retried or
     speculative task leaves whole files only. ``path`` is used below the directory, without its scheme.
     """
     name = F.regexp_replace("path", r"^[a-z0-9]+:/*|^/+", "")
     rows = files.select(name.alias("name"), F.col("content").cast("binary").alias("content"))
-
-    def save(part) -> None:
-        from pyarrow import fs
-
-        base, root = fs.FileSystem.from_uri(directory.replace("s3a://", "s3://", 1))
-        for row in part:
-            target = f"{root}/{row['name']}"
-            content = bytes(row["content"])
-            if target.endswith(".gz"):
-                content = gzip.compress(content, mtime=0)
-            base.create_dir(target.rsplit("/", 1)[0], recursive=True)
-            temporary = f"{target}.{os.urandom(4).hex()}.tmp"
-            with base.open_output_stream(temporary) as out:
-                out.write(content)
-            base.move(temporary, target)
-
-    rows.foreachPartition(save)
+    target_folder = re.sub("^s3a://", "s3://", re.sub("^file:/+", "file:///", qualified(files.sparkSession, directory)))
+
+    def save(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base, root = fs.FileSystem.from_uri(target_folder)
+        for part in parts:
+            for row in range(part.num_rows):
+                target = f"{root}/{part.column(0)[row].as_py()}"
+                content = part.column(1)[row].as_py()
+                if target.endswith(".gz"):
+                    content = gzip.compress(content, mtime=0)
+                base.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                temporary = f"{target}.{os.urandom(4).hex()}.tmp"
+                with base.open_output_stream(temporary) as out:
+                    out.write(content)
+                base.move(temporary, target)
+            yield pa.RecordBatch.from_pydict({"n": pa.array([part.num_rows], pa.int64())})
+
+    return rows.mapInArrow(save, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
 def write_block(
