@@ -110,11 +110,13 @@ def isotonic(score: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None)
     """Pool adjacent violators: points ``(score, probability)`` of a rising calibration, for ``calibrated``."""
     score, y = np.asarray(score, float), np.asarray(y, float)
     weight = np.ones(len(y)) if weight is None else np.asarray(weight, float)
-    order = np.argsort(score, kind="stable")
+    # Equal scores are one point.
+    score, group = np.unique(score, return_inverse=True)
+    total, mass = np.bincount(group, y * weight, len(score)), np.bincount(group, weight, len(score))
     blocks: list[list[float]] = []
-    for s, v, w in zip(score[order].tolist(), y[order].tolist(), weight[order].tolist(), strict=True):
-        blocks.append([v * w, w, s, s])
-        while len(blocks) > 1 and (blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1] or blocks[-2][3] == blocks[-1][2]):
+    for s, v, w in zip(score.tolist(), total.tolist(), mass.tolist(), strict=True):
+        blocks.append([v, w, s, s])
+        while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
             last = blocks.pop()
             blocks[-1] = [blocks[-1][0] + last[0], blocks[-1][1] + last[1], blocks[-1][2], last[3]]
     if not blocks:

@@ -3,9 +3,8 @@
 The features are densities of a learned lexicon (in plain words, in words written with digits, signs or gaps), how near its words
 stand to a second person, and rates of capitals, punctuation and obfuscation. Lexicon, trees and calibration are learned from a
 bounded sample of labelled documents (``labelled.TRAIN_ROWS``): the lexicon holds words that occur in ``LEAST`` toxic documents or
-more, and at a share of toxic documents that is ``LIFT`` times that of the others, ``LEXICON`` of them at most, and stems of
-words by the same rule. The calibration is
-fitted on scores from trees that did not see the document.
+more, and at a share of toxic documents that is ``LIFT`` times that of the others, and stems of words by the same rule,
+``LEXICON`` in all at most. The calibration is fitted on scores from trees that did not see the document.
 
 Defined results: a null or empty text has zero features and gets the score of such a text; without labels of both classes every
 score is the share of toxic labels, or one half. Result columns replace input columns of the same name.
@@ -49,8 +48,8 @@ _MARK = list(b".,;:?!'\"-")
 _PLAIN = bytes(b + 32 if _UPPER[b] else b if _LETTER[b] else 32 for b in range(256))
 #: Punctuation beyond ASCII.
 _BEYOND = re.compile(rb"\xc2[\xa0-\xbf]|\xe2[\x80\x81][\x80-\xbf]")
-#: A letter, then signs or digits that may hide one, then a letter; single letters with gaps.
-_HIDDEN = re.compile(r"(?<![^\W_])[^\W\d_]+(?:[@$!*.\-_0-9]+[^\W\d_]+)+|(?<![^\W_])[@$!0-9]+[^\W\d_]+")
+#: Words with signs or digits that may hide letters, in front or between; single letters with gaps.
+_HIDDEN = re.compile(r"(?<![^\W_])[@$!0-9]*[^\W\d_]+(?:[@$!*.\-_0-9]+[^\W\d_]+)*")
 _GAPS = re.compile(r"(?<!\w)[^\W\d_](?:[ .\-_*]{1,2}[^\W\d_]){3,}(?!\w)")
 
 
@@ -65,6 +64,8 @@ def _found_hidden(text: bytes, codes: np.ndarray, tokens: list[bytes], lexicon:
     odd = hidden = 0
     if (sign[:-1] & letter[1:]).any():
         for w in _HIDDEN.findall(text.decode(errors="replace").lower()):
+            if w.isalpha():
+                continue
             plain = {w.translate(STAND_FOR), re.sub(r"[\W\d_]", "", w), re.sub(r"[\W_]", "", w.translate(STAND_FOR))}
             odd += 1
             hidden += any(p.encode() in lexicon for p in plain)
