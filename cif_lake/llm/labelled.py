@@ -34,4 +34,5 @@ def training(documents: DataFrame, sample: DataFrame, features, text: str = "tex
 
     found = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(sample, "doc_id")
     rows = found.select("doc_id", "y", features("text").alias("x")).groupBy("doc_id").agg(F.min("y").alias("y"), F.min("x").alias("x")).orderBy("doc_id").collect()
-    return np.array([r["x"] for r in rows], float).reshape(len(rows), -1), np.array([r["y"] for r in rows], float)
+    x = np.array([r["x"] for r in rows], float) if rows else np.zeros((0, 0))
+    return x, np.array([r["y"] for r in rows], float)

@@ -1,7 +1,7 @@
 """The stages on a small corpus, each against a plain version on its own input."""
 
-import importlib.util
 import random
+import re
 
 import public_tokenizers
 import pytest
@@ -109,9 +109,8 @@ def test_run_gives_the_last_stage(spark, corpus, steps):
 
 def test_registered():
     names = set(registry.queries())
-    assert {"pipeline"} | {n for n in names if n.startswith("op")} >= {"pipeline", "op1_decontaminate", "op10_quality_classifier"}
-    assert sum(n.startswith("op") for n in names) == 10
-    assert importlib.util.find_spec("corpus_pipeline") is not None
+    numbers = sorted(int(m[1]) for m in (re.match(r"op(\d+)_", n) for n in names) if m)
+    assert numbers == list(range(1, 11)) and "pipeline" in names
 
 
 def test_empty_tables(spark, corpus, tmp_path):

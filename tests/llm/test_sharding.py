@@ -37,7 +37,7 @@ def test_shards(spark):
 
 def test_overfull_ranges_are_subdivided(spark, monkeypatch):
     monkeypatch.setattr(sharding, "SAMPLE", 0.5)
-    rows = sharding.records(spark.range(8000).selectExpr("id AS doc_id", "concat('t', if(id % 2 = 0, 'same', id)) AS text")).cache()
+    rows = sharding.records(spark.range(8000).selectExpr("id AS doc_id", "concat('t', if(id % 2 = 0, 'same', string(id))) AS text")).cache()
     total = rows.selectExpr("sum(size * n)").first()[0]
     splitters = sharding._quantiles(sharding._sampled(rows, 0.5 * 32 / total), 32)
     before = rows.withColumn("range", sharding._ranged(splitters)("k1", "k2")).groupBy("range").sum("size").selectExpr("max(`sum(size)`)").first()[0]
