@@ -144,8 +144,8 @@ def keep_chain(
 ) -> dict[str, DataFrame]:
     """Keep one author chain and everything that still belongs to it, in all categories given.
 
-    The label chains and entities of the chain are taken before any row goes. ``strand_rows`` also drops alignments of
-    other strands from ``struct_ref_seq``.
+    The label chains and entities of the chain are taken before any row goes. A strand list that names the chain among
+    others is reduced to it. ``strand_rows`` also drops alignments of other strands from ``struct_ref_seq``.
     """
     out = dict(tables)
     kept = tables["atom_site"].filter(F.col("auth_asym_id") == chain)
@@ -160,6 +160,10 @@ def keep_chain(
         if category in out:
             other = reduce(lambda a, b: a | b, [F.col(c) != chain for c in columns])
             out[category] = delete_rows(out[category], other)
+    if "entity_poly" in out and "pdbx_strand_id" in out["entity_poly"].columns:
+        strands = F.transform(F.split("pdbx_strand_id", ","), F.trim)
+        one = F.when(F.array_contains(strands, chain), F.lit(chain)).otherwise(F.col("pdbx_strand_id"))
+        out["entity_poly"] = out["entity_poly"].withColumn("pdbx_strand_id", one)
     if "struct_asym" in out:
         out["struct_asym"] = keep_in(out["struct_asym"], "id", labels, keys)
     if "pdbx_struct_assembly_gen" in out:
