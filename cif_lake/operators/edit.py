@@ -161,7 +161,7 @@ def keep_chain(
             other = reduce(lambda a, b: a | b, [F.col(c) != chain for c in columns])
             out[category] = delete_rows(out[category], other)
     if "entity_poly" in out and "pdbx_strand_id" in out["entity_poly"].columns:
-        strands = F.transform(F.split("pdbx_strand_id", ","), F.trim)
+        strands = F.transform(F.split("pdbx_strand_id", ","), lambda s: F.trim(s))
         one = F.when(F.array_contains(strands, chain), F.lit(chain)).otherwise(F.col("pdbx_strand_id"))
         out["entity_poly"] = out["entity_poly"].withColumn("pdbx_strand_id", one)
     if "struct_asym" in out:

@@ -51,7 +51,7 @@ def test_links_of_items(source):
 @pytest.mark.parametrize(
     "tail, fault",
     [
-        ("loop_\n_item.name\n_item_type.code\n'_a.b' int '_a.c'\n", "incomplete loop"),
+        ("loop_\n_item_linked.child_name\n_item_linked.parent_name\n'_a.b' '_c.d' '_a.e'\n", "incomplete loop"),
         ("_item.name\n_item_type.code int\n", "missing value"),
         ("_item_description.description \"open\n", "unterminated"),
         ("_item_description.description\n;never closed\n", "unterminated"),
@@ -166,7 +166,7 @@ def test_compiling_writing_and_loading(spark, source, tmp_path):
     meta = {r["category"]: r for r in compiled.category_metadata.collect()}
     assert meta["Entry"]["description"] == "The record" and meta["Entry"]["url"] == "doc/main"
     assert meta["profile"]["is_single_row"] is True and meta["profile"]["url"] == "doc/local"
-    assert pairs(compiled.links(), "parent_table", "child_table") == [("entry", "profile")]
+    assert pairs(compiled.links(), "parent_table", "child_table") == [("Entry", "profile")]
     assert compiled.columns("entry") == ["id"] and compiled.item_type("ENTRY", "Id") == "bigint"
     folder = str(tmp_path / "out")
     d.write_artifacts(compiled, folder)
