@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -45,37 +46,83 @@ def grams(word: str, order: int) -> list[str]:
     return [padded[i : i + order] for i in range(len(padded) - order + 1)]
 
 
-def counts(documents: DataFrame, text: str = "text", lang: str = "lang", order: int = ORDER) -> DataFrame:
-    """``(lang, n, key, count)``: words (n = 0) and n-grams of each language, over all documents."""
+def _rows(language: str | None, n: list[int] | int, found: dict) -> Iterator[pa.RecordBatch]:
+    """Batches of ``(lang, n, key, count)``."""
+    keys, values = list(found), list(found.values())
+    for k in range(0, len(keys), 50_000):
+        some = keys[k : k + 50_000]
+        orders = [n] * len(some) if isinstance(n, int) else [*map(len, some)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([language] * len(some), pa.string()), pa.array(orders, pa.int32()), pa.array(some, pa.string()), pa.array(values[k : k + 50_000], pa.int64())], ["lang", "n", "key", "count"]
+        )
+
+
+_COUNTS = "lang string, n int, key string, count long"
+
+
+def word_counts(documents: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """``(lang, n, key, count)`` of the words (n = 0) of each language, over all documents."""
     ship()
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Counter] = {}
 
         def drain() -> Iterator[pa.RecordBatch]:
             for language, found in held.items():
-                pieces: Counter = Counter()
+                yield from _rows(language, 0, {w: c for w, c in found.items() if len(w) <= LONGEST})
+                # A long word counts by its first characters, for the n-grams only.
+                longer: Counter = Counter()
                 for w, c in found.items():
-                    for n in range(1, order + 1):
-                        for g in grams(w[:LONGEST], n):
-                            pieces[n, g] += c
-                keys = [(0, w, c) for w, c in found.items() if len(w) <= LONGEST] + [(n, g, c) for (n, g), c in pieces.items()]
-                for k in range(0, len(keys), 50_000):
-                    n, key, c = zip(*keys[k : k + 50_000], strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([language] * len(n)), pa.array(n, pa.int32()), pa.array(key), pa.array(c, pa.int64())], ["lang", "n", "key", "count"])
+                    if len(w) > LONGEST:
+                        longer[w[:LONGEST]] += c
+                yield from _rows(language, -1, longer)
             held.clear()
 
-        for batch in batches:
-            for k in range(0, batch.num_rows, SLICE):
-                part = batch.slice(k, SLICE)
-                for t, language in zip(part.column(0).cast(pa.binary()).to_pylist(), part.column(1).to_pylist(), strict=True):
+        for part in parts:
+            for k in range(0, part.num_rows, SLICE):
+                some = part.slice(k, SLICE)
+                for t, language in zip(some.column(0).cast(pa.binary()).to_pylist(), some.column(1).to_pylist(), strict=True):
                     held.setdefault(language, Counter()).update(words(t))
                 if sum(map(len, held.values())) > HELD_COUNTS:
                     yield from drain()
         yield from drain()
 
     rows = documents.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(text, F.col(lang).cast("string").alias(lang))
-    return rows.mapInArrow(count, "lang string, n int, key string, count long").groupBy("lang", "n", "key").agg(F.sum("count").alias("count"))
+    return rows.mapInArrow(count, _COUNTS).groupBy("lang", "n", "key").agg(F.sum("count").alias("count"))
+
+
+def gram_counts(words_counted: DataFrame, order: int = ORDER) -> DataFrame:
+    """``(lang, n, key, count)`` of the n-grams of counted words."""
+    ship()
+
+    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, dict[str, int]] = {}
+
+        def drain() -> Iterator[pa.RecordBatch]:
+            for language, found in held.items():
+                yield from _rows(language, [], found)
+            held.clear()
+
+        for part in parts:
+            for language, w, c in zip(*(part.column(k).to_pylist() for k in (0, 2, 3)), strict=True):
+                found = held.get(language)
+                if found is None:
+                    found = held[language] = {}
+                get = found.get
+                for n in range(1, order + 1):
+                    for g in grams(w, n):
+                        found[g] = get(g, 0) + c
+            if sum(map(len, held.values())) > HELD_COUNTS:
+                yield from drain()
+        yield from drain()
+
+    return words_counted.mapInArrow(count, _COUNTS).groupBy("lang", "n", "key").agg(F.sum("count").alias("count"))
+
+
+def counts(documents: DataFrame, text: str = "text", lang: str = "lang", order: int = ORDER) -> DataFrame:
+    """``(lang, n, key, count)``: words (n = 0) and n-grams of each language, over all documents; the word counts are checkpointed."""
+    counted = checkpointed(word_counts(documents, text, lang))
+    return counted.where("n = 0").unionByName(gram_counts(counted, order))
 
 
 def fit(documents: DataFrame, text: str = "text", lang: str = "lang", most_words: int = WORDS, most_grams: int = GRAMS, order: int = ORDER) -> dict:
@@ -110,39 +157,45 @@ def fit(documents: DataFrame, text: str = "text", lang: str = "lang", most_words
 
 
 class Scorer:
-    """Scores of texts by a model; remembers the scores of unseen words."""
+    """Scores of texts by a model; remembers the n-grams of unseen words."""
 
-    def __init__(self, model: dict, remembered: int = 50_000):
+    def __init__(self, model: dict, remembered: int = 100_000):
         self.languages, self.remembered = model["languages"], remembered
-        self.row = {n: {key: k for k, key in enumerate(keys)} for n, (keys, _) in model["tables"].items()}
-        self.value = {n: values for n, (_, values) in model["tables"].items()}
-        self.unknown = model["unknown"]
-        self.unseen: dict[str, np.ndarray] = {}
-
-    def backoff(self, word: str) -> np.ndarray:
-        known = self.unseen.get(word)
-        if known is None:
-            known = np.zeros(len(self.languages))
-            for n in sorted(self.row, reverse=True)[:-1]:
-                at = [self.row[n][g] for g in grams(word, n) if g in self.row[n]]
-                if at:
-                    known = self.value[n][at].mean(axis=0)
+        tables = model["tables"]
+        self.orders = sorted((n for n in tables if n), reverse=True)
+        self.row = {w: k for k, w in enumerate(tables[0][0])} if tables else {}
+        self.value = tables[0][1] if tables else None
+        # N-grams of all orders in one table: their length tells them apart.
+        names = [g for n in self.orders for g in tables[n][0]]
+        self.gram = {g: k for k, g in enumerate(names)}
+        self.gram_value = np.concatenate([tables[n][1] for n in self.orders]) if names else np.zeros((0, len(self.languages)))
+        self.unseen: dict[str, list[int]] = {}
+
+    def backoff(self, word: str) -> list[int]:
+        """Places of the known n-grams of the longest order of which any is known."""
+        found = self.unseen.get(word)
+        if found is None:
+            known, found = self.gram, []
+            for n in self.orders:
+                found = [known[g] for g in grams(word, n) if g in known]
+                if found:
                     break
             if len(self.unseen) >= self.remembered:
                 self.unseen.clear()
-            self.unseen[word] = known
-        return known
+            self.unseen[word] = found
+        return found
 
     def __call__(self, text: bytes | None) -> dict:
         tokens = words(text)
         if not tokens or not self.languages:
             return {"lang_pred": "und", "score": 0.0}
-        rows = np.fromiter((self.row[0].get(w, -1) for w in tokens), np.int64, len(tokens))
-        known = rows[rows >= 0]
-        total = self.value[0][known].sum(axis=0) if len(known) else np.zeros(len(self.languages))
-        if len(known) < len(tokens):
-            for i in np.flatnonzero(rows < 0).tolist():
-                total = total + self.backoff(tokens[i])
+        rows = np.fromiter(map(self.row.get, tokens, repeat(-1)), np.int64, len(tokens))
+        total = self.value[rows[rows >= 0]].sum(axis=0, dtype=float)
+        unseen = [*map(self.backoff, map(tokens.__getitem__, np.flatnonzero(rows < 0).tolist()))]
+        sizes = np.fromiter(map(len, unseen), np.int64, len(unseen))
+        if sizes.any():
+            places = np.fromiter(chain.from_iterable(unseen), np.int64, int(sizes.sum()))
+            total = total + np.repeat(1 / sizes[sizes > 0], sizes[sizes > 0]) @ self.gram_value[places]
         share = np.exp(total - total.max())
         best = int(np.argmax(total))
         return {"lang_pred": self.languages[best], "score": float(share[best] / share.sum())}
