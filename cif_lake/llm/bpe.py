@@ -25,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cif_lake.llm.common import SLICE, arrow_function, table, text_function
+from cif_lake.llm.common import SLICE, arrow_function, table, with_columns_from_text
 
 MAX_VOCABULARY = 1 << 20
 #: Pieces and pairs of tokens that a Python worker remembers at most.
-CACHED_PIECES, CACHED_PAIRS = 600_000, 300_000
+CACHED_PIECES, CACHED_PAIRS = 400_000, 300_000
 #: The public pattern for texts whose characters beyond ASCII are all letters; the standard module is quicker than ``regex``.
 _LETTERS_ONLY = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z\x80-\U0010FFFF]+| ?[0-9]+| ?[\x00-\x08\x0E-\x1F!-/:-@\[-`{-\x7F]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
 
@@ -50,6 +50,7 @@ class Ranks:
     """Tokens by rank, with the two parts that each was merged from."""
 
     def __init__(self, tokens: list[bytes], pattern: str):
+        import ahocorasick
         import regex
 
         self.tokens = tokens
@@ -58,21 +59,19 @@ class Ranks:
         self.parts: list[tuple[int, int] | None] = [None] * len(tokens)
         #: Tokens that merges make; others are only ever a whole piece.
         self.made: dict[bytes, int] = {}
-        #: Lengths of the tokens that end in three bytes, the longest first; those of one and two bytes are among them.
-        self.lengths: dict[bytes, list[int]] = {}
         for token, rank in self.rank.items():
-            if len(token) > 1:
-                ends = self._merged(token, rank)
-                if len(ends) != 2:
-                    continue
+            ends = self._merged(token, rank)
+            if len(token) > 1 and len(ends) == 2:
                 self.parts[rank] = tuple(ends)
-            self.made[token] = rank
-        tails: dict[bytes, set[int]] = {}
-        for token in self.made:
-            if len(token) > 2:
-                tails.setdefault(token[-3:], set()).add(len(token))
-        for tail, found in tails.items():
-            self.lengths[tail] = [*sorted(found, reverse=True), *([2] if tail[1:] in self.made else []), 1]
+            if len(token) == 1 or len(ends) == 2:
+                self.made[token] = rank
+        #: Finds all tokens that end at each byte.
+        self.occurrences = ahocorasick.Automaton()
+        for token, rank in self.made.items():
+            self.occurrences.add_word(token.decode("latin-1"), rank)
+        self.occurrences.make_automaton()
+        self.sizes = [*map(len, tokens)]
+        self.longest = max(self.sizes)
         self.pairs: dict[int, bool] = {}
         self.cache = _Cache(self)
         self.letters: dict[str, bool] = {}
@@ -114,19 +113,22 @@ class Ranks:
 
     def extend(self, piece: bytes, last: list[int]) -> list[int]:
         """Complete ``last``, the last tokens of the first prefixes of the piece, for all prefixes; in place."""
-        made, pairs, lengths, n, short = self.made.get, self.pairs.get, self.lengths.get, len(self.tokens), (2, 1)
-        for end in range(len(last) + 1, len(piece) + 1):
-            for length in lengths(piece[end - 3 : end], short) if end > 2 else short:
-                if length <= end and (token := made(piece[end - length : end])) is not None:
-                    if length == end:
-                        break
-                    before = last[end - length - 1]
-                    known = pairs(before * n + token)
-                    if known or known is None and self.follows(before, token):
-                        break
-            else:
-                raise ValueError("no token for a byte of the text")
+        pairs, sizes, n, done = self.pairs.get, self.sizes, len(self.tokens), len(last)
+        begin = max(0, done + 1 - self.longest)
+        for at, token in self.occurrences.iter(piece[begin:].decode("latin-1")):
+            at += begin
+            if at != done:
+                continue
+            start = at + 1 - sizes[token]
+            if start:
+                before = last[start - 1]
+                known = pairs(before * n + token)
+                if not known and (known is False or not self.follows(before, token)):
+                    continue
             last.append(token)
+            done += 1
+        if done < len(piece):
+            raise ValueError("no token for a byte of the text")
         return last
 
     def walk(self, piece: bytes, last: list[int]) -> tuple[int, ...]:
@@ -252,9 +254,25 @@ class Tokenizer:
 
         def make():
             ranks = _ranks(shared)
-            return lambda texts: [ranks.encode(t.decode(errors="replace")) if t else [] for t in texts]
+            return lambda texts: [(ranks.encode(t.decode(errors="replace")) if t else [],) for t in texts]
+
+        return with_columns_from_text(documents, text, make, f"{name} array<int>")
+
+    def round_trip(self, documents: DataFrame, text: str = "text", name: str = "ids", decoded: str = "decoded") -> DataFrame:
+        """``encode``, and the bytes that ``decode`` gives for the ids, in one Python worker."""
+        shared = self.shared
+
+        def make():
+            ranks = _ranks(shared)
+
+            def run(texts):
+                for t in texts:
+                    ids = ranks.encode(t.decode(errors="replace")) if t else []
+                    yield ids, ranks.decode(ids)
+
+            return lambda texts: list(run(texts))
 
-        return documents.withColumn(name, text_function(make, "array<int>")(text))
+        return with_columns_from_text(documents, text, make, f"{name} array<int>, {decoded} binary")
 
     def decode(self, documents: DataFrame, ids: str = "ids", name: str = "decoded") -> DataFrame:
         """Documents with the bytes that a list of ids stands for."""
@@ -278,7 +296,7 @@ def public_tokenizer(spark: SparkSession, name: str = "byte_bpe_50k.tiktoken") -
 def op3(spark, sf_dir: str) -> DataFrame:
     """Ids of every document, and what they decode to."""
     tokenizer = public_tokenizer(spark)
-    both = tokenizer.decode(tokenizer.encode(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"))
+    both = tokenizer.round_trip(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("ids")), text="ids")
     return both.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),

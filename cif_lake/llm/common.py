@@ -94,3 +94,31 @@ def text_function(make: Callable[[], Callable[[list[bytes | None]], list]], sche
             yield pa.concat_arrays([pa.array([], to), *(pa.array(function(part), to) for part in batches(texts))])
 
     return arrow_function(run, schema)
+
+
+def with_columns_from_text(frame: DataFrame, text: str, make: Callable[[], Callable[[list[bytes | None]], list[tuple]]], schema: str) -> DataFrame:
+    """As ``text_function``, for large results: what Python gives back comes in small batches, along with the other columns.
+
+    The function gives a tuple of the columns of ``schema`` for each text.
+    """
+    from pyspark.sql.types import StructType
+
+    new = StructType.fromDDL(schema)
+    kept = [c for c in frame.columns if c not in new.names]
+    out = StructType([frame.schema[c] for c in kept] + new.fields)
+    at, types = (kept.index(text) if text in kept else len(kept)), [f.type for f in arrow_type(f"struct<{schema}>")]
+    ship()
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function = make()
+        for part in parts:
+            start = 0
+            for texts in batches(part.column(at)):
+                columns = [part.column(k).slice(start, len(texts)) for k in range(len(kept))]
+                results = function(texts)
+                columns += [pa.array([r[k] for r in results], to) for k, to in enumerate(types)]
+                start += len(texts)
+                yield pa.RecordBatch.from_arrays(columns, names=out.names)
+
+    quoted = [F.col(f"`{c}`") for c in kept]
+    return frame.select(*quoted, *([] if text in kept else [F.col(f"`{text}`")])).mapInArrow(run, out)

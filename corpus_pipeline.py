@@ -36,8 +36,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text, their number, and whether they decode to the text."""
-    tokenizer = bpe.public_tokenizer(spark)
-    both = tokenizer.decode(tokenizer.encode(docs.select("doc_id", "lang", "source", "text")))
+    both = bpe.public_tokenizer(spark).round_trip(docs.select("doc_id", "lang", "source", "text"))
     exact = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     return both.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids", exact.alias("exact"))
 
