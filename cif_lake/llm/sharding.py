@@ -119,16 +119,21 @@ def assign(documents: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id", t
     # One row per range.
     starts = placed.groupBy("range").agg(F.sum(bytes_).alias("b"), F.sum("n").alias("c")).select("range", F.coalesce(F.sum("b").over(before), F.lit(0)).alias("range_bytes"), F.coalesce(F.sum("c").over(before), F.lit(0)).alias("range_rows"))
     ahead = Window.partitionBy("range").orderBy("k1", "k2", "text_crc32", "size", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    summed = (
+    summed = checkpointed(
         placed.join(F.broadcast(starts), "range")
         .withColumn("bytes_before", F.col("range_bytes") + F.coalesce(F.sum(bytes_).over(ahead), F.lit(0)))
         .withColumn("rows_before", F.col("range_rows") + F.coalesce(F.sum("n").over(ahead), F.lit(0)))
     )
     # A group of equal texts is as many rows as all ranges have of it; it counts as where its middle is.
-    groups = summed.groupBy("k1").agg(F.min("bytes_before").alias("group_start"), F.sum(bytes_).alias("group_bytes"))
-    middle = F.col("group_start") + F.col("group_bytes") / 2
-    small = groups.where(F.col("group_bytes") <= SLACK * total / shards).select("k1", middle.alias("group_middle"))
-    rows_of = checkpointed(summed.join(small, "k1", "left")).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)))
+    groups = summed.groupBy("k1").agg(F.min("bytes_before").alias("group_start"), F.sum(bytes_).alias("group_bytes"), F.sum("n").alias("members"))
+    small = F.col("group_bytes") <= SLACK * total / shards
+    middle = (F.col("group_start") + F.col("group_bytes") / 2).alias("group_middle")
+    # There are at most shards / SLACK large groups: their rows stay out of the join by group.
+    large = groups.where(~small).select("k1", F.lit(True).alias("large"))
+    marked = summed.join(F.broadcast(large), "k1", "left")
+    apart = marked.where("large").withColumn("group_middle", F.lit(None).cast("double"))
+    together = marked.where("large IS NULL").join(groups.where(small & (F.col("members") > 1)).select("k1", middle), "k1", "left")
+    rows_of = checkpointed(apart.unionByName(together)).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)))
     at = F.coalesce("group_middle", F.col("bytes_before") + (F.col("copy") + 0.5) * F.col("size"))
     dealt = rows_of.select("doc_id", "size", "text_crc32", F.floor(at * shards / F.lit(max(1, total))).cast("int").alias("shard"), (F.col("rows_before") + F.col("copy")).alias("place"))
     first = dealt.groupBy("shard").agg(F.min("place").alias("first"))
