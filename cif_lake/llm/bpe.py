@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from cif_lake.llm.common import SLICE, arrow_function, table, with_columns_from_text
 
 MAX_VOCABULARY = 1 << 20
-#: Pieces and pairs of tokens that a Python worker remembers at most.
-CACHED_PIECES, CACHED_PAIRS = 400_000, 300_000
+#: Pieces and pairs of tokens that a task remembers at most.
+CACHED_PIECES, CACHED_PAIRS = 150_000, 100_000
 #: The public pattern for texts whose characters beyond ASCII are all letters; the standard module is quicker than ``regex``.
 _LETTERS_ONLY = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z\x80-\U0010FFFF]+| ?[0-9]+| ?[\x00-\x08\x0E-\x1F!-/:-@\[-`{-\x7F]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
 
@@ -162,6 +162,12 @@ class Ranks:
     def decode(self, ids) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
+    def forget(self) -> None:
+        """Drop what was remembered: a Python worker lives on after its task."""
+        self.pairs.clear()
+        self.cache.old.clear()
+        self.cache.clear()
+
 
 class _Cache(dict):
     """Encodings of the pieces seen lately: two generations, so common pieces stay."""
@@ -256,7 +262,7 @@ class Tokenizer:
             ranks = _ranks(shared)
             return lambda texts: [(ranks.encode(t.decode(errors="replace")) if t else [],) for t in texts]
 
-        return with_columns_from_text(documents, text, make, f"{name} array<int>")
+        return with_columns_from_text(documents, text, make, f"{name} array<int>", done=lambda: _ranks(shared).forget())
 
     def round_trip(self, documents: DataFrame, text: str = "text", name: str = "ids", decoded: str = "decoded") -> DataFrame:
         """``encode``, and the bytes that ``decode`` gives for the ids, in one Python worker."""
@@ -272,7 +278,7 @@ class Tokenizer:
 
             return lambda texts: list(run(texts))
 
-        return with_columns_from_text(documents, text, make, f"{name} array<int>, {decoded} binary")
+        return with_columns_from_text(documents, text, make, f"{name} array<int>, {decoded} binary", done=lambda: _ranks(shared).forget())
 
     def decode(self, documents: DataFrame, ids: str = "ids", name: str = "decoded") -> DataFrame:
         """Documents with the bytes that a list of ids stands for."""
