@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import shutil
 import tempfile
@@ -81,6 +83,15 @@ def arrow_type(schema: str) -> pa.DataType:
     return to_arrow_type(DataType.fromDDL(schema))
 
 
+def release() -> None:
+    """At the end of a task: give memory back to the system, as the Python worker lives on for other tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def text_function(make: Callable[[], Callable[[list[bytes | None]], list]], schema: str) -> Callable[[str | Column], Column]:
     """A column function over texts. ``make`` is called once per task and gives a function from a list of UTF-8 texts to results.
 
@@ -92,14 +103,16 @@ def text_function(make: Callable[[], Callable[[list[bytes | None]], list]], sche
         function = make()
         for texts in columns:
             yield pa.concat_arrays([pa.array([], to), *(pa.array(function(part), to) for part in batches(texts))])
+        del function
+        release()
 
     return arrow_function(run, schema)
 
 
-def with_columns_from_text(frame: DataFrame, text: str, make: Callable[[], Callable[[list[bytes | None]], list[tuple]]], schema: str) -> DataFrame:
+def with_columns_from_text(frame: DataFrame, text: str, make: Callable[[], Callable[[list[bytes | None]], list[tuple]]], schema: str, done: Callable[[], None] = lambda: None) -> DataFrame:
     """As ``text_function``, for large results: what Python gives back comes in small batches, along with the other columns.
 
-    The function gives a tuple of the columns of ``schema`` for each text.
+    The function gives a tuple of the columns of ``schema`` for each text. ``done`` is called at the end of a task.
     """
     from pyspark.sql.types import StructType
 
@@ -119,6 +132,9 @@ def with_columns_from_text(frame: DataFrame, text: str, make: Callable[[], Calla
                 columns += [pa.array([r[k] for r in results], to) for k, to in enumerate(types)]
                 start += len(texts)
                 yield pa.RecordBatch.from_arrays(columns, names=out.names)
+        done()
+        del function
+        release()
 
     quoted = [F.col(f"`{c}`") for c in kept]
     return frame.select(*quoted, *([] if text in kept else [F.col(f"`{text}`")])).mapInArrow(run, out)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cif_lake.llm.common import arrow_function, arrow_type, batches, checkpointed, table
+from cif_lake.llm.common import arrow_function, arrow_type, batches, checkpointed, release, table
 
 #: Bytes: A-Z to a-z, other ASCII but 0-9 a-z to a blank, the rest as it is.
 NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256))
@@ -154,6 +154,7 @@ def _scanner(block, first: bool):
                         chunk, size = [], 0
             flush(chunk, rows)
             yield pa.array(rows, kind)
+        release()
 
     return arrow_function(run, _FOUND)
 
