@@ -7,7 +7,8 @@ more, and at a share of toxic documents that is ``LIFT`` times that of the other
 ``LEXICON`` in all at most. The calibration is fitted on scores from trees that did not see the document.
 
 Defined results: a null or empty text has zero features and gets the score of such a text; without labels of both classes every
-score is the share of toxic labels, or one half. Result columns replace input columns of the same name.
+score is the share of toxic labels, or one half, and ``remove`` keeps all documents. Result columns replace input columns of the
+same name.
 """
 
 from __future__ import annotations
@@ -171,5 +172,10 @@ def op6(spark, sf_dir: str) -> DataFrame:
 
 
 def remove(documents: DataFrame, model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The documents whose score is below the threshold."""
+    """The documents whose score is below the threshold.
+
+    All of them where the fit learned nothing that tells documents apart: without labels of both classes every score is the same.
+    """
+    if np.ptp(model[2][1]) == 0:
+        return documents
     return apply(documents, model, text, "_toxic").where(F.col("_toxic") < threshold).drop("_toxic")

@@ -117,3 +117,11 @@ def test_empty_tables(spark, corpus, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{corpus[0]}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_empty_labels(spark, corpus, steps, tmp_path):
+    """No label: the first stage keeps every document."""
+    docs = spark.read.parquet(f"{corpus[0]}/documents.parquet")
+    spark.read.parquet(f"{corpus[0]}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/labels.parquet")
+    kept = corpus_pipeline.without_toxic(spark, docs, str(tmp_path))
+    assert sorted(map(str, kept.collect())) == sorted(map(str, steps[0]))

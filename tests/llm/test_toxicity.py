@@ -65,3 +65,13 @@ def test_odd_rows(spark, odd, odd_rows, none):
     unlearned = T.fit(docs, labels.limit(0))
     assert {r.score for r in T.apply(odd, unlearned).collect()} == {0.5}
     assert T.remove(odd, model).columns == odd.columns
+
+
+def test_without_both_classes_all_documents_stay(spark, odd, odd_rows):
+    docs, labels = frames(spark, corpus(20))
+    rows = labels.withColumn("toxic", T.F.lit(1))
+    contradictory = labels.withColumn("toxic", T.F.lit(0)).unionByName(rows)
+    for few in (labels.limit(0), labels.withColumn("toxic", T.F.lit(None).cast("int")), contradictory, rows, labels.where("toxic = 0")):
+        kept = T.remove(odd, T.fit(docs, few))
+        assert sorted(map(str, kept.collect())) == sorted(map(str, odd.collect()))
+    assert T.remove(docs, T.fit(*frames(spark, corpus()))).count() < docs.count()
