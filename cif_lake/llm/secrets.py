@@ -2,8 +2,10 @@
 
 A scan of each whole text finds assignments to secret names, access keys and long hexadecimal runs, and beyond them candidates: long
 runs of token characters that look random. The 128-bit hash of each value is counted over the corpus by distinct owners and by
-distinct repositories (texts, so that copies of a document count once). A value that ``EXAMPLE_OWNERS`` owners or more share is a
-widely copied example; one that fewer own and that looks random is a live credential. Candidates are reported only if they are live.
+distinct repositories (texts, so that copies of a document count once). Both counts are held against the corpus: a value is a widely
+copied example if at least ``OWNER_SHARE`` of all owners (and ``EXAMPLE_OWNERS`` of them) and ``REPOSITORY_SHARE`` of all
+repositories have it. Any other value that looks random is a live credential, however often a few owners or texts repeat it.
+Candidates are reported only if they are live.
 
 Only spans, hashes and counts are shuffled; a value that a third of the corpus copies is reduced before it meets others of its
 kind, and its spans are joined by rows whose partitions Spark can split.
@@ -20,7 +22,7 @@ import re
 from collections import Counter
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cif_lake.llm.common import checkpointed, table, text_function, written
@@ -38,7 +40,8 @@ _TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 _TOKEN_BYTE = np.isin(np.arange(256), list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"))
 #: Bits a character from which a value looks random, and the kinds of characters it must mix.
 LIVE_BITS, LIVE_CLASSES = 3.0, 2
-EXAMPLE_OWNERS = 3
+#: What a widely copied example has at least: owners, share of all owners, share of all repositories.
+EXAMPLE_OWNERS, OWNER_SHARE, REPOSITORY_SHARE = 3, 0.5, 0.001
 MASK = "<secret>"
 
 SPANS = "array<struct<start:int,end:int,kind:int,hash:string,random:boolean>>"
@@ -84,18 +87,24 @@ def scan(raw: bytes | None) -> list[dict]:
     return sorted(found, key=lambda f: (f["start"], f["kind"]))
 
 
+def _named(owner: str) -> Column:
+    return F.coalesce(F.col(owner).cast("string"), F.lit(""))
+
+
 def ownership(found: DataFrame, owner: str = "_owner", repository: str = "_repository") -> DataFrame:
     """``(hash, owners, repositories)``: the distinct owners and repositories of each value."""
-    values = found.select(F.explode("_spans.hash").alias("hash"), F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("o"), F.col(repository).alias("r"))
+    values = found.select(F.explode("_spans.hash").alias("hash"), _named(owner).alias("o"), F.col(repository).alias("r"))
     owners = values.groupBy("hash", "o").agg(F.lit(1).alias("one")).groupBy("hash").agg(F.count("*").alias("owners"))
     repositories = values.groupBy("hash", "r").agg(F.lit(1).alias("one")).groupBy("hash").agg(F.count("*").alias("repositories"))
     return owners.join(repositories, "hash")
 
 
-def judged(found: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+def judged(found: DataFrame, example_owners: int = EXAMPLE_OWNERS, owner_share: float = OWNER_SHARE, repository_share: float = REPOSITORY_SHARE) -> DataFrame:
     """``(_row, spans)``: the base spans and the live candidates of each row that has any, each with ``verdict`` live, example or weak."""
     spans = found.select("_row", F.inline("_spans")).join(ownership(found), "hash")
-    verdict = F.when(F.col("owners") >= example_owners, "example").when(F.col("random"), "live").otherwise("weak")
+    all_owners, all_repositories = found.select(_named("_owner")).distinct().count(), found.select("_repository").distinct().count()
+    wide = (F.col("owners") >= max(example_owners, owner_share * all_owners)) & (F.col("repositories") >= repository_share * all_repositories)
+    verdict = F.when(wide, "example").when(F.col("random"), "live").otherwise("weak")
     kept = spans.withColumn("verdict", verdict).where((F.col("kind") < 3) | (F.col("verdict") == "live"))
     one = F.struct("start", "kind", "end", "verdict", "owners", "repositories")
     return kept.groupBy("_row").agg(F.array_sort(F.collect_list(one)).alias("spans"))
