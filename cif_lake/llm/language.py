@@ -60,30 +60,41 @@ def _rows(language: str | None, n: list[int] | int, found: dict) -> Iterator[pa.
 _COUNTS = "lang string, n int, key string, count long"
 
 
-def word_counts(documents: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """``(lang, n, key, count)`` of the words (n = 0) of each language, over all documents."""
+def word_counts(documents: DataFrame, text: str = "text", lang: str = "lang", order: int = ORDER) -> DataFrame:
+    """``(lang, n, key, count)`` of the words (n = 0) of each language, over all documents, and of the n-grams of those over ``LONGEST``."""
     ship()
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Counter] = {}
+        longer: dict[str, Counter] = {}
 
         def drain() -> Iterator[pa.RecordBatch]:
             for language, found in held.items():
-                yield from _rows(language, 0, {w: c for w, c in found.items() if len(w) <= LONGEST})
-                # A long word counts by its first characters, for the n-grams only.
-                longer: Counter = Counter()
-                for w, c in found.items():
-                    if len(w) > LONGEST:
-                        longer[w[:LONGEST]] += c
-                yield from _rows(language, -1, longer)
+                yield from _rows(language, 0, found)
+            for language, found in longer.items():
+                yield from _rows(language, [], found)
             held.clear()
+            longer.clear()
+
+        def full() -> bool:
+            return sum(map(len, held.values())) + sum(map(len, longer.values())) > HELD_COUNTS
 
         for part in parts:
             for k in range(0, part.num_rows, SLICE):
                 some = part.slice(k, SLICE)
                 for t, language in zip(some.column(0).cast(pa.binary()).to_pylist(), some.column(1).to_pylist(), strict=True):
-                    held.setdefault(language, Counter()).update(words(t))
-                if sum(map(len, held.values())) > HELD_COUNTS:
+                    found = words(t)
+                    if max(map(len, found), default=0) > LONGEST:
+                        # Long words are not held; their n-grams are, all of them.
+                        for w in found:
+                            if len(w) > LONGEST:
+                                for n in range(1, order + 1):
+                                    longer.setdefault(language, Counter()).update(grams(w, n))
+                        found = [w for w in found if len(w) <= LONGEST]
+                        if full():
+                            yield from drain()
+                    held.setdefault(language, Counter()).update(found)
+                if full():
                     yield from drain()
         yield from drain()
 
@@ -92,7 +103,7 @@ def word_counts(documents: DataFrame, text: str = "text", lang: str = "lang") ->
 
 
 def gram_counts(words_counted: DataFrame, order: int = ORDER) -> DataFrame:
-    """``(lang, n, key, count)`` of the n-grams of counted words."""
+    """``(lang, n, key, count)`` of the n-grams of counted words, and of those that were counted already."""
     ship()
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,12 +127,13 @@ def gram_counts(words_counted: DataFrame, order: int = ORDER) -> DataFrame:
                 yield from drain()
         yield from drain()
 
-    return words_counted.mapInArrow(count, _COUNTS).groupBy("lang", "n", "key").agg(F.sum("count").alias("count"))
+    found = words_counted.where("n = 0").mapInArrow(count, _COUNTS).unionByName(words_counted.where("n > 0"))
+    return found.groupBy("lang", "n", "key").agg(F.sum("count").alias("count"))
 
 
 def counts(documents: DataFrame, text: str = "text", lang: str = "lang", order: int = ORDER) -> DataFrame:
     """``(lang, n, key, count)``: words (n = 0) and n-grams of each language, over all documents; the word counts are checkpointed."""
-    counted = checkpointed(word_counts(documents, text, lang))
+    counted = checkpointed(word_counts(documents, text, lang, order))
     return counted.where("n = 0").unionByName(gram_counts(counted, order))
 
 

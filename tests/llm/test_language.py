@@ -41,6 +41,20 @@ def test_counts(spark, monkeypatch):
         assert got == dict(want)
 
 
+def test_long_runs_teach_all_their_grams(spark, monkeypatch):
+    """A run of over 40 letters is no word of the model, but all its n-grams count, and no border is made up inside it."""
+    draw = random.Random(4)
+    run = "".join(chr(0x4E00 + draw.randint(0, 500)) for _ in range(5000))
+    rows = [*corpus(30), (901, f"{run} short {run[:41]}", "zh"), (902, "a" * 40 + " " + "b" * 41 + "É", "xx")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    want = {k: c for k, c in plain_counts(rows, 4).items() if k[1] or len(k[2]) <= language.LONGEST}
+    for held in (300_000, 5):
+        monkeypatch.setattr(language, "HELD_COUNTS", held)
+        assert {(r.lang, r.n, r.key): r["count"] for r in language.counts(docs).collect()} == want
+    tables = language.fit(docs)["tables"]
+    assert run[3000:3004] in tables[4][0] and run not in tables[0][0]
+
+
 def test_predictions_follow_the_formula(spark):
     rows = corpus()
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
