@@ -99,6 +99,29 @@ def test_a_small_model_is_bounded_and_still_right(spark):
     assert np.mean(right) > 0.95
 
 
+def test_what_is_broadcast_changes_no_score(spark):
+    docs = spark.createDataFrame([*corpus(), (800, "zkzk " + "pyur" * 20, "xx")], "doc_id long, text string, lang string")
+    odd = [(900, None, None), (901, "12 !", None), (902, "漢字", None), (903, "thzz zkpyur " * 3 + "q" * 50, None), (904, "pyur" * 30, None)]
+    fresh = spark.createDataFrame(corpus(60, seed=2) + odd, "doc_id long, text string, lang string").repartition(3)
+    whole = {r.doc_id: r for r in language.apply(fresh, language.fit(docs)).collect()}
+    assert len(whole) == 65
+    for rooms in ((30, 120), (0, 0), (10_000, 12)):
+        part = language.apply(fresh, language.fit(docs, most_words=rooms[0], most_grams=rooms[1])).collect()
+        assert len(part) == 65
+        for r in part:
+            same = whole[r.doc_id]
+            assert (r.text, r.lang, r.lang_pred) == (same.text, same.lang, same.lang_pred) and abs(r.score - same.score) < 1e-9, (rooms, r, same)
+
+
+def test_many_languages(spark):
+    """More languages than there is room for, all counts equal."""
+    letters = "abcdefghijklmnop"
+    rows = [(i, " ".join(f"{letters[i // 16]}{letters[i % 16]}{x}" for x in "xyz"), f"l{i:03}") for i in range(230)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    out = language.apply(docs, language.fit(docs, most_words=200, most_grams=200)).collect()
+    assert len(out) == 230 and all(r.lang_pred == r.lang for r in out)
+
+
 def test_odd_rows(spark, odd, odd_rows, none):
     model = language.fit(odd)
     rows = language.apply(odd, model).select("text", "lang_pred", "score").collect()
