@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cif_lake.llm import bpe, decontaminate, language, language_model, quality_classifier, quality_rules, secrets, sharding, simhash, toxicity
+from cif_lake.llm import bpe, decontaminate, language, language_model, periodic, quality_classifier, quality_rules, secrets, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_sharding": sharding.op8,
     "op9_secrets": secrets.op9,
     "op10_quality_classifier": quality_classifier.op10,
+    "op13_periodic_runs": periodic.op13,
 }
 #: The others can't be told in SQL: trained models, byte-pair merges, transitive closures, places of matches, hashes DuckDB lacks.
 ORACLES = {"op1_decontaminate": decontaminate.OP1_SQL}
