@@ -10,7 +10,7 @@ Samples are drawn for each source and class of sizes (an eighth of an octave wid
 rounded from the class of the largest documents to that of the smallest, and the words that rounding leaves over or takes too many
 are carried to the next class. So a source ends near its target, however few or uneven its documents are.
 
-Ranks are never taken over a whole class: draws are counted in buckets of a few thousand documents, and only the bucket that the
+Ranks are never taken over a whole class: draws are counted in buckets of a few hundred documents, and only the bucket that the
 sample ends in is ordered. Of a document only its id, source, size and hash are written and shuffled; the driver sees sums only. Draws
 depend on id, text and number among equal rows, so they are the same in every run and for every partitioning.
 
@@ -31,7 +31,7 @@ from cif_lake.operators.relational import numbered
 WEIGHTS, COPIES = (5.0, 2.0, 1.0), 3
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents of a bucket of draws, and the rows up to which a table of sources or classes is broadcast.
-BUCKET_ROWS, BROADCAST_ROWS = 4096, 100_000
+BUCKET_ROWS, BROADCAST_ROWS = 512, 100_000
 #: Expected copies nearer than this to a whole number are that number.
 NEAR = 1e-9
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cif_lake.llm import bpe, decontaminate, language, language_model, mixing, periodic, quality_classifier, quality_rules, secrets, sharding, simhash, toxicity
+from cif_lake.llm import bpe, decontaminate, hard_negatives, language, language_model, mixing, periodic, quality_classifier, quality_rules, secrets, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1,
@@ -16,7 +16,8 @@ QUERIES = {
     "op9_secrets": secrets.op9,
     "op10_quality_classifier": quality_classifier.op10,
     "op11_mixing": mixing.op11,
+    "op12_hard_negatives": hard_negatives.op12,
     "op13_periodic_runs": periodic.op13,
 }
 #: The others can't be told in SQL: trained models, byte-pair merges, transitive closures, places of matches, hashes DuckDB lacks.
-ORACLES = {"op1_decontaminate": decontaminate.OP1_SQL}
+ORACLES = {"op1_decontaminate": decontaminate.OP1_SQL, "op12_hard_negatives": hard_negatives.OP12_SQL}
