@@ -11,7 +11,7 @@ Nodes are kept level by level in flat arrays; the vectors lie in the order of th
 from __future__ import annotations
 
 import heapq
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 
@@ -30,34 +30,10 @@ class Tree:
     cover: np.ndarray
     rows: np.ndarray
     children: np.ndarray
-    exact: np.ndarray = field(init=False)
-
-    def __post_init__(self):
-        # Sums of products that a double holds exactly go through BLAS; larger ones are added as 64-bit numbers.
-        largest = int(np.abs(self.vectors).max(initial=0))
-        self.exact = self.vectors.astype(np.float64) if largest**2 * max(1, self.vectors.shape[1]) < 1 << 52 else self.vectors
-
-    def scores(self, start: int, end: int, query: np.ndarray) -> np.ndarray:
-        """Inner products of rows with a query, as whole numbers."""
-        if self.exact.dtype == np.float64 and float(np.abs(query).max(initial=0)) * float(np.abs(self.exact[start:end]).max(initial=0)) * len(query) < 1 << 52:
-            return (self.exact[start:end] @ query.astype(np.float64)).astype(np.int64)
-        return (self.vectors[start:end] * query).sum(axis=1)
-
-    def bounds(self, nodes: np.ndarray, query: np.ndarray, length: float) -> tuple[np.ndarray, np.ndarray]:
-        """Least and greatest inner product that a row below each node can have."""
-        most = length * self.radius
-        if not most:
-            return np.zeros(len(nodes)), np.zeros(len(nodes))
-        near = self.vectors[self.centre[nodes]].astype(np.float64) @ query.astype(np.float64)
-        angle = np.arccos(np.clip(near / most, -1, 1))
-        wide = SLACK * most + 1e-6
-        low = most * np.cos(np.minimum(np.pi, angle + self.cover[nodes] + 1e-7)) - wide
-        high = most * np.cos(np.maximum(0, angle - self.cover[nodes] - 1e-7)) + wide
-        return low, high
 
 
 def build(vectors: np.ndarray, ids: np.ndarray) -> Tree:
-    """The tree of some rows; rows come by id, so equal sets give equal trees."""
+    """The tree of some thousand rows at most; rows come by id, so equal sets give equal trees."""
     order = np.lexsort(ids[None, :])
     vectors, ids = np.asarray(vectors, np.int64)[order], np.asarray(ids, np.int64)[order]
     real = vectors.astype(np.float64)
@@ -67,12 +43,11 @@ def build(vectors: np.ndarray, ids: np.ndarray) -> Tree:
     scaled = points / radius if radius else points
     centre, cover, children, out = [], [], [], []
 
-    def angles(at: int, members: np.ndarray) -> np.ndarray:
-        return np.arccos(np.clip(scaled[members] @ scaled[at], -1, 1)) if radius else np.zeros(len(members))
+    apart = np.arccos(np.clip(scaled @ scaled.T, -1, 1)) if radius else np.zeros((len(ids), len(ids)))
 
     # A level of the tree at a time: (centre, members, their angles to it).
     first = np.arange(len(ids))
-    level = [(0, first, angles(0, first))] if len(ids) else []
+    level = [(0, first, apart[0])] if len(ids) else []
     spans: list[tuple[int, np.ndarray]] = []
     while level:
         below = []
@@ -94,7 +69,7 @@ def build(vectors: np.ndarray, ids: np.ndarray) -> Tree:
                 if not len(left):
                     break
                 pivot = int(left[0])
-                pivot_far = angles(pivot, left)
+                pivot_far = apart[pivot, left]
                 pivot_far[0] = 0.0
             children[node] = [len(below), len(parts)]
             below += parts
@@ -146,6 +121,12 @@ class Window:
             out &= high >= -self.best[-1][0]
         return out
 
+    def takes(self, low: float, high: float) -> bool:
+        """As ``open``, for one node."""
+        if (self.low is not None and high < self.low) or (self.high is not None and low > self.high):
+            return False
+        return len(self.best) < self.k or high >= -self.best[-1][0]
+
     def offer(self, scores: np.ndarray, ids: np.ndarray) -> None:
         fits = np.ones(len(scores), bool)
         if self.low is not None:
@@ -154,44 +135,86 @@ class Window:
             fits &= scores <= self.high
         if len(self.best) == self.k:
             fits &= scores >= -self.best[-1][0]
-        if fits.any():
-            found = [(-int(s), int(i)) for s, i in zip(scores[fits], ids[fits])]
-            self.best = sorted(self.best + found)[: self.k]
-
-
-def search(trees: list[Tree], query: np.ndarray, windows: list[Window], without: int | None = None) -> int:
-    """Fill the windows from all trees, best bound first; rows with the id ``without`` don't count. Gives the number of rows scored."""
-    length, scored = float(np.sqrt((query.astype(np.float64) ** 2).sum())), 0
-    heap: list[tuple[float, int, int]] = []
-    root = np.zeros(1, np.int64)
-    # All trees' roots, then only children of nodes that some window is open for.
-    for t, tree in enumerate(trees):
-        if len(tree.ids):
-            low, high = tree.bounds(root, query, length)
-            if any(w.open(low, high)[0] for w in windows):
-                heapq.heappush(heap, (-high[0], t, 0, low[0]))
-    while heap:
-        high, t, node, low = heapq.heappop(heap)
-        one_low, one_high = np.array([low]), np.array([-high])
-        if not any(w.open(one_low, one_high)[0] for w in windows):
-            continue
-        tree = trees[t]
-        start, n = tree.children[node]
-        if n:
-            nodes = np.arange(start, start + n)
-            lows, highs = tree.bounds(nodes, query, length)
-            some = np.zeros(n, bool)
-            for w in windows:
-                some |= w.open(lows, highs)
-            for k in np.flatnonzero(some):
-                heapq.heappush(heap, (-highs[k], t, int(nodes[k]), lows[k]))
-            continue
-        begin, end = tree.rows[node]
-        scores, ids = tree.scores(begin, end, query), tree.ids[begin:end]
-        scored += end - begin
-        if without is not None:
-            other = ids != without
-            scores, ids = scores[other], ids[other]
-        for w in windows:
-            w.offer(scores, ids)
-    return scored
+        at = np.flatnonzero(fits)
+        if len(at) > 4 * self.k:
+            at = at[np.lexsort((ids[at], -scores[at]))[: self.k]]
+        if len(at):
+            self.best = sorted(self.best + list(zip((-scores[at]).tolist(), ids[at].tolist())))[: self.k]
+
+
+class Forest:
+    """Several trees side by side, for searches in some or all of them."""
+
+    def __init__(self, trees: list[Tree]):
+        rows = np.cumsum([0, *(len(t.ids) for t in trees)])
+        nodes = np.cumsum([0, *(len(t.centre) for t in trees)])
+        whole = lambda parts, empty: np.concatenate(parts) if parts else empty
+        none, pairs = np.zeros(0, np.int64), np.zeros((0, 2), np.int64)
+        self.roots = np.array([n if len(t.ids) else -1 for n, t in zip(nodes, trees)], np.int64)
+        self.ids = whole([t.ids for t in trees], none)
+        self.centres = whole([t.vectors[t.centre].astype(np.float64) for t in trees], np.zeros((0, 0)))
+        self.cover = whole([t.cover for t in trees], np.zeros(0))
+        self.radius = whole([np.full(len(t.centre), t.radius) for t in trees], np.zeros(0))
+        self.rows = whole([t.rows + r for r, t in zip(rows, trees)], pairs)
+        self.children = whole([t.children + np.outer(t.children[:, 1] > 0, [n, 0]) for n, t in zip(nodes, trees)], pairs)
+        vectors = whole([t.vectors for t in trees], np.zeros((0, 0), np.int64))
+        # Sums of products that a double holds exactly go through BLAS; larger ones are added as 64-bit numbers.
+        self.largest = int(np.abs(vectors).max(initial=0))
+        self.real = self.largest**2 * max(1, vectors.shape[1]) < 1 << 52
+        self.vectors = vectors.astype(np.float64) if self.real else vectors
+
+    def _scores(self, at: np.ndarray, query: np.ndarray, exact: bool) -> np.ndarray:
+        """Inner products of rows, in ascending order, with a query as whole numbers."""
+        low, high = int(at[0]), int(at[-1]) + 1
+        near = high - low <= 4 * len(at)
+        some = self.vectors[low:high] if near else self.vectors[at]
+        out = (some @ query.astype(np.float64)).astype(np.int64) if exact else (some.astype(np.int64) * query).sum(axis=1)
+        return out[at - low] if near else out
+
+    def search(self, query: np.ndarray, windows: list[Window], without: int | None = None, among: np.ndarray | None = None) -> int:
+        """Fill the windows, best bound first; rows with the id ``without`` don't count. Gives the number of rows scored.
+
+        ``among`` are the numbers of the trees to look in. Leaves are scored with the node above them.
+        """
+        real = query.astype(np.float64)
+        length, scored = float(np.sqrt(real @ real)), 0
+        exact = self.real and int(np.abs(query).max(initial=0)) * self.largest * max(1, len(query)) < 1 << 52
+        heap: list[tuple[float, int, float]] = []
+
+        def visit(nodes: slice | np.ndarray) -> None:
+            nonlocal scored
+            most = length * self.radius[nodes]
+            angle = np.arccos(np.clip((self.centres[nodes] @ real) / np.where(most, most, 1.0), -1, 1))
+            cover, wide = self.cover[nodes], SLACK * most + 1e-6
+            low = most * np.cos(np.minimum(np.pi, angle + cover + 1e-7)) - wide
+            high = most * np.cos(np.maximum(0, angle - cover - 1e-7)) + wide
+            some = windows[0].open(low, high)
+            for w in windows[1:]:
+                some |= w.open(low, high)
+            leaf = self.children[nodes, 1] == 0
+            spans = self.rows[nodes][some & leaf]
+            if len(spans):
+                sizes = spans[:, 1] - spans[:, 0]
+                at = np.repeat(spans[:, 0] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+                at.sort()
+                scores, ids = self._scores(at, query, exact), self.ids[at]
+                scored += len(at)
+                if without is not None:
+                    other = ids != without
+                    scores, ids = scores[other], ids[other]
+                for w in windows:
+                    w.offer(scores, ids)
+            first = nodes.start if isinstance(nodes, slice) else 0
+            for k in np.flatnonzero(some & ~leaf).tolist():
+                heapq.heappush(heap, (-float(high[k]), first + k if isinstance(nodes, slice) else int(nodes[k]), float(low[k])))
+
+        roots = self.roots if among is None else self.roots[among]
+        roots = roots[roots >= 0]
+        if len(roots) and windows:
+            visit(roots)
+        while heap:
+            high, node, low = heapq.heappop(heap)
+            if any(w.takes(low, -high) for w in windows):
+                start, n = self.children[node].tolist()
+                visit(slice(start, start + n))
+        return scored

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window as Over
 from pyspark.sql import functions as F
 
 from cif_lake.llm.common import arrow_function, checkpointed, release, ship, table, written
-from cif_lake.llm.cover_tree import Tree, Window, build, search
+from cif_lake.llm.cover_tree import Forest, Tree, Window, build
 from cif_lake.operators.relational import numbered
 
 SCALE, LARGEST = 256, 1 << 24
@@ -35,7 +35,7 @@ ANCHORS, MOVED, LABELS, POSITIVES, NEGATIVES = 100, 7, 10, 5, 5
 #: Scores of negatives lie between these percentages of the positive's.
 LOW, HIGH = 80, 100
 #: Rows of a tree, trees of a lot, anchors of a slab, signs of a place in the order, rows of a table that is broadcast.
-TREE_ROWS, LOT_TREES, SLAB_ANCHORS, SIGNS, BROADCAST_ROWS = 512, 32, 65_536, 12, 100_000
+TREE_ROWS, LOT_TREES, SLAB_ANCHORS, SIGNS, BROADCAST_ROWS = 512, 16, 65_536, 12, 100_000
 
 
 def cleaned(embeddings: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str | Column = "label") -> DataFrame:
@@ -123,21 +123,23 @@ def _searched(trees: DataFrame, anchors: DataFrame, width: int, same: bool, k: i
     payload = ["ids", "vectors", "radius", "centre", "cover", "rows", "children"]
     held = trees.select("lot", F.explode(F.sequence(F.lit(0), F.lit(slabs - 1))).alias("slab"), F.lit(0).alias("kind"), "tree", "label", none("row", "bigint"), none("vec_id", "bigint"), none("v", "array<bigint>"), none("scores", "array<bigint>"), *payload)
     sent = anchors.select(F.explode(F.sequence("lots.first", "lots.last")).alias("lot"), F.pmod(F.xxhash64("row"), F.lit(slabs)).cast("int").alias("slab"), F.lit(1).alias("kind"), none("tree", "bigint"), "label", "row", "vec_id", "v", "scores", *[none(p, trees.schema[p].dataType) for p in payload])
-    parts = max(1, math.ceil(lots * slabs / 2))
+    parts = lots * slabs
     dealt = held.unionByName(sent).repartition(parts, "lot", "slab").sortWithinPartitions("lot", "slab", "kind", "tree", "row")
     low, high = LOW, HIGH
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, own = None, []
+        now, own, forest = None, [], None
         for batch in batches:
             heads = [batch.column(n).to_pylist() for n in ("lot", "slab", "kind", "label", "row", "vec_id")]
             out: list[tuple] = []
             for at, (lot, slab, kind, label, row, vec_id) in enumerate(zip(*heads)):
                 if (lot, slab) != now:
-                    now, own = (lot, slab), []
+                    now, own, forest = (lot, slab), [], None
                 if kind == 0:
                     own.append((label, _loaded({p: batch.column(p)[at].as_py() for p in payload}, width)))
                     continue
+                if forest is None:
+                    forest, labels = Forest([tree for _, tree in own]), np.array([other for other, _ in own], np.int64)
                 query = np.zeros(width, np.int64)
                 values = batch.column("v")[at].as_py()
                 query[: len(values)] = values
@@ -147,7 +149,7 @@ def _searched(trees: DataFrame, anchors: DataFrame, width: int, same: bool, k: i
                     scores = batch.column("scores")[at].as_py()
                     # Whole numbers n with low * s <= 100 * n <= high * s.
                     windows = [Window(-(-low * s // 100), high * s // 100, k) for s in scores]
-                search([tree for other, tree in own if (other == label) == same], query, windows, vec_id)
+                forest.search(query, windows, vec_id, np.flatnonzero((labels == label) == same))
                 out += [(row, vec_id, j, scores[j], -s, i) for j, w in enumerate(windows) for s, i in w.best]
             columns = list(zip(*out)) if out else [()] * 6
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]

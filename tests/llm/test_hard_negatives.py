@@ -49,14 +49,14 @@ def test_searches_are_exact(kind):
         "large": lambda: rng.integers(-(1 << 23), 1 << 23, (300, 40)),
     }[kind]()
     ids = rng.permutation(len(v)).astype(np.int64)
-    trees = [cover_tree.build(v[::2], ids[::2]), cover_tree.build(v[1::2], ids[1::2]), cover_tree.build(v[:0], ids[:0])]
+    forest = cover_tree.Forest([cover_tree.build(v[::2], ids[::2]), cover_tree.build(v[1::2], ids[1::2]), cover_tree.build(v[:0], ids[:0])])
     for at in range(0, len(v), 23):
         q = v[at]
         scores = [sum(int(a) * int(b) for a, b in zip(q, w)) for w in v]
         top = max(scores)
         windows = [(None, None, 5), (int(0.8 * top), top, 5), (0, 0, 3), (top + 1, None, 4), (None, -1, 2), (5, 4, 2)]
         made = [cover_tree.Window(*w) for w in windows]
-        cover_tree.search(trees, q, made, int(ids[at]))
+        forest.search(q, made, int(ids[at]))
         for (low, high, k), window in zip(windows, made):
             fits = sorted((-s, int(i)) for s, i in zip(scores, ids) if i != ids[at] and (low is None or s >= low) and (high is None or s <= high))
             assert window.best == fits[:k]
@@ -77,7 +77,8 @@ def test_trees_cover_and_prune():
             apart = np.arccos(np.clip(centres @ centres.T, -1, 1)) + np.eye(n) * 9
             assert apart.min() > tree.cover[node] / 2 - 1e-6
             assert [*tree.rows[first : first + n, 1]][:-1] == [*tree.rows[first : first + n, 0]][1:]
-    scored = sum(cover_tree.search([tree], v[i], [cover_tree.Window(None, None, 5)], i) for i in range(0, 3000, 100)) / 30
+    forest = cover_tree.Forest([tree])
+    scored = sum(forest.search(v[i], [cover_tree.Window(None, None, 5)], i) for i in range(0, 3000, 100)) / 30
     assert scored < 600
 
 
