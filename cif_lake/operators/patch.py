@@ -3,10 +3,13 @@
 ``edits(path, block_name, category, op, row_id, item, value)``: ``op`` is ``update`` (one row per cell), ``delete`` (``row_id``
 only) or ``insert`` (one row per cell; ``row_id`` orders the new rows). A NULL ``block_name`` means the first block.
 
-Text is handled as ISO-8859-1, one character per byte, so bytes that are not valid UTF-8 survive too. The text of an edited
-category is cut to its rows, the rows are joined with the edits and put together again; the rest of the file is not cut at
-all. Deleted tokens are marked with a NUL character first; which blanks and line ends go with them is then a matter of three
-replacements over the text.
+Text is handled as ISO-8859-1, one character per byte, so bytes that are not valid UTF-8 survive too.
+
+The edits of a file become one row: a list of edited categories, each with its changed rows in order. That row meets the file's text
+in one join, by broadcast where the edits were measured to be small, so the text itself is not shuffled. All else is a sequence of
+array steps over that one row: find the categories among the file's lexemes, cut them to rows, rewrite the rows that have edits (the
+others are only joined again) and collect a sorted list of splices ``(begin, width, text)`` in bytes, applied in one expression.
+Deleted tokens are marked with a NUL character first; which blanks and line ends go with them is then a matter of four replacements.
 """
 
 from __future__ import annotations
@@ -23,10 +26,8 @@ from cif_lake.sources import read
 
 GONE = "\x00"
 _RUN = r"\x00(?:[\s\x00]*\x00)?"
-_KEYS = ["path", "block_ord"]
-_REGION = [*_KEYS, "category"]
-# Edit values as text of one character per byte.
-_VALUE = "decode(encode(value, 'UTF-8'), 'ISO-8859-1')"
+#: Edits of up to so many bytes, measured as JSON, are sent to the files; larger ones meet them by a shuffle.
+BROADCAST_BYTES = 64 << 20
 
 
 def _latin(src: DataFrame) -> DataFrame:
@@ -34,177 +35,244 @@ def _latin(src: DataFrame) -> DataFrame:
     return read.raw(src).withColumn("content", F.decode("content", "ISO-8859-1"))
 
 
-def _sections(src: DataFrame) -> DataFrame:
-    """Text in front of the first block (``block_ord`` -1) and the blocks: ``path, block_ord, block_name, lex``."""
-    lexed = src.selectExpr("path", f"{g.lexemes('content')} AS lex")
-    placed = lexed.selectExpr("*", f"concat(array(1), {g.block_starts('lex')}) AS starts")
-    one = (
-        f"named_struct('block_ord', i - 1, 'block_name', CASE WHEN i > 0 THEN {g.header_name('element_at(lex, p)')} END, "
-        "'lex', slice(lex, p, coalesce(get(starts, i + 1), size(lex) + 1) - p))"
-    )
-    cut = read.unroll(placed, ["path", F.size("starts").alias("n")], F.expr(f"transform(starts, (p, i) -> {one})"), "s")
-    # A file without a block header is its front part only.
-    return cut.selectExpr("path", "CASE WHEN n = 1 THEN 0 ELSE s.block_ord END AS block_ord", "s.block_name", "s.lex")
+# --- edits ------------------------------------------------------------------------------------------------------------
 
 
-def _regions(sections: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Edited categories: ``path, block_ord, category, is_loop, items, start, width, segs, lead, tail, eol, missing``.
+def edits_by_path(edits: DataFrame) -> DataFrame:
+    """One row per file: ``path, edits[(want, category, changes[(row_id, gone, up)], added[(row_id, cells)], fault)]``.
 
-    ``segs`` are the rows of a loop (each with the comments in front of it) or the items of a key-value category;
-    ``lead`` is the last header tag of a loop, ``tail`` what follows its last row, ``missing`` how many values that row lacks.
+    ``up`` and ``cells`` are lists of ``(item, value)``, ``want`` is the block in lower case; ``fault`` is what is wrong with edits whatever
+    the file holds. The only shuffle is that of the edits, by path.
     """
-    framed = sections.selectExpr("0 AS file_ord", "path", "block_ord", "block_name", "lex")
-    found = read.located(framed, None)
-    first, last = "get(r.tags, 0)", "element_at(r.tags, -1)"
-    start = f"(CASE WHEN r.is_loop THEN {last}.p ELSE {first}.p END)"
-    body = f"array_join(slice(lex, {last}.p + 1, {last}.n), '')"
-    items = "transform(r.tags, t -> array_join(slice(lex, t.p, t.n + 1), ''))"
-    one = (
-        "named_struct('category', lower(r.category), 'spelling', r.category, 'is_loop', r.is_loop, "
-        f"'items', transform(r.tags, t -> t.item), 'start', {start}, 'width', {last}.p + {last}.n - {start} + 1, "
-        f"'parts', CASE WHEN r.is_loop THEN array(element_at(lex, {last}.p), {body}) ELSE {items} END)"
+    value = "decode(encode(value, 'UTF-8'), 'ISO-8859-1')"
+    cell = f"struct(lower(item) AS item, {value} AS value)"
+    rows = (
+        edits.repartition("path")
+        .withColumns({"want": F.lower("block_name"), "category": F.lower("category")})
+        .groupBy("path", "want", "category", "row_id")
+        .agg(
+            F.expr("max(CASE WHEN op IS NULL OR op NOT IN ('update', 'delete', 'insert') THEN coalesce(op, 'NULL') END) AS strange"),
+            F.expr("count_if(op = 'delete') AS deletes"),
+            F.expr("count_if(op IN ('update', 'insert') AND item IS NULL) AS nameless"),
+            F.expr(f"collect_list(CASE WHEN op = 'update' THEN {cell} END) AS up"),
+            F.expr(f"collect_list(CASE WHEN op = 'insert' THEN {cell} END) AS cells"),
+        )
     )
-    regions = read.unroll(found, _KEYS, F.expr(f"transform(recs, r -> {one})"), "r").select(*_KEYS, "r.*")
-    regions = regions.join(wanted, ["path", "category"], "left_semi")
-    rows = g.all_of("get(parts, 1)", f"concat({g.lit(g.ROW_WITH_COMMENTS[0])}, size(items), {g.lit(g.ROW_WITH_COMMENTS[1])})")
-    regions = regions.selectExpr("*", f"CASE WHEN is_loop THEN {rows} ELSE parts END AS segs")
-    had = f"size(filter({g.pieces('element_at(segs, -1)')}, x -> NOT {g.is_comment('x')}))"
-    return regions.selectExpr(
-        *_REGION, "spelling", "is_loop", "items", "start", "width", "segs",
-        f"CASE WHEN is_loop AND size(segs) > 0 THEN size(items) - {had} ELSE 0 END AS missing",
-        "CASE WHEN is_loop THEN get(parts, 0) ELSE '' END AS lead",
-        "CASE WHEN is_loop THEN substring(get(parts, 1), length(array_join(segs, '')) + 1) ELSE '' END AS tail",
-        "CASE WHEN contains(array_join(parts, ''), '\\r\\n') THEN '\\r\\n' ELSE '\\n' END AS eol",
+    twin = "get(filter(transform({0}, (c, i) -> CASE WHEN exists(slice({0}, 1, i), d -> d.item = c.item) THEN c.item END), c -> c IS NOT NULL), 0)"
+    twins = f"coalesce({twin.format('up')}, {twin.format('cells')})"
+    fault = f"""CASE WHEN strange IS NOT NULL THEN concat('unknown operation ', strange)
+        WHEN row_id IS NULL THEN 'an edit without a row_id' WHEN nameless > 0 THEN 'a cell without an item'
+        WHEN deletes > 1 OR (deletes > 0 AND size(up) > 0) THEN concat('two operations on row ', row_id, ' of ', category)
+        WHEN {twins} IS NOT NULL THEN concat('two values for ', {twins}, ' in row ', row_id, ' of ', category) END"""
+    regions = rows.selectExpr("*", f"{fault} AS fault").groupBy("path", "want", "category").agg(
+        F.expr("array_sort(collect_list(CASE WHEN deletes > 0 OR size(up) > 0 THEN struct(row_id, deletes > 0 AS gone, up) END)) AS changes"),
+        F.expr("array_sort(collect_list(CASE WHEN size(cells) > 0 THEN struct(row_id, cells) END)) AS added"),
+        F.min("fault").alias("fault"),
     )
+    return regions.groupBy("path").agg(F.expr("collect_list(struct(want, category, changes, added, fault)) AS edits"))
+
+
+# --- steps over the edited categories of one file -----------------------------------------------------------------------
+
+
+def _step(frame: DataFrame, **new: str) -> DataFrame:
+    """Add fields to each edited category ``r`` of the list ``regs``: one stage, so that no field is computed twice."""
+    known = [f for f in frame.schema["regs"].dataType.elementType.names if f not in new]
+    fields = [f"'{f}', r.{f}" for f in known] + [f"'{f}', {text}" for f, text in new.items()]
+    others = [c for c in frame.columns if c != "regs"]
+    return frame.selectExpr(*others, f"transform(regs, r -> named_struct({', '.join(fields)})) AS regs")
+
+
+def _without(frame: DataFrame, *gone: str) -> DataFrame:
+    kept = [f for f in frame.schema["regs"].dataType.elementType.names if f not in gone]
+    others = [c for c in frame.columns if c != "regs"]
+    return frame.selectExpr(*others, f"transform(regs, r -> named_struct({', '.join(f'{chr(39)}{f}{chr(39)}, r.{f}' for f in kept)})) AS regs")
+
+
+def _row_step(frame: DataFrame, **new: str) -> DataFrame:
+    """As ``_step``, for the rows ``x`` of the list ``r.rows``."""
+    known = [f for f in frame.schema["regs"].dataType.elementType["rows"].dataType.elementType.names if f not in new]
+    fields = [f"'{f}', x.{f}" for f in known] + [f"'{f}', {text}" for f, text in new.items()]
+    return _step(frame, rows=f"transform(r.rows, x -> named_struct({', '.join(fields)}))")
+
+
+def _stop(message: str, kind: str) -> str:
+    return f"CAST(raise_error(concat('cannot apply an edit to ', path, ': ', {message})) AS {kind})"
+
+
+def _placed(files: DataFrame) -> DataFrame:
+    """Find the edited categories: ``path, content, lex, regs``; ``files`` have ``path, content, edits``."""
+    lexed = files.selectExpr("path", "content", "edits", f"{g.lexemes('content')} AS lex")
+    found = lexed.selectExpr("*", f"{g.block_starts('lex')} AS starts")
+    one = f"named_struct('name', lower({g.header_name('element_at(lex, p)')}), 'from', p, 'to', coalesce(get(starts, i + 1), size(lex) + 1))"
+    # A file without a block header is one block without a name.
+    whole = "array(named_struct('name', CAST(NULL AS string), 'from', 1, 'to', size(lex) + 1))"
+    found = found.selectExpr("*", f"CASE WHEN size(starts) > 0 THEN transform(starts, (p, i) -> {one}) ELSE {whole} END AS blocks")
+    found = read.marks(found)
+    hits = "CASE WHEN r.want IS NULL THEN slice(blocks, 1, 1) ELSE filter(blocks, b -> b.name = r.want) END"
+    regs = found.selectExpr("path", "content", "lex", "blocks", "marks", "edits AS regs")
+    regs = _step(regs, hits=hits)
+    fault = "CASE WHEN r.fault IS NOT NULL THEN r.fault WHEN size(r.hits) = 0 THEN concat('no block ', r.want) WHEN size(r.hits) > 1 THEN concat('block ', r.want, ' is ambiguous') END"
+    regs = _step(regs, fault=fault)
+    regs = _step(regs, block=f"CASE WHEN r.fault IS NULL THEN get(r.hits, 0) ELSE {_stop('r.fault', 'struct<name:string,from:int,to:int>')} END")
+    regs = _step(regs, own="filter(marks, m -> m.p >= r.block.from AND m.p < r.block.to)")
+    regs = _step(regs, at="CAST(array_position(transform(r.own, m -> lower(m.cat)), r.category) AS int)")
+    absent = _stop("concat('category ', coalesce(r.category, 'NULL'), ' is not in the block')", "int")
+    regs = _step(regs, at=f"CASE WHEN r.at > 0 THEN r.at ELSE {absent} END")
+    regs = _step(regs, is_loop="coalesce(get(r.own, r.at - 2).k = 'L', false)", spelling="get(r.own, r.at - 1).cat", heads="slice(r.own, r.at, size(r.own))")
+    # How many tags of the category follow each other; in a loop, up to the first one with values behind it.
+    other = "array_position(transform(r.heads, m -> coalesce(m.cat = r.spelling, false)), false)"
+    regs = _step(regs, run=f"coalesce(nullif({other}, 0) - 1, size(r.heads))", first="array_position(transform(r.heads, m -> m.has), true)")
+    regs = _step(regs, tags="slice(r.heads, 1, CAST(CASE WHEN r.is_loop AND r.first > 0 THEN least(r.run, r.first) ELSE r.run END AS int))")
+    last = "element_at(r.tags, -1)"
+    regs = _step(
+        regs,
+        items="transform(r.tags, t -> t.item)",
+        start=f"CASE WHEN r.is_loop THEN {last}.p ELSE get(r.tags, 0).p END",
+        stop=f"{last}.p + {last}.n + 1",
+        lead=f"CASE WHEN r.is_loop THEN element_at(lex, {last}.p) ELSE '' END",
+        body=f"CASE WHEN r.is_loop THEN array_join(slice(lex, {last}.p + 1, {last}.n), '') ELSE '' END",
+        pairs="CASE WHEN r.is_loop THEN CAST(array() AS array<string>) ELSE transform(r.tags, t -> array_join(slice(lex, t.p, t.n + 1), '')) END",
+    )
+    # Offsets in characters, which are bytes here.
+    regs = _step(
+        regs,
+        begin="length(array_join(slice(lex, 1, r.start - 1), '')) + 1",
+        width="length(r.lead) + length(r.body) + length(array_join(r.pairs, ''))",
+        eol="CASE WHEN contains(r.lead, '\\r\\n') OR contains(r.body, '\\r\\n') OR contains(array_join(r.pairs, ''), '\\r\\n') THEN '\\r\\n' ELSE '\\n' END",
+    )
+    regs = _without(regs, "want", "fault", "hits", "block", "own", "at", "heads", "run", "first", "tags", "start", "stop")
+    return regs.drop("lex", "blocks", "marks")
 
 
-def _patched_segments(regions: DataFrame, edits: DataFrame) -> DataFrame:
-    """Rows (or items) with their edits applied: ``path, block_ord, category, segs[(no, main, rest, gone)]``."""
-    changed = (
-        edits.filter(F.col("op").isin("update", "delete"))
-        .groupBy(*_REGION, "row_id")
-        .agg(
-            F.expr("max(op = 'delete') AS gone"),
-            F.expr(f"map_from_entries(collect_list(CASE WHEN op = 'update' THEN struct(lower(item), struct({_VALUE} AS v)) END)) AS new"),
-        )
+def _cut(regs: DataFrame) -> DataFrame:
+    """Cut the categories to rows ``segs`` (each with the comments in front of it) and check rows and items of the edits.
+
+    A cut-short last row gets a ``?`` for each missing value, where an edit needs it.
+    """
+    cut = g.all_of("r.body", f"concat({g.lit(g.ROW_WITH_COMMENTS[0])}, size(r.items), {g.lit(g.ROW_WITH_COMMENTS[1])})")
+    regs = _step(regs, segs=f"CASE WHEN r.is_loop THEN {cut} ELSE r.pairs END", low="transform(r.items, i -> lower(i))")
+    named = "concat(flatten(transform(r.changes, c -> transform(c.up, u -> u.item))), flatten(transform(r.added, a -> transform(a.cells, u -> u.item))))"
+    regs = _step(
+        regs,
+        n="size(r.segs)",
+        strange=f"get(array_except({named}, r.low), 0)",
+        outside="get(filter(r.changes, c -> c.row_id < 0 OR c.row_id >= CASE WHEN r.is_loop THEN size(r.segs) ELSE 1 END), 0).row_id",
+        last=f"CASE WHEN r.is_loop AND size(r.segs) > 0 THEN {g.pieces('element_at(r.segs, -1)')} ELSE CAST(array() AS array<string>) END",
+    )
+    fault = "CASE WHEN r.strange IS NOT NULL THEN concat('no item ', r.strange, ' in ', r.category) WHEN r.outside IS NOT NULL THEN concat('no row ', r.outside, ' in ', r.category) END"
+    regs = _step(
+        regs,
+        category=f"CASE WHEN r.strange IS NULL AND r.outside IS NULL THEN r.category ELSE {_stop(fault, 'string')} END",
+        missing=f"CASE WHEN size(r.last) > 0 THEN size(r.items) - size(filter(r.last, x -> NOT {g.is_comment('x')})) ELSE 0 END",
+        tail="substring(r.body, length(array_join(r.segs, '')) + 1)",
     )
-    inserts = edits.filter(F.col("op") == "insert").select(*_REGION).distinct().withColumn("adds", F.lit(True))
-    at_line = "coalesce(right(get(segs, i - 1), 1) = '\\n', right(lead, 1) IN ('\\n', ''))"
-    placed = f"transform(segs, (s, i) -> named_struct('no', i, 's', s, 'at_line', {at_line}, 'more', i < size(segs) - 1))"
-    rows = read.unroll(regions, [*_REGION, "is_loop", "items", "eol", "tail"], F.expr(placed), "x").selectExpr(
-        *_REGION, "is_loop", "items", "eol", "tail", "x.*", "CAST(CASE WHEN is_loop THEN x.no ELSE 0 END AS bigint) AS row_id"
+    needed = "exists(r.changes, c -> c.row_id = r.n - 1 AND exists(c.up, u -> array_position(r.low, u.item) > size(r.items) - r.missing))"
+    regs = _step(regs, fills=f"r.missing > 0 AND (size(r.added) > 0 OR {needed})")
+    at = f"array_max(transform(r.last, (x, i) -> CASE WHEN NOT {g.is_comment('x')} THEN i END))"
+    blank = f"regexp_extract(x, {g.lit(r'(?s)(\s*)\z')}, 1)"
+    full = f"concat(substring(x, 1, length(x) - length({blank})), repeat(' ?', r.missing), {blank})"
+    row = f"array_join(transform(r.last, (x, i) -> CASE WHEN i = r.value_at THEN {full} ELSE x END), '')"
+    regs = _step(regs, value_at=at)
+    regs = _step(regs, segs=f"CASE WHEN r.fills THEN concat(slice(r.segs, 1, r.n - 1), array({row})) ELSE r.segs END")
+    return _without(regs, "body", "pairs", "low", "strange", "outside", "last", "missing", "fills", "value_at")
+
+
+def _rewritten(regs: DataFrame) -> DataFrame:
+    """Rewrite the rows that have edits, and the last one: ``r.rows[(no, main, rest, gone)]``; ``main`` ends with the last value."""
+    none = "CAST(array() AS array<struct<item:string,value:string>>)"
+    plain = f"named_struct('no', {{}}, 'gone', false, 'up', {none})"
+    edited = "transform(r.changes, c -> named_struct('no', CAST(c.row_id AS int), 'gone', c.gone, 'up', c.up))"
+    more = f"CASE WHEN r.n = 0 OR exists(r.changes, c -> c.row_id = r.n - 1) THEN array() ELSE array({plain.format('r.n - 1')}) END"
+    # All items of a key-value category are its row 0.
+    of_pairs = f"transform(r.segs, (s, i) -> named_struct('no', i, 'gone', coalesce(get(r.changes, 0).gone, false), 'up', coalesce(get(r.changes, 0).up, {none})))"
+    regs = _step(regs, rows=f"CASE WHEN r.is_loop THEN concat({edited}, {more}) ELSE {of_pairs} END", adds="size(r.added) > 0")
+    regs = _row_step(
+        regs,
+        cut=g.pieces("get(r.segs, x.no)"),
+        at_line="coalesce(right(get(r.segs, x.no - 1), 1) = '\\n', right(r.lead, 1) IN ('\\n', ''))",
+        more="x.no < r.n - 1",
     )
-    rows = rows.join(changed, [*_REGION, "row_id"], "left").join(inserts, _REGION, "left")
-    rows = rows.selectExpr("*", f"{g.pieces('s')} AS cut", "coalesce(gone, false) AS is_gone", "coalesce(adds, false) AS has_adds")
-    # Every piece with the number of its token in the row, and the value it is to get.
+    # Every piece with the number of its token in the row.
     numbered = (
-        "named_struct('x', x, 'ws', regexp_extract(x, '(?s)(\\\\s*)\\\\z', 1), "
-        "'k', size(filter(slice(cut, 1, i), y -> NOT startswith(y, '#'))), 'comment', startswith(x, '#'), "
-        "'at_line', CASE WHEN i = 0 THEN at_line ELSE right(get(cut, i - 1), 1) = '\\n' END, "
-        "'more', i < size(cut) - 1 OR more OR length(tail) > 0)"
+        "named_struct('x', p, 'ws', regexp_extract(p, '(?s)(\\\\s*)\\\\z', 1), "
+        "'k', size(filter(slice(x.cut, 1, i), y -> NOT startswith(y, '#'))), 'comment', startswith(p, '#'), "
+        "'at_line', CASE WHEN i = 0 THEN x.at_line ELSE right(get(x.cut, i - 1), 1) = '\\n' END, "
+        "'more', i < size(x.cut) - 1 OR x.more OR length(r.tail) > 0)"
     )
-    rows = rows.selectExpr("*", f"transform(cut, (x, i) -> {numbered}) AS numbered")
-    own = "lower(get(items, no))"
-    rows = rows.selectExpr(
-        "*",
+    regs = _row_step(regs, numbered=f"transform(x.cut, (p, i) -> {numbered})")
+    named = lambda item: f"get(filter(x.up, u -> u.item = lower({item})), 0)"
+    regs = _row_step(
+        regs,
         # Key-value rows that get company become a loop: the tags leave the values.
-        "NOT is_loop AND has_adds AND NOT is_gone AS promoted",
-        "exists(numbered, p -> NOT p.comment AND p.k = 1) AS has_value",
-        f"try_element_at(new, {own}) AS own",
+        promoted="NOT r.is_loop AND r.adds AND NOT x.gone",
+        has_value="exists(x.numbered, p -> NOT p.comment AND p.k = 1)",
+        own=named("get(r.items, x.no)"),
     )
-    item = f"CASE WHEN is_loop THEN lower(get(items, p.k)) WHEN p.k = 1 THEN {own} END"
-    role = "CASE WHEN p.comment THEN 'comment' WHEN NOT is_loop AND p.k = 0 THEN 'tag' WHEN is_loop OR p.k = 1 THEN 'value' ELSE 'stray' END"
-    found = f"CASE WHEN {role} = 'value' THEN try_element_at(new, {item}) WHEN {role} = 'tag' AND NOT has_value THEN own END"
-    step = f"named_struct('x', p.x, 'ws', p.ws, 'at_line', p.at_line, 'more', p.more, 'comment', p.comment, 'role', {role}, 'found', {found})"
-    rows = rows.selectExpr("*", f"transform(numbered, p -> {step}) AS pieces")
-    field = f"coalesce({render.needs_text_field('p.found.v')}, false)"
-    shown = render.value("p.found.v", eol="eol")
+    role = "CASE WHEN p.comment THEN 'comment' WHEN NOT r.is_loop AND p.k = 0 THEN 'tag' WHEN r.is_loop OR p.k = 1 THEN 'value' ELSE 'stray' END"
+    found = f"CASE WHEN {role} = 'value' THEN CASE WHEN r.is_loop THEN {named('get(r.items, p.k)')} ELSE x.own END WHEN {role} = 'tag' AND NOT x.has_value THEN x.own END"
+    piece = f"named_struct('x', p.x, 'ws', p.ws, 'at_line', p.at_line, 'more', p.more, 'comment', p.comment, 'role', {role}, 'found', {found})"
+    regs = _row_step(regs, numbered=f"transform(x.numbered, p -> {piece})")
+    field = f"coalesce({render.needs_text_field('p.found.value')}, false)"
+    shown = render.value("p.found.value", eol="r.eol")
     replaced = (
-        f"concat(CASE WHEN {field} AND NOT p.at_line THEN eol ELSE '' END, {shown}, "
-        f"CASE WHEN {field} AND p.more AND NOT contains(p.ws, '\\n') THEN eol ELSE '' END, p.ws)"
+        f"concat(CASE WHEN {field} AND NOT p.at_line THEN r.eol ELSE '' END, {shown}, "
+        f"CASE WHEN {field} AND p.more AND NOT contains(p.ws, '\\n') THEN r.eol ELSE '' END, p.ws)"
     )
     tag = (
-        "concat(CASE WHEN promoted THEN '' ELSE substring(p.x, 1, length(p.x) - length(p.ws)) END, "
-        f"CASE WHEN p.found IS NOT NULL THEN concat(CASE WHEN {field} THEN eol ELSE ' ' END, {shown}) "
-        "WHEN promoted AND NOT has_value THEN ' ?' ELSE '' END, "
-        f"CASE WHEN promoted AND has_value THEN regexp_replace(p.ws, {g.lit(r'^[ \t\r]*\n')}, '') ELSE p.ws END)"
+        "concat(CASE WHEN x.promoted THEN '' ELSE substring(p.x, 1, length(p.x) - length(p.ws)) END, "
+        f"CASE WHEN p.found IS NOT NULL THEN concat(CASE WHEN {field} THEN r.eol ELSE ' ' END, {shown}) "
+        "WHEN x.promoted AND NOT x.has_value THEN ' ?' ELSE '' END, "
+        f"CASE WHEN x.promoted AND x.has_value THEN regexp_replace(p.ws, {g.lit(r'^[ \t\r]*\n')}, '') ELSE p.ws END)"
     )
-    rewritten = (
-        f"CASE WHEN is_gone AND p.role IN ('tag', 'value') THEN concat({g.lit(GONE)}, p.ws) WHEN p.role = 'tag' THEN {tag} "
+    text = (
+        f"CASE WHEN x.gone AND p.role IN ('tag', 'value') THEN concat({g.lit(GONE)}, p.ws) WHEN p.role = 'tag' THEN {tag} "
         f"WHEN p.role = 'value' AND p.found IS NOT NULL THEN {replaced} ELSE p.x END"
     )
-    rows = rows.selectExpr(
-        "*",
-        f"transform(pieces, p -> {rewritten}) AS texts",
-        "array_max(transform(pieces, (p, i) -> CASE WHEN NOT p.comment THEN i + 1 END)) AS last",
+    regs = _row_step(
+        regs,
+        texts=f"transform(x.numbered, p -> {text})",
+        end="array_max(transform(x.numbered, (p, i) -> CASE WHEN NOT p.comment THEN i + 1 END))",
     )
     # New rows go behind the line of the last value: comments further down stay behind them.
-    seg = (
-        "named_struct('no', no, 'main', array_join(slice(texts, 1, last), ''), "
-        "'rest', array_join(slice(texts, last + 1, size(texts)), ''), 'gone', is_gone)"
-    )
-    return rows.selectExpr(*_REGION, f"{seg} AS seg").groupBy(*_REGION).agg(F.expr("array_sort(collect_list(seg)) AS segs"))
-
+    seg = "named_struct('no', x.no, 'main', array_join(slice(x.texts, 1, x.end), ''), 'rest', array_join(slice(x.texts, x.end + 1, size(x.texts)), ''), 'gone', x.gone)"
+    return _step(regs, rows=f"transform(r.rows, x -> {seg})")
 
-def _inserted(edits: DataFrame) -> DataFrame:
-    """New rows of each category in order: ``path, block_ord, category, added[map item -> value]``."""
-    cells = edits.filter(F.col("op") == "insert")
-    rows = cells.groupBy(*_REGION, "row_id").agg(F.expr(f"map_from_entries(collect_list(struct(lower(item), {_VALUE}))) AS row"))
-    order = "CASE WHEN a.row_id < b.row_id THEN -1 WHEN a.row_id > b.row_id THEN 1 ELSE 0 END"
-    listed = f"transform(array_sort(collect_list(struct(row_id, row)), (a, b) -> {order}), x -> x.row)"
-    return rows.groupBy(*_REGION).agg(F.expr(f"{listed} AS added"))
 
-
-def _patched_regions(regions: DataFrame, edits: DataFrame) -> DataFrame:
-    """New text of each edited category: ``path, block_ord, category, start, width, text``."""
-    joined = regions.drop("segs").join(_patched_segments(regions, edits), _REGION, "left").join(_inserted(edits), _REGION, "left")
+def _renewed(regs: DataFrame) -> DataFrame:
+    """The new text of each edited category: ``regs[(begin, width, text)]``."""
+    # Rows without edits between the rewritten ones are joined as they are.
+    before = "coalesce(get(r.rows, j - 1).no, -1)"
+    gap = f"array_join(slice(r.segs, {before} + 2, x.no - {before} - 1), '')"
+    body = f"array_join(transform(r.rows, (x, j) -> concat({gap}, CASE WHEN j < size(r.rows) - 1 THEN concat(x.main, x.rest) ELSE '' END)), '')"
+    regs = _step(regs, body=body, main="coalesce(get(r.rows, size(r.rows) - 1).main, '')", rest="coalesce(get(r.rows, size(r.rows) - 1).rest, '')", gone="exists(r.rows, x -> x.gone)")
     # Head: up to the end of the line of the last value. An empty loop takes new rows at its very end.
-    joined = joined.selectExpr(
-        *[c for c in joined.columns if c != "segs"],
-        "coalesce(segs, CAST(array() AS array<struct<no:int,main:string,rest:string,gone:boolean>>)) AS segs",
-    )
-    joined = joined.selectExpr("*", "size(segs) AS n", "CASE WHEN size(segs) > 0 THEN element_at(segs, -1).main ELSE '' END AS main")
-    all_but = "array_join(transform(slice(segs, 1, greatest(n - 1, 0)), s -> concat(s.main, s.rest)), '')"
-    joined = joined.selectExpr("*", f"regexp_extract(main, {g.lit(r'(?s)^(.*\S[^\S\n]*\n?)\s*\z')}, 1) AS line")
-    joined = joined.selectExpr(
-        "*",
-        f"concat(lead, {all_but}, line) AS head0",
-        "concat(substring(main, length(line) + 1), CASE WHEN n > 0 THEN element_at(segs, -1).rest ELSE '' END, tail) AS after0",
-    )
+    regs = _step(regs, line=f"regexp_extract(r.main, {g.lit(r'(?s)^(.*\S[^\S\n]*\n?)\s*\z')}, 1)")
+    regs = _step(regs, head0="concat(r.lead, r.body, r.line)", after0="concat(substring(r.main, length(r.line) + 1), r.rest, r.tail)")
     # A comment behind the last value finishes its line.
     moved = (
-        "CASE WHEN n = 0 THEN after0 WHEN NOT endswith(head0, '\\n') AND length(after0) > 0 "
-        f"THEN regexp_extract(after0, {g.lit(r'^([^\n]*\n?)')}, 1) ELSE '' END"
-    )
-    joined = joined.selectExpr("*", f"{moved} AS moved", "exists(segs, s -> s.gone) AS gone")
-    header = "concat('loop_', eol, array_join(transform(items, i -> concat('_', spelling, '.', i, eol)), ''))"
-    # New rows as arrays of values in the order of the items.
-    joined = joined.selectExpr(
-        "*",
-        "concat(head0, moved) AS head",
-        "substring(after0, length(moved) + 1) AS after",
-        f"{header} AS header",
-        "transform(added, row -> transform(items, i -> try_element_at(row, lower(i)))) AS cells",
+        "CASE WHEN r.n = 0 THEN r.after0 WHEN NOT endswith(r.head0, '\\n') AND length(r.after0) > 0 "
+        f"THEN regexp_extract(r.after0, {g.lit(r'^([^\n]*\n?)')}, 1) ELSE '' END"
     )
-    field = lambda v: f"coalesce({render.needs_text_field(v)}, false)"
-    shown = render.value("v", eol="eol")
-    gap = f"CASE WHEN i = 0 THEN '' WHEN {field('v')} OR {field('get(c, i - 1)')} THEN eol ELSE ' ' END"
-    loop_row = f"concat(array_join(transform(c, (v, i) -> concat({gap}, {shown})), ''), eol)"
-    pair = f"concat('_', spelling, '.', get(items, i), CASE WHEN {field('v')} THEN eol ELSE ' ' END, {shown}, eol)"
-    joined = joined.selectExpr(
-        "*",
-        f"array_join(transform(cells, c -> {loop_row}), '') AS loop_rows",
-        f"array_join(transform(get(cells, 0), (v, i) -> {pair}), '') AS pair_rows",
+    regs = _step(regs, moved=moved)
+    cells = "transform(r.added, a -> transform(r.items, i -> get(filter(a.cells, c -> c.item = lower(i)), 0).value))"
+    header = "concat('loop_', r.eol, array_join(transform(r.items, i -> concat('_', r.spelling, '.', i, r.eol)), ''))"
+    regs = _step(regs, head="concat(r.head0, r.moved)", after="substring(r.after0, length(r.moved) + 1)", header=header, cells=cells)
+    field = lambda v: f"coalesce({render.needs_text_field(v)}, false)"
+    shown = render.value("v", eol="r.eol")
+    gap = f"CASE WHEN i = 0 THEN '' WHEN {field('v')} OR {field('get(c, i - 1)')} THEN r.eol ELSE ' ' END"
+    loop_row = f"concat(array_join(transform(c, (v, i) -> concat({gap}, {shown})), ''), r.eol)"
+    pair = f"concat('_', r.spelling, '.', get(r.items, i), CASE WHEN {field('v')} THEN r.eol ELSE ' ' END, {shown}, r.eol)"
+    new = (
+        f"CASE WHEN NOT r.adds THEN '' WHEN r.is_loop OR NOT r.gone THEN array_join(transform(r.cells, c -> {loop_row}), '') "
+        f"WHEN size(r.added) > 1 THEN concat(r.header, array_join(transform(r.cells, c -> {loop_row}), '')) "
+        f"ELSE array_join(transform(get(r.cells, 0), (v, i) -> {pair}), '') END"
     )
-    rows = (
-        "CASE WHEN added IS NULL THEN '' WHEN is_loop OR NOT gone THEN loop_rows "
-        "WHEN size(added) > 1 THEN concat(header, loop_rows) ELSE pair_rows END"
-    )
-    joined = joined.selectExpr("*", f"{rows} AS new_rows")
-    promote = "CASE WHEN added IS NOT NULL AND NOT is_loop AND NOT gone THEN header ELSE '' END"
-    open_end = "CASE WHEN new_rows <> '' AND NOT endswith(head, '\\n') THEN eol ELSE '' END"
-    joined = joined.selectExpr(*_REGION, "start", "width", "gone", f"concat({promote}, head, {open_end}, new_rows, after) AS text")
-    clean = "text"
+    regs = _step(regs, new=new)
+    promote = "CASE WHEN r.adds AND NOT r.is_loop AND NOT r.gone THEN r.header ELSE '' END"
+    open_end = "CASE WHEN r.new <> '' AND NOT endswith(r.head, '\\n') THEN r.eol ELSE '' END"
+    regs = _step(regs, text=f"concat({promote}, r.head, {open_end}, r.new, r.after)")
+    clean = "r.text"
     for pattern, kept in (
         (r"(?d)\n[ \t\r]*" + _RUN + r"[ \t\r]*\z", ""),
         (r"(?dm)^[ \t\r]*" + _RUN + r"[ \t\r]*\n", ""),
@@ -212,67 +280,18 @@ def _patched_regions(regions: DataFrame, edits: DataFrame) -> DataFrame:
         (r"[ \t\r]*" + _RUN, ""),
     ):
         clean = f"regexp_replace({clean}, {g.lit(pattern)}, '{kept}')"
-    return joined.selectExpr(*_REGION, "start", "width", f"CASE WHEN gone THEN {clean} ELSE text END AS text")
-
-
-def _fault() -> str:
-    """What is wrong with an edit that was joined with its block and its category; NULL if nothing is."""
-    cell = "op IN ('update', 'insert')"
-    rules = [
-        ("op IS NULL OR op NOT IN ('update', 'delete', 'insert')", "concat('unknown operation ', coalesce(op, 'NULL'))"),
-        ("NOT in_src", "'no such file'"),
-        ("block_ord IS NULL", "concat('no block ', coalesce(want, 'at all'))"),
-        ("blocks > 1", "concat('block ', want, ' is ambiguous')"),
-        ("items IS NULL", "concat('category ', coalesce(category, 'NULL'), ' is not in the block')"),
-        ("row_id IS NULL", "'an edit without a row_id'"),
-        (f"{cell} AND item IS NULL", "'a cell without an item'"),
-        (f"{cell} AND NOT array_contains(transform(items, i -> lower(i)), lower(item))", "concat('no item ', item, ' in ', category)"),
-        ("op <> 'insert' AND (row_id < 0 OR row_id >= n_rows)", "concat('no row ', row_id, ' in ', category)"),
-        ("op <> 'insert' AND deletes > 0 AND (updates > 0 OR deletes > 1)", "concat('two operations on row ', row_id, ' of ', category)"),
-        (f"{cell} AND same > 1", "concat('two values for ', item, ' in row ', row_id, ' of ', category)"),
-    ]
-    return "CASE " + " ".join(f"WHEN {test} THEN {text}" for test, text in rules) + " END"
-
-
-def _checked(edits: DataFrame, src: DataFrame, sections: DataFrame, regions: DataFrame) -> DataFrame:
-    """Every edit with the block it is for; the first one that has no place, or a rival, stops the job.
-
-    ``pads`` marks edits that need all cells of a cut-short last row to be there.
-    """
-    edits = edits.withColumn("want", F.lower("block_name")).drop("block_name")
-    files = src.select("path").distinct().withColumn("found", F.lit(True))
-    edits = edits.join(files, "path", "left").withColumn("in_src", F.coalesce("found", F.lit(False))).drop("found")
-    named = sections.filter(F.col("block_ord") >= 0).select("path", "block_ord", F.lower("block_name").alias("bname"))
-    first = named.filter("block_ord = 0").select("path", "block_ord", F.lit(None).cast("string").alias("bname"), F.lit(1).cast("bigint").alias("blocks"))
-    by_name = named.filter("bname IS NOT NULL").groupBy("path", "bname").agg(F.min("block_ord").alias("block_ord"), F.count("*").alias("blocks"))
-    where = first.unionByName(by_name).withColumnsRenamed({"path": "bpath", "bname": "bwant"})
-    placed = edits.join(where, (F.col("path") == F.col("bpath")) & F.col("want").eqNullSafe(F.col("bwant")), "left").drop("bpath", "bwant")
-    shape = regions.selectExpr(*_REGION, "items", "CASE WHEN is_loop THEN size(segs) ELSE 1 END AS n_rows", "is_loop", "missing")
-    placed = placed.join(shape, _REGION, "left")
-    of_row = ["path", "want", "category", "row_id"]
-    rivals = placed.groupBy(*of_row).agg(F.count_if(F.col("op") == "update").alias("updates"), F.count_if(F.col("op") == "delete").alias("deletes"))
-    twins = placed.groupBy(*of_row, "op", F.lower("item").alias("key")).agg(F.count("*").alias("same"))
-    same = lambda left, right, on: left.join(right.withColumnsRenamed({c: f"_{c}" for c in on}), [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in on], "left").drop(*[f"_{c}" for c in on])
-    placed = same(placed, rivals, of_row)
-    placed = same(placed.withColumn("key", F.lower("item")), twins, [*of_row, "op", "key"]).drop("key")
-    error = f"CAST(raise_error(concat('cannot apply an edit to ', coalesce(path, 'NULL'), ': ', {_fault()})) AS boolean)"
-    placed = placed.filter(f"CASE WHEN {_fault()} IS NULL THEN true ELSE {error} END")
-    cut = "array_position(transform(items, i -> lower(i)), lower(item)) > size(items) - missing"
-    pads = f"is_loop AND missing > 0 AND (op = 'insert' OR (op = 'update' AND row_id = n_rows - 1 AND {cut}))"
-    return placed.selectExpr("path", "block_ord", "category", "op", "row_id", "item", "value", f"{pads} AS pads")
-
-
-def _filled(regions: DataFrame, edits: DataFrame) -> DataFrame:
-    """Regions whose cut-short last row gets a ``?`` for each missing value, where an edit needs it."""
-    needed = edits.filter("pads").select(*_REGION).distinct().withColumn("fill", F.lit(True))
-    last = "element_at(segs, -1)"
-    at = f"array_max(transform({g.pieces(last)}, (x, i) -> CASE WHEN NOT {g.is_comment('x')} THEN i END))"
-    blank = f"regexp_extract(x, {g.lit(r'(?s)(\s*)\z')}, 1)"
-    full = f"concat(substring(x, 1, length(x) - length({blank})), repeat(' ?', missing), {blank})"
-    row = f"array_join(transform({g.pieces(last)}, (x, i) -> CASE WHEN i = {at} THEN {full} ELSE x END), '')"
-    joined = regions.join(needed, _REGION, "left")
-    segs = f"CASE WHEN fill THEN concat(slice(segs, 1, size(segs) - 1), array({row})) ELSE segs END AS segs"
-    return joined.selectExpr(*[c for c in regions.columns if c not in ("segs", "missing")], segs)
+    regs = _step(regs, text=f"CASE WHEN r.gone THEN {clean} ELSE r.text END")
+    others = [c for c in regs.columns if c != "regs"]
+    return regs.selectExpr(*others, "array_sort(transform(regs, r -> named_struct('begin', r.begin, 'width', r.width, 'text', r.text))) AS splices")
+
+
+def spliced(content: str, splices: str, path: str = "path") -> str:
+    """Text with pieces replaced: SQL text. ``splices[(begin, width, text)]`` are in order; two that overlap stop the job."""
+    end = "CASE WHEN i = 0 THEN 1 ELSE get({0}, i - 1).begin + get({0}, i - 1).width END".format(splices)
+    clash = f"CAST(raise_error(concat('two edits overlap in ', {path})) AS string)"
+    kept = f"CASE WHEN s.begin < {end} THEN {clash} ELSE substring({content}, {end}, s.begin - ({end})) END"
+    behind = f"coalesce(get({splices}, size({splices}) - 1).begin + get({splices}, size({splices}) - 1).width, 1)"
+    return f"concat(array_join(transform({splices}, (s, i) -> concat({kept}, s.text)), ''), substring({content}, {behind}))"
 
 
 def patch_files(src: DataFrame, edits: DataFrame) -> DataFrame:
@@ -280,31 +299,20 @@ def patch_files(src: DataFrame, edits: DataFrame) -> DataFrame:
 
     An edit that has no place stops the job: an unknown file, block, category, item or row, two values for one cell, a row that
     is deleted and edited or deleted twice. Where a loop ends in the middle of a row, an edit of its missing cells or a new
-    row behind it fills the row with ``?`` first.
+    row behind it fills the row with ``?`` first. The edits are checkpointed once and measured; the text is read once.
     """
-    # Edits, lexemes and edited categories are each used several times: computed once, kept in the checkpoint folder.
     use_checkpoints(src.sparkSession)
-    edits = edits.withColumn("category", F.lower("category")).checkpoint()
-    touched = _latin(src.join(edits.select("path").distinct(), "path", "left_semi"))
-    error = "CAST(raise_error(concat('NUL byte in ', path)) AS boolean)"
-    touched = touched.filter(f"CASE WHEN contains(content, {g.lit(GONE)}) THEN {error} ELSE true END")
-    sections = _sections(touched).checkpoint()
-    regions = _regions(sections, edits.select("path", "category").distinct()).checkpoint()
-    wanted = _checked(edits, src, sections, regions).checkpoint()
-    regions = _filled(regions.join(wanted.select(*_REGION).distinct(), _REGION, "left_semi"), wanted)
-    new = _patched_regions(regions, wanted)
-    patches = new.drop("category").groupBy(*_KEYS).agg(
-        F.array_sort(F.collect_list(F.struct("start", "width", "text"))).alias("patches")
-    )
-    pieces = sections.join(patches, _KEYS, "left")
-    # Untouched lexemes in front of each patch, its text, and what follows the last one.
-    begin = "CASE WHEN i = 0 THEN 1 ELSE get(patches, i - 1).start + get(patches, i - 1).width END"
-    between = f"concat(array_join(slice(lex, {begin}, x.start - ({begin})), ''), x.text)"
-    end = "element_at(patches, -1).start + element_at(patches, -1).width"
-    rebuilt = f"concat(array_join(transform(patches, (x, i) -> {between}), ''), array_join(slice(lex, {end}, size(lex)), ''))"
-    texts = pieces.selectExpr("path", "block_ord", f"CASE WHEN patches IS NULL THEN array_join(lex, '') ELSE {rebuilt} END AS text")
-    files = texts.groupBy("path").agg(F.expr("array_sort(collect_list(struct(block_ord, text))) AS b"))
-    return files.selectExpr("0 AS file_ord", "path", "encode(array_join(transform(b, x -> x.text), ''), 'ISO-8859-1') AS content")
+    wanted = edits_by_path(edits).checkpoint()
+    held = wanted.agg(F.sum(F.octet_length(F.to_json(F.struct("path", "edits"))))).first()[0] or 0
+    files = _latin(src).select("path", "content").join(F.broadcast(wanted) if held <= BROADCAST_BYTES else wanted, "path")
+    nul = "CAST(raise_error(concat('NUL byte in ', path)) AS string)"
+    files = files.selectExpr("path", f"CASE WHEN contains(content, {g.lit(GONE)}) THEN {nul} ELSE content END AS content", "edits")
+    done = _renewed(_rewritten(_cut(_placed(files))))
+    out = done.selectExpr("0 AS file_ord", "path", f"encode({spliced('content', 'splices')}, 'ISO-8859-1') AS content")
+    # Edits of files that are not there: no rows, or the end of the job.
+    lost = wanted.select("path").join(src.select("path").distinct(), "path", "left_anti")
+    stop = "raise_error(concat('cannot apply an edit to ', coalesce(path, 'NULL'), ': no such file'))"
+    return out.unionByName(lost.selectExpr("0 AS file_ord", "path", f"CAST({stop} AS binary) AS content"))
 
 
 def edits_of(frame: DataFrame, category: str, op: str, items: list[str], block_name: str | None = None) -> DataFrame:

@@ -174,7 +174,7 @@ def split_blocks(src: DataFrame, partitions: int | None = None) -> DataFrame:
 # --- records -------------------------------------------------------------------------------------
 
 
-def _marks(frame: DataFrame) -> DataFrame:
+def marks(frame: DataFrame) -> DataFrame:
     """Add ``marks``: the structural lexemes ``(p, k, n, has, cat, item)``, n lexemes up to the next one."""
     kind = g.kind("x", "get(lex, i - 1)")
     found = f"filter(transform(lex, (x, i) -> named_struct('p', i + 1, 'k', {kind})), m -> m.k IS NOT NULL)"
@@ -189,7 +189,7 @@ def _marks(frame: DataFrame) -> DataFrame:
 
 def located(frame: DataFrame, categories: Sequence[str] | None, every: bool = False) -> DataFrame:
     """Add ``recs``: per category ``(category, is_loop, tags)``. The first record of a category counts, unless ``every``."""
-    frame = _marks(frame).selectExpr("*", "transform(marks, m -> lower(m.cat)) AS keys")
+    frame = marks(frame).selectExpr("*", "transform(marks, m -> lower(m.cat)) AS keys")
     if every:
         opens = "m.cat IS NOT NULL AND NOT coalesce(get(marks, i - 1).cat = m.cat, false)"
         at = f"filter(transform(marks, (m, i) -> CASE WHEN {opens} THEN i + 1 END), p -> p IS NOT NULL)"

@@ -120,21 +120,12 @@ FAULTS = {
 }
 
 
-@pytest.fixture(scope="module")
-def parsed(spark, source):
-    """Blocks and categories of the shop, cut once for all faults."""
-    src = source({"f": SHOP})
-    sections = patch._sections(patch._latin(src)).checkpoint()
-    wanted = spark.createDataFrame([("f", "stock"), ("f", "owner")], "path string, category string")
-    return src, sections, patch._regions(sections, wanted).checkpoint()
-
-
 @pytest.mark.parametrize("fault", [f for f in FAULTS if f != "cannot write"])
-def test_an_edit_without_a_place_stops_the_job(spark, parsed, fault):
+def test_an_edit_without_a_place_stops_the_job(spark, source, fault):
     """One good edit and the faulty ones: none gets through."""
     good = ("f", *change("owner", 0, "since", "2001"))
     with pytest.raises(Exception, match=fault):
-        patch._checked(spark.createDataFrame([good, *FAULTS[fault]], EDITS), *parsed).collect()
+        patch.patch_files(source({"f": SHOP}), spark.createDataFrame([good, *FAULTS[fault]], EDITS)).collect()
 
 
 @pytest.mark.parametrize("fault", ["no row 3", "cannot write"])
