@@ -73,27 +73,29 @@ def edits_by_path(edits: DataFrame) -> DataFrame:
 
 
 # --- steps over the edited categories of one file -----------------------------------------------------------------------
+#
+# Columns run in parallel, one element for each edited category k: ``edits``, ``regs`` (a few numbers and names, as each step copies
+# them), ``parts`` and ``segs`` (its text), ``rows`` (those that are rewritten).
 
 
 def _step(frame: DataFrame, **new: str) -> DataFrame:
-    """Add fields to each edited category ``r`` of the list ``regs``: one stage, so that no field is computed twice."""
+    """Add fields to each element ``r`` (number ``k``) of the list ``regs``; one stage, so that no field is computed twice."""
     known = [f for f in frame.schema["regs"].dataType.elementType.names if f not in new]
     fields = [f"'{f}', r.{f}" for f in known] + [f"'{f}', {text}" for f, text in new.items()]
-    others = [c for c in frame.columns if c != "regs"]
-    return frame.selectExpr(*others, f"transform(regs, r -> named_struct({', '.join(fields)})) AS regs")
+    return _column(frame, regs=f"transform(regs, (r, k) -> named_struct({', '.join(fields)}))")
 
 
-def _without(frame: DataFrame, *gone: str) -> DataFrame:
-    kept = [f for f in frame.schema["regs"].dataType.elementType.names if f not in gone]
-    others = [c for c in frame.columns if c != "regs"]
-    return frame.selectExpr(*others, f"transform(regs, r -> named_struct({', '.join(f'{chr(39)}{f}{chr(39)}, r.{f}' for f in kept)})) AS regs")
+def _column(frame: DataFrame, *gone: str, **new: str) -> DataFrame:
+    """Add columns, drop others."""
+    kept = [c for c in frame.columns if c not in gone and c not in new]
+    return frame.selectExpr(*kept, *[f"{text} AS {name}" for name, text in new.items()])
 
 
 def _row_step(frame: DataFrame, **new: str) -> DataFrame:
-    """As ``_step``, for the rows ``x`` of the list ``r.rows``."""
-    known = [f for f in frame.schema["regs"].dataType.elementType["rows"].dataType.elementType.names if f not in new]
+    """As ``_step``, for each rewritten row ``x``; its category is ``get(regs, k)``."""
+    known = [f for f in frame.schema["rows"].dataType.elementType.elementType.names if f not in new]
     fields = [f"'{f}', x.{f}" for f in known] + [f"'{f}', {text}" for f, text in new.items()]
-    return _step(frame, rows=f"transform(r.rows, x -> named_struct({', '.join(fields)}))")
+    return _column(frame, rows=f"transform(rows, (xs, k) -> transform(xs, x -> named_struct({', '.join(fields)})))")
 
 
 def _stop(message: str, kind: str) -> str:
@@ -101,48 +103,45 @@ def _stop(message: str, kind: str) -> str:
 
 
 def _placed(files: DataFrame) -> DataFrame:
-    """Find the edited categories: ``path, content, lex, regs``; ``files`` have ``path, content, edits``."""
+    """Find the edited categories: ``path, content, edits, regs, parts``; ``files`` have ``path, content, edits``."""
     lexed = files.selectExpr("path", "content", "edits", f"{g.lexemes('content')} AS lex")
     found = lexed.selectExpr("*", f"{g.block_starts('lex')} AS starts")
     one = f"named_struct('name', lower({g.header_name('element_at(lex, p)')}), 'from', p, 'to', coalesce(get(starts, i + 1), size(lex) + 1))"
     # A file without a block header is one block without a name.
     whole = "array(named_struct('name', CAST(NULL AS string), 'from', 1, 'to', size(lex) + 1))"
     found = found.selectExpr("*", f"CASE WHEN size(starts) > 0 THEN transform(starts, (p, i) -> {one}) ELSE {whole} END AS blocks")
-    found = read.marks(found)
-    hits = "CASE WHEN r.want IS NULL THEN slice(blocks, 1, 1) ELSE filter(blocks, b -> b.name = r.want) END"
-    regs = found.selectExpr("path", "content", "lex", "blocks", "marks", "edits AS regs")
-    regs = _step(regs, hits=hits)
+    found = _column(read.marks(found), "starts")
+    hits = "CASE WHEN e.want IS NULL THEN slice(blocks, 1, 1) ELSE filter(blocks, b -> b.name = e.want) END"
+    regs = _column(found, "blocks", regs=f"transform(edits, e -> named_struct('category', e.category, 'want', e.want, 'fault', e.fault, 'hits', {hits}))")
     fault = "CASE WHEN r.fault IS NOT NULL THEN r.fault WHEN size(r.hits) = 0 THEN concat('no block ', r.want) WHEN size(r.hits) > 1 THEN concat('block ', r.want, ' is ambiguous') END"
     regs = _step(regs, fault=fault)
-    regs = _step(regs, block=f"CASE WHEN r.fault IS NULL THEN get(r.hits, 0) ELSE {_stop('r.fault', 'struct<name:string,from:int,to:int>')} END")
-    regs = _step(regs, own="filter(marks, m -> m.p >= r.block.from AND m.p < r.block.to)")
-    regs = _step(regs, at="CAST(array_position(transform(r.own, m -> lower(m.cat)), r.category) AS int)")
+    block = f"CASE WHEN r.fault IS NULL THEN get(r.hits, 0) ELSE {_stop('r.fault', 'struct<name:string,from:int,to:int>')} END"
+    regs = _column(regs, regs=f"transform(regs, r -> named_struct('category', r.category, 'block', {block}))")
+    at = "CAST(array_position(transform(marks, m -> m.p >= r.block.from AND m.p < r.block.to AND coalesce(lower(m.cat) = r.category, false)), true) AS int)"
+    regs = _column(regs, regs=f"transform(regs, r -> named_struct('category', r.category, 'to', r.block.to, 'at', {at}))")
     absent = _stop("concat('category ', coalesce(r.category, 'NULL'), ' is not in the block')", "int")
     regs = _step(regs, at=f"CASE WHEN r.at > 0 THEN r.at ELSE {absent} END")
-    regs = _step(regs, is_loop="coalesce(get(r.own, r.at - 2).k = 'L', false)", spelling="get(r.own, r.at - 1).cat", heads="slice(r.own, r.at, size(r.own))")
+    regs = _step(regs, is_loop="coalesce(get(marks, r.at - 2).k = 'L', false)", spelling="get(marks, r.at - 1).cat")
     # How many tags of the category follow each other; in a loop, up to the first one with values behind it.
-    other = "array_position(transform(r.heads, m -> coalesce(m.cat = r.spelling, false)), false)"
-    regs = _step(regs, run=f"coalesce(nullif({other}, 0) - 1, size(r.heads))", first="array_position(transform(r.heads, m -> m.has), true)")
-    regs = _step(regs, tags="slice(r.heads, 1, CAST(CASE WHEN r.is_loop AND r.first > 0 THEN least(r.run, r.first) ELSE r.run END AS int))")
-    last = "element_at(r.tags, -1)"
+    heads = "slice(marks, r.at, size(marks))"
+    other = f"array_position(transform({heads}, m -> coalesce(m.p < r.to AND m.cat = r.spelling, false)), false)"
+    regs = _step(regs, run=f"coalesce(nullif({other}, 0) - 1, size(marks) - r.at + 1)", first=f"array_position(transform({heads}, m -> m.has), true)")
+    tags = "slice(marks, r.at, CAST(CASE WHEN r.is_loop AND r.first > 0 THEN least(r.run, r.first) ELSE r.run END AS int))"
+    regs = _column(regs, "marks", tags=f"transform(regs, r -> {tags})")
+    last = "element_at(get(tags, k), -1)"
     regs = _step(
         regs,
-        items="transform(r.tags, t -> t.item)",
-        start=f"CASE WHEN r.is_loop THEN {last}.p ELSE get(r.tags, 0).p END",
-        stop=f"{last}.p + {last}.n + 1",
+        items="transform(get(tags, k), t -> t.item)",
+        start=f"CASE WHEN r.is_loop THEN {last}.p ELSE get(get(tags, k), 0).p END",
         lead=f"CASE WHEN r.is_loop THEN element_at(lex, {last}.p) ELSE '' END",
-        body=f"CASE WHEN r.is_loop THEN array_join(slice(lex, {last}.p + 1, {last}.n), '') ELSE '' END",
-        pairs="CASE WHEN r.is_loop THEN CAST(array() AS array<string>) ELSE transform(r.tags, t -> array_join(slice(lex, t.p, t.n + 1), '')) END",
     )
-    # Offsets in characters, which are bytes here.
-    regs = _step(
-        regs,
-        begin="length(array_join(slice(lex, 1, r.start - 1), '')) + 1",
-        width="length(r.lead) + length(r.body) + length(array_join(r.pairs, ''))",
-        eol="CASE WHEN contains(r.lead, '\\r\\n') OR contains(r.body, '\\r\\n') OR contains(array_join(r.pairs, ''), '\\r\\n') THEN '\\r\\n' ELSE '\\n' END",
-    )
-    regs = _without(regs, "want", "fault", "hits", "block", "own", "at", "heads", "run", "first", "tags", "start", "stop")
-    return regs.drop("lex", "blocks", "marks")
+    # The body of a loop, or the items of a key-value category; offsets count characters, which are bytes here.
+    body = f"CASE WHEN r.is_loop THEN array(array_join(slice(lex, {last}.p + 1, {last}.n), '')) ELSE transform(get(tags, k), t -> array_join(slice(lex, t.p, t.n + 1), '')) END"
+    regs = _column(regs, parts=f"transform(regs, (r, k) -> {body})")
+    regs = _step(regs, begin="length(array_join(slice(lex, 1, r.start - 1), '')) + 1", width="length(r.lead) + length(array_join(get(parts, k), ''))")
+    eol = "CASE WHEN contains(r.lead, '\\r\\n') OR exists(get(parts, k), x -> contains(x, '\\r\\n')) THEN '\\r\\n' ELSE '\\n' END"
+    regs = _step(regs, eol=eol, adds="size(get(edits, k).added) > 0")
+    return _column(regs, "lex", "tags")
 
 
 def _cut(regs: DataFrame) -> DataFrame:
@@ -150,78 +149,85 @@ def _cut(regs: DataFrame) -> DataFrame:
 
     A cut-short last row gets a ``?`` for each missing value, where an edit needs it.
     """
-    cut = g.all_of("r.body", f"concat({g.lit(g.ROW_WITH_COMMENTS[0])}, size(r.items), {g.lit(g.ROW_WITH_COMMENTS[1])})")
-    regs = _step(regs, segs=f"CASE WHEN r.is_loop THEN {cut} ELSE r.pairs END", low="transform(r.items, i -> lower(i))")
-    named = "concat(flatten(transform(r.changes, c -> transform(c.up, u -> u.item))), flatten(transform(r.added, a -> transform(a.cells, u -> u.item))))"
+    cut = g.all_of("get(get(parts, k), 0)", f"concat({g.lit(g.ROW_WITH_COMMENTS[0])}, size(r.items), {g.lit(g.ROW_WITH_COMMENTS[1])})")
+    regs = _column(regs, segs=f"transform(regs, (r, k) -> CASE WHEN r.is_loop THEN {cut} ELSE get(parts, k) END)")
+    changes, added, segs = "get(edits, k).changes", "get(edits, k).added", "get(segs, k)"
+    named = f"concat(flatten(transform({changes}, c -> transform(c.up, u -> u.item))), flatten(transform({added}, a -> transform(a.cells, u -> u.item))))"
     regs = _step(
         regs,
-        n="size(r.segs)",
-        strange=f"get(array_except({named}, r.low), 0)",
-        outside="get(filter(r.changes, c -> c.row_id < 0 OR c.row_id >= CASE WHEN r.is_loop THEN size(r.segs) ELSE 1 END), 0).row_id",
-        last=f"CASE WHEN r.is_loop AND size(r.segs) > 0 THEN {g.pieces('element_at(r.segs, -1)')} ELSE CAST(array() AS array<string>) END",
+        n=f"size({segs})",
+        low="transform(r.items, i -> lower(i))",
+        outside=f"get(filter({changes}, c -> c.row_id < 0 OR c.row_id >= CASE WHEN r.is_loop THEN size({segs}) ELSE 1 END), 0).row_id",
+        last=f"CASE WHEN r.is_loop AND size({segs}) > 0 THEN {g.pieces(f'element_at({segs}, -1)')} ELSE CAST(array() AS array<string>) END",
+        # What follows the last row of a loop.
+        tail=f"CASE WHEN r.is_loop THEN substring(get(get(parts, k), 0), length(array_join({segs}, '')) + 1) ELSE '' END",
     )
-    fault = "CASE WHEN r.strange IS NOT NULL THEN concat('no item ', r.strange, ' in ', r.category) WHEN r.outside IS NOT NULL THEN concat('no row ', r.outside, ' in ', r.category) END"
+    regs = _step(_column(regs, "parts"), strange=f"get(array_except({named}, r.low), 0)")
+    fault = "CASE WHEN r.strange IS NOT NULL THEN concat('no item ', r.strange, ' in ', r.category) ELSE concat('no row ', r.outside, ' in ', r.category) END"
     regs = _step(
         regs,
         category=f"CASE WHEN r.strange IS NULL AND r.outside IS NULL THEN r.category ELSE {_stop(fault, 'string')} END",
         missing=f"CASE WHEN size(r.last) > 0 THEN size(r.items) - size(filter(r.last, x -> NOT {g.is_comment('x')})) ELSE 0 END",
-        tail="substring(r.body, length(array_join(r.segs, '')) + 1)",
+        value_at=f"array_max(transform(r.last, (x, i) -> CASE WHEN NOT {g.is_comment('x')} THEN i END))",
     )
-    needed = "exists(r.changes, c -> c.row_id = r.n - 1 AND exists(c.up, u -> array_position(r.low, u.item) > size(r.items) - r.missing))"
-    regs = _step(regs, fills=f"r.missing > 0 AND (size(r.added) > 0 OR {needed})")
-    at = f"array_max(transform(r.last, (x, i) -> CASE WHEN NOT {g.is_comment('x')} THEN i END))"
+    needed = f"exists({changes}, c -> c.row_id = r.n - 1 AND exists(c.up, u -> array_position(r.low, u.item) > size(r.items) - r.missing))"
+    regs = _step(regs, fills=f"r.missing > 0 AND (r.adds OR {needed})")
     blank = f"regexp_extract(x, {g.lit(r'(?s)(\s*)\z')}, 1)"
     full = f"concat(substring(x, 1, length(x) - length({blank})), repeat(' ?', r.missing), {blank})"
     row = f"array_join(transform(r.last, (x, i) -> CASE WHEN i = r.value_at THEN {full} ELSE x END), '')"
-    regs = _step(regs, value_at=at)
-    regs = _step(regs, segs=f"CASE WHEN r.fills THEN concat(slice(r.segs, 1, r.n - 1), array({row})) ELSE r.segs END")
-    return _without(regs, "body", "pairs", "low", "strange", "outside", "last", "missing", "fills", "value_at")
+    kept = ["category", "spelling", "is_loop", "items", "begin", "width", "eol", "lead", "tail", "n", "adds"]
+    light = ", ".join(f"'{f}', r.{f}" for f in kept)
+    return _column(
+        regs,
+        segs=f"transform(regs, (r, k) -> CASE WHEN r.fills THEN concat(slice({segs}, 1, r.n - 1), array({row})) ELSE {segs} END)",
+        regs=f"transform(regs, r -> named_struct({light}))",
+    )
 
 
 def _rewritten(regs: DataFrame) -> DataFrame:
-    """Rewrite the rows that have edits, and the last one: ``r.rows[(no, main, rest, gone)]``; ``main`` ends with the last value."""
+    """Rewrite the rows that have edits, and the last one: ``rows[[(no, main, rest, gone)]]``; ``main`` ends with the last value."""
+    changes, segs, r = "get(edits, k).changes", "get(segs, k)", "get(regs, k)"
     none = "CAST(array() AS array<struct<item:string,value:string>>)"
-    plain = f"named_struct('no', {{}}, 'gone', false, 'up', {none})"
-    edited = "transform(r.changes, c -> named_struct('no', CAST(c.row_id AS int), 'gone', c.gone, 'up', c.up))"
-    more = f"CASE WHEN r.n = 0 OR exists(r.changes, c -> c.row_id = r.n - 1) THEN array() ELSE array({plain.format('r.n - 1')}) END"
+    edited = f"transform({changes}, c -> named_struct('no', CAST(c.row_id AS int), 'gone', c.gone, 'up', c.up))"
+    plain = f"array(named_struct('no', r.n - 1, 'gone', false, 'up', {none}))"
+    more = f"CASE WHEN r.n = 0 OR exists({changes}, c -> c.row_id = r.n - 1) THEN array() ELSE {plain} END"
     # All items of a key-value category are its row 0.
-    of_pairs = f"transform(r.segs, (s, i) -> named_struct('no', i, 'gone', coalesce(get(r.changes, 0).gone, false), 'up', coalesce(get(r.changes, 0).up, {none})))"
-    regs = _step(regs, rows=f"CASE WHEN r.is_loop THEN concat({edited}, {more}) ELSE {of_pairs} END", adds="size(r.added) > 0")
+    first = f"get({changes}, 0)"
+    of_pairs = f"transform({segs}, (s, i) -> named_struct('no', i, 'gone', coalesce({first}.gone, false), 'up', coalesce({first}.up, {none})))"
+    regs = _column(regs, rows=f"transform(regs, (r, k) -> CASE WHEN r.is_loop THEN concat({edited}, {more}) ELSE {of_pairs} END)")
     regs = _row_step(
         regs,
-        cut=g.pieces("get(r.segs, x.no)"),
-        at_line="coalesce(right(get(r.segs, x.no - 1), 1) = '\\n', right(r.lead, 1) IN ('\\n', ''))",
-        more="x.no < r.n - 1",
+        cut=g.pieces(f"get({segs}, x.no)"),
+        at_line=f"coalesce(right(get({segs}, x.no - 1), 1) = '\\n', right({r}.lead, 1) IN ('\\n', ''))",
+        more=f"x.no < {r}.n - 1 OR length({r}.tail) > 0",
+        eol=f"{r}.eol",
+        is_loop=f"{r}.is_loop",
+        # Key-value rows that get company become a loop: the tags leave the values.
+        promoted=f"NOT {r}.is_loop AND {r}.adds AND NOT x.gone",
+        own=f"get(filter(x.up, u -> u.item = lower(get({r}.items, x.no))), 0)",
     )
     # Every piece with the number of its token in the row.
     numbered = (
         "named_struct('x', p, 'ws', regexp_extract(p, '(?s)(\\\\s*)\\\\z', 1), "
         "'k', size(filter(slice(x.cut, 1, i), y -> NOT startswith(y, '#'))), 'comment', startswith(p, '#'), "
-        "'at_line', CASE WHEN i = 0 THEN x.at_line ELSE right(get(x.cut, i - 1), 1) = '\\n' END, "
-        "'more', i < size(x.cut) - 1 OR x.more OR length(r.tail) > 0)"
-    )
-    regs = _row_step(regs, numbered=f"transform(x.cut, (p, i) -> {numbered})")
-    named = lambda item: f"get(filter(x.up, u -> u.item = lower({item})), 0)"
-    regs = _row_step(
-        regs,
-        # Key-value rows that get company become a loop: the tags leave the values.
-        promoted="NOT r.is_loop AND r.adds AND NOT x.gone",
-        has_value="exists(x.numbered, p -> NOT p.comment AND p.k = 1)",
-        own=named("get(r.items, x.no)"),
+        "'at_line', CASE WHEN i = 0 THEN x.at_line ELSE right(get(x.cut, i - 1), 1) = '\\n' END, 'more', i < size(x.cut) - 1 OR x.more)"
     )
-    role = "CASE WHEN p.comment THEN 'comment' WHEN NOT r.is_loop AND p.k = 0 THEN 'tag' WHEN r.is_loop OR p.k = 1 THEN 'value' ELSE 'stray' END"
-    found = f"CASE WHEN {role} = 'value' THEN CASE WHEN r.is_loop THEN {named('get(r.items, p.k)')} ELSE x.own END WHEN {role} = 'tag' AND NOT x.has_value THEN x.own END"
+    regs = _row_step(regs, cut=f"transform(x.cut, (p, i) -> {numbered})")
+    regs = _row_step(regs, has_value="exists(x.cut, p -> NOT p.comment AND p.k = 1)")
+    role = "CASE WHEN p.comment THEN 'comment' WHEN NOT x.is_loop AND p.k = 0 THEN 'tag' WHEN x.is_loop OR p.k = 1 THEN 'value' ELSE 'stray' END"
+    of_row = f"get(filter(x.up, u -> u.item = lower(get({r}.items, p.k))), 0)"
+    found = f"CASE WHEN {role} = 'value' THEN CASE WHEN x.is_loop THEN {of_row} ELSE x.own END WHEN {role} = 'tag' AND NOT x.has_value THEN x.own END"
     piece = f"named_struct('x', p.x, 'ws', p.ws, 'at_line', p.at_line, 'more', p.more, 'comment', p.comment, 'role', {role}, 'found', {found})"
-    regs = _row_step(regs, numbered=f"transform(x.numbered, p -> {piece})")
+    regs = _row_step(regs, cut=f"transform(x.cut, p -> {piece})")
     field = f"coalesce({render.needs_text_field('p.found.value')}, false)"
-    shown = render.value("p.found.value", eol="r.eol")
+    shown = render.value("p.found.value", eol="x.eol")
     replaced = (
-        f"concat(CASE WHEN {field} AND NOT p.at_line THEN r.eol ELSE '' END, {shown}, "
-        f"CASE WHEN {field} AND p.more AND NOT contains(p.ws, '\\n') THEN r.eol ELSE '' END, p.ws)"
+        f"concat(CASE WHEN {field} AND NOT p.at_line THEN x.eol ELSE '' END, {shown}, "
+        f"CASE WHEN {field} AND p.more AND NOT contains(p.ws, '\\n') THEN x.eol ELSE '' END, p.ws)"
     )
     tag = (
         "concat(CASE WHEN x.promoted THEN '' ELSE substring(p.x, 1, length(p.x) - length(p.ws)) END, "
-        f"CASE WHEN p.found IS NOT NULL THEN concat(CASE WHEN {field} THEN r.eol ELSE ' ' END, {shown}) "
+        f"CASE WHEN p.found IS NOT NULL THEN concat(CASE WHEN {field} THEN x.eol ELSE ' ' END, {shown}) "
         "WHEN x.promoted AND NOT x.has_value THEN ' ?' ELSE '' END, "
         f"CASE WHEN x.promoted AND x.has_value THEN regexp_replace(p.ws, {g.lit(r'^[ \t\r]*\n')}, '') ELSE p.ws END)"
     )
@@ -229,50 +235,57 @@ def _rewritten(regs: DataFrame) -> DataFrame:
         f"CASE WHEN x.gone AND p.role IN ('tag', 'value') THEN concat({g.lit(GONE)}, p.ws) WHEN p.role = 'tag' THEN {tag} "
         f"WHEN p.role = 'value' AND p.found IS NOT NULL THEN {replaced} ELSE p.x END"
     )
-    regs = _row_step(
-        regs,
-        texts=f"transform(x.numbered, p -> {text})",
-        end="array_max(transform(x.numbered, (p, i) -> CASE WHEN NOT p.comment THEN i + 1 END))",
-    )
+    end = "array_max(transform(x.cut, (p, i) -> CASE WHEN NOT p.comment THEN i + 1 END))"
+    made = f"named_struct('no', x.no, 'gone', x.gone, 'texts', transform(x.cut, p -> {text}), 'end', {end})"
+    regs = _column(regs, rows=f"transform(rows, xs -> transform(xs, x -> {made}))")
     # New rows go behind the line of the last value: comments further down stay behind them.
     seg = "named_struct('no', x.no, 'main', array_join(slice(x.texts, 1, x.end), ''), 'rest', array_join(slice(x.texts, x.end + 1, size(x.texts)), ''), 'gone', x.gone)"
-    return _step(regs, rows=f"transform(r.rows, x -> {seg})")
+    return _column(regs, rows=f"transform(rows, xs -> transform(xs, x -> {seg}))")
 
 
 def _renewed(regs: DataFrame) -> DataFrame:
-    """The new text of each edited category: ``regs[(begin, width, text)]``."""
+    """The new text of each edited category: ``splices[(begin, width, text)]``."""
+    xs, added = "get(rows, k)", "get(edits, k).added"
     # Rows without edits between the rewritten ones are joined as they are.
-    before = "coalesce(get(r.rows, j - 1).no, -1)"
-    gap = f"array_join(slice(r.segs, {before} + 2, x.no - {before} - 1), '')"
-    body = f"array_join(transform(r.rows, (x, j) -> concat({gap}, CASE WHEN j < size(r.rows) - 1 THEN concat(x.main, x.rest) ELSE '' END)), '')"
-    regs = _step(regs, body=body, main="coalesce(get(r.rows, size(r.rows) - 1).main, '')", rest="coalesce(get(r.rows, size(r.rows) - 1).rest, '')", gone="exists(r.rows, x -> x.gone)")
+    before = "coalesce(get(xs, j - 1).no, -1)"
+    gap = f"array_join(slice(get(segs, k), {before} + 2, x.no - {before} - 1), '')"
+    body = f"array_join(transform(xs, (x, j) -> concat({gap}, CASE WHEN j < size(xs) - 1 THEN concat(x.main, x.rest) ELSE '' END)), '')"
+    regs = _column(regs, bodies=f"transform(rows, (xs, k) -> {body})")
+    regs = _step(
+        regs, main=f"coalesce(get({xs}, size({xs}) - 1).main, '')", rest=f"coalesce(get({xs}, size({xs}) - 1).rest, '')", gone=f"exists({xs}, x -> x.gone)"
+    )
     # Head: up to the end of the line of the last value. An empty loop takes new rows at its very end.
     regs = _step(regs, line=f"regexp_extract(r.main, {g.lit(r'(?s)^(.*\S[^\S\n]*\n?)\s*\z')}, 1)")
-    regs = _step(regs, head0="concat(r.lead, r.body, r.line)", after0="concat(substring(r.main, length(r.line) + 1), r.rest, r.tail)")
+    regs = _step(
+        regs,
+        last="right(concat(right(r.lead, 1), right(get(bodies, k), 1), right(r.line, 1)), 1)",
+        after="concat(substring(r.main, length(r.line) + 1), r.rest, r.tail)",
+    )
     # A comment behind the last value finishes its line.
     moved = (
-        "CASE WHEN r.n = 0 THEN r.after0 WHEN NOT endswith(r.head0, '\\n') AND length(r.after0) > 0 "
-        f"THEN regexp_extract(r.after0, {g.lit(r'^([^\n]*\n?)')}, 1) ELSE '' END"
+        "CASE WHEN r.n = 0 THEN r.after WHEN r.last <> '\\n' AND length(r.after) > 0 "
+        f"THEN regexp_extract(r.after, {g.lit(r'^([^\n]*\n?)')}, 1) ELSE '' END"
     )
     regs = _step(regs, moved=moved)
-    cells = "transform(r.added, a -> transform(r.items, i -> get(filter(a.cells, c -> c.item = lower(i)), 0).value))"
+    cells = f"transform({added}, a -> transform(r.items, i -> get(filter(a.cells, c -> c.item = lower(i)), 0).value))"
     header = "concat('loop_', r.eol, array_join(transform(r.items, i -> concat('_', r.spelling, '.', i, r.eol)), ''))"
-    regs = _step(regs, head="concat(r.head0, r.moved)", after="substring(r.after0, length(r.moved) + 1)", header=header, cells=cells)
+    regs = _step(regs, last="right(concat(r.last, right(r.moved, 1)), 1)", after="substring(r.after, length(r.moved) + 1)", header=header)
+    regs = _column(regs, cells=f"transform(regs, (r, k) -> {cells})")
     field = lambda v: f"coalesce({render.needs_text_field(v)}, false)"
     shown = render.value("v", eol="r.eol")
     gap = f"CASE WHEN i = 0 THEN '' WHEN {field('v')} OR {field('get(c, i - 1)')} THEN r.eol ELSE ' ' END"
     loop_row = f"concat(array_join(transform(c, (v, i) -> concat({gap}, {shown})), ''), r.eol)"
+    loop_rows = f"array_join(transform(get(cells, k), c -> {loop_row}), '')"
     pair = f"concat('_', r.spelling, '.', get(r.items, i), CASE WHEN {field('v')} THEN r.eol ELSE ' ' END, {shown}, r.eol)"
     new = (
-        f"CASE WHEN NOT r.adds THEN '' WHEN r.is_loop OR NOT r.gone THEN array_join(transform(r.cells, c -> {loop_row}), '') "
-        f"WHEN size(r.added) > 1 THEN concat(r.header, array_join(transform(r.cells, c -> {loop_row}), '')) "
-        f"ELSE array_join(transform(get(r.cells, 0), (v, i) -> {pair}), '') END"
+        f"CASE WHEN NOT r.adds THEN '' WHEN r.is_loop OR NOT r.gone THEN {loop_rows} WHEN size({added}) > 1 THEN concat(r.header, {loop_rows}) "
+        f"ELSE array_join(transform(get(get(cells, k), 0), (v, i) -> {pair}), '') END"
     )
     regs = _step(regs, new=new)
     promote = "CASE WHEN r.adds AND NOT r.is_loop AND NOT r.gone THEN r.header ELSE '' END"
-    open_end = "CASE WHEN r.new <> '' AND NOT endswith(r.head, '\\n') THEN r.eol ELSE '' END"
-    regs = _step(regs, text=f"concat({promote}, r.head, {open_end}, r.new, r.after)")
-    clean = "r.text"
+    open_end = "CASE WHEN r.new <> '' AND r.last <> '\\n' THEN r.eol ELSE '' END"
+    whole = f"concat({promote}, r.lead, get(bodies, k), r.line, r.moved, {open_end}, r.new, r.after)"
+    clean = whole
     for pattern, kept in (
         (r"(?d)\n[ \t\r]*" + _RUN + r"[ \t\r]*\z", ""),
         (r"(?dm)^[ \t\r]*" + _RUN + r"[ \t\r]*\n", ""),
@@ -280,9 +293,8 @@ def _renewed(regs: DataFrame) -> DataFrame:
         (r"[ \t\r]*" + _RUN, ""),
     ):
         clean = f"regexp_replace({clean}, {g.lit(pattern)}, '{kept}')"
-    regs = _step(regs, text=f"CASE WHEN r.gone THEN {clean} ELSE r.text END")
-    others = [c for c in regs.columns if c != "regs"]
-    return regs.selectExpr(*others, "array_sort(transform(regs, r -> named_struct('begin', r.begin, 'width', r.width, 'text', r.text))) AS splices")
+    splice = f"named_struct('begin', r.begin, 'width', r.width, 'text', CASE WHEN r.gone THEN {clean} ELSE {whole} END)"
+    return _column(regs, "edits", "segs", "rows", "bodies", "cells", "regs", splices=f"array_sort(transform(regs, (r, k) -> {splice}))")
 
 
 def spliced(content: str, splices: str, path: str = "path") -> str:
