@@ -103,10 +103,19 @@ def kind(lexeme: str, previous: str) -> str:
                   WHEN lower(left({x}, 5)) = 'save_' THEN 'S' ELSE 'X' END END"""
 
 
+def may_be_structural(lexeme: str) -> str:
+    """One look at the first characters, which few values pass; ``kind`` decides."""
+    return f"{lexeme} RLIKE {lit(r'^(?:_|(?i:data_|loop_|save_|stop_|global_))')}"
+
+
 def tag_part(lexeme: str, part: int) -> str:
-    """Category (1) or item (2) of a ``_category.item`` tag; NULL when the tag has no dot."""
-    found = f"regexp_extract({lexeme}, {lit(r'(?s)^_([^.\s]*)\.(\S*)')}, {part})"
-    return f"CASE WHEN {lexeme} RLIKE {lit(r'^_[^.\s]*\.')} THEN {found} END"
+    """Category (1) or item (2) of a ``_category.item`` tag; NULL when the tag has no dot.
+
+    A lexeme that starts with ``_`` is one word with white space behind it.
+    """
+    if part == 1:
+        return f"CASE WHEN contains({lexeme}, '.') THEN substring(substring_index({lexeme}, '.', 1), 2) END"
+    return f"CASE WHEN contains({lexeme}, '.') THEN regexp_extract({lexeme}, {lit(r'(?s)^[^.]*\.(\S*)')}, 1) END"
 
 
 def is_null(raw: str) -> str:

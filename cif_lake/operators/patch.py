@@ -110,24 +110,23 @@ def _placed(files: DataFrame) -> DataFrame:
     # A file without a block header is one block without a name.
     whole = "array(named_struct('name', CAST(NULL AS string), 'from', 1, 'to', size(lex) + 1))"
     found = found.selectExpr("*", f"CASE WHEN size(starts) > 0 THEN transform(starts, (p, i) -> {one}) ELSE {whole} END AS blocks")
-    found = _column(read.marks(found), "starts")
+    found = _column(read.marks(found), "starts").selectExpr("*", "transform(marks, m -> lower(m.cat)) AS keys", f"{read.CUTS} AS cuts")
     hits = "CASE WHEN e.want IS NULL THEN slice(blocks, 1, 1) ELSE filter(blocks, b -> b.name = e.want) END"
     regs = _column(found, "blocks", regs=f"transform(edits, e -> named_struct('category', e.category, 'want', e.want, 'fault', e.fault, 'hits', {hits}))")
     fault = "CASE WHEN r.fault IS NOT NULL THEN r.fault WHEN size(r.hits) = 0 THEN concat('no block ', r.want) WHEN size(r.hits) > 1 THEN concat('block ', r.want, ' is ambiguous') END"
     regs = _step(regs, fault=fault)
     block = f"CASE WHEN r.fault IS NULL THEN get(r.hits, 0) ELSE {_stop('r.fault', 'struct<name:string,from:int,to:int>')} END"
     regs = _column(regs, regs=f"transform(regs, r -> named_struct('category', r.category, 'block', {block}))")
-    at = "CAST(array_position(transform(marks, m -> m.p >= r.block.from AND m.p < r.block.to AND coalesce(lower(m.cat) = r.category, false)), true) AS int)"
-    regs = _column(regs, regs=f"transform(regs, r -> named_struct('category', r.category, 'to', r.block.to, 'at', {at}))")
+    # The block's marks, from the first on and before the last.
+    bound = lambda p: f"1 + size(filter(marks, m -> m.p < {p}))"
+    regs = _column(regs, regs=f"transform(regs, r -> named_struct('category', r.category, 'from', {bound('r.block.from')}, 'to', {bound('r.block.to')}))")
+    regs = _step(regs, f="CAST(array_position(slice(keys, r.from, r.to - r.from), r.category) AS int)")
     absent = _stop("concat('category ', coalesce(r.category, 'NULL'), ' is not in the block')", "int")
-    regs = _step(regs, at=f"CASE WHEN r.at > 0 THEN r.at ELSE {absent} END")
-    regs = _step(regs, is_loop="coalesce(get(marks, r.at - 2).k = 'L', false)", spelling="get(marks, r.at - 1).cat")
-    # How many tags of the category follow each other; in a loop, up to the first one with values behind it.
-    heads = "slice(marks, r.at, size(marks))"
-    other = f"array_position(transform({heads}, m -> coalesce(m.p < r.to AND m.cat = r.spelling, false)), false)"
-    regs = _step(regs, run=f"coalesce(nullif({other}, 0) - 1, size(marks) - r.at + 1)", first=f"array_position(transform({heads}, m -> m.has), true)")
-    tags = "slice(marks, r.at, CAST(CASE WHEN r.is_loop AND r.first > 0 THEN least(r.run, r.first) ELSE r.run END AS int))"
-    regs = _column(regs, "marks", tags=f"transform(regs, r -> {tags})")
+    regs = _step(_column(regs, "keys"), f=f"CASE WHEN r.f > 0 THEN r.from + r.f - 1 ELSE {absent} END")
+    regs = _step(regs, is_loop="coalesce(get(marks, r.f - 2).k = 'L', false)", spelling="get(marks, r.f - 1).cat")
+    run = "least(coalesce(get(filter(cuts, c -> c > r.f), 0), size(marks) + 1), r.to) - r.f"
+    regs = _step(regs, run=run)
+    regs = _column(regs, "marks", "cuts", tags=f"transform(regs, r -> slice(marks, r.f, {read.tags_of('r')}))")
     last = "element_at(get(tags, k), -1)"
     regs = _step(
         regs,

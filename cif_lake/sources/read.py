@@ -176,7 +176,7 @@ def split_blocks(src: DataFrame, partitions: int | None = None) -> DataFrame:
 
 def marks(frame: DataFrame) -> DataFrame:
     """Add ``marks``: the structural lexemes ``(p, k, n, has, cat, item)``, n lexemes up to the next one."""
-    kind = g.kind("x", "get(lex, i - 1)")
+    kind = f"CASE WHEN {g.may_be_structural('x')} THEN {g.kind('x', 'get(lex, i - 1)')} END"
     found = f"filter(transform(lex, (x, i) -> named_struct('p', i + 1, 'k', {kind})), m -> m.k IS NOT NULL)"
     frame = frame.selectExpr("*", f"{found} AS found0")
     width = "coalesce(get(found0, j + 1).p, size(lex) + 1) - m.p - 1"
@@ -187,9 +187,19 @@ def marks(frame: DataFrame) -> DataFrame:
     return frame.selectExpr("*", f"transform(found, m -> {mark}) AS marks").drop("found0", "found")
 
 
+#: Where the category changes from one mark to the next: the last tag of a record stands in front of the next such place.
+CUTS = "filter(transform(marks, (m, i) -> CASE WHEN i = 0 OR NOT m.cat <=> get(marks, i - 1).cat THEN i + 1 END), c -> c IS NOT NULL)"
+
+
+def tags_of(place: str) -> str:
+    """How many tags a record has: SQL text. In a loop, the first tag with values behind it is the last one."""
+    valued = f"array_position(transform(slice(marks, {place}.f, {place}.run), m -> m.has), true)"
+    return f"CAST(CASE WHEN {place}.is_loop THEN coalesce(nullif({valued}, 0), {place}.run) ELSE {place}.run END AS int)"
+
+
 def located(frame: DataFrame, categories: Sequence[str] | None, every: bool = False) -> DataFrame:
     """Add ``recs``: per category ``(category, is_loop, tags)``. The first record of a category counts, unless ``every``."""
-    frame = marks(frame).selectExpr("*", "transform(marks, m -> lower(m.cat)) AS keys")
+    frame = marks(frame).selectExpr("*", "transform(marks, m -> lower(m.cat)) AS keys", f"{CUTS} AS cuts")
     if every:
         opens = "m.cat IS NOT NULL AND NOT coalesce(get(marks, i - 1).cat = m.cat, false)"
         at = f"filter(transform(marks, (m, i) -> CASE WHEN {opens} THEN i + 1 END), p -> p IS NOT NULL)"
@@ -199,18 +209,12 @@ def located(frame: DataFrame, categories: Sequence[str] | None, every: bool = Fa
         names = ", ".join(g.lit(c.lower()) for c in dict.fromkeys(categories))
         at = f"transform(filter(array({names}), c -> array_contains(keys, c)), c -> CAST(array_position(keys, c) AS int))"
     frame = frame.selectExpr("*", f"{at} AS at")
-    tail = "slice(marks, f, size(marks) - f + 1)"
-    tails = f"named_struct('is_loop', coalesce(get(marks, f - 2).k = 'L', false), 'cat', get(marks, f - 1).cat, 'tail', {tail})"
-    frame = frame.selectExpr("*", f"transform(at, f -> {tails}) AS tails")
-    # How many tags of the category follow each other, and the first one with values.
-    other = "array_position(transform(t.tail, m -> coalesce(m.cat = t.cat, false)), false)"
-    first = "array_position(transform(t.tail, m -> m.has), true)"
-    runs = f"named_struct('is_loop', t.is_loop, 'cat', t.cat, 'tail', t.tail, 'other', {other}, 'first', {first})"
-    frame = frame.selectExpr("*", f"transform(tails, t -> {runs}) AS runs")
-    run = "CASE WHEN t.other = 0 THEN size(t.tail) ELSE t.other - 1 END"
-    width = f"CASE WHEN t.is_loop AND t.first > 0 THEN least({run}, t.first) ELSE {run} END"
-    record = f"named_struct('category', t.cat, 'is_loop', t.is_loop, 'tags', slice(t.tail, 1, CAST({width} AS int)))"
-    return frame.selectExpr("*", f"transform(runs, t -> {record}) AS recs").drop("keys", "at", "tails", "runs")
+    # Places in ``marks`` only: steps over a list copy what its elements hold.
+    run = "coalesce(get(filter(cuts, c -> c > f), 0), size(marks) + 1) - f"
+    places = f"named_struct('f', f, 'is_loop', coalesce(get(marks, f - 2).k = 'L', false), 'run', {run})"
+    frame = frame.selectExpr("*", f"transform(at, f -> {places}) AS places")
+    record = f"named_struct('category', get(marks, t.f - 1).cat, 'is_loop', t.is_loop, 'tags', slice(marks, t.f, {tags_of('t')}))"
+    return frame.selectExpr("*", f"transform(places, t -> {record}) AS recs").drop("keys", "cuts", "at", "places")
 
 
 def headers(block_frame: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
