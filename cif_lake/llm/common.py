@@ -52,6 +52,14 @@ def remainder(doc_id: str | Column, n: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % n
 
 
+def aside(documents: DataFrame, *internal: str) -> tuple[DataFrame, Callable[[str], str], Callable[[DataFrame], DataFrame]]:
+    """The documents with columns out of the way whose names a step uses itself; the new name of a column; and the way back."""
+    used = {n.lower() for n in internal}
+    moved = {c: f"_kept{k}_{c}" for k, c in enumerate(documents.columns) if c.lower() in used}
+    back = {new: old for old, new in moved.items()}
+    return documents.withColumnsRenamed(moved), lambda name: moved.get(name, name), lambda frame: frame.withColumnsRenamed(back)
+
+
 def batches(texts: pa.Array) -> Iterator[list[bytes | None]]:
     """UTF-8 bytes of the texts, a bounded number of them at a time."""
     raw = texts.cast(pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary()) if not pa.types.is_binary(texts.type) else texts

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cif_lake.llm.common import arrow_function, arrow_type, batches, checkpointed, release, table
+from cif_lake.llm.common import aside, arrow_function, arrow_type, batches, checkpointed, release, table
 
 #: Bytes: A-Z to a-z, other ASCII but 0-9 a-z to a blank, the rest as it is.
 NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256))
@@ -181,7 +181,8 @@ def n_hit(leaks: str = "leaks") -> Column:
 
 def remove_documents(documents: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The documents in which no window occurs."""
-    return find(documents, benchmark, text, name="_leaks", **options).where(F.size("_leaks.spans") == 0).drop("_leaks")
+    documents, now, back = aside(documents, "_leaks")
+    return back(find(documents, benchmark, now(text), name="_leaks", **options).where(F.size("_leaks.spans") == 0).drop("_leaks"))
 
 
 def remove_spans(documents: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
@@ -208,7 +209,9 @@ def remove_spans(documents: DataFrame, benchmark: DataFrame, text: str = "text",
         return pa.array(out, pa.string())
 
     cutter = arrow_function(cut, "string")
-    return find(documents, benchmark, text, name="_leaks", **options).withColumn(text, cutter(text, "_leaks")).drop("_leaks")
+    documents, now, back = aside(documents, "_leaks")
+    text = now(text)
+    return back(find(documents, benchmark, text, name="_leaks", **options).withColumn(text, cutter(text, "_leaks")).drop("_leaks"))
 
 
 def op1(spark, sf_dir: str) -> DataFrame:

@@ -17,8 +17,11 @@ of the same name.
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 from itertools import chain, repeat
 
 import numpy as np
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cif_lake.llm.common import SLICE, arrow_function, arrow_type, checkpointed, remainder, ship, table, text_function, written
+from cif_lake.llm.common import SLICE, arrow_function, arrow_type, aside, checkpointed, remainder, ship, table, text_function, written
 
 WORDS, GRAMS, ORDER = 200_000, 100_000, 4
 #: Numbers that the broadcast tables of words, and those of n-grams, hold at most.
@@ -36,11 +39,17 @@ HELD_COUNTS = 300_000
 #: Longer words are known by their n-grams only.
 LONGEST = 40
 HELD_OUT = (3, 1)
-_WORD = re.compile(r"[^\W\d_]+")
+
+
+@cache
+def _word() -> re.Pattern:
+    r"""Runs of letters. ``\w`` also takes numerals that are no letters (fractions, circled and Roman ones): those are left out."""
+    others = [c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isalnum() and not c.isdecimal() and unicodedata.category(c)[0] != "L"]
+    return re.compile(rf"[^\W\d_{''.join(others)}]+")
 
 
 def words(text: bytes | None) -> list[str]:
-    return _WORD.findall(text.decode(errors="replace").lower()) if text else []
+    return _word().findall(text.decode(errors="replace").lower()) if text else []
 
 
 def grams(word: str, order: int) -> list[str]:
@@ -314,6 +323,8 @@ _RESULT = "struct<lang_pred:string,score:double>"
 def apply(documents: DataFrame, model: dict, text: str = "text", keep_text: bool = True) -> DataFrame:
     """Documents with ``lang_pred`` and ``score``, the share of that language among all if each were as likely at first."""
     light = {k: v for k, v in model.items() if k not in ("counts", "totals")}
+    documents, now, back = aside(documents, "_row", "_parts", "_more", "_lang")
+    text = now(text)
     if model["complete"]:
         shared = documents.sparkSession.sparkContext.broadcast(light)
 
@@ -324,7 +335,7 @@ def apply(documents: DataFrame, model: dict, text: str = "text", keep_text: bool
         found = documents.withColumn("_lang", text_function(make, _RESULT)(text))
     else:
         found = _apply_joined(documents, model, light, text, keep_text)
-    return found.withColumns({"lang_pred": F.col("_lang.lang_pred"), "score": F.col("_lang.score")}).drop("_lang")
+    return back(found.withColumns({"lang_pred": F.col("_lang.lang_pred"), "score": F.col("_lang.score")}).drop("_lang"))
 
 
 def op5(spark, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cif_lake.llm.common import SLICE, arrow_function, arrow_type, batches, checkpointed, remainder, ship, table, written
+from cif_lake.llm.common import aside, SLICE, arrow_function, arrow_type, batches, checkpointed, remainder, ship, table, written
 
 HEAD, KNOWN, LONGEST = 1000, 200_000, 64
 BURN, SAMPLES, RESEATS, SEED = 3, 3, 4, 11
@@ -333,6 +333,8 @@ def other_floor(model: dict) -> float:
 
 def apply(documents: DataFrame, model: dict, counts: DataFrame, text: str = "text") -> DataFrame:
     """Documents without their text, with ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``."""
+    documents, now, back = aside(documents, "_row", "_lm", "more", "more_base", "more_known")
+    text = now(text)
     shared = documents.sparkSession.sparkContext.broadcast(model)
     schema = "struct<n_tokens:bigint,score:double,base:double,known:bigint,rest:array<struct<word:string,n:bigint>>>"
     kind = arrow_type(schema)
@@ -353,7 +355,7 @@ def apply(documents: DataFrame, model: dict, counts: DataFrame, text: str = "tex
     )
     joined = scored.join(more, "_row", "left")
     zero = lambda c: F.coalesce(c, F.lit(0))
-    return joined.withColumns(
+    done = joined.withColumns(
         {
             "n_tokens": F.col("_lm.n_tokens"),
             "n_known": (F.col("_lm.known") + zero("more_known")).cast("bigint"),
@@ -362,6 +364,7 @@ def apply(documents: DataFrame, model: dict, counts: DataFrame, text: str = "tex
             "score": F.col("_lm.score") + zero("more"),
         }
     ).drop("_row", "_lm", "more", "more_base", "more_known")
+    return back(done)
 
 
 def perplexity(score: str = "score", tokens: str = "n_tokens"):

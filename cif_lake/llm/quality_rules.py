@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cif_lake.llm import boosting
-from cif_lake.llm.common import table, text_function
+from cif_lake.llm.common import aside, table, text_function
 from cif_lake.llm.labelled import TRAIN_ROWS, bounded, labels, training
 from cif_lake.llm.statistics import COUNTS, FEATURES, statistics
 
@@ -46,10 +46,11 @@ def apply(documents: DataFrame, forest: boosting.Forest, text: str = "text", kee
         return run
 
     schema = "struct<" + ",".join(f"{c}:bigint" for c in COUNTS) + ",good:double>"
-    out = documents.withColumn("_rules", text_function(make, schema)(text))
+    documents, now, back = aside(documents, "_rules")
+    out = documents.withColumn("_rules", text_function(make, schema)(now(text)))
     out = out.withColumns({c: F.col(f"_rules.{c}") for c in [*COUNTS, "good"]})
     failed = (F.col("_rules.n_words") < MIN_WORDS) | (100 * F.col("_rules.n_repeat_words") > MAX_REPEAT_PERCENT * F.col("_rules.n_words"))
-    return out.withColumns({"base_failed": failed, "kept": ~failed & (F.col("_rules.good") >= keep)}).drop("_rules")
+    return back(out.withColumns({"base_failed": failed, "kept": ~failed & (F.col("_rules.good") >= keep)}).drop("_rules"))
 
 
 def op2(spark, sf_dir: str) -> DataFrame:

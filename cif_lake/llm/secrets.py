@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cif_lake.llm.common import checkpointed, table, text_function, written
+from cif_lake.llm.common import aside, checkpointed, table, text_function, written
 
 # The base patterns, their least lengths, and the order of the kinds.
 _ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE | re.ASCII)
@@ -117,8 +117,10 @@ def scanned(documents: DataFrame, owner: str, text: str) -> DataFrame:
 
 def find(documents: DataFrame, owner: str = "source", text: str = "text", name: str = "spans") -> DataFrame:
     """Documents without their text, with the array ``spans`` of ``(start, kind, end, verdict, owners, repositories)``."""
-    found = checkpointed(scanned(documents, owner, text).drop(text))
-    return found.drop("_owner", "_repository", "_spans", name).join(judged(found).withColumnRenamed("spans", name), "_row", "left").withColumn(name, F.coalesce(name, F.array())).drop("_row")
+    documents, now, back = aside(documents, "_row", "_owner", "_repository", "_spans")
+    found = checkpointed(scanned(documents, now(owner), now(text)).drop(now(text)))
+    spans = judged(found).withColumnRenamed("spans", name)
+    return back(found.drop("_owner", "_repository", "_spans", name).join(spans, "_row", "left").withColumn(name, F.coalesce(name, F.array())).drop("_row"))
 
 
 def redact(documents: DataFrame, owner: str = "source", text: str = "text", mask: str = MASK) -> DataFrame:

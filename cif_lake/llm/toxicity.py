@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cif_lake.llm import boosting
-from cif_lake.llm.common import remainder, table, text_function
+from cif_lake.llm.common import aside, remainder, table, text_function
 from cif_lake.llm.labelled import TRAIN_ROWS, bounded, labels, training
 
 LEXICON, LEAST, LIFT = 1000, 5, 40.0
@@ -178,4 +178,5 @@ def remove(documents: DataFrame, model, text: str = "text", threshold: float = T
     """
     if np.ptp(model[2][1]) == 0:
         return documents
-    return apply(documents, model, text, "_toxic").where(F.col("_toxic") < threshold).drop("_toxic")
+    documents, now, back = aside(documents, "_toxic")
+    return back(apply(documents, model, now(text), "_toxic").where(F.col("_toxic") < threshold).drop("_toxic"))
