@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import re
 import sys
-import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
@@ -41,15 +40,21 @@ LONGEST = 40
 HELD_OUT = (3, 1)
 
 
+_WORD = re.compile(r"[^\W\d_]+")
+
+
 @cache
-def _word() -> re.Pattern:
-    r"""Runs of letters. ``\w`` also takes numerals that are no letters (fractions, circled and Roman ones): those are left out."""
-    others = [c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isalnum() and not c.isdecimal() and unicodedata.category(c)[0] != "L"]
+def _letters() -> re.Pattern:
+    """Runs of letters inside a word that also holds numerals which are no letters: fractions, circled and Roman ones."""
+    others = [c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isalnum() and not c.isdecimal() and not c.isalpha()]
     return re.compile(rf"[^\W\d_{''.join(others)}]+")
 
 
 def words(text: bytes | None) -> list[str]:
-    return _word().findall(text.decode(errors="replace").lower()) if text else []
+    found = _WORD.findall(text.decode(errors="replace").lower()) if text else []
+    if all(map(str.isalpha, found)):
+        return found
+    return [part for word in found for part in ([word] if word.isalpha() else _letters().findall(word))]
 
 
 def grams(word: str, order: int) -> list[str]:
