@@ -94,6 +94,38 @@ def patch_insert(spark, sf):
     return _texts(patch.patch_files(src, patch.edits_of(new, "software", "insert", ["pdbx_ordinal", "name"])))
 
 
+_BEFORE_SOFTWARE = "head || title || method || refine || price || refine_end || status || status_end"
+_SOFTWARE_HEAD = "'loop_' || nl || '_software.pdbx_ordinal' || nl || '_software.name' || nl"
+
+
+@query(
+    f"""WITH {corpus.ENTRY_PARTS_SQL} SELECT 'entries/' || k || '.cif' AS path, {_BEFORE_SOFTWARE} || {_SOFTWARE_HEAD} || '1 REFMAC' || nl
+    || '2 "it''s ' || k || '"' || nl || software_end AS text FROM entry_parts WHERE k % 3 <> 0"""
+)
+def patch_update_text(spark, sf):
+    """A cell of a loop in two files of three: whole texts, byte for byte; the other files are not returned."""
+    src = corpus.entries(spark, sf)
+    key = F.regexp_extract("path", r"(\d+)\.cif$", 1).cast("bigint")
+    new = src.filter(key % 3 != 0).select("path", F.lit(1).alias("row_id"), F.concat(F.lit("it's "), key.cast("string")).alias("name"))
+    return _texts(patch.patch_files(src, patch.edits_of(new, "software", "update", ["name"])))
+
+
+@query(
+    f"""WITH {corpus.ENTRY_PARTS_SQL} SELECT 'entries/' || k || '.cif' AS path, {_BEFORE_SOFTWARE} || {_SOFTWARE_HEAD}
+    || CASE WHEN k % 2 = 0 THEN '' ELSE '1 REFMAC' || nl END
+    || CASE WHEN k % 3 = 0 THEN '' WHEN k % 11 = 0 THEN '2 AlphaFold' || nl ELSE '2 ''Coot 1''' || nl END
+    || software_end AS text FROM entry_parts WHERE k % 2 = 0 OR k % 3 = 0"""
+)
+def patch_delete_text(spark, sf):
+    """One row, the other or both of a loop deleted: whole texts, byte for byte."""
+    src = corpus.entries(spark, sf)
+    key = F.regexp_extract("path", r"(\d+)\.cif$", 1).cast("bigint")
+    first = src.filter(key % 2 == 0).select("path", F.lit(0).alias("row_id"))
+    second = src.filter(key % 3 == 0).select("path", F.lit(1).alias("row_id"))
+    gone = patch.union_edits(*(patch.edits_of(f, "software", "delete", []) for f in (first, second)))
+    return _texts(patch.patch_files(src, gone))
+
+
 @query(
     f"""WITH {corpus.ENTRY_PARTS_SQL} SELECT 'entries/' || k || '.cif' AS path, head || ';changed' || nl || 'order ' || k || nl || ';' || nl || method || refine
     || CASE WHEN price <> '' THEN CAST(o_totalprice + 1 AS VARCHAR) ELSE '' END || refine_end || CASE WHEN k % 2 = 0 THEN '' ELSE status END || status_end

@@ -147,3 +147,33 @@ def test_what_is_written_reads_back(spark, source):
     out = patch.patch_files(source({"f": text}), edits)
     rows = read.scan(out, "q", column_source="files", filename=False, row_id=True).orderBy("row_id").collect()
     assert [r["b"] for r in rows] == awkward
+
+
+def test_the_text_is_not_shuffled(spark, source, monkeypatch):
+    """Edits that were measured to be small go to the files; larger ones meet them by a shuffle, with the same result."""
+    src = source({"f": SHOP, "g": SHOP}).repartition(2)
+    edits = spark.createDataFrame([("f", *change("stock", 1, "price", "7")), ("g", *change("owner", 0, "since", "2"))], EDITS)
+    small = patch.patch_files(src, edits)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    expected = sorted((r["path"], bytes(r["content"])) for r in small.collect())
+    monkeypatch.setattr(patch, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(patch.F, "broadcast", None)
+    assert sorted((r["path"], bytes(r["content"])) for r in patch.patch_files(src, edits).collect()) == expected
+
+
+def test_overlapping_splices_stop_the_job(spark):
+    one = "named_struct('begin', {}, 'width', {}, 'text', '{}')"
+    frame = spark.range(1).selectExpr("'f' AS path", "'abcdef' AS t", f"array({one.format(2, 2, 'X')}, {one.format(4, 0, 'Y')}, {one.format(6, 1, '')}) AS cuts")
+    assert frame.selectExpr(patch.spliced("t", "cuts")).first()[0] == "aXYde"
+    clash = frame.selectExpr("path", "t", f"array({one.format(2, 3, 'X')}, {one.format(4, 1, 'Y')}) AS cuts")
+    with pytest.raises(Exception, match="overlap in f"):
+        clash.selectExpr(patch.spliced("t", "cuts")).collect()
+
+
+def test_rows_between_edits_keep_their_bytes(spark, source):
+    """Few edits in a long loop: first, last and some rows in between."""
+    lines = [f"{i}{' ' * (1 + i % 4)}'v {i}'\t\n" if i % 9 == 0 else f"{i} v{i}\n" for i in range(3000)]
+    picked = [0, 1, 700, 1499, 2998, 2999]
+    edits = [e for i in picked for e in ([change("q", i, "b", "new")] if i % 2 else drop("q", i))]
+    out = run(spark, source, {"f": (HEAD + "".join(lines), edits)})["f"]
+    assert out == HEAD + "".join(line if i not in picked else f"{i} new\n" if i % 2 else "" for i, line in enumerate(lines))
