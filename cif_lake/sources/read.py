@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import gzip
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 import pandas as pd
@@ -199,7 +199,12 @@ def tags_of(place: str) -> str:
 
 def located(frame: DataFrame, categories: Sequence[str] | None, every: bool = False) -> DataFrame:
     """Add ``recs``: per category ``(category, is_loop, tags)``. The first record of a category counts, unless ``every``."""
-    frame = marks(frame).selectExpr("*", "transform(marks, m -> lower(m.cat)) AS keys", f"{CUTS} AS cuts")
+    return recorded(marks(frame), categories, every)
+
+
+def recorded(frame: DataFrame, categories: Sequence[str] | None, every: bool = False) -> DataFrame:
+    """``recs`` as in ``located``, from the ``marks`` of a block."""
+    frame = frame.selectExpr("*", "transform(marks, m -> lower(m.cat)) AS keys", f"{CUTS} AS cuts")
     if every:
         opens = "m.cat IS NOT NULL AND NOT coalesce(get(marks, i - 1).cat = m.cat, false)"
         at = f"filter(transform(marks, (m, i) -> CASE WHEN {opens} THEN i + 1 END), p -> p IS NOT NULL)"
@@ -290,25 +295,15 @@ def present_items(src: DataFrame, category: str, data_block: str | None = None)
     return [r["first"]["item"] for r in sorted(first.collect(), key=lambda r: r["first"][:3])]
 
 
-def scan(
-    src: DataFrame,
+def schema_of(
+    dictionary: Dictionary,
     category: str,
-    dictionary: Dictionary | None = None,
-    *,
-    column_source: str = "dictionary",
-    data_block: str | None = None,
-    columns: Sequence[str] | None = None,
-    filename: bool = True,
-    row_id: bool = False,
-    on_malformed: str = "error",
-) -> DataFrame:
-    """Scan one category of all files into typed columns.
-
-    ``column_source="dictionary"`` gives every item the dictionary defines (sorted) and rejects files with other items;
-    no file is opened to find the schema. ``"files"`` gives the union of the items present. ``columns`` narrows the
-    result; ``filename`` and ``row_id`` (with the rest of the order key) are added on request.
-    """
-    dictionary = dictionary or Dictionary.seed(src.sparkSession)
+    column_source: str,
+    present: Callable[[], list[str]],
+    columns: Sequence[str] | None,
+    filename: bool,
+) -> tuple[list[str], list[str] | None]:
+    """Items of a scan, and those allowed in a file (None: any); ``present`` lists the items of the files."""
     if column_source == "dictionary":
         known = dictionary.columns(category)
         if not known:
@@ -316,7 +311,7 @@ def scan(
         items = known
     elif column_source == "files":
         known = None
-        items = present_items(src, category, data_block)
+        items = present()
         if not items:
             raise ValueError(f"category '{category}' is not present in any file")
     else:
@@ -329,6 +324,30 @@ def scan(
         if missing:
             raise ValueError(f"no such items in '{category}': {missing}")
         items = [spelled[c.lower()] for c in columns]
+    return items, known
+
+
+def scan(
+    src: DataFrame,
+    category: str,
+    dictionary: Dictionary | None = None,
+    *,
+    column_source: str = "dictionary",
+    data_block: str | None = None,
+    columns: Sequence[str] | None = None,
+    filename: bool = True,
+    row_id: bool = False,
+    on_malformed: str = "error",
+) -> DataFrame:
+    """Scan one category of all files into typed columns.
+
+    ``column_source="dictionary"`` gives every item the dictionary defines (sorted) and rejects files with other items;
+    no file is opened to find the schema. ``"files"`` gives the union of the items present. ``columns`` narrows the
+    result; ``filename`` and ``row_id`` (with the rest of the order key) are added on request.
+    """
+    dictionary = dictionary or Dictionary.seed(src.sparkSession)
+    present = lambda: present_items(src, category, data_block)
+    items, known = schema_of(dictionary, category, column_source, present, columns, filename)
     return typed_rows(
         records(blocks(src, data_block), [category]),
         category,
@@ -341,6 +360,17 @@ def scan(
     )
 
 
+def allowed_only(recs: DataFrame, category: str, known: Sequence[str] | None) -> DataFrame:
+    """Records with ``lower_items``, path and nothing but known items; any other stops the job."""
+    if known is None:
+        return recs
+    allowed = ", ".join(g.lit(k.lower()) for k in known)
+    unknown = f"array_except(lower_items, array({allowed}))"
+    text_ = g.lit(f"items of '{category}' that are not in the dictionary: ")
+    error = f"raise_error(concat({text_}, array_join({unknown}, ', '), ' in ', path))"
+    return recs.filter(f"CASE WHEN size({unknown}) = 0 THEN true ELSE CAST({error} AS boolean) END")
+
+
 def typed_rows(
     recs: DataFrame,
     category: str,
@@ -354,16 +384,31 @@ def typed_rows(
 ) -> DataFrame:
     """Rows of the records of one category as typed columns."""
     recs = recs.selectExpr("*", "transform(items, i -> lower(i)) AS lower_items")
-    if known is not None:
-        allowed = ", ".join(g.lit(k.lower()) for k in known)
-        unknown = f"array_except(lower_items, array({allowed}))"
-        text_ = g.lit(f"items of '{category}' that are not in the dictionary: ")
-        error = f"raise_error(concat({text_}, array_join({unknown}, ', '), ' in ', path))"
-        recs = recs.filter(f"CASE WHEN size({unknown}) = 0 THEN true ELSE CAST({error} AS boolean) END")
+    recs = allowed_only(recs, category, known)
+    lead = ["file_ord", "path", "block_ord"]
+    at = places_of(items)
+    rows = unroll(recs.selectExpr(*lead, *at, "rows"), [*lead, *[f"at{n}" for n in range(len(at))]], "rows", "row_id", "row")
+    return typed_cells(rows, category, items, dictionary, filename=filename, row_id=row_id, on_malformed=on_malformed)
+
+
+def places_of(items: Sequence[str]) -> list[str]:
+    """Columns ``at0``, ``at1``, ...: where the row of a record with ``lower_items`` has each item, -1 for nowhere."""
+    return [f"CAST(array_position(lower_items, {g.lit(i.lower())}) AS int) - 1 AS at{n}" for n, i in enumerate(items)]
+
+
+def typed_cells(
+    rows: DataFrame,
+    category: str,
+    items: Sequence[str],
+    dictionary: Dictionary,
+    *,
+    filename: bool = True,
+    row_id: bool = False,
+    on_malformed: str = "error",
+) -> DataFrame:
+    """Typed columns of row texts ``file_ord, path, block_ord, row_id, row`` with the ``places_of`` the items."""
     lead = ["file_ord", "path", "block_ord"]
     names = [f"at{n}" for n in range(len(items))]
-    at = [f"CAST(array_position(lower_items, {g.lit(i.lower())}) AS int) - 1 AS {n}" for n, i in zip(names, items)]
-    rows = unroll(recs.selectExpr(*lead, *at, "rows"), [*lead, *names], "rows", "row_id", "row")
     # One stage per step, so that no step is computed twice for one cell. The one-element unroll holds back filters on
     # columns: below it they would cut the row text once more for every column they name.
     keep = [*lead, "row_id"]
