@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import gzip
 from collections.abc import Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from cif_lake.functions import render
 from cif_lake.functions.grammar import lit
 from cif_lake.sources.dictionary import ITEMS_SCHEMA, Dictionary
+from cif_lake.sources.write import work_folder
 
 ROWS_PER_FILE = 64
 
@@ -180,6 +182,27 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files({"document": (rows, DOC_COLUMNS)}, "docs", loops=True)
 
 
+def large_file(spark: SparkSession, sf_dir: str) -> str:
+    """One file with all lines and all documents as two loops, in a fresh folder; the path of the folder.
+
+    One task writes it, as one file has one writer; the rows come to it sorted, a partition at a time.
+    """
+    ship = F.date_format("l_shipdate", "yyyy-MM-dd").alias("l_shipdate")
+    li = table(spark, sf_dir, "lineitem")
+    li = li.select(F.col("l_orderkey").alias("major"), F.col("l_linenumber").cast("bigint").alias("minor"), *[ship if c == "l_shipdate" else c for c in LINE_TYPES])
+    d = table(spark, sf_dir, "documents")
+    d = d.select(F.col("doc_id").alias("major"), F.lit(0).cast("bigint").alias("minor"), "doc_id", "lang", "source", safe_text(F.col("text")).alias("text"), "n_chars")
+    parts = []
+    for n, (category, frame, columns) in enumerate((("lineitem", li, list(LINE_TYPES)), ("document", d, DOC_COLUMNS))):
+        head = ("data_large\n" if n == 0 else "") + render.header(category, columns).rstrip("\n")
+        parts.append(spark.range(1).selectExpr(f"{2 * n} AS cat", "0L AS major", "0L AS minor", f"{lit(head)} AS line"))
+        parts.append(frame.select(F.lit(2 * n + 1).alias("cat"), "major", "minor", render.row(frame, columns).alias("line")))
+    folder = work_folder(spark)
+    lines = reduce(DataFrame.unionAll, parts).orderBy("cat", "major", "minor").select("line")
+    lines.coalesce(1).write.text(folder)
+    return folder
+
+
 # --- entries: orders -> key-value categories -----------------------------------------------------------
 
 

@@ -10,6 +10,7 @@ from cif_lake.functions import render
 from cif_lake.plans import corpus
 from cif_lake.plans.corpus import ATOMS_SQL, SAFE_TEXT_SQL, custom_dictionary
 from cif_lake.plans.registry import query
+from cif_lake.sources import large as large_files
 from cif_lake.sources import read
 from cif_lake.sources.dictionary import Dictionary
 
@@ -240,6 +241,32 @@ def scan_parallel_counts(spark, sf):
     )
 
 
+def large(spark, sf) -> large_files.Index:
+    return large_files.index(spark, corpus.large_file(spark, sf))
+
+
+@query(LINES)
+def large_file_scan(spark, sf):
+    """A loop of one large file, cut by many tasks."""
+    return large_files.scan(large(spark, sf), "lineitem", corpus.line_dictionary(spark), columns=list(corpus.LINE_TYPES), filename=False)
+
+
+@query(
+    f"""SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_id, CAST(doc_id AS VARCHAR) AS doc_id, lang, source,
+    nullif({SAFE_TEXT_SQL.format("text")}, '') AS text, CAST(n_chars AS VARCHAR) AS n_chars FROM documents"""
+)
+def large_file_texts(spark, sf):
+    """Rows of text fields behind the first loop, with their numbers in the file."""
+    rows = large_files.scan(large(spark, sf), "document", column_source="files", row_id=True, filename=False)
+    return rows.select("row_id", *corpus.DOC_COLUMNS)
+
+
+@query("SELECT 'large' AS block_name, 'lineitem' AS category, count(*) AS n_rows FROM lineitem UNION ALL SELECT 'large', 'document', count(*) FROM documents")
+def large_file_counts(spark, sf):
+    """Row counts from the index alone."""
+    return large_files.row_counts(large(spark, sf)).select("block_name", "category", "n_rows")
+
+
 @query("SELECT l_quantity, l_orderkey FROM lineitem")
 def scan_projected(spark, sf):
     return lines(spark, sf, columns=["l_quantity", "l_orderkey"])
