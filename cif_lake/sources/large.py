@@ -6,8 +6,9 @@ states are composed along the file. With its true state known, a piece is lexed
 marks and value counts, added up along the file, say which record a run of values belongs to and at which column it
 begins. A piece then cuts its own rows; only the rows that cross the end of a piece are shuffled.
 
-``index`` writes two tables below a folder: the pieces, and the records (one row per block and category: items, places and
-number of values). Scans and counts use them; a scan lexes only the pieces that hold the category.
+``index`` writes tables below a folder: the pieces, what begins in them, the records (one row per block and category: items,
+places, number of rows) and the row texts by category. Counts read the records; a scan reads the row texts of its category and
+joins those that cross the end of a piece. The pieces are needed while the index is made only.
 
 Bounds: a task holds one piece (one line, if that is longer); the piece states and the marks (not the values) of one file, and
 the marks of one block, come together. A file on a compressed stream (``.gz``) has one split, but pieces as well.
@@ -33,7 +34,7 @@ from cif_lake.sources import read, write
 from cif_lake.sources.dictionary import Dictionary
 
 PIECE_BYTES = 1 << 20
-#: Places of wanted values of up to so many pieces are sent to the pieces; more meet them by a shuffle.
+#: What is known of so many pieces and marks in them is sent to the pieces; more meets them by a shuffle.
 BROADCAST_PIECES = 200_000
 #: What opens the value that a piece begins in, by start state; state 0 is between values.
 OPENERS = ("", ";", "'''", '"""', "'", '"')
@@ -139,15 +140,15 @@ def _along_file(states: pd.DataFrame) -> pd.DataFrame:
 
 @dataclass(frozen=True)
 class Index:
-    """Tables of an index: ``pieces`` (texts), ``units`` (pieces and marks along the files), ``records``."""
+    """Tables of an index: ``units`` (pieces and marks along the files), ``records``, ``parts`` (row texts)."""
 
-    pieces: DataFrame
     units: DataFrame
     records: DataFrame
+    parts: DataFrame
 
     @staticmethod
     def load(spark: SparkSession, folder: str) -> Index:
-        return Index(*(spark.read.parquet(f"{folder}/{name}") for name in ("pieces", "units", "records")))
+        return Index(*(spark.read.parquet(f"{folder}/{name}") for name in ("units", "records", "parts")))
 
 
 def _lexed(pieces: DataFrame) -> DataFrame:
@@ -209,13 +210,15 @@ def index(spark: SparkSession, paths: str | Sequence[str], folder: str | None =
     pieces = spark.read.parquet(f"{folder}/pieces")
     starts = pieces.select(*PIECE, "ends").groupBy("path").applyInPandas(_along_file, "path string, split long, piece int, start int")
     _units(_lexed(_joined(pieces.drop("ends"), starts))).write.parquet(f"{folder}/units")
-    _records(spark.read.parquet(f"{folder}/units")).write.parquet(f"{folder}/records")
+    units = spark.read.parquet(f"{folder}/units")
+    _records(units).write.parquet(f"{folder}/records")
+    _parts(pieces.drop("ends"), units, spark.read.parquet(f"{folder}/records")).write.parquet(f"{folder}/parts")
     return Index.load(spark, folder)
 
 
-def _joined(pieces: DataFrame, places: DataFrame) -> DataFrame:
-    """Pieces with what is known of them; the texts stay where they are while the places fit a broadcast."""
-    few = places.count() <= BROADCAST_PIECES
+def _joined(pieces: DataFrame, places: DataFrame, size: str = "1") -> DataFrame:
+    """Pieces with what is known of them; the texts stay where they are while the pieces are few enough for a broadcast."""
+    few = (places.agg(F.sum(F.expr(size))).first()[0] or 0) <= BROADCAST_PIECES
     return pieces.join(F.broadcast(places) if few else places, PIECE)
 
 
@@ -242,20 +245,20 @@ def _chosen(found: Index, category: str, data_block: str | None) -> DataFrame:
     return held.select("path", "block_ord").join(recs, ["path", "block_ord"])
 
 
-def _parts(found: Index, recs: DataFrame) -> DataFrame:
-    """Runs of values of the records, piece by piece: ``path, block_ord, pos, split, piece, seq, row_id, edge, text``.
+def _parts(pieces: DataFrame, units: DataFrame, recs: DataFrame) -> DataFrame:
+    """Row texts of the records, piece by piece: ``path, block_ord, key, is_loop, pos, split, piece, seq, row_id, edge, text``.
 
     A loop is one run as wide as the loop; a key-value record is one run of single values for each tag, ``pos``. ``edge`` marks the
     texts that may be a part of a row only.
     """
     loop = "array(named_struct('grp', element_at(groups, -1), 'pos', 0, 'width', size(items)))"
     pairs = "transform(groups, (x, i) -> named_struct('grp', x, 'pos', i, 'width', 1))"
-    runs = recs.select("path", "block_ord", F.explode(F.expr(f"CASE WHEN is_loop THEN {loop} ELSE {pairs} END")).alias("r")).select("path", "block_ord", "r.*")
-    units = found.units.select(*PIECE, "start", "ord", "grp", "carry")
-    wants = units.join(runs, ["path", "grp"]).groupBy(*PIECE, "start").agg(
-        F.collect_list(F.struct("ord", F.when(F.col("ord") == 0, F.col("carry")).otherwise(0).alias("carry"), "block_ord", "pos", "width")).alias("wants")
-    )
-    lexed = read.marks(_lexed(_joined(found.pieces.drop("ends"), wants)))
+    whose = ["block_ord", "key", "is_loop"]
+    runs = recs.select("path", *whose, F.explode(F.expr(f"CASE WHEN is_loop THEN {loop} ELSE {pairs} END")).alias("r")).select("path", *whose, "r.*")
+    want = F.struct("ord", F.when(F.col("ord") == 0, F.col("carry")).otherwise(0).alias("carry"), *whose, "pos", "width")
+    wants = units.select(*PIECE, "start", "ord", "grp", "carry").join(runs, ["path", "grp"])
+    wants = wants.groupBy(*PIECE, "start").agg(F.sort_array(F.collect_list(want)).alias("wants"))
+    lexed = read.marks(_lexed(_joined(pieces, wants, "size(wants)")))
     # The run of a mark reaches to the next one; that of the piece itself begins behind the end of an earlier value.
     first = "IF(w.ord = 0, IF(start = 0, 1, 2), get(marks, w.ord - 1).p + 1)"
     width = f"greatest(coalesce(get(marks, w.ord).p, size(lex) + 1) - ({first}), 0)"
@@ -267,7 +270,7 @@ def _parts(found: Index, recs: DataFrame) -> DataFrame:
     cut = cut.selectExpr("*", f"CASE WHEN only THEN rest ELSE {bare} END AS ending")
     gap = "coalesce(substring(rest, length(ending) + 1), '')"
     cut = cut.selectExpr(
-        *PIECE, "block_ord", "pos", "width", "carry", "open", "ending", f"concat({gap}, {g.without_comments('lex')}) AS body",
+        *PIECE, *whose, "pos", "width", "carry", "open", "ending", f"concat({gap}, {g.without_comments('lex')}) AS body",
         "CAST(pmod(width - carry % width, width) AS int) AS lacking",
     ).selectExpr("*", f"CASE WHEN lacking > 0 THEN regexp_extract(body, {g.row_pattern('lacking')}, 0) ELSE '' END AS head")
     cut = cut.selectExpr("*", "substring(body, length(head) + 1) AS own").selectExpr("*", f"{g.all_of('own', g.row_pattern('width'))} AS rows")
@@ -275,18 +278,20 @@ def _parts(found: Index, recs: DataFrame) -> DataFrame:
     ending = f"CASE WHEN ending IS NULL THEN array() ELSE array({part('0', '(carry - 1) DIV width', 'true', 'ending')}) END"
     head = f"CASE WHEN head = '' THEN array() ELSE array({part('1', 'carry DIV width', 'true', 'head')}) END"
     own = f"transform(rows, (x, i) -> {part('2', '(carry + lacking) DIV width + i', 'open AND i = size(rows) - 1', 'x')})"
-    keep = ["path", "block_ord", "pos", "split", "piece"]
-    return read.unroll(cut, keep, F.expr(f"concat({ending}, {head}, {own})"), "e").select(*keep, "e.*")
+    keep = ["path", *whose, "pos", "split", "piece"]
+    # Of a key-value record only the first value of each tag counts.
+    return read.unroll(cut, keep, F.expr(f"concat({ending}, {head}, {own})"), "e").select(*keep, "e.*").filter("is_loop OR row_id = 0")
 
 
-def _rows(found: Index, recs: DataFrame) -> DataFrame:
-    """Row texts of the records: ``path, block_ord, row_id, row``."""
-    parts = _parts(found, recs.filter("is_loop"))
+def _rows(found: Index, recs: DataFrame, category: str) -> DataFrame:
+    """Row texts of the records of a category: ``path, block_ord, row_id, row``."""
+    held = found.parts.filter(F.col("key") == category.lower())
+    parts = held.filter("is_loop")
     row = ["path", "block_ord", "pos", "row_id"]
     glue = F.expr("array_join(transform(array_sort(collect_list(struct(split, piece, seq, text))), x -> x.text), '')")
     loops = parts.filter("NOT edge").select(*row, "text").unionByName(parts.filter("edge").groupBy(*row).agg(glue.alias("text")))
     # A key-value record is one row of its first values; a text field starts a line.
-    cells = _parts(found, recs.filter("NOT is_loop")).filter("row_id = 0").groupBy(*row).agg(glue.alias("text"))
+    cells = held.filter("NOT is_loop").groupBy(*row).agg(glue.alias("text"))
     cells = cells.groupBy("path", "block_ord").agg(F.map_from_entries(F.collect_list(F.struct("pos", "text"))).alias("cells"))
     first = f"coalesce(get({g.values('cells[i]')}, 0), '?')"
     gap = f"CASE WHEN {g.is_text_field('v')} THEN '\\n' ELSE ' ' END"
@@ -320,5 +325,5 @@ def scan(
     items, known = read.schema_of(dictionary, category, column_source, present, columns, filename)
     recs = read.allowed_only(chosen.selectExpr("*", "transform(items, i -> lower(i)) AS lower_items"), category, known)
     at = recs.selectExpr("path", "block_ord", *read.places_of(items))
-    rows = _rows(found, recs).join(at, ["path", "block_ord"]).withColumn("file_ord", F.lit(0))
+    rows = _rows(found, recs, category).join(at, ["path", "block_ord"]).withColumn("file_ord", F.lit(0))
     return read.typed_cells(rows, category, items, dictionary, filename=filename, row_id=row_id, on_malformed=on_malformed)

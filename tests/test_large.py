@@ -119,7 +119,7 @@ def test_splits_of_one_file(spark, write_texts):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
     try:
         found = large.index(spark, folder, piece_bytes=300)
-        assert found.pieces.select("split").distinct().count() > 5
+        assert found.units.select("split").distinct().count() > 5
         got = large.scan(found, "v", column_source="files", row_id=True)
         want = read.scan(read.source(spark, folder), "v", column_source="files", row_id=True)
         assert everything(got) == everything(want) and got.count() == 400
@@ -140,12 +140,21 @@ def test_blocks_by_name_and_faults(spark, write_texts):
         large.scan(found, "entry").collect()
 
 
-def test_only_pieces_with_the_category_are_read(spark, write_texts):
+def test_a_scan_reads_its_category_only(spark, write_texts, tmp_path):
     body = "".join(f"{i} {i}\n" for i in range(300))
     folder = write_texts(a=f"data_x\n_w.x 1\nloop_\n_v.a\n_v.b\n{body}_u.y 2\n")
-    found = large.index(spark, folder, piece_bytes=200)
-    total = found.pieces.count()
-    recs = found.records.filter("key = 'w'")
-    held = large._parts(found, recs).select("split", "piece").distinct().count()
-    assert total > 8 and held == 1
-    assert large.scan(large.Index.load(spark, found.records.inputFiles()[0].rsplit("/records", 1)[0]), "w", column_source="files").count() == 1
+    large.index(spark, folder, str(tmp_path / "index"), piece_bytes=200)
+    found = large.Index.load(spark, str(tmp_path / "index"))
+    scan = large.scan(found, "v", column_source="files", columns=["a"])
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(key,v)" in plan and "content" not in plan
+    assert scan.count() == 300 and large.scan(found, "w", column_source="files").count() == 1
+    # Few rows cross the end of a piece: no others are shuffled.
+    assert found.parts.filter("key = 'v' AND edge").count() <= 2 * found.units.filter("k = 'P'").count() < 30
+
+
+def test_many_pieces_meet_by_a_shuffle(spark, write_texts, monkeypatch):
+    folder = write_texts(a=AWKWARD)
+    want = everything(large.scan(large.index(spark, folder, piece_bytes=40), "v", column_source="files", row_id=True))
+    monkeypatch.setattr(large, "BROADCAST_PIECES", 1)
+    assert everything(large.scan(large.index(spark, folder, piece_bytes=40), "v", column_source="files", row_id=True)) == want
