@@ -2,10 +2,13 @@
 
 A scan of each whole text finds assignments to secret names, access keys and long hexadecimal runs, and beyond them candidates: long
 runs of token characters that look random. The 128-bit hash of each value is counted over the corpus by distinct owners and by
-distinct repositories (texts, so that copies of a document count once). Both counts are held against the corpus: a value is a widely
-copied example if at least ``OWNER_SHARE`` of all owners (and ``EXAMPLE_OWNERS`` of them) and ``REPOSITORY_SHARE`` of all
-repositories have it. Any other value that looks random is a live credential, however often a few owners or texts repeat it.
-Candidates are reported only if they are live.
+distinct repositories (texts, so that copies of a document count once, for the first owner). A credential belongs to one owner, and a
+repository of it lies outside by mistake, at the rate ``LEAK``. A value is a widely copied example if that is refuted, at a level that
+all values of the corpus share (``ALPHA``, so the bound grows with the logarithm of their number), in one of two ways: by the other
+owners among its repositories (many owners with few copies each), or by the repositories outside its main owner where its owners are
+as many as independent copies would have (few owners in all, each with many copies). So is one that at least ``OWNER_SHARE`` of all
+owners (and ``EXAMPLE_OWNERS`` of them) and ``REPOSITORY_SHARE`` of all repositories have, copied texts included. Any other value that looks random is a live
+credential, however often a few owners or texts repeat it. Candidates are reported only if they are live.
 
 Only spans, hashes and counts are shuffled; a value that a third of the corpus copies is reduced before it meets others of its
 kind, and its spans are joined by rows whose partitions Spark can split.
@@ -40,7 +43,11 @@ _TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 _TOKEN_BYTE = np.isin(np.arange(256), list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"))
 #: Bits a character from which a value looks random, and the kinds of characters it must mix.
 LIVE_BITS, LIVE_CLASSES = 3.0, 2
-#: What a widely copied example has at least: owners, share of all owners, share of all repositories.
+#: Repositories of a credential outside its owner, as a share; examples wrongly told, over all values of a corpus.
+LEAK, ALPHA = 0.05, 0.01
+#: Owners of an example, as a share of those that as many independent copies would have.
+EVEN = 0.9
+#: What is an example by its share of the corpus: least owners, share of all owners, share of all repositories.
 EXAMPLE_OWNERS, OWNER_SHARE, REPOSITORY_SHARE = 3, 0.5, 0.001
 MASK = "<secret>"
 
@@ -92,19 +99,52 @@ def _named(owner: str) -> Column:
 
 
 def ownership(found: DataFrame, owner: str = "_owner", repository: str = "_repository") -> DataFrame:
-    """``(hash, owners, repositories)``: the distinct owners and repositories of each value."""
+    """``(hash, owners, repositories, holders, most)`` of each value.
+
+    Owners and repositories are distinct; each repository is held by the first of its owners: ``holders`` counts those, ``most`` is the
+    largest number of repositories that one of them holds.
+    """
     values = found.select(F.explode("_spans.hash").alias("hash"), _named(owner).alias("o"), F.col(repository).alias("r"))
     owners = values.groupBy("hash", "o").agg(F.lit(1).alias("one")).groupBy("hash").agg(F.count("*").alias("owners"))
-    repositories = values.groupBy("hash", "r").agg(F.lit(1).alias("one")).groupBy("hash").agg(F.count("*").alias("repositories"))
-    return owners.join(repositories, "hash")
+    held = values.groupBy("hash", "r").agg(F.min("o").alias("o")).groupBy("hash", "o").agg(F.count("*").alias("n"))
+    held = held.groupBy("hash").agg(F.sum("n").alias("repositories"), F.count("*").alias("holders"), F.max("n").alias("most"))
+    return owners.join(held, "hash")
+
+
+def owner_classes(found: DataFrame, owner: str = "_owner", repository: str = "_repository") -> list[tuple[int, float]]:
+    """Owners by size, in powers of two: how many there are, and the mean share of all repositories that one has."""
+    sizes = found.select(_named(owner).alias("o"), F.col(repository).alias("r")).distinct().groupBy("o").agg(F.count("*").alias("n"))
+    # At most 63 classes.
+    classes = sizes.groupBy(F.floor(F.log2("n")).alias("c")).agg(F.count("*").alias("owners"), F.sum("n").alias("n")).orderBy("c").collect()
+    total = sum(c["n"] for c in classes)
+    return [(c["owners"], c["n"] / c["owners"] / total) for c in classes]
+
+
+def evidence(outside: Column, repositories: Column, leak: float = LEAK) -> Column:
+    """Chernoff bound, as a negative logarithm, of the chance that so many of the repositories or more lie outside."""
+    share = outside / repositories
+    inside = F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - leak))).otherwise(0.0)
+    return F.when(share > leak, repositories * (share * F.log(share / leak) + inside)).otherwise(0.0)
+
+
+def copied(values: DataFrame, classes: list[tuple[int, float]], leak: float = LEAK, alpha: float = ALPHA, even: float = EVEN) -> DataFrame:
+    """``ownership`` with ``example``: whether a value is a widely copied example."""
+    bound = math.log(max(values.count(), 1) / alpha)
+    n = F.col("repositories")
+    expected = sum((F.lit(owners) * (1 - F.pow(F.lit(1 - share), n)) for owners, share in classes), F.lit(0.0))
+    wide = evidence(F.col("holders") - 1, n, leak) >= bound
+    spread = (evidence(n - F.col("most"), n, leak) >= bound) & (F.col("holders") >= even * expected)
+    return values.withColumn("example", wide | spread)
 
 
-def judged(found: DataFrame, example_owners: int = EXAMPLE_OWNERS, owner_share: float = OWNER_SHARE, repository_share: float = REPOSITORY_SHARE) -> DataFrame:
+def judged(found: DataFrame) -> DataFrame:
     """``(_row, spans)``: the base spans and the live candidates of each row that has any, each with ``verdict`` live, example or weak."""
-    spans = found.select("_row", F.inline("_spans")).join(ownership(found), "hash")
-    all_owners, all_repositories = found.select(_named("_owner")).distinct().count(), found.select("_repository").distinct().count()
-    wide = (F.col("owners") >= max(example_owners, owner_share * all_owners)) & (F.col("repositories") >= repository_share * all_repositories)
-    verdict = F.when(wide, "example").when(F.col("random"), "live").otherwise("weak")
+    classes = owner_classes(found)
+    all_owners, all_repositories = sum(n for n, _ in classes), found.select("_repository").distinct().count()
+    usual = (F.col("owners") >= max(EXAMPLE_OWNERS, OWNER_SHARE * all_owners)) & (F.col("repositories") >= REPOSITORY_SHARE * all_repositories)
+    values = copied(checkpointed(ownership(found)), classes).withColumn("example", F.col("example") | usual).drop("holders", "most")
+    spans = found.select("_row", F.inline("_spans")).join(values, "hash")
+    verdict = F.when(F.col("example"), "example").when(F.col("random"), "live").otherwise("weak")
     kept = spans.withColumn("verdict", verdict).where((F.col("kind") < 3) | (F.col("verdict") == "live"))
     one = F.struct("start", "kind", "end", "verdict", "owners", "repositories")
     return kept.groupBy("_row").agg(F.array_sort(F.collect_list(one)).alias("spans"))
