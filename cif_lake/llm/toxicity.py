@@ -3,8 +3,8 @@
 The features are densities of a learned lexicon (in plain words, in words written with digits, signs or gaps), how near its words
 stand to a second person, and rates of capitals, punctuation and obfuscation. Lexicon, trees and calibration are learned from a
 bounded sample of labelled documents (``labelled.TRAIN_ROWS``): the lexicon holds words that occur in ``LEAST`` toxic documents or
-more, and at a share of toxic documents that is ``LIFT`` times that of the others, and stems of words by the same rule,
-``LEXICON`` in all at most. The calibration is fitted on scores from trees that did not see the document.
+more, and whose share of the toxic documents is surely ``LIFT`` times that of the others (``SURE`` standard errors of its logarithm
+below the estimate), and stems of words by the same rule, the surest ``LEXICON`` in all. The calibration is fitted on scores from trees that did not see the document.
 
 Defined results: a null or empty text has zero features and gets the score of such a text; without labels of both classes every
 score is the share of toxic labels, or one half, and ``remove`` keeps all documents. Result columns replace input columns of the
@@ -24,9 +24,9 @@ from cif_lake.llm import boosting
 from cif_lake.llm.common import aside, remainder, table, text_function
 from cif_lake.llm.labelled import TRAIN_ROWS, bounded, labels, training
 
-LEXICON, LEAST, LIFT = 1000, 5, 40.0
+LEXICON, LEAST, LIFT, SURE = 1000, 5, 4.0, 2.0
 THRESHOLD = 0.3
-#: Bytes of the stems that the lexicon has besides whole words, marked by an asterisk.
+#: Characters of the stems that the lexicon has besides whole words, marked by an asterisk.
 STEMS = (4, 5)
 #: Words this near to a second person count as aimed at it.
 NEAR = 6
@@ -59,6 +59,11 @@ def words(text: bytes) -> list[bytes]:
     return (text if text.isascii() else _BEYOND.sub(b" ", text)).translate(_PLAIN).split()
 
 
+def stem(word: bytes, k: int) -> bytes:
+    """The first ``k`` characters of a word, marked as a stem."""
+    return (word[:k] if word.isascii() else word.decode(errors="replace")[:k].encode()) + b"*"
+
+
 def _found_hidden(text: bytes, codes: np.ndarray, tokens: list[bytes], lexicon: dict[bytes, float]) -> tuple[int, int]:
     """Words written with signs, digits, gaps or drawn-out letters: how many there are, and how many of them are in the lexicon."""
     letter, sign = _LETTER[codes], _SIGN[codes]
@@ -90,8 +95,7 @@ def features(text: bytes | None, lexicon: dict[bytes, float]) -> list[float]:
         return [0.0] * len(FEATURES)
     weights = np.fromiter(map(lexicon.get, tokens, repeat(0.0)), float, n)
     for k in STEMS:
-        stem = np.fromiter((lexicon.get(w[:k] + b"*", 0.0) for w in tokens), float, n)
-        weights = np.maximum(weights, stem)
+        weights = np.maximum(weights, np.fromiter((lexicon.get(stem(w, k), 0.0) for w in tokens), float, n))
     second = np.flatnonzero(np.fromiter(map(SECOND_PERSON.__contains__, tokens), bool, n))
     at = np.flatnonzero(weights)
     aimed = 0
@@ -112,9 +116,9 @@ def features(text: bytes | None, lexicon: dict[bytes, float]) -> list[float]:
 
 def entries(text: bytes | None) -> list[str]:
     """The different words of a text, and their stems."""
-    distinct = {w for w in words(text or b"") if 2 < len(w) <= 40}
-    stems = {w[:k] + b"*" for w in distinct for k in STEMS if len(w) > k}
-    return [w.decode(errors="ignore") for w in distinct | stems]
+    distinct = {w for w in words(text or b"") if len(w) > 2}
+    stems = {stem(w, k) for w in distinct for k in STEMS if len(w) >= k}
+    return list({w.decode(errors="replace") for w in distinct | stems})
 
 
 def learn_lexicon(documents: DataFrame, sample: DataFrame, text: str = "text", doc_id: str = "doc_id") -> dict[bytes, float]:
@@ -125,9 +129,11 @@ def learn_lexicon(documents: DataFrame, sample: DataFrame, text: str = "text", d
     if not toxic or not other:
         return {}
     counts = found.select("y", F.explode("w").alias("word")).groupBy("word").agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("o"))
-    lift = (F.col("t") / toxic) / ((F.col("o") + 0.5) / (other + 0.5))
-    best = counts.where(F.col("t") >= LEAST).withColumn("lift", lift).where(F.col("lift") >= LIFT).orderBy(F.desc("t"), "word").limit(LEXICON)
-    return {r["word"].encode(): float(np.log(r["lift"])) for r in best.collect()}
+    lift = F.log((F.col("t") / toxic) / ((F.col("o") + 0.5) / (other + 0.5)))
+    error = F.sqrt(1 / F.col("t") + 1 / (F.col("o") + 0.5))
+    counts = counts.where(F.col("t") >= LEAST).select("word", lift.alias("lift"), (lift - SURE * error).alias("least"))
+    best = counts.where(F.col("least") >= float(np.log(LIFT))).orderBy(F.desc("least"), "word").limit(LEXICON)
+    return {r["word"].encode(): r["lift"] for r in best.collect()}
 
 
 def fit(documents: DataFrame, rows: DataFrame, label: str = "toxic", held_out: tuple[int, int] | None = None, bound: int = TRAIN_ROWS, folds: int = 2):
