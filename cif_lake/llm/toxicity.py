@@ -24,7 +24,7 @@ from cif_lake.llm import boosting
 from cif_lake.llm.common import aside, remainder, table, text_function
 from cif_lake.llm.labelled import TRAIN_ROWS, bounded, labels, training
 
-LEXICON, LEAST, LIFT, SURE = 1000, 5, 4.0, 2.0
+LEXICON, LEAST, LIFT, SURE = 1000, 5, 3.0, 2.0
 THRESHOLD = 0.3
 #: Characters of the stems that the lexicon has besides whole words, marked by an asterisk.
 STEMS = (4, 5)

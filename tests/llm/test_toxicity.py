@@ -52,7 +52,7 @@ def plain_lexicon(rows):
         t, o = sum(ys), len(ys) - sum(ys)
         if t >= 5:
             lift = math.log(t / toxic / ((o + 0.5) / (other + 0.5)))
-            if lift - 2 * math.sqrt(1 / t + 1 / (o + 0.5)) >= math.log(4):
+            if lift - 2 * math.sqrt(1 / t + 1 / (o + 0.5)) >= math.log(T.LIFT):
                 out[w.encode()] = lift
     return out
 
