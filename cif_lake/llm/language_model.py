@@ -1,20 +1,24 @@
 """Scoring by a hierarchical Pitman-Yor model of words.
 
-The most frequent words, the end of a text and the class of all other words are the dishes. Every one of them, and the start of a
-text, is a context with a restaurant of its own; all restaurants share one parent, whose customers are their tables and whose base
+The ``HEAD`` most frequent words, the end of a text and the class of all other words are the dishes. Every one of them, and the start
+of a text, is a context with a restaurant of its own; all restaurants share one parent, whose customers are their tables and whose base
 is uniform. A word of the class is then drawn from one more restaurant over the other known words and one outcome for all unknown
 ones, again with a uniform base; its discount is zero, so its predictions do not depend on the seating, and its strength is the
 one of a grid under which the counts, each left out in turn, are likeliest.
 
-Seating is sampled by Gibbs: a sweep takes customers from their tables, ``RESEATS`` drawn at random for each dish of each
-restaurant, and seats each anew. The restaurants of one sweep see the parent as the sweep before left it, so they are sampled side
-by side; each is one row with at most ``HEAD + 2`` dishes. Predictive probabilities are averaged over the sweeps that follow the first
-``BURN``.
+Seating is sampled by Gibbs. All that predictions need of the customers of a dish in a restaurant is at how many tables they sit, and
+given the other tables of the restaurant that number has a known distribution (generalised Stirling numbers times the weights of the
+tables): a sweep draws it anew for every dish of every restaurant, which reseats all customers. A customer alone in its dish has one table.
+Dishes of one sweep see the other tables and the parent as the sweep before left them, so a sweep needs no shuffle. Stirling numbers are exact
+up to ``EXACT`` customers; beyond, their logarithm follows from that row by the scaling of the number of tables, ``count ** discount``.
+Predictive probabilities are averaged over the sweeps that follow the first ``BURN``.
 
-Word counts cover the whole training corpus and are kept as a table that grows with it. Broadcast are only the ``KNOWN`` most
-frequent words (none longer than ``LONGEST`` bytes) and the class pairs, ``(HEAD + 3) * (HEAD + 2)`` at most; words beyond
-that are joined with the table by shuffle, once for each document they occur in. The most frequent words are those above a count
-that leaves no more than there is room for.
+Word counts and pairs (context, dish) cover the whole training corpus and are kept as tables that grow with it. Pairs lie in buckets by a
+hash of both words, as many as keep a bucket at ``BUCKET_TOKENS`` training tokens, so a frequent context is spread over all buckets; sorted
+lists of them are summed inside a partition before they are shuffled. Broadcast are only the ``KNOWN`` most frequent words (none
+longer than ``LONGEST`` bytes), two numbers a sample for each dish and context, and the ``PAIRS`` most frequent pairs; a document's other
+pairs and words meet the tables by shuffle, once for each document they occur in. The most frequent ones are those above a count that
+leaves no more than there is room for.
 
 Defined results: a null or empty text is the end alone; a null id is not learned from; without training texts the classes are
 uniform and all words are unknown. Result columns replace input columns of the same name.
@@ -22,6 +26,7 @@ uniform and all words are unknown. Result columns replace input columns of the s
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
@@ -31,13 +36,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cif_lake.llm.common import aside, SLICE, arrow_function, arrow_type, batches, checkpointed, remainder, ship, table, written
+from cif_lake.llm.common import aside, SLICE, arrow_function, arrow_type, batches, checkpointed, release, remainder, ship, table, written
 
-HEAD, KNOWN, LONGEST = 1000, 200_000, 64
-BURN, SAMPLES, RESEATS, SEED = 3, 3, 4, 11
+HEAD, KNOWN, LONGEST, PAIRS = 200_000, 200_000, 64, 1_000_000
+BURN, SAMPLES, SEED = 2, 3, 11
 STRENGTH, PARENT_DISCOUNT = 1.0, 0.5
 #: Words that a partition counts before it passes them on.
 HELD_COUNTS = 400_000
+#: Pairs that a partition holds before it passes them on, and training tokens for each bucket of pairs.
+HELD_PAIRS, BUCKET_TOKENS = 2_000_000, 2_000_000
+#: Customers of one dish up to which the distribution of their tables is exact.
+EXACT = 200
 #: The end of a text among the words; no word contains it.
 END = "\n"
 HELD_OUT = (7, 2)
@@ -92,99 +101,135 @@ def pseudo_count(counts_of_counts: list[tuple[int, int]]) -> float:
     return max(PSEUDO, key=lambda a: float(n * c @ (np.log(c - 1 + a) - np.log(max(1, total - 1) + a * (different + 1)))))
 
 
-def seat_all(count: int, weight: float, discount: float, draw) -> list[int]:
-    """Tables of ``count`` customers of one dish, seated in blocks that double; ``weight`` is what a new table weighs."""
-    tables = np.array([1], np.int64)
-    seated = 1
-    while seated < count:
-        block = min(seated, count - seated)
-        new = int(draw.binomial(block, weight / (seated - discount * len(tables) + weight)))
-        share = tables - discount
-        tables = np.concatenate([tables + draw.multinomial(block - new, share / share.sum()), np.ones(new, np.int64)])
-        seated += block
-    return tables.tolist()
-
-
-def reseat(tables: list[int], weight: float, discount: float, times: int, draw) -> list[int]:
-    """Take ``times`` random customers from their tables, one by one, and seat each anew; at least one table stays."""
-    count = sum(tables)
-    for u, v in draw.random((min(times, count), 2)).tolist():
-        at, k = u * count, 0
-        while k < len(tables) - 1 and at >= tables[k]:
-            at -= tables[k]
-            k += 1
-        if count == 1:
-            break
-        tables[k] -= 1
-        if not tables[k]:
-            tables[k] = tables[-1]
-            tables.pop()
-        at = v * (count - 1 - discount * len(tables) + weight)
-        if at < weight:
-            tables.append(1)
-            continue
-        at -= weight
-        k = 0
-        while k < len(tables) - 1 and at >= tables[k] - discount:
-            at -= tables[k] - discount
-            k += 1
-        tables[k] += 1
-    return tables
+def log_gamma(x: np.ndarray) -> np.ndarray:
+    """Logarithm of the gamma function of positive numbers, by Stirling's series six places higher."""
+    y = x + 6
+    low = x * (x + 1) * (x + 2) * (x + 3) * (x + 4) * (x + 5)
+    return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - np.log(low)
+
+
+class Seating:
+    """Draws at how many tables the customers of a dish sit, given what else there is in their restaurant."""
+
+    def __init__(self, discount: float, exact: int = EXACT):
+        self.discount, self.exact = discount, exact
+        # stirling[c, t]: log of the generalised Stirling number of c customers at t tables.
+        self.stirling = np.full((exact + 1, exact + 1), -np.inf)
+        self.stirling[1, 1] = 0
+        t = np.arange(1, exact + 1)
+        for c in range(1, exact):
+            stay = np.log(np.maximum(c - discount * t, 1e-300)) + self.stirling[c, 1:]
+            self.stirling[c + 1, 1:] = np.logaddexp(self.stirling[c, :-1], stay)
+            self.stirling[c + 1, c + 2 :] = -np.inf
+        self.scaled = self.stirling[exact, 1:] + log_gamma(t.astype(float)) + t * np.log(discount)
+
+    def draw(self, counts: np.ndarray, others: np.ndarray, base: np.ndarray, uniform: np.ndarray) -> np.ndarray:
+        """Numbers of tables. ``others``: tables of other dishes; ``base``: the dish's probability in the parent."""
+        tables = np.minimum(counts, 1)
+        order = np.argsort(counts, kind="stable")
+        ordered = counts[order]
+        for c in np.unique(ordered[(ordered > 1) & (ordered <= self.exact)]).tolist():
+            group = order[slice(*np.searchsorted(ordered, [c, c + 1]))]
+            for start in range(0, len(group), 100_000):
+                rows = group[start : start + 100_000]
+                new = np.log(STRENGTH + self.discount * (others[rows, None] + np.arange(c))) + np.log(base[rows, None])
+                tables[rows] = 1 + self._chosen(self.stirling[c, 1 : c + 1] + np.cumsum(new, axis=1), uniform[rows])[0]
+        many = order[np.searchsorted(ordered, self.exact, "right") :]
+        for start in range(0, len(many), 10_000):
+            rows = many[start : start + 10_000]
+            tables[rows] = self._many(counts[rows].astype(float), others[rows] + STRENGTH / self.discount, np.log(base[rows]), uniform[rows])
+        return tables
+
+    @staticmethod
+    def _chosen(logs: np.ndarray, uniform: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A column for each row, by the logarithms of their weights, and what is left of the uniform number, again uniform."""
+        weights = np.cumsum(np.exp(logs - logs.max(axis=1, keepdims=True)), axis=1)
+        at = uniform * weights[:, -1]
+        chosen = np.minimum((weights <= at[:, None]).sum(axis=1), logs.shape[1] - 1)
+        every = np.arange(len(chosen))
+        upper = weights[every, chosen]
+        lower = np.where(chosen > 0, weights[every, chosen - 1], 0.0)
+        return chosen, np.clip((at - lower) / np.maximum(upper - lower, 1e-300), 0, 1 - 1e-12)
+
+    def _scaled(self, t: np.ndarray) -> np.ndarray:
+        """The logarithm that follows ``count ** discount``, between and beyond the tables of the last exact row."""
+        k = np.clip(np.floor(t).astype(np.int64), 1, self.exact - 1)
+        return self.scaled[k - 1] + (t - k) * (self.scaled[k] - self.scaled[k - 1])
+
+    def log_weight(self, t: np.ndarray, counts: np.ndarray, others: np.ndarray, base: np.ndarray) -> np.ndarray:
+        """Of ``t`` tables for more than ``exact`` customers, but for a constant; ``others`` holds the strength, ``base`` is a logarithm."""
+        return self._scaled(t * (self.exact / counts) ** self.discount) - log_gamma(t) + log_gamma(others + t) + t * base
+
+    def _many(self, counts: np.ndarray, others: np.ndarray, base: np.ndarray, uniform: np.ndarray) -> np.ndarray:
+        low, high = np.ones(len(counts)), counts.copy()
+        for _ in range(int(np.ceil(np.log2(counts.max()))) + 1):
+            middle = np.floor((low + high) / 2)
+            rises = (self.log_weight(middle + 1, counts, others, base) > self.log_weight(middle, counts, others, base)) & (middle < high)
+            low, high = np.where(rises, middle + 1, low), np.where(rises, high, middle)
+        # 129 steps around the likeliest number, eight deviations wide; steps of more than one table are filled evenly.
+        wide = np.sqrt(np.minimum(low * (others + low) / others, low * low))
+        step = np.maximum(1, np.ceil(wide / 8))
+        grid = low[:, None] + step[:, None] * np.arange(-64, 65)
+        logs = self.log_weight(np.maximum(grid, 1), counts[:, None], others[:, None], base[:, None])
+        logs[(grid < 1) | (grid > counts[:, None])] = -np.inf
+        chosen, left = self._chosen(logs, uniform)
+        found = grid[np.arange(len(low)), chosen] + np.floor((left - 0.5) * step + 0.5)
+        return np.clip(found, 1, counts).astype(np.int64)
 
 
 class Parent:
     """The restaurant that all contexts share; its customers are their tables."""
 
     def __init__(self, dishes: int, seed: int = SEED):
-        self.dishes, self.draw = dishes, np.random.default_rng([seed, 0])
-        self.tables: list[list[int]] = [[] for _ in range(dishes)]
+        self.dishes, self.rng, self.seating = dishes, np.random.default_rng([seed, 0]), Seating(PARENT_DISCOUNT)
+        self.customers = self.tables = np.zeros(dishes, np.int64)
 
     def predictive(self) -> np.ndarray:
-        customers = np.array([sum(t) for t in self.tables], float)
-        tables = np.array([len(t) for t in self.tables], float)
-        new = (STRENGTH + PARENT_DISCOUNT * tables.sum()) / self.dishes
-        return (customers - PARENT_DISCOUNT * tables + new) / (STRENGTH + customers.sum())
-
-    def follow(self, customers: np.ndarray, times: int) -> None:
-        """Let customers of each dish come or go until there are as many as given; then reseat some."""
-        for dish, wanted in enumerate(customers.tolist()):
-            tables = self.tables[dish]
-            weight = (STRENGTH + PARENT_DISCOUNT * sum(map(len, self.tables))) / self.dishes
-            while sum(tables) > wanted:
-                tables[int(self.draw.choice(len(tables), p=np.array(tables) / sum(tables)))] -= 1
-                tables[:] = [t for t in tables if t]
-            if wanted and not tables:
-                tables[:] = seat_all(wanted, weight, PARENT_DISCOUNT, self.draw)
-            missing = wanted - sum(tables)
-            if missing > 0:
-                share = np.array(tables) - PARENT_DISCOUNT
-                new = int(self.draw.binomial(missing, weight / (share.sum() + weight)))
-                more = self.draw.multinomial(missing - new, share / share.sum())
-                tables[:] = [a + int(b) for a, b in zip(tables, more, strict=True)] + [1] * new
-            if tables:
-                reseat(tables, weight, PARENT_DISCOUNT, times, self.draw)
-
-
-def _sweep(parent: np.ndarray, discount: float, number: int, times: int):
-    """One sweep over the restaurants of a batch of rows; an empty seating is filled first."""
-    kind = arrow_type("array<array<int>>")
-
-    def run(contexts: pa.Array, dishes: pa.Array, counts: pa.Array, seating: pa.Array) -> pa.Array:
-        out = []
-        for u, ws, cs, seats in zip(contexts.to_pylist(), dishes.to_pylist(), counts.to_pylist(), seating.to_pylist(), strict=True):
-            draw = np.random.default_rng([SEED, number, u])
-            if not seats:
-                weight = STRENGTH + discount * len(ws)
-                seats = [seat_all(c, weight * parent[w], discount, draw) for w, c in zip(ws, cs, strict=True)]
-            total = sum(map(len, seats))
-            for w, tables in zip(ws, seats, strict=True):
-                total -= len(tables)
-                reseat(tables, (STRENGTH + discount * (total + len(tables))) * parent[w], discount, times, draw)
-                total += len(tables)
-            out.append(seats)
-        return pa.array(out, kind)
-
-    return arrow_function(run, "array<array<int>>")
+        new = (STRENGTH + PARENT_DISCOUNT * self.tables.sum()) / self.dishes
+        return (self.customers - PARENT_DISCOUNT * self.tables + new) / (STRENGTH + self.customers.sum())
+
+    def follow(self, customers: np.ndarray) -> None:
+        """Take the customers of each dish as given, and seat all of them anew."""
+        self.customers, old = customers, np.minimum(self.tables, customers)
+        others = (old.sum() - old).astype(float)
+        self.tables = self.seating.draw(customers, others, np.full(self.dishes, 1 / self.dishes), self.rng.random(self.dishes))
+
+
+def packed(numbers: np.ndarray, rising: bool = False) -> bytes:
+    """Whole numbers, or the differences of rising ones, byte by byte, deflated."""
+    plain = np.diff(numbers, prepend=0) if rising else numbers
+    return zlib.compress(np.ascontiguousarray(plain.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def unpacked(data: bytes, rising: bool = False) -> np.ndarray:
+    raw = np.frombuffer(zlib.decompress(data), np.uint8)
+    plain = np.ascontiguousarray(raw.reshape(8, len(raw) // 8).T).view("<i8").reshape(-1)
+    return np.cumsum(plain) if rising else plain.astype(np.int64)
+
+
+def _bucket(codes: np.ndarray, buckets: int) -> np.ndarray:
+    return (codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % buckets
+
+
+def _by_bucket(codes: np.ndarray, buckets: int, names: list[str], *more: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A row for each bucket: its number, its codes in rising order, and what belongs to them."""
+    number = _bucket(codes, buckets)
+    order = np.lexsort((codes, number))
+    number = number[order]
+    starts = np.flatnonzero(np.diff(number, prepend=-1)).tolist()
+    for some in range(0, len(starts), 16):
+        lots = [order[a:b] for a, b in zip(starts[some : some + 16], [*starts[1:], len(order)][some : some + 16], strict=True)]
+        columns = [pa.array([packed(codes[k], True) for k in lots], pa.binary()), *(pa.array([packed(m[k]) for k in lots], pa.binary()) for m in more)]
+        yield pa.RecordBatch.from_arrays([pa.array(number[starts[some : some + 16]], pa.int32()), *columns], names)
+
+
+def summed(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different codes in rising order, and the sums of their counts."""
+    code, count = np.concatenate([np.zeros(0, np.int64), *codes]), np.concatenate([np.zeros(0, np.int64), *counts])
+    order = np.argsort(code, kind="stable")
+    code = code[order]
+    first = np.flatnonzero(np.diff(code, prepend=-1))
+    return code[first], np.add.reduceat(count[order], first) if len(first) else count
 
 
 def _encoder(known: dict[bytes, int], head: int):
@@ -206,25 +251,38 @@ def _encoder(known: dict[bytes, int], head: int):
     return encode
 
 
-def class_pairs(texts: DataFrame, shared, head: int) -> DataFrame:
-    """``(u, w, c)``: how often each dish follows each context in the column ``text``."""
+def class_pairs(texts: DataFrame, shared, head: int, buckets: int = 1) -> DataFrame:
+    """``(bucket, code, c)``: pairs of a bucket as packed lists, how often each dish follows each context in the column ``text``."""
     ship()
-    cells = (head + 3) * (head + 2)
+    names = ["bucket", "code", "c"]
 
     def pairs(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder({w: k for k, w in enumerate(shared.value)}, head)
-        total = np.zeros(cells, np.int64)
+        codes, counts, size = [], [], 0
         for part in parts:
             for chunk in batches(part.column(0)):
                 _, _, dish, context, _, _ = encode(chunk)
                 found, n = np.unique(context * (head + 2) + dish, return_counts=True)
-                total[found] += n
-        found = np.flatnonzero(total)
-        for k in range(0, len(found), 100_000):
-            some = found[k : k + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(some // (head + 2), pa.int32()), pa.array(some % (head + 2), pa.int32()), pa.array(total[some])], ["u", "w", "c"])
-
-    return texts.select("text").mapInArrow(pairs, "u int, w int, c long").groupBy("u", "w").agg(F.sum("c").alias("c"))
+                codes.append(found)
+                counts.append(n)
+                size += len(found)
+                if size > HELD_PAIRS:
+                    found, n = summed(codes, counts)
+                    codes, counts, size = [found], [n], len(found)
+                    if size > HELD_PAIRS // 2:
+                        yield from _by_bucket(found, buckets, names, n)
+                        codes, counts, size = [], [], 0
+        found, n = summed(codes, counts)
+        yield from _by_bucket(found, buckets, names, n)
+        del codes, counts
+        release()
+
+    def merge(key: tuple[pa.Scalar, ...], lists: pa.Table) -> pa.Table:
+        code, count = summed([unpacked(x, True) for x in lists.column("code").to_pylist()], [unpacked(x) for x in lists.column("c").to_pylist()])
+        return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([packed(code, True)], pa.binary()), pa.array([packed(count)], pa.binary())], names)
+
+    schema = "bucket int, code binary, c binary"
+    return texts.select("text").mapInArrow(pairs, schema).groupBy("bucket").applyInArrow(merge, schema)
 
 
 def discount_of(ones: int | None, twos: int | None) -> float:
@@ -233,41 +291,116 @@ def discount_of(ones: int | None, twos: int | None) -> float:
     return min(0.95, max(0.05, ones / (ones + 2 * twos))) if ones and twos else 0.5
 
 
-def sample(pairs: DataFrame, head: int, burn: int = BURN, samples: int = SAMPLES, reseats: int = RESEATS) -> dict:
-    """Averaged predictive probabilities: of the seen pairs, and what goes to the parent in each sample."""
+def _over(lists: DataFrame, run, schema: str) -> DataFrame:
+    """The batches that ``run`` makes of each bucket: of its number and its unpacked columns, the first of them rising."""
+    ship()
+
+    def each(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for k in range(part.num_rows):
+                row = part.slice(k, 1).to_pylist()[0]
+                yield run(row.pop("bucket"), *[unpacked(x, at == 0) for at, x in enumerate(row.values())])
+        release()
+
+    return lists.mapInArrow(each, schema)
+
+
+def _row(bucket: int, *columns: np.ndarray, names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), *(pa.array([packed(x, at == 0)], pa.binary()) for at, x in enumerate(columns))], names)
+
+
+def totals(lists: DataFrame, head: int, *columns: str) -> list[np.ndarray]:
+    """Sums of packed columns by context, then by dish, as arrays of ``2 * head + 5``."""
+    dishes, contexts = head + 2, head + 3
+
+    def run(bucket: int, codes: np.ndarray, *values: np.ndarray) -> pa.RecordBatch:
+        u, w = codes // dishes, codes % dishes
+        number = np.concatenate([u, w + contexts])
+        keys, at = np.unique(number, return_inverse=True)
+        sums = [np.bincount(at, np.concatenate([v, v]), len(keys)).astype(np.int64) for v in values]
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *map(pa.array, sums)], ["k", *columns])
+
+    flat = _over(lists.select("bucket", "code", *columns), run, "k long, " + ", ".join(f"{c} long" for c in columns))
+    found = flat.groupBy("k").agg(*[F.sum(c).alias(c) for c in columns]).toArrow()
+    out = []
+    for c in columns:
+        out.append(np.zeros(dishes + contexts, np.int64))
+        out[-1][found.column("k").to_numpy()] = found.column(c).to_numpy()
+    return out
+
+
+def sample(pairs: DataFrame, head: int, burn: int = BURN, samples: int = SAMPLES, room: int = PAIRS) -> tuple[dict, DataFrame]:
+    """What predictions need: weights of contexts and the parent in each sample, the most frequent pairs, and the table of all pairs.
+
+    The table has rows ``(bucket, code, c, s)`` of packed lists; ``s`` is the sum of the numbers of tables over the samples.
+    """
+    context = pairs.sparkSession.sparkContext
     dishes, contexts = head + 2, head + 3
-    once, twice = pairs.agg(F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
+    names = ["bucket", "code", "c", "s"]
+    schema = "bucket int, code binary, c binary, s binary"
+
+    def lots(bucket, code, c):
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in np.unique(c, return_counts=True)], ["c", "n"])
+
+    sizes = checkpointed(_over(pairs, lots, "c long, n long").groupBy("c").agg(F.sum("n").alias("n")))
+    once, twice = sizes.agg(F.sum(F.when(F.col("c") == 1, F.col("n"))), F.sum(F.when(F.col("c") == 2, F.col("n")))).first()
     discount = discount_of(once, twice)
-    rows = pairs.groupBy("u").agg(F.array_sort(F.collect_list(F.struct("w", "c"))).alias("x"))
-    rows = checkpointed(rows.select("u", F.col("x.w").alias("w"), F.col("x.c").alias("c"), F.lit(None).cast("array<array<int>>").alias("seats")))
+    running = sizes.withColumn("all", F.sum("n").over(Window.orderBy(F.desc("c"))))
+    least = running.where(F.col("all") <= room).agg(F.min("c")).first()[0]
+
+    singles = _over(pairs, lambda bucket, code, c: _row(bucket, code[c == 1], c[c == 1], samples * c[c == 1], names=names), schema)
+    rows = _over(pairs, lambda bucket, code, c: _row(bucket, code[c > 1], c[c > 1], np.ones_like(code[c > 1]), 0 * code[c > 1], names=[*names[:3], "t", "s"]), "bucket int, code binary, c binary, t binary, s binary")
+    alone = _over(pairs, lambda bucket, code, c: _row(bucket, code, c, (c == 1).astype(np.int64), names=[*names[:3], "o"]), "bucket int, code binary, c binary, o binary")
+    customers, ones = totals(alone, head, "c", "o")
+    rows = written(rows, "seating")
+    (tables,) = totals(rows, head, "t")
+    tables = tables + ones
     parent = Parent(dishes)
-    kept_weight, kept_parent, seen = [], [], None
+    parent.follow(tables[contexts:])
+    kept_weight, kept_parent = [], []
     for number in range(burn + samples):
-        rows = checkpointed(rows.withColumn("seats", _sweep(parent.predictive(), discount, number, reseats)("u", "w", "c", "seats")))
-        flat = rows.select("u", F.inline(F.arrays_zip("w", "c", F.transform("seats", F.size).alias("t"))))
-        customers = np.zeros(dishes, np.int64)
-        for r in flat.groupBy("w").agg(F.sum("t").alias("t")).collect():
-            customers[r["w"]] = r["t"]
-        parent.follow(customers, reseats)
-        if number >= burn:
-            weight = np.ones(contexts)
-            for r in flat.groupBy("u").agg(F.sum("c").alias("c"), F.sum("t").alias("t")).collect():
-                weight[r["u"]] = (STRENGTH + discount * r["t"]) / (STRENGTH + r["c"])
-            kept_weight.append(weight)
+        shared = context.broadcast((tables[:contexts], parent.predictive()))
+        kept = number >= burn
+
+        def sweep(bucket, code, c, t, s, shared=shared, number=number, kept=kept):
+            of, base = shared.value
+            u, w = code // dishes, code % dishes
+            new = Seating(discount).draw(c, (of[u] - t).astype(float), base[w], np.random.default_rng([SEED, number, bucket]).random(len(code)))
+            return _row(bucket, code, c, new, s + new if kept else s, names=["bucket", "code", "c", "t", "s"])
+
+        rows = written(_over(rows, sweep, "bucket int, code binary, c binary, t binary, s binary"), "seating")
+        tables = totals(rows, head, "t")[0] + ones
+        parent.follow(tables[contexts:])
+        if kept:
+            kept_weight.append((STRENGTH + discount * tables[:contexts]) / (STRENGTH + customers[:contexts]))
             kept_parent.append(parent.predictive())
-            t = flat.select("u", "w", "c", F.col("t").alias("t"))
-            seen = t if seen is None else seen.unionByName(t)
-    # Bounded by the number of class pairs.
-    own = seen.groupBy("u", "w").agg(F.avg(F.col("c") - discount * F.col("t")).alias("own"), F.first("c").alias("c"))
-    totals = own.groupBy("u").agg(F.sum("c").alias("n"))
-    found = own.join(F.broadcast(totals), "u").select((F.col("u") * dishes + F.col("w")).cast("long").alias("code"), (F.col("own") / (STRENGTH + F.col("n"))).alias("p")).toArrow()
-    code, p = found.column("code").to_numpy(), found.column("p").to_numpy()
+    seen = written(rows.select(*names).unionByName(singles), "pairs")
+    model = {"weight": np.array(kept_weight), "parent": np.array(kept_parent), "customers": customers[:contexts], "discount": discount, "samples": samples}
+
+    def top(bucket, code, c, s):
+        often = c >= least
+        return pa.RecordBatch.from_arrays([pa.array(code[often], pa.int64()), pa.array(own(model, head, code[often], c[often], s[often]))], ["code", "own"])
+
+    # ``room`` rows at most.
+    found = _over(seen, top, "code long, own double").toArrow() if least is not None else pa.table({"code": pa.array([], pa.int64()), "own": pa.array([], pa.float64())})
+    code, p = found.column("code").to_numpy(), found.column("own").to_numpy()
     order = np.argsort(code)
-    return {"code": code[order], "own": p[order], "weight": np.array(kept_weight), "parent": np.array(kept_parent)}
+    return {**model, "code": code[order], "own": p[order]}, seen
+
+
+def own(classes: dict, head: int, codes: np.ndarray, counts: np.ndarray, tables: np.ndarray) -> np.ndarray:
+    """What seen pairs get from their own restaurant."""
+    return (counts - classes["discount"] * tables / classes["samples"]) / (STRENGTH + classes["customers"][codes // (head + 2)])
+
 
+def back(classes: dict, head: int, codes: np.ndarray) -> np.ndarray:
+    """What pairs get from the parent."""
+    u, w = codes // (head + 2), codes % (head + 2)
+    return sum(weight[u] * parent[w] for weight, parent in zip(classes["weight"], classes["parent"], strict=True)) / classes["samples"]
 
-def fit(texts: DataFrame, head: int = HEAD, known: int = KNOWN, **options) -> tuple[dict, DataFrame]:
-    """The model that is broadcast, and the table of all word counts."""
+
+def fit(texts: DataFrame, head: int = HEAD, known: int = KNOWN, **options) -> tuple[dict, dict[str, DataFrame]]:
+    """The model that is broadcast, and the tables of all words and of all pairs."""
     spark = texts.sparkSession
     counts = written(word_counts(texts), "word-counts")
     total, different = counts.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*")).first()
@@ -275,25 +408,27 @@ def fit(texts: DataFrame, head: int = HEAD, known: int = KNOWN, **options) -> tu
     frequent = most_frequent(counts, known)
     head = min(head, len(frequent))
     names = [w.encode() for w, _ in frequent]
-    pairs = class_pairs(texts, spark.sparkContext.broadcast(names[:head]), head)
+    buckets = 1 + int(total) // BUCKET_TOKENS
+    pairs = written(class_pairs(texts, spark.sparkContext.broadcast(names[:head]), head, buckets), "class-pairs")
     model = {"names": names, "counts": np.array([c for _, c in frequent], np.int64), "head": head, "total": total, "different": different, "ends": ends}
-    model["classes"] = sample(checkpointed(pairs), head, **options)
+    model["buckets"] = buckets
+    model["classes"], seen = sample(pairs, head, **options)
     inside = int(model["counts"][:head].sum())
     model["other_total"], model["other_different"] = total - ends - inside, max(0, different - (ends > 0) - head)
     # The head's own counts are known; what is left of each number of words is that of the others.
     lots = Counter({r["count"]: r["n"] for r in counts.where(F.col("word") != END).groupBy("count").agg(F.count("*").alias("n")).collect()})
     lots.subtract(model["counts"][:head].tolist())
     model["pseudo"] = pseudo_count([(c, n) for c, n in lots.items() if n > 0])
-    return model, counts
+    return model, {"words": counts, "pairs": seen}
 
 
 class Scorer:
-    """Log10 probabilities of a slice of texts, but for the words that are not broadcast."""
+    """Log10 probabilities of a slice of texts, but for the words and pairs that are not broadcast."""
 
     def __init__(self, model: dict):
-        self.head, classes = model["head"], model["classes"]
+        self.head, self.classes = model["head"], model["classes"]
         self.encode = _encoder({w: k for k, w in enumerate(model["names"])}, self.head)
-        self.code, self.own, self.weight, self.parent = (classes[k] for k in ("code", "own", "weight", "parent"))
+        self.code, self.own = self.classes["code"], self.classes["own"]
         self.floor = np.log10(model["total"] + model["different"] + 1)
         self.base = np.append(np.log10(model["counts"] + 1), np.log10(model["ends"] + 1)) - self.floor
         other = np.log10(model["counts"] + model["pseudo"]) - other_floor(model)
@@ -305,11 +440,12 @@ class Scorer:
         joined, number, dish, context, sizes, ends = self.encode(texts)
         code = context * (self.head + 2) + dish
         at = np.minimum(np.searchsorted(self.code, code), max(0, len(self.code) - 1))
-        own = np.where(self.code[at] == code, self.own[at], 0.0) if len(self.code) else np.zeros(len(code))
-        back = sum(w[context] * p[dish] for w, p in zip(self.weight, self.parent, strict=True)) / len(self.weight)
+        here = self.code[at] == code if len(self.code) else np.zeros(len(code), bool)
+        seen = np.zeros(len(code))
+        seen[here] = np.log10(self.own[at[here]] + back(self.classes, self.head, code[here]))
         number[ends] = len(self.other) - 1
         unknown = number < 0
-        score = np.log10(own + back) + np.where(unknown, 0, self.other[number])
+        score = seen + np.where(unknown, 0, self.other[number])
         base = np.where(unknown, 0, self.base[number])
         known = ~unknown
         if not self.known_end:
@@ -321,8 +457,9 @@ class Scorer:
         for i, t in zip(where.tolist(), np.searchsorted(ends, where).tolist(), strict=True):
             rest[t].append(joined[i])
         out = []
-        for n, s, b, k, more in zip(sizes.tolist(), *sums, rest, strict=True):
-            out.append({"n_tokens": n, "score": s, "base": b, "known": k, "rest": [{"word": w.decode(errors="replace"), "n": c} for w, c in Counter(more).items()]})
+        for n, s, b, k, more, start in zip(sizes.tolist(), *sums, rest, starts.tolist(), strict=True):
+            codes, times = np.unique(code[start : start + n][~here[start : start + n]], return_counts=True)
+            out.append({"n_tokens": n, "score": s, "base": b, "known": k, "pairs": packed(codes, True), "times": packed(times), "rest": [{"word": w.decode(errors="replace"), "n": c} for w, c in Counter(more).items()]})
         return out
 
 
@@ -331,12 +468,55 @@ def other_floor(model: dict) -> float:
     return float(np.log10(max(model["other_total"], 0) + model["pseudo"] * (model["other_different"] + 1)))
 
 
-def apply(documents: DataFrame, model: dict, counts: DataFrame, text: str = "text") -> DataFrame:
+def _looked_up(scored: DataFrame, shared, pairs: DataFrame) -> DataFrame:
+    """``(_row, more_pairs)``: log10 probabilities of the pairs of each document that are not broadcast."""
+    ship()
+    names = ["bucket", "code", "n", "of"]
+
+    def spread(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, times, rows, size = [], [], [], 0
+        for part in parts:
+            for row, code, n in zip(*(part.column(k).to_pylist() for k in range(3)), strict=True):
+                codes.append(unpacked(code, True))
+                times.append(unpacked(n))
+                rows.append(np.full(len(codes[-1]), row))
+                size += len(codes[-1])
+                if size > HELD_PAIRS:
+                    yield from _by_bucket(np.concatenate(codes), shared.value["buckets"], names, np.concatenate(times), np.concatenate(rows))
+                    codes, times, rows, size = [], [], [], 0
+        if size:
+            yield from _by_bucket(np.concatenate(codes), shared.value["buckets"], names, np.concatenate(times), np.concatenate(rows))
+        del codes, times, rows
+        release()
+
+    def look(wanted: pa.Table, known: pa.Table) -> pa.Table:
+        head, classes = shared.value["head"], shared.value["classes"]
+        lists = [[unpacked(x, k == 0) for k, x in enumerate(r)] for r in zip(*(known.column(c).to_pylist() for c in ("code", "c", "s")), strict=True)]
+        rows, sums = [], []
+        for code, n, of in zip(*(wanted.column(c).to_pylist() for c in names[1:]), strict=True):
+            code, n, of = unpacked(code, True), unpacked(n), unpacked(of)
+            p = back(classes, head, code)
+            for have, c, s in lists:
+                if len(have):
+                    at = np.minimum(np.searchsorted(have, code), len(have) - 1)
+                    hit = have[at] == code
+                    p[hit] += own(classes, head, code[hit], c[at[hit]], s[at[hit]])
+            found, at = np.unique(of, return_inverse=True)
+            rows.append(found)
+            sums.append(np.bincount(at, n * np.log10(p), len(found)))
+        return pa.table({"_row": pa.array(np.concatenate([np.zeros(0, np.int64), *rows])), "more_pairs": pa.array(np.concatenate([np.zeros(0), *sums]))})
+
+    wanted = scored.select("_row", "_lm.pairs", "_lm.times").mapInArrow(spread, "bucket int, code binary, n binary, of binary")
+    parts = wanted.groupBy("bucket").cogroup(pairs.groupBy("bucket")).applyInArrow(look, "_row long, more_pairs double")
+    return parts.groupBy("_row").agg(F.sum("more_pairs").alias("more_pairs"))
+
+
+def apply(documents: DataFrame, model: dict, tables: dict[str, DataFrame], text: str = "text") -> DataFrame:
     """Documents without their text, with ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``."""
-    documents, now, back = aside(documents, "_row", "_lm", "more", "more_base", "more_known")
+    documents, now, restored = aside(documents, "_row", "_lm", "more", "more_base", "more_known", "more_pairs")
     text = now(text)
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    schema = "struct<n_tokens:bigint,score:double,base:double,known:bigint,rest:array<struct<word:string,n:bigint>>>"
+    schema = "struct<n_tokens:bigint,score:double,base:double,known:bigint,pairs:binary,times:binary,rest:array<struct<word:string,n:bigint>>>"
     kind = arrow_type(schema)
 
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -347,13 +527,13 @@ def apply(documents: DataFrame, model: dict, counts: DataFrame, text: str = "tex
     scored = documents.select("*", F.monotonically_increasing_id().alias("_row"), arrow_function(run, schema)(text).alias("_lm")).drop(text)
     scored = written(scored, "scored")
     floor, other = float(np.log10(model["total"] + model["different"] + 1)), other_floor(model)
-    rest = scored.select("_row", F.inline("_lm.rest")).join(counts, "word", "left").withColumn("c", F.coalesce("count", F.lit(0)))
+    rest = scored.select("_row", F.inline("_lm.rest")).join(tables["words"], "word", "left").withColumn("c", F.coalesce("count", F.lit(0)))
     more = rest.groupBy("_row").agg(
         F.sum(F.col("n") * (F.log10(F.col("c") + model["pseudo"]) - other)).alias("more"),
         F.sum(F.col("n") * (F.log10(F.col("c") + 1) - floor)).alias("more_base"),
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("more_known"),
     )
-    joined = scored.join(more, "_row", "left")
+    joined = scored.join(more, "_row", "left").join(_looked_up(scored, shared, tables["pairs"]), "_row", "left")
     zero = lambda c: F.coalesce(c, F.lit(0))
     done = joined.withColumns(
         {
@@ -361,10 +541,10 @@ def apply(documents: DataFrame, model: dict, counts: DataFrame, text: str = "tex
             "n_known": (F.col("_lm.known") + zero("more_known")).cast("bigint"),
             "train_tokens": F.lit(int(model["total"])).cast("bigint"),
             "base_score": F.col("_lm.base") + zero("more_base"),
-            "score": F.col("_lm.score") + zero("more"),
+            "score": F.col("_lm.score") + zero("more") + zero("more_pairs"),
         }
-    ).drop("_row", "_lm", "more", "more_base", "more_known")
-    return back(done)
+    ).drop("_row", "_lm", "more", "more_base", "more_known", "more_pairs")
+    return restored(done)
 
 
 def perplexity(score: str = "score", tokens: str = "n_tokens"):
@@ -374,6 +554,6 @@ def perplexity(score: str = "score", tokens: str = "n_tokens"):
 def op7(spark, sf_dir: str) -> DataFrame:
     """Log10 probability of every document, learned without the held-out ones."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model, counts = fit(documents.where(remainder("doc_id", HELD_OUT[0]) != HELD_OUT[1]))
+    model, tables = fit(documents.where(remainder("doc_id", HELD_OUT[0]) != HELD_OUT[1]))
     held = F.coalesce(remainder("doc_id", HELD_OUT[0]) == HELD_OUT[1], F.lit(False))
-    return apply(documents, model, counts).select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return apply(documents, model, tables).select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
