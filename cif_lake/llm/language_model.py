@@ -10,7 +10,8 @@ Seating is sampled by Gibbs. All that predictions need of the customers of a dis
 given the other tables of the restaurant that number has a known distribution (generalised Stirling numbers times the weights of the
 tables): a sweep draws it anew for every dish of every restaurant, which reseats all customers. A customer alone in its dish has one table.
 Dishes of one sweep see the other tables and the parent as the sweep before left them, so a sweep needs no shuffle. Stirling numbers are exact
-up to ``EXACT`` customers; beyond, their logarithm follows from that row by the scaling of the number of tables, ``count ** discount``.
+up to ``EXACT`` customers; beyond, they come from the saddle point of their generating function, put right by what that misses
+for ``EXACT`` customers at as many tables in proportion to ``count ** discount``.
 Predictive probabilities are averaged over the sweeps that follow the first ``BURN``.
 
 Word counts and pairs (context, dish) cover the whole training corpus and are kept as tables that grow with it. Pairs lie in buckets by a
@@ -121,7 +122,17 @@ class Seating:
             stay = np.log(np.maximum(c - discount * t, 1e-300)) + self.stirling[c, 1:]
             self.stirling[c + 1, 1:] = np.logaddexp(self.stirling[c, :-1], stay)
             self.stirling[c + 1, c + 2 :] = -np.inf
-        self.scaled = self.stirling[exact, 1:] + log_gamma(t.astype(float)) + t * np.log(discount)
+        # The saddle point of x at each share u of tables among customers, by y = 1 - x from close to 0 to close to 1.
+        log_y = -np.geomspace(600 / (2 - discount), 1e-7, 20_000)
+        y, x = np.exp(log_y), -np.expm1(log_y)
+        log_f = np.log(-np.expm1(discount * log_y) / discount)
+        mean = np.exp(np.log(x) + (discount - 1) * log_y - log_f)
+        spread = np.exp(2 * np.log(x) + np.log1p(-discount) + (discount - 2) * log_y - log_f) + mean - mean**2
+        self.share, self.slope, self.spread = 1 / mean, log_f, np.log(np.maximum(spread, 1e-300))
+        self.height = self.share * log_f - np.log(x)
+        places = t.astype(float)
+        self.error = np.zeros(exact)
+        self.error = self.stirling[exact, 1:] - self._log_stirling(places, np.full(exact, float(exact)))
 
     def draw(self, counts: np.ndarray, others: np.ndarray, base: np.ndarray, uniform: np.ndarray) -> np.ndarray:
         """Numbers of tables. ``others``: tables of other dishes; ``base``: the dish's probability in the parent."""
@@ -151,14 +162,25 @@ class Seating:
         lower = np.where(chosen > 0, weights[every, chosen - 1], 0.0)
         return chosen, np.clip((at - lower) / np.maximum(upper - lower, 1e-300), 0, 1 - 1e-12)
 
-    def _scaled(self, t: np.ndarray) -> np.ndarray:
-        """The logarithm that follows ``count ** discount``, between and beyond the tables of the last exact row."""
-        k = np.clip(np.floor(t).astype(np.int64), 1, self.exact - 1)
-        return self.scaled[k - 1] + (t - k) * (self.scaled[k] - self.scaled[k - 1])
+    def _log_stirling(self, t: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Of generalised Stirling numbers, but for a constant: the saddle point and what it misses in the last exact row."""
+        u = t / counts
+        k = np.clip(np.searchsorted(self.share, u), 1, len(self.share) - 1)
+        wide = self.share[k] - self.share[k - 1]
+        at = np.clip((u - self.share[k - 1]) / wide, 0, 1)
+        # A cubic through both ends with their slopes.
+        low, high = self.height[k - 1], self.height[k]
+        rise = wide * self.slope[k - 1] - (high - low), (high - low) - wide * self.slope[k]
+        height = low + at * (high - low) + at * (1 - at) * (rise[0] * (1 - at) + rise[1] * at)
+        spread = self.spread[k - 1] + at * (self.spread[k] - self.spread[k - 1])
+        like = np.log(np.maximum(t * (self.exact / counts) ** self.discount, 1e-9))
+        last = np.minimum(np.floor(np.exp(np.maximum(like, 0))).astype(np.int64), self.exact - 1)
+        error = np.where(like >= np.log(self.exact), self.error[-1], self.error[last - 1] + (like - np.log(last)) / np.log1p(1 / last) * (self.error[last] - self.error[last - 1]))
+        return counts * height - log_gamma(t + 1) - 0.5 * np.maximum(np.log(t) + spread, 0) + error
 
     def log_weight(self, t: np.ndarray, counts: np.ndarray, others: np.ndarray, base: np.ndarray) -> np.ndarray:
         """Of ``t`` tables for more than ``exact`` customers, but for a constant; ``others`` holds the strength, ``base`` is a logarithm."""
-        return self._scaled(t * (self.exact / counts) ** self.discount) - log_gamma(t) + log_gamma(others + t) + t * base
+        return self._log_stirling(t, counts) + log_gamma(others + t) + t * (np.log(self.discount) + base)
 
     def _many(self, counts: np.ndarray, others: np.ndarray, base: np.ndarray, uniform: np.ndarray) -> np.ndarray:
         low, high = np.ones(len(counts)), counts.copy()
@@ -355,17 +377,17 @@ def sample(pairs: DataFrame, head: int, burn: int = BURN, samples: int = SAMPLES
     rows = written(rows, "seating")
     (tables,) = totals(rows, head, "t")
     tables = tables + ones
-    parent = Parent(dishes)
+    seating, parent = Seating(discount), Parent(dishes)
     parent.follow(tables[contexts:])
     kept_weight, kept_parent = [], []
     for number in range(burn + samples):
-        shared = context.broadcast((tables[:contexts], parent.predictive()))
+        shared = context.broadcast((seating, tables[:contexts], parent.predictive()))
         kept = number >= burn
 
         def sweep(bucket, code, c, t, s, shared=shared, number=number, kept=kept):
-            of, base = shared.value
+            seating, of, base = shared.value
             u, w = code // dishes, code % dishes
-            new = Seating(discount).draw(c, (of[u] - t).astype(float), base[w], np.random.default_rng([SEED, number, bucket]).random(len(code)))
+            new = seating.draw(c, (of[u] - t).astype(float), base[w], np.random.default_rng([SEED, number, bucket]).random(len(code)))
             return _row(bucket, code, c, new, s + new if kept else s, names=["bucket", "code", "c", "t", "s"])
 
         rows = written(_over(rows, sweep, "bucket int, code binary, c binary, t binary, s binary"), "seating")
