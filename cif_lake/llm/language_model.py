@@ -45,7 +45,7 @@ STRENGTH, PARENT_DISCOUNT = 1.0, 0.5
 #: Words that a partition counts before it passes them on.
 HELD_COUNTS = 400_000
 #: Pairs that a partition holds before it passes them on, and training tokens for each bucket of pairs.
-HELD_PAIRS, BUCKET_TOKENS = 2_000_000, 2_000_000
+HELD_PAIRS, BUCKET_TOKENS = 1_000_000, 1_000_000
 #: Customers of one dish up to which the distribution of their tables is exact.
 EXACT = 200
 #: The end of a text among the words; no word contains it.
@@ -296,7 +296,7 @@ def class_pairs(texts: DataFrame, shared, head: int, buckets: int = 1) -> DataFr
                         codes, counts, size = [], [], 0
         found, n = summed(codes, counts)
         yield from _by_bucket(found, buckets, names, n)
-        del codes, counts
+        del codes, counts, encode
         release()
 
     def merge(key: tuple[pa.Scalar, ...], lists: pa.Table) -> pa.Table:
@@ -503,7 +503,7 @@ def _looked_up(scored: DataFrame, shared, pairs: DataFrame) -> DataFrame:
                 times.append(unpacked(n))
                 rows.append(np.full(len(codes[-1]), row))
                 size += len(codes[-1])
-                if size > HELD_PAIRS:
+                if size > HELD_PAIRS // 2:
                     yield from _by_bucket(np.concatenate(codes), shared.value["buckets"], names, np.concatenate(times), np.concatenate(rows))
                     codes, times, rows, size = [], [], [], 0
         if size:
@@ -526,6 +526,8 @@ def _looked_up(scored: DataFrame, shared, pairs: DataFrame) -> DataFrame:
             found, at = np.unique(of, return_inverse=True)
             rows.append(found)
             sums.append(np.bincount(at, n * np.log10(p), len(found)))
+        del lists
+        release()
         return pa.table({"_row": pa.array(np.concatenate([np.zeros(0, np.int64), *rows])), "more_pairs": pa.array(np.concatenate([np.zeros(0), *sums]))})
 
     wanted = scored.select("_row", "_lm.pairs", "_lm.times").mapInArrow(spread, "bucket int, code binary, n binary, of binary")
@@ -545,6 +547,8 @@ def apply(documents: DataFrame, model: dict, tables: dict[str, DataFrame], text:
         scorer = Scorer(shared.value)
         for texts in columns:
             yield pa.concat_arrays([pa.array([], kind), *(pa.array(scorer(part), kind) for part in batches(texts))])
+        del scorer
+        release()
 
     scored = documents.select("*", F.monotonically_increasing_id().alias("_row"), arrow_function(run, schema)(text).alias("_lm")).drop(text)
     scored = written(scored, "scored")
