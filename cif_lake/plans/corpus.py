@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from cif_lake.functions import render
 from cif_lake.functions.grammar import lit
 from cif_lake.sources.dictionary import ITEMS_SCHEMA, Dictionary
-from cif_lake.sources.write import work_folder
+from cif_lake.sources.write import work_folder, write_lines
 
 ROWS_PER_FILE = 64
 
@@ -185,7 +185,7 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def large_file(spark: SparkSession, sf_dir: str) -> str:
     """One file with all lines and all documents as two loops, in a fresh folder; the path of the folder.
 
-    One task writes it, as one file has one writer; the rows come to it sorted, a partition at a time.
+    The sorted partitions are written by many tasks, each to its place in the file.
     """
     ship = F.date_format("l_shipdate", "yyyy-MM-dd").alias("l_shipdate")
     li = table(spark, sf_dir, "lineitem")
@@ -199,7 +199,7 @@ def large_file(spark: SparkSession, sf_dir: str) -> str:
         parts.append(frame.select(F.lit(2 * n + 1).alias("cat"), "major", "minor", render.row(frame, columns).alias("line")))
     folder = work_folder(spark)
     lines = reduce(DataFrame.unionAll, parts).orderBy("cat", "major", "minor").select("line")
-    lines.coalesce(1).write.text(folder)
+    write_lines(lines, folder, "large.cif")
     return folder
 
 

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from cif_lake.functions import render
 from cif_lake.operators.relational import shared_folder
 
+#: How much of a part is held while it is copied to its place.
+COPY_BYTES = 8 << 20
+
 
 def work_folder(spark: SparkSession) -> str:
     """A fresh folder below the shared folder that the session names."""
@@ -27,6 +30,11 @@ def qualified(spark: SparkSession, directory: str) -> str:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
+def _uri(path: str) -> str:
+    """A qualified path as Arrow names it."""
+    return re.sub("^s3a://", "s3://", re.sub("^file:/+", "file:///", path))
+
+
 def write_files(files: DataFrame, directory: str) -> int:
     """Write one file per row of ``path, content`` below ``directory``, gzip when the name ends in ``.gz``; gives their number.
 
@@ -35,7 +43,7 @@ def write_files(files: DataFrame, directory: str) -> int:
     """
     name = F.regexp_replace("path", r"^[a-z0-9]+:/*|^/+", "")
     rows = files.select(name.alias("name"), F.col("content").cast("binary").alias("content"))
-    target_folder = re.sub("^s3a://", "s3://", re.sub("^file:/+", "file:///", qualified(files.sparkSession, directory)))
+    target_folder = _uri(qualified(files.sparkSession, directory))
 
     def save(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, root = fs.FileSystem.from_uri(target_folder)
@@ -55,6 +63,49 @@ def write_files(files: DataFrame, directory: str) -> int:
     return rows.mapInArrow(save, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
+def write_lines(lines: DataFrame, directory: str, name: str) -> None:
+    """Write sorted lines as one file ``directory/name``; many tasks write it, each a range of its bytes.
+
+    The partitions are written as parts first; their lengths give the place of each part, and a task copies parts there, a few
+    MB at a time. A retried or speculative task puts the same bytes at the same place. Only a ``file:`` system takes bytes at
+    a place; in any other one task appends the parts in their order.
+    """
+    spark = lines.sparkSession
+    folder = work_folder(spark)
+    lines.write.option("compression", "none").text(folder)
+    number = F.regexp_extract("path", r"/part-(\d+)-[^/]*$", 1).cast("long")
+    parts = spark.read.format("binaryFile").load(folder).select("path", "length", number.alias("number"))
+    places, end = [], 0
+    # As many rows as there are partitions.
+    for part in sorted(parts.collect(), key=lambda r: (r["number"], r["path"])):
+        places.append((_uri(part["path"]), end))
+        end += part["length"]
+    target_folder = _uri(qualified(spark, directory))
+    local = target_folder.startswith("file:")
+
+    def copy(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base, root = fs.FileSystem.from_uri(target_folder)
+        base.create_dir(root, recursive=True)
+        out = os.fdopen(os.open(f"{root}/{name}", os.O_WRONLY | os.O_CREAT, 0o644), "wb") if local else base.open_output_stream(f"{root}/{name}")
+        with out:
+            for batch in rows:
+                for source, at in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    system, part = fs.FileSystem.from_uri(source)
+                    if local:
+                        out.seek(at)
+                    with system.open_input_stream(part) as text:
+                        while piece := text.read(COPY_BYTES):
+                            out.write(piece)
+        yield pa.RecordBatch.from_pydict({"n": pa.array([1], pa.int64())})
+
+    todo = spark.createDataFrame(places, "path string, at long").coalesce(1)
+    if local:
+        todo = todo.repartition(max(len(places), 1))
+    todo.mapInArrow(copy, "n long").count()
+    parts_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    parts_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(parts_path, True)
+
+
 def write_block(
     tables: dict[str, tuple[DataFrame, list[str]]], directory: str, block: str, keys: str = "filename"
 ) -> None:

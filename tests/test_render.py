@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cif_lake.functions import render
 from cif_lake.operators import edit
+from cif_lake.plans import corpus
 from cif_lake.sources import read, write
 
 
@@ -66,3 +67,27 @@ def test_write_files(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "s").iterdir() if not p.name.startswith(".")) == ["a.cif", "b.cif.gz"]
     back = read.scan_paths(spark, str(tmp_path / "s" / "*.cif*"), "e", column_source="files")
     assert sorted(r["i"] for r in back.collect()) == ["1", "2"]
+
+
+def test_write_lines(spark, tmp_path):
+    """One file in the order of the rows, written by a task for each partition."""
+    lines = spark.range(0, 1000, numPartitions=5).selectExpr("concat(id, repeat('x', id % 7), IF(id % 10 = 0, '\nü', '')) AS line")
+    write.write_lines(lines.sort("line").coalesce(1).union(lines), f"file://{tmp_path}/out", "all.cif")
+    assert [p.name for p in (tmp_path / "out").iterdir()] == ["all.cif"]
+    rows = [r["line"] for r in lines.collect()]
+    assert (tmp_path / "out" / "all.cif").read_text() == "".join(f"{line}\n" for line in sorted(rows) + rows)
+
+
+def test_large_file_has_many_writers(spark, tmp_path, monkeypatch):
+    """The sorted rows come to the writer in more than one partition."""
+    for name, columns in (("lineitem", corpus.LINE_TYPES), ("documents", dict.fromkeys(corpus.DOC_COLUMNS, "string") | {"doc_id": "bigint"})):
+        cells = ["DATE '2020-01-01' AS l_shipdate" if c == "l_shipdate" else f"CAST(id AS {t}) AS {c}" for c, t in columns.items()]
+        spark.range(500).selectExpr(*cells).write.parquet(f"{tmp_path}/{name}.parquet")
+    seen = []
+    monkeypatch.setattr(corpus, "write_lines", lambda lines, *_: seen.append(lines.rdd.getNumPartitions()))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        corpus.large_file(spark, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert seen == [2]
