@@ -10,9 +10,9 @@ import gzip
 from collections.abc import Sequence
 from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cif_lake.functions import render
 from cif_lake.functions.grammar import lit
@@ -45,19 +45,18 @@ def files(
     return texts.select(F.lit(0).alias("file_ord"), path.alias("path"), text.alias("content"))
 
 
-def zipped(src: DataFrame, where: Column) -> DataFrame:
-    """Source frame of bytes, gzip where the condition holds."""
+# Rows and not Arrow batches, as in ``read``.
+@F.udf(T.BinaryType(), useArrow=False)
+def _gzip(content: bytes | None) -> bytes | None:
+    return None if content is None else gzip.compress(content, 1, mtime=0)
 
-    def pack(parts):
-        for part in parts:
-            paths, contents = [], []
-            for path, content, zip_it in zip(*(part.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
-                paths.append(path + ".gz" if zip_it else path)
-                contents.append(gzip.compress(content, 1, mtime=0) if zip_it else content)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(paths, pa.string()), pa.array(contents, pa.binary())], ["file_ord", "path", "content"])
 
+def zipped(src: DataFrame, where: Column) -> DataFrame:
+    """Source frame of bytes, gzip where the condition holds."""
     marked = src.select("file_ord", "path", F.col("content").cast("binary"), where.alias("zip_it"))
-    return marked.mapInArrow(pack, "file_ord int, path string, content binary")
+    path = F.when(F.col("zip_it"), F.concat("path", F.lit(".gz"))).otherwise(F.col("path"))
+    packed = F.coalesce(_gzip(F.when(F.col("zip_it"), F.col("content"))), F.col("content"))
+    return marked.select("file_ord", path.alias("path"), packed.alias("content"))
 
 
 # --- atoms: embeddings -> atom_site ----------------------------------------------------------------

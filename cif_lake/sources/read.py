@@ -15,7 +15,6 @@ import re
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -103,9 +102,10 @@ def several_files(spark: SparkSession, paths: str | Sequence[str]) -> bool:
     return len(patterns) > 1 or _load(spark, patterns[0]).select("path").limit(2).count() > 1
 
 
-@F.pandas_udf(T.BinaryType())
-def _gunzip(content: pd.Series) -> pd.Series:
-    return content.map(lambda b: None if b is None else gzip.decompress(b))
+# Rows and not Arrow batches: these would hold the text of thousands of files at once.
+@F.udf(T.BinaryType(), useArrow=False)
+def _gunzip(content: bytes | None) -> bytes | None:
+    return None if content is None else gzip.decompress(content)
 
 
 def raw(src: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ import gzip
 import pytest
 from pyspark.sql import functions as F
 
+from cif_lake.plans import corpus
 from cif_lake.sources import read
 from cif_lake.sources.dictionary import Dictionary
 
@@ -197,3 +198,13 @@ def test_size_costs_no_stack(spark):
     assert tuple(got.first()) == (n, n * (n + 1) // 2, n // 2, 10)
     assert read.scan(src, "w", column_source="files").select(F.length("x")).first()[0] == 90_000 * len("words _tag loop_ ' \" #\n")
     assert rows(read.scan(src, "u", column_source="files"), "id") == [("7",)]
+
+
+def test_gzip_goes_to_python_by_rows(spark, source):
+    """Batches of Arrow would hold the texts of thousands of files, however large, in one Python process."""
+    src = corpus.zipped(source({f"{n}.cif": f"data_a\n_entry.id {n}\n" for n in range(7)}), F.col("file_ord") % 2 == 0)
+    found = read.scan(src, "entry", columns=["id"])
+    assert "Arrow" not in found._jdf.queryExecution().executedPlan().toString()
+    ends = {0: ".cif.gz", 1: ".cif"}
+    assert rows(found, "filename", "id") == sorted((f"{n}{ends[n % 2]}", str(n)) for n in range(7))
+    assert [bytes(r["content"])[:2] == b"\x1f\x8b" for r in src.orderBy("file_ord").collect()] == [n % 2 == 0 for n in range(7)]
