@@ -94,10 +94,10 @@ def kind(lexeme: str, previous: str) -> str:
     behind another structural word, so a stray ``_x`` inside a row stays a value.
     """
     x, p = lexeme, previous
-    return f"""CASE WHEN lower(left({x}, 5)) = 'data_' THEN 'D'
+    return f"""CASE WHEN NOT startswith({x}, '_') AND lower(left({x}, 5)) = 'data_' THEN 'D'
         WHEN (startswith({x}, '_') OR lower(left({x}, 5)) IN ('loop_', 'save_')
               OR (startswith({p}, '_') AND (lower(left({x}, 5)) = 'stop_' OR lower(left({x}, 7)) = 'global_')))
-         AND ({p} IS NULL OR startswith({p}, '_') OR lower(left({p}, 5)) IN ('loop_', 'data_', 'save_')
+         AND ({p} IS NULL OR startswith({p}, '_') OR endswith({p}, '\\n') OR lower(left({p}, 5)) IN ('loop_', 'data_', 'save_')
               OR {p} RLIKE {lit(r"\n\s*\z")} OR NOT {p} RLIKE {lit(r"\S")})
         THEN CASE WHEN startswith({x}, '_') THEN 'T' WHEN lower(left({x}, 5)) = 'loop_' THEN 'L'
                   WHEN lower(left({x}, 5)) = 'save_' THEN 'S' ELSE 'X' END END"""

@@ -179,12 +179,12 @@ def marks(frame: DataFrame) -> DataFrame:
     kind = f"CASE WHEN {g.may_be_structural('x')} THEN {g.kind('x', 'get(lex, i - 1)')} END"
     found = f"filter(transform(lex, (x, i) -> named_struct('p', i + 1, 'k', {kind})), m -> m.k IS NOT NULL)"
     frame = frame.selectExpr("*", f"{found} AS found0")
-    width = "coalesce(get(found0, j + 1).p, size(lex) + 1) - m.p - 1"
-    frame = frame.selectExpr("*", f"transform(found0, (m, j) -> named_struct('p', m.p, 'k', m.k, 'n', {width})) AS found")
-    has = f"exists(slice(lex, m.p + 1, m.n), x -> NOT {g.is_comment('x')})"
+    width = "(coalesce(get(found0, j + 1).p, size(lex) + 1) - m.p - 1)"
+    # Most values follow at once: the list is cut only where a comment comes first.
+    has = f"({width} > 0 AND (NOT {g.is_comment('get(lex, m.p)')} OR exists(slice(lex, m.p + 1, {width}), x -> NOT {g.is_comment('x')})))"
     part = lambda n: f"CASE WHEN m.k = 'T' THEN {g.tag_part('element_at(lex, m.p)', n)} END"
-    mark = f"named_struct('p', m.p, 'k', m.k, 'n', m.n, 'has', {has}, 'cat', {part(1)}, 'item', {part(2)})"
-    return frame.selectExpr("*", f"transform(found, m -> {mark}) AS marks").drop("found0", "found")
+    mark = f"named_struct('p', m.p, 'k', m.k, 'n', {width}, 'has', {has}, 'cat', {part(1)}, 'item', {part(2)})"
+    return frame.selectExpr("*", f"transform(found0, (m, j) -> {mark}) AS marks").drop("found0")
 
 
 #: Where the category changes from one mark to the next: the last tag of a record stands in front of the next such place.
@@ -541,17 +541,16 @@ def list_columns(src: DataFrame, dictionary: Dictionary, data_block: str | None
 
 def list_relationships(src: DataFrame, dictionary: Dictionary, data_block: str | None = None) -> DataFrame:
     """Dictionary links whose two categories are both present in the block of a file."""
-    present = headers(blocks(src, data_block)).select("path", F.lower("category").alias("cat"))
+    found = headers(blocks(src, data_block)).select("path", F.lower("category").alias("cat"))
+    # The categories of a path meet in one shuffle of one parse; their number of copies stays.
+    held = found.filter("path IS NOT NULL").groupBy("path").agg(F.collect_list("cat").alias("cats"))
+    present = held.select("path", "cats", F.explode("cats").alias("cat"))
     links = dictionary.links().select(
         "parent_table", "parent_column", "child_table", "child_column",
         F.lower("parent_table").alias("pk"), F.lower("child_table").alias("ck"),
     )
-    parents = present.join(links, F.col("cat") == F.col("pk")).drop("cat", "pk")
-    return parents.join(
-        present.select(F.col("path").alias("cpath"), F.col("cat").alias("ccat")),
-        (F.col("path") == F.col("cpath")) & (F.col("ck") == F.col("ccat")),
-        "left_semi",
-    ).drop("ck")
+    both = present.join(links, F.col("cat") == F.col("pk")).filter(F.array_contains("cats", F.col("ck")))
+    return both.select("path", *links.columns[:4])
 
 
 def open_block(

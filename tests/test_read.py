@@ -208,3 +208,15 @@ def test_gzip_goes_to_python_by_rows(spark, source):
     ends = {0: ".cif.gz", 1: ".cif"}
     assert rows(found, "filename", "id") == sorted((f"{n}{ends[n % 2]}", str(n)) for n in range(7))
     assert [bytes(r["content"])[:2] == b"\x1f\x8b" for r in src.orderBy("file_ord").collect()] == [n % 2 == 0 for n in range(7)]
+
+
+def test_list_relationships_parses_once(spark, source):
+    """One parse of the text, and the links of a path named twice come twice."""
+    text = "data_a\n_entry.id 1\n_struct.entry_id 1\ndata_b\n_exptl.entry_id 1\n"
+    src = spark.createDataFrame([(0, "f.cif", text), (1, "f.cif", text)], "file_ord int, path string, content string")
+    found = read.list_relationships(src, Dictionary.seed(spark))
+    lexed = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if " AS lex#" in line]
+    assert sum("regexp_extract_all(" in line for line in lexed) == 1
+    assert rows(found, "path", "parent_table", "child_table") == [("f.cif", "entry", "struct")] * 2
+    both = read.list_relationships(src, Dictionary.seed(spark), "*")
+    assert sorted(rows(both, "parent_table", "child_table")) == [("entry", "exptl")] * 2 + [("entry", "struct")] * 2
