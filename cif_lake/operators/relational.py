@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -26,6 +27,18 @@ def use_checkpoints(spark: SparkSession) -> None:
     shared_folder(spark)
 
 
+def work_folder(spark: SparkSession) -> str:
+    """A fresh folder below the shared folder that the session names."""
+    return f"{shared_folder(spark).rstrip('/')}/cif_lake-{spark.sparkContext.applicationId}-{os.urandom(4).hex()}"
+
+
+def stored(frame: DataFrame) -> DataFrame:
+    """The frame computed once, as a Parquet table in the shared folder: what reads it several times reads its columns only."""
+    folder = work_folder(frame.sparkSession)
+    frame.write.parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+
+
 def numbered(frame: DataFrame, *order: Column | str, name: str = "rn") -> DataFrame:
     """``row_number() OVER (ORDER BY ...)`` without moving all rows to one task.
 

@@ -37,9 +37,9 @@ def structure(spark, sf, *names):
     'REFMAC|' || CASE WHEN o_orderkey % 11 = 0 THEN 'AlphaFold' ELSE 'Coot 1' END AS software, o_orderkey % 11 = 0 AS is_alphafold FROM orders"""
 )
 def entry_summary(spark, sf):
-    src = corpus.entries(spark, sf)
-    software = read.scan(src, "software", columns=["name"], row_id=True)
-    out = analyses.entry_summary(read.scan(src, "entry"), read.scan(src, "refine"), read.scan(src, "exptl"), software)
+    wanted = {"entry": ["id"], "refine": ["ls_d_res_high"], "exptl": ["method"], "software": ["name"]}
+    t = read.scan_apart(corpus.entries(spark, sf), wanted, row_id=True)
+    out = analyses.entry_summary(t["entry"], t["refine"], t["exptl"], t["software"])
     return out.drop("filename").withColumn("software", F.array_join("software", "|"))
 
 

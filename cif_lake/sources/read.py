@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cif_lake.functions import grammar as g
+from cif_lake.operators.relational import stored
 from cif_lake.sources.dictionary import Dictionary
 
 KEYS = ("file_ord", "path", "block_ord", "block_name")
@@ -477,6 +478,21 @@ def scan_many(
     return values.selectExpr(*out)
 
 
+def scan_apart(
+    src: DataFrame, wanted: dict[str, Sequence[str]], dictionary: Dictionary | None = None, *, data_block: str | None = None, row_id: bool = False
+) -> dict[str, DataFrame]:
+    """``scan`` of several categories by one parse: a frame each of its items and ``filename``, read from one stored table.
+
+    The parse of frames that only share their source is run once for each of them.
+    """
+    many = stored(scan_many(src, wanted, dictionary, data_block=data_block, row_id=row_id))
+    lead = ["row_id"] if row_id else []
+    return {
+        c: many.filter(F.col("category") == c.lower()).select(*[F.col(f"`{c}`.`{i}`").alias(i) for i in items], *lead, "filename")
+        for c, items in wanted.items()
+    }
+
+
 def file_list(src: DataFrame) -> DataFrame:
     """The files of a source, by ``filename``: those that hold none of a category too."""
     return src.select(F.col("path").alias("filename"))

@@ -13,17 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cif_lake.functions import render
-from cif_lake.operators.relational import shared_folder
+from cif_lake.operators.relational import work_folder
 
 #: How much of a part is held while it is copied to its place.
 COPY_BYTES = 8 << 20
 
 
-def work_folder(spark: SparkSession) -> str:
-    """A fresh folder below the shared folder that the session names."""
-    return f"{shared_folder(spark).rstrip('/')}/cif_lake-{spark.sparkContext.applicationId}-{os.urandom(4).hex()}"
-
-
 def qualified(spark: SparkSession, directory: str) -> str:
     """The directory with its scheme: what has none belongs to the default file system, for executors too."""
     path = spark._jvm.org.apache.hadoop.fs.Path(directory)

@@ -220,3 +220,15 @@ def test_list_relationships_parses_once(spark, source):
     assert rows(found, "path", "parent_table", "child_table") == [("f.cif", "entry", "struct")] * 2
     both = read.list_relationships(src, Dictionary.seed(spark), "*")
     assert sorted(rows(both, "parent_table", "child_table")) == [("entry", "exptl")] * 2 + [("entry", "struct")] * 2
+
+
+def test_scan_apart_parses_once(source):
+    """The frames are those of single scans, and none of them holds the parse."""
+    src = source(STATIONS)
+    wanted = {"atom_site": ["id", "Cartn_y"], "Cell": ["entry_id"]}
+    apart = read.scan_apart(src, wanted, row_id=True)
+    for category, items in wanted.items():
+        columns = [*items, "row_id", "filename"]
+        assert apart[category].columns == columns
+        assert sorted(rows(apart[category], *columns), key=str) == sorted(rows(read.scan(src, category, columns=items, row_id=True), *columns), key=str)
+        assert "regexp_extract_all" not in apart[category]._jdf.queryExecution().optimizedPlan().toString()
