@@ -295,14 +295,8 @@ _KEPT_TABLES = {
 
 
 def structure_tables(spark, sf) -> dict[str, DataFrame]:
-    """All categories of the structures corpus; the text is parsed once and spilled to disk."""
-    src = corpus.structures(spark, sf)
-    recs = read.records(read.blocks(src, None)).persist()
-    dictionary = Dictionary.seed(spark)
-    return {
-        c: read.typed_rows(recs.filter(F.lower("category") == c), c, columns, dictionary, row_id=True).drop("file_ord", "block_ord")
-        for c, columns in corpus.STRUCTURE_COLUMNS.items()
-    }
+    """All categories of the structures corpus; the text is parsed, cut and typed once, as the rules read most of them often."""
+    return read.scan_apart(corpus.structures(spark, sf), corpus.STRUCTURE_COLUMNS, row_id=True)
 
 
 def _long(tables: dict[str, DataFrame], key: str = "id") -> DataFrame:

@@ -31,3 +31,9 @@ def test_entry_summary(spark, orders):
     out = structural.entry_summary(spark, orders)
     assert parses(out) == 0
     assert {r["id"]: r["resolution"] for r in out.collect()} == {f"O{k}": 100.5 + k if k % 5 else None for k in range(1, 80)}
+
+
+def test_structure_tables(spark, orders):
+    tables = structural.structure_tables(spark, orders)
+    assert all(parses(t) == 0 for t in tables.values())
+    assert tables["struct_ref"].count() == 79
