@@ -30,13 +30,17 @@ def _uri(path: str) -> str:
     return re.sub("^s3a://", "s3://", re.sub("^file:/+", "file:///", path))
 
 
-def write_files(files: DataFrame, directory: str) -> int:
+def write_files(files: DataFrame, directory: str, folders: int | None = None) -> int:
     """Write one file per row of ``path, content`` below ``directory``, gzip when the name ends in ``.gz``; gives their number.
 
+    ``folders`` deals the paths by hash over so many folders: tasks that write to one folder wait for each other, and one task lists it.
+
     Each file is written by the task that holds it, under a temporary name that is renamed when complete, so a retried or
     speculative task leaves whole files only. ``path`` is used below the directory, without its scheme.
     """
     name = F.regexp_replace("path", r"^[a-z0-9]+:/*|^/+", "")
+    if folders is not None:
+        name = F.concat(F.pmod(F.hash(name), F.lit(folders)).cast("string"), F.lit("/"), name)
     rows = files.select(name.alias("name"), F.col("content").cast("binary").alias("content"))
     target_folder = _uri(qualified(files.sparkSession, directory))
 

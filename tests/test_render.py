@@ -91,3 +91,13 @@ def test_large_file_has_many_writers(spark, tmp_path, monkeypatch):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert seen == [2]
+
+
+def test_write_files_dealt_over_folders(spark, tmp_path):
+    """No folder takes all files, a path that comes again keeps its place, and every file is read back under its name."""
+    frame = spark.range(64).selectExpr("concat('two/', id % 48, '.cif') AS path", "concat('data_', id % 48, '\n') AS content")
+    assert write.write_files(frame, f"file://{tmp_path}", folders=8) == 64
+    names = [p.name for p in tmp_path.rglob("*.cif")]
+    assert sorted(names) == sorted(f"{n}.cif" for n in range(48))
+    assert len(list(tmp_path.iterdir())) > 1 and all((p / "two").is_dir() for p in tmp_path.iterdir())
+    assert all(p.read_text() == f"data_{p.stem}\n" for p in tmp_path.rglob("*.cif"))
