@@ -35,13 +35,14 @@ def unwritable_values(frame: DataFrame, keys: Sequence[str], columns: Sequence[s
     return frame.select(*keys, F.explode(cells).alias("c")).select(*keys, "c.*").filter(unwritable("value"))
 
 
-def value(value: str, item: str = "value", eol: str = "'\\n'") -> str:
+def value(value: str, item: str = "value", eol: str = "'\\n'", item_text: str | None = None) -> str:
     """Text of one value with the least quoting that reads back the same; a text field starts in column 1.
 
-    NULL and empty text are ``?``; text that reads ``.`` or ``?`` is quoted. Unwritable text stops the job.
+    ``item_text`` is SQL text that gives the item's name instead of ``item``. NULL and empty text are ``?``; text that reads ``.`` or ``?`` is quoted. Unwritable text stops the job.
     """
     v = value
-    message = lit(f"cannot write value of '{item}', a line of it starts with ';': ")
+    name = item_text or lit(item)
+    message = f"""'cannot write value of \\'', {name}, {lit("', a line of it starts with ';': ")}"""
     return f"""CASE WHEN {v} IS NULL OR {v} = '' THEN '?'
         WHEN {unwritable(v)} THEN CAST(raise_error(concat({message}, {v})) AS string)
         WHEN {needs_text_field(v)} THEN concat(';', {v}, {eol}, ';')
@@ -62,13 +63,25 @@ def _cells(frame: DataFrame, columns: Sequence[str]) -> list[tuple[str, str | No
 
 
 def row(frame: DataFrame, columns: Sequence[str]) -> Column:
-    """Text of one loop row: values separated by blanks, text fields on lines of their own."""
-    cells = _cells(frame, columns)
-    parts = [cells[0][0]]
-    for (_, before), (text, here) in zip(cells, cells[1:]):
-        fields = [f for f in (before, here) if f is not None]
-        parts += [f"CASE WHEN {' OR '.join(fields)} THEN '\\n' ELSE ' ' END" if fields else "' '", text]
-    return F.expr(f"concat({', '.join(parts)})")
+    """Text of one loop row: values separated by blanks, text fields on lines of their own.
+
+    The quoting of a cell is one lambda over the row's strings: written out for every column, it made methods that the JVM doesn't compile.
+    """
+    strings = [c for c in columns if isinstance(frame.schema[c].dataType, T.StringType)]
+    if not strings:
+        return F.expr("concat_ws(' ', {})".format(", ".join(f"coalesce(CAST(`{c}` AS string), '?')" for c in columns)))
+    quoted = value("v", item_text=f"get(array({', '.join(lit(c) for c in strings)}), n)")
+    parts, before = [], None
+    for c in columns:
+        # Only a text field starts with a semicolon: other values that do are quoted.
+        here = f"get(row_cells, {strings.index(c)})" if c in strings else None
+        fields = [f"startswith({f}, ';')" for f in (before, here) if f is not None]
+        if parts:
+            parts.append(f"CASE WHEN {' OR '.join(fields)} THEN '\\n' ELSE ' ' END" if fields else "' '")
+        parts.append(here or f"coalesce(CAST(`{c}` AS string), '?')")
+        before = here
+    cells = f"transform(array({', '.join(f'`{c}`' for c in strings)}), (v, n) -> {quoted})"
+    return F.expr(f"get(transform(array({cells}), row_cells -> concat({', '.join(parts)})), 0)")
 
 
 def pairs(frame: DataFrame, category: str, columns: Sequence[str]) -> Column:

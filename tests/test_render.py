@@ -1,6 +1,7 @@
 """Rendering and edits; what is written reads back the same."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,3 +102,28 @@ def test_write_files_dealt_over_folders(spark, tmp_path):
     assert sorted(names) == sorted(f"{n}.cif" for n in range(48))
     assert len(list(tmp_path.iterdir())) > 1 and all((p / "two").is_dir() for p in tmp_path.iterdir())
     assert all(p.read_text() == f"data_{p.stem}\n" for p in tmp_path.rglob("*.cif"))
+
+
+def test_row_of_many_strings(spark):
+    """Old and plain reading of a row agree, and its code stays small enough for the JVM to compile (8,000 bytes), however many strings it has."""
+    names = [f"s{n}" for n in range(16)]
+    marks = [None, "", "a b", "it's", "l\nm", "both ' \"", ";x", ".", "_x", "plain"]
+    rows = [(n, *(marks[(n + i * i) % len(marks)] for i in range(16)), n / 4) for n in range(40)]
+    frame = spark.createDataFrame(rows, f"n long, {', '.join(f'{s} string' for s in names)}, d double")
+    columns = ["n", *names, "d"]
+    made = frame.select("n", render.row(frame, columns).alias("line"))
+    shown = lambda v: next(t for t in [
+        "?" if v in (None, "") else None, f";{v}\n;" if "\n" in v or ("'" in v and '"' in v) else None, f'"{v}"' if "'" in v else None,
+        f"'{v}'" if " " in v or v[0] in ";_" or v == "." else None, v,
+    ] if t) if v else "?"
+    for n, line in made.collect():
+        cells = [str(n), *(shown(v) for v in rows[n][1:17]), str(rows[n][17])]
+        want = cells[0]
+        for a, b in zip(cells, cells[1:]):
+            want += ("\n" if ";" in (a[0], b[0]) else " ") + b
+        assert line == want
+    plan = spark.range(8).select(*[F.col("id").cast("string").alias(s) for s in names])
+    code = plan.select(render.row(plan, names).alias("line"))._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    )
+    assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) < 8000
