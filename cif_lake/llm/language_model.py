@@ -444,13 +444,30 @@ def fit(texts: DataFrame, head: int = HEAD, known: int = KNOWN, **options) -> tu
     return model, {"words": counts, "pairs": seen}
 
 
+#: What is kept of a scored text; ``pairs`` and ``times`` hold plain numbers of 8 and 4 bytes.
+SCORED = "struct<n_tokens:bigint,score:double,base:double,known:bigint,pairs:binary,times:binary,rest:array<struct<word:string,n:bigint>>>"
+
+
+def _cells(numbers: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """A cell of bytes for each count, which holds so many of the numbers, one cell after the other."""
+    offsets = np.concatenate([[0], np.cumsum(counts)]) * numbers.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(numbers))])
+
+
+def _numbers(cells: list[bytes], kind: str) -> np.ndarray:
+    """The way back from ``_cells``, of some cells in a row."""
+    return np.frombuffer(b"".join(cells), kind).astype(np.int64)
+
+
 class Scorer:
-    """Log10 probabilities of a slice of texts, but for the words and pairs that are not broadcast."""
+    """Log10 probabilities of a slice of texts, but for the words and pairs that are not broadcast, as an array of ``kind``: ``SCORED``."""
 
-    def __init__(self, model: dict):
+    def __init__(self, model: dict, kind: pa.DataType):
+        self.kind = kind
         self.head, self.classes = model["head"], model["classes"]
         self.encode = _encoder({w: k for k, w in enumerate(model["names"])}, self.head)
-        self.code, self.own = self.classes["code"], self.classes["own"]
+        self.code = self.classes["code"]
+        self.seen = np.log10(self.classes["own"] + back(self.classes, self.head, self.code))
         self.floor = np.log10(model["total"] + model["different"] + 1)
         self.base = np.append(np.log10(model["counts"] + 1), np.log10(model["ends"] + 1)) - self.floor
         other = np.log10(model["counts"] + model["pseudo"]) - other_floor(model)
@@ -458,31 +475,40 @@ class Scorer:
         self.other = np.append(other, 0)
         self.known_end = model["ends"] > 0
 
-    def __call__(self, texts: list[bytes | None]) -> list[dict]:
+    def __call__(self, texts: list[bytes | None]) -> pa.Array:
         joined, number, dish, context, sizes, ends = self.encode(texts)
-        code = context * (self.head + 2) + dish
+        of = np.repeat(np.arange(len(texts)), sizes)
+        # Every pair once for each text that it is in, by rising code: sorted codes are found far faster.
+        both = np.sort((context * (self.head + 2) + dish) * len(texts) + of)
+        first = np.flatnonzero(np.diff(both, prepend=-1))
+        times = np.diff(first, append=len(both))
+        code, text = np.divmod(both[first], len(texts))
         at = np.minimum(np.searchsorted(self.code, code), max(0, len(self.code) - 1))
         here = self.code[at] == code if len(self.code) else np.zeros(len(code), bool)
-        seen = np.zeros(len(code))
-        seen[here] = np.log10(self.own[at[here]] + back(self.classes, self.head, code[here]))
+        seen = np.bincount(text[here], times[here] * self.seen[at[here]], len(texts))
         number[ends] = len(self.other) - 1
         unknown = number < 0
-        score = seen + np.where(unknown, 0, self.other[number])
-        base = np.where(unknown, 0, self.base[number])
         known = ~unknown
         if not self.known_end:
             known[ends] = False
-        starts = ends - sizes + 1
-        sums = [np.add.reduceat(x, starts).tolist() for x in (score, base, known.astype(np.int64))]
-        rest: list[list[bytes]] = [[] for _ in texts]
-        where = np.flatnonzero(unknown)
-        for i, t in zip(where.tolist(), np.searchsorted(ends, where).tolist(), strict=True):
-            rest[t].append(joined[i])
-        out = []
-        for n, s, b, k, more, start in zip(sizes.tolist(), *sums, rest, starts.tolist(), strict=True):
-            codes, times = np.unique(code[start : start + n][~here[start : start + n]], return_counts=True)
-            out.append({"n_tokens": n, "score": s, "base": b, "known": k, "pairs": packed(codes, True), "times": packed(times), "rest": [{"word": w.decode(errors="replace"), "n": c} for w, c in Counter(more).items()]})
-        return out
+        score, base, known = (np.add.reduceat(x, ends - sizes + 1) for x in (np.where(unknown, 0, self.other[number]), np.where(unknown, 0, self.base[number]), known.astype(np.int64)))
+        code, text, times = code[~here], text[~here], times[~here]
+        by_text = np.argsort(text, kind="stable")
+        counts = np.bincount(text, minlength=len(texts))
+        pairs = _cells(code[by_text].astype("<i8"), counts), _cells(times[by_text].astype("<i4"), counts)
+        columns = [pa.array(sizes), pa.array(seen + score), pa.array(base), pa.array(known), *pairs, self._rest(joined, np.flatnonzero(unknown), of)]
+        return pa.StructArray.from_arrays(columns, fields=list(self.kind))
+
+    def _rest(self, joined: list[bytes], where: np.ndarray, of: np.ndarray) -> pa.Array:
+        """The words at some places, those of each text with their number."""
+        words: list[list[bytes]] = [[] for _ in range(int(of[-1]) + 1)]
+        for i, t in zip(where.tolist(), of[where].tolist(), strict=True):
+            words[t].append(joined[i])
+        lots = [Counter(w) for w in words]
+        kind = self.kind.field("rest").type
+        flat = [pa.array([w.decode(errors="replace") for lot in lots for w in lot], pa.string()), pa.array([n for lot in lots for n in lot.values()], pa.int64())]
+        offsets = np.concatenate([[0], np.cumsum([len(lot) for lot in lots])])
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(flat, fields=list(kind.value_type)), type=kind)
 
 
 def other_floor(model: dict) -> float:
@@ -492,23 +518,48 @@ def other_floor(model: dict) -> float:
 
 def _looked_up(scored: DataFrame, shared, pairs: DataFrame) -> DataFrame:
     """``(_row, more_pairs)``: log10 probabilities of the pairs of each document that are not broadcast."""
+
+    def add(key: tuple[pa.Scalar, ...], lists: pa.Table) -> pa.Table:
+        of = np.concatenate([unpacked(x, True) for x in lists.column("of").to_pylist()])
+        found, at = np.unique(of, return_inverse=True)
+        sums = np.bincount(at, np.concatenate([np.frombuffer(x, "<f8") for x in lists.column("p").to_pylist()]), len(found))
+        return pa.table({"_row": pa.array(found), "more_pairs": pa.array(sums)})
+
+    return _pair_sums(scored, shared, pairs).groupBy("lot").applyInArrow(add, "_row long, more_pairs double")
+
+
+def _pair_sums(scored: DataFrame, shared, pairs: DataFrame) -> DataFrame:
+    """``(lot, of, p)``: from each bucket, one list of documents and of the sums of their pairs in it for every lot of documents.
+
+    A lot holds the documents, in a row, of ``HELD_PAIRS / 2`` pairs, or one of more; it has the number of its first document.
+    """
     ship()
     names = ["bucket", "code", "n", "of"]
 
     def spread(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, times, rows, size = [], [], [], 0
+        held, size = [], 0
+
+        def drain() -> Iterator[pa.RecordBatch]:
+            code, n, of = (np.concatenate(x) for x in zip(*held, strict=True))
+            for lists in _by_bucket(code, shared.value["buckets"], names, n, of):
+                yield lists.append_column("lot", pa.array(np.full(lists.num_rows, of[0])))
+
         for part in parts:
-            for row, code, n in zip(*(part.column(k).to_pylist() for k in range(3)), strict=True):
-                codes.append(unpacked(code, True))
-                times.append(unpacked(n))
-                rows.append(np.full(len(codes[-1]), row))
-                size += len(codes[-1])
-                if size > HELD_PAIRS // 2:
-                    yield from _by_bucket(np.concatenate(codes), shared.value["buckets"], names, np.concatenate(times), np.concatenate(rows))
-                    codes, times, rows, size = [], [], [], 0
+            row, (code, n) = part.column(0).to_numpy(), (part.column(k).to_pylist() for k in (1, 2))
+            counts = np.fromiter(map(len, code), np.int64, len(code)) // 8
+            start = 0
+            while start < len(row):
+                # As many rows as fill the lot, one at least.
+                end = max(start + 1, int(np.searchsorted(np.cumsum(counts[start:]), HELD_PAIRS // 2 - size, "right")) + start)
+                held.append((_numbers(code[start:end], "<i8"), _numbers(n[start:end], "<i4"), np.repeat(row[start:end], counts[start:end])))
+                size += len(held[-1][0])
+                if size and (end < len(row) or size >= HELD_PAIRS // 2):
+                    yield from drain()
+                    held, size = [], 0
+                start = end
         if size:
-            yield from _by_bucket(np.concatenate(codes), shared.value["buckets"], names, np.concatenate(times), np.concatenate(rows))
-        del codes, times, rows
+            yield from drain()
+        del held
         release()
 
     def look(wanted: pa.Table, known: pa.Table) -> pa.Table:
@@ -524,15 +575,14 @@ def _looked_up(scored: DataFrame, shared, pairs: DataFrame) -> DataFrame:
                     hit = have[at] == code
                     p[hit] += own(classes, head, code[hit], c[at[hit]], s[at[hit]])
             found, at = np.unique(of, return_inverse=True)
-            rows.append(found)
-            sums.append(np.bincount(at, n * np.log10(p), len(found)))
+            rows.append(packed(found, True))
+            sums.append(np.bincount(at, n * np.log10(p), len(found)).astype("<f8").tobytes())
         del lists
         release()
-        return pa.table({"_row": pa.array(np.concatenate([np.zeros(0, np.int64), *rows])), "more_pairs": pa.array(np.concatenate([np.zeros(0), *sums]))})
+        return pa.table([wanted.column("lot"), pa.array(rows, pa.binary()), pa.array(sums, pa.binary())], ["lot", "of", "p"])
 
-    wanted = scored.select("_row", "_lm.pairs", "_lm.times").mapInArrow(spread, "bucket int, code binary, n binary, of binary")
-    parts = wanted.groupBy("bucket").cogroup(pairs.groupBy("bucket")).applyInArrow(look, "_row long, more_pairs double")
-    return parts.groupBy("_row").agg(F.sum("more_pairs").alias("more_pairs"))
+    wanted = scored.select("_row", "_lm.pairs", "_lm.times").mapInArrow(spread, "bucket int, code binary, n binary, of binary, lot long")
+    return wanted.groupBy("bucket").cogroup(pairs.groupBy("bucket")).applyInArrow(look, "lot long, of binary, p binary")
 
 
 def apply(documents: DataFrame, model: dict, tables: dict[str, DataFrame], text: str = "text") -> DataFrame:
@@ -540,17 +590,16 @@ def apply(documents: DataFrame, model: dict, tables: dict[str, DataFrame], text:
     documents, now, restored = aside(documents, "_row", "_lm", "more", "more_base", "more_known", "more_pairs")
     text = now(text)
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    schema = "struct<n_tokens:bigint,score:double,base:double,known:bigint,pairs:binary,times:binary,rest:array<struct<word:string,n:bigint>>>"
-    kind = arrow_type(schema)
+    kind = arrow_type(SCORED)
 
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        scorer = Scorer(shared.value)
+        scorer = Scorer(shared.value, kind)
         for texts in columns:
-            yield pa.concat_arrays([pa.array([], kind), *(pa.array(scorer(part), kind) for part in batches(texts))])
+            yield pa.concat_arrays([pa.array([], kind), *map(scorer, batches(texts))])
         del scorer
         release()
 
-    scored = documents.select("*", F.monotonically_increasing_id().alias("_row"), arrow_function(run, schema)(text).alias("_lm")).drop(text)
+    scored = documents.select("*", F.monotonically_increasing_id().alias("_row"), arrow_function(run, SCORED)(text).alias("_lm")).drop(text)
     scored = written(scored, "scored")
     floor, other = float(np.log10(model["total"] + model["different"] + 1)), other_floor(model)
     rest = scored.select("_row", F.inline("_lm.rest")).join(tables["words"], "word", "left").withColumn("c", F.coalesce("count", F.lit(0)))

@@ -186,6 +186,29 @@ def test_pairs_that_are_not_broadcast_have_the_same_scores(spark, monkeypatch):
     assert all(len(s) == len(docs) for s in scores)
 
 
+def test_the_look_up_makes_lists_of_documents_not_rows(spark, monkeypatch):
+    """However many buckets there are, a lot of documents gets one list from each; every document's sum comes back once."""
+    rows = corpus(200)
+    monkeypatch.setattr(M, "BUCKET_TOKENS", 100)
+    monkeypatch.setattr(M, "HELD_PAIRS", 2_000)
+    model, tables = fitted(spark, rows, head=30, known=40, room=0)
+    frame = spark.createDataFrame(rows, "_row long, text string").coalesce(1)
+    shared = spark.sparkContext.broadcast(model)
+    kind = M.arrow_type(M.SCORED)
+    scored = frame.withColumn("_lm", M.arrow_function(lambda texts: M.Scorer(shared.value, kind)(texts.cast(M.pa.binary()).to_pylist()), M.SCORED)("text"))
+    lists = M._pair_sums(scored, shared, tables["pairs"]).collect()
+    pairs = sum(len(M._numbers([r.pairs], "<i8")) for r in scored.select("_lm.pairs").collect())
+    lots = {r.lot for r in lists}
+    assert 1 < len(lots) <= 2 * pairs // 1_000 + 1 and model["buckets"] > 10 and len(lists) <= len(lots) * model["buckets"]
+    assert sum(len(M.unpacked(r.of, True)) for r in lists) > 4 * len(lists)
+    sums = {r._row: r.more_pairs for r in M._looked_up(scored, shared, tables["pairs"]).collect()}
+    want = Counter()
+    for r in lists:
+        for row, p in zip(M.unpacked(r.of, True).tolist(), np.frombuffer(r.p, "<f8").tolist(), strict=True):
+            want[row] += p
+    assert sums.keys() == want.keys() == {i for i, _ in rows} and all(math.isclose(sums[i], want[i], rel_tol=1e-9) for i in sums)
+
+
 def test_the_query(spark, tmp_path):
     rows = corpus(80) + [(500, None), (501, ""), (None, "the old mill")]
     spark.createDataFrame(rows, "doc_id long, text string").withColumn("_row", M.F.lit("x")).write.parquet(str(tmp_path / "documents.parquet"))
