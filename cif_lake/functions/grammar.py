@@ -104,8 +104,8 @@ def kind(lexeme: str, previous: str) -> str:
 
 
 def may_be_structural(lexeme: str) -> str:
-    """One look at the first characters, which few values pass; ``kind`` decides."""
-    return f"{lexeme} RLIKE {lit(r'^(?:_|(?i:data_|loop_|save_|stop_|global_))')}"
+    """A test that few values pass, without a regular expression; ``kind`` decides."""
+    return f"(startswith({lexeme}, '_') OR lower(left({lexeme}, 5)) IN ('data_', 'loop_', 'save_', 'stop_', 'globa'))"
 
 
 def tag_part(lexeme: str, part: int) -> str:
@@ -115,7 +115,8 @@ def tag_part(lexeme: str, part: int) -> str:
     """
     if part == 1:
         return f"CASE WHEN contains({lexeme}, '.') THEN substring(substring_index({lexeme}, '.', 1), 2) END"
-    return f"CASE WHEN contains({lexeme}, '.') THEN regexp_extract({lexeme}, {lit(r'(?s)^[^.]*\.(\S*)')}, 1) END"
+    word = f"substring({lexeme}, instr({lexeme}, '.') + 1)"
+    return f"CASE WHEN contains({lexeme}, '.') THEN trim(TRAILING ' \\t\\n\\r\\u000b\\u000c' FROM {word}) END"
 
 
 def is_null(raw: str) -> str:

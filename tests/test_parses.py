@@ -37,3 +37,22 @@ def test_structure_tables(spark, orders):
     tables = structural.structure_tables(spark, orders)
     assert all(parses(t) == 0 for t in tables.values())
     assert tables["struct_ref"].count() == 79
+
+
+def test_tags_are_cut_without_regular_expressions(spark):
+    """As the regular expressions would: white space of six kinds behind the word goes, any other character stays."""
+    import re
+
+    from cif_lake.functions import grammar as g
+
+    words = ["_a.b", "_a.b.c", "_a.", "_.b", "_ab", "_a.puff", "_A.B\x1c", "_a.b\xa0", "_ä.é", "_a.b\x85", "_a.u000b"]
+    spaces = ["", " ", "\n", "\r\n", "\t", "\x0b", "\x0c", " \n \t\x0b\x0c\r", "f"]
+    starts = ["data_x", "DATA_", "Loop_\n", "save_", "stop_ ", "Global_", "global", "globals_x", "data", "x_", "", "'_a'"]
+    texts = [w + s for w in words for s in spaces] + starts
+    frame = spark.createDataFrame([(t,) for t in texts], "x string")
+    assert "regexp_extract" not in g.tag_part("x", 2) and "RLIKE" not in g.may_be_structural("x")
+    for r in frame.selectExpr("x", f"{g.tag_part('x', 2)} AS item", f"{g.may_be_structural('x')} AS may").collect():
+        found = re.match(r"(?s)^[^.]*\.([^ \t\n\x0b\f\r]*)", r.x)
+        if "." in r.x and r.x.startswith("_"):
+            assert r.item == found[1], r.x
+        assert r.may or not re.match(r"(?:_|(?i:data_|loop_|save_|stop_|global_))", r.x), r.x
