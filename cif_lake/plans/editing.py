@@ -136,15 +136,16 @@ def patch_files(spark, sf):
     src = corpus.entries(spark, sf)
     wanted = {"refine": ["ls_d_res_high"], "pdbx_database_status": ["entry_id"]}
     many = _path(read.scan_many(src, wanted)).withColumn("row_id", F.lit(0))
-    refine = many.filter("category = 'refine'").select("path", "row_id", (F.col("refine.ls_d_res_high") + 1).alias("ls_d_res_high"))
     key = F.regexp_extract("path", r"(\d+)\.cif$", 1).cast("bigint")
-    dated = many.filter("category = 'pdbx_database_status'").filter(key % 2 == 0).select("path", "row_id")
+    # The edits of both categories come from one pass over the rows: the parse runs once for each use of its frame.
+    refine = F.col("category") == "refine"
+    higher = (F.col("refine.ls_d_res_high") + 1).cast("string")
+    scanned = many.filter(refine | (key % 2 == 0)).select(
+        "path", F.lit(None).cast("string").alias("block_name"), "category", F.when(refine, "update").otherwise("delete").alias("op"), F.col("row_id").cast("bigint").alias("row_id"),
+        F.when(refine, "ls_d_res_high").alias("item"), F.when(refine, higher).alias("value"),
+    )
     titles = src.select("path", F.lit(0).alias("row_id"), F.concat(F.lit("changed\norder "), key.cast("string")).alias("title"))
-    edits = patch.union_edits(
-        patch.edits_of(refine, "refine", "update", ["ls_d_res_high"]),
-        patch.edits_of(dated, "pdbx_database_status", "delete", []),
-        patch.edits_of(titles, "struct", "update", ["title"]),
-    )
+    edits = patch.union_edits(scanned, patch.edits_of(titles, "struct", "update", ["title"]))
     return _texts(patch.patch_files(src, edits))
 
 

@@ -177,3 +177,27 @@ def test_rows_between_edits_keep_their_bytes(spark, source):
     edits = [e for i in picked for e in ([change("q", i, "b", "new")] if i % 2 else drop("q", i))]
     out = run(spark, source, {"f": (HEAD + "".join(lines), edits)})["f"]
     assert out == HEAD + "".join(line if i not in picked else f"{i} new\n" if i % 2 else "" for i, line in enumerate(lines))
+
+
+def test_the_edits_of_patch_files_parse_a_text_once(spark, tmp_path, monkeypatch):
+    """Updates of one category and deletes of another come from one pass; the key of a deleted row is even, values are one higher."""
+    from cif_lake.functions import grammar
+    from cif_lake.plans import editing
+
+    rows = [(k, 1.5 * k, f"2020-01-{1 + k:02d}", "1-URGENT") for k in range(1, 25)]
+    orders = spark.createDataFrame(rows, "o_orderkey long, o_totalprice double, day string, o_orderpriority string").selectExpr("*", "CAST(day AS date) AS o_orderdate")
+    orders.drop("day").write.parquet(str(tmp_path / "orders.parquet"))
+    held = []
+    monkeypatch.setattr(editing.patch, "patch_files", lambda src, edits: held.append(edits) or src)
+    editing.patch_files(spark, str(tmp_path))
+    assert held[0]._jdf.queryExecution().optimizedPlan().toString().count(grammar.LEXEME[:12]) == 1
+    found = {(r["path"], r["category"]): (r["op"], r["row_id"], r["item"], r["value"]) for r in held[0].collect()}
+    want = {}
+    for k, price, _, _ in rows:
+        path = f"entries/{k}.cif"
+        want[path, "struct"] = ("update", 0, "title", f"changed\norder {k}")
+        if k % 5:
+            want[path, "refine"] = ("update", 0, "ls_d_res_high", str(price + 1))
+        if k % 7 and k % 2 == 0:
+            want[path, "pdbx_database_status"] = ("delete", 0, None, None)
+    assert found == want
