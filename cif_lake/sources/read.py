@@ -24,6 +24,8 @@ from cif_lake.operators.relational import stored
 from cif_lake.sources.dictionary import Dictionary
 
 KEYS = ("file_ord", "path", "block_ord", "block_name")
+#: So many links of a dictionary are sent to the categories of all files; more meet them by a shuffle.
+BROADCAST_LINKS = 100_000
 
 
 def unroll(frame: DataFrame, keep: Sequence, array: Column | str, *names: str) -> DataFrame:
@@ -565,7 +567,10 @@ def list_relationships(src: DataFrame, dictionary: Dictionary, data_block: str |
         "parent_table", "parent_column", "child_table", "child_column",
         F.lower("parent_table").alias("pk"), F.lower("child_table").alias("ck"),
     )
-    both = present.join(links, F.col("cat") == F.col("pk")).filter(F.array_contains("cats", F.col("ck")))
+    # Spark would take the categories, lists from a few columns of numbers, for the smaller side: their size is the one that it guesses.
+    few = links.limit(BROADCAST_LINKS + 1).count() <= BROADCAST_LINKS
+    matched = present.join(F.broadcast(links) if few else links.hint("merge"), F.col("cat") == F.col("pk"))
+    both = matched.filter(F.array_contains("cats", F.col("ck")))
     return both.select("path", *links.columns[:4])
 
 
