@@ -12,20 +12,25 @@ from __future__ import annotations
 
 import gzip
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cif_lake.functions import grammar as g
 from cif_lake.operators.relational import stored
+from cif_lake.sources import write
 from cif_lake.sources.dictionary import Dictionary
 
 KEYS = ("file_ord", "path", "block_ord", "block_name")
 #: So many links of a dictionary are sent to the categories of all files; more meet them by a shuffle.
 BROADCAST_LINKS = 100_000
+#: Files that a task has read go on when they are so many bytes or files.
+READ_BYTES, READ_FILES = 4 << 20, 1_000
 
 
 def unroll(frame: DataFrame, keep: Sequence, array: Column | str, *names: str) -> DataFrame:
@@ -99,6 +104,38 @@ def in_order(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
+def dealt_files(spark: SparkSession, directory: str, folders: int) -> DataFrame:
+    """Source frame of the files that ``write.write_files`` dealt over ``folders`` below a directory, bytes as they are, empty files too.
+
+    Each folder is listed and read by a task: Spark's own readers hold the status of every file in the driver.
+    """
+    named = write.qualified(spark, directory).rstrip("/")
+    target_folder, temporary = write.uri(named), write.TEMPORARY
+
+    def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base, root = fs.FileSystem.from_uri(target_folder)
+        packed = lambda paths, contents: pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(contents, pa.binary())], ["path", "content"])
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                paths, contents, held = [], [], 0
+                for file in base.get_file_info(fs.FileSelector(f"{root}/{folder}", allow_not_found=True, recursive=True)):
+                    if file.type != fs.FileType.File or temporary.search(file.path):
+                        continue
+                    # Its compression would be guessed from the name.
+                    with base.open_input_stream(file.path, compression=None) as stream:
+                        contents.append(stream.read())
+                    paths.append(named + file.path.removeprefix(root))
+                    held += len(contents[-1])
+                    if held >= READ_BYTES or len(paths) >= READ_FILES:
+                        yield packed(paths, contents)
+                        paths, contents, held = [], [], 0
+                if paths:
+                    yield packed(paths, contents)
+
+    found = spark.range(0, folders, 1, folders).mapInArrow(load, "path string, content binary")
+    return found.select(F.lit(0).alias("file_ord"), "path", "content")
+
+
 def several_files(spark: SparkSession, paths: str | Sequence[str]) -> bool:
     """Whether the patterns match more than one file, a file named twice counted twice; two names are looked at, at most."""
     patterns = [paths] if isinstance(paths, str) else list(paths)

@@ -17,6 +17,8 @@ from cif_lake.operators.relational import work_folder
 
 #: How much of a part is held while it is copied to its place.
 COPY_BYTES = 8 << 20
+#: What the name of a file ends in until it is complete.
+TEMPORARY = re.compile(r"\.[0-9a-f]{8}\.tmp$")
 
 
 def qualified(spark: SparkSession, directory: str) -> str:
@@ -25,7 +27,7 @@ def qualified(spark: SparkSession, directory: str) -> str:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
-def _uri(path: str) -> str:
+def uri(path: str) -> str:
     """A qualified path as Arrow names it."""
     return re.sub("^s3a://", "s3://", re.sub("^file:/+", "file:///", path))
 
@@ -33,7 +35,8 @@ def _uri(path: str) -> str:
 def write_files(files: DataFrame, directory: str, folders: int | None = None) -> int:
     """Write one file per row of ``path, content`` below ``directory``, gzip when the name ends in ``.gz``; gives their number.
 
-    ``folders`` deals the paths by hash over so many folders: tasks that write to one folder wait for each other, and one task lists it.
+    ``folders`` deals the paths by hash over so many folders: tasks that write to one folder wait for each other, and one task lists it
+    (``read.dealt_files``).
 
     Each file is written by the task that holds it, under a temporary name that is renamed when complete, so a retried or
     speculative task leaves whole files only. ``path`` is used below the directory, without its scheme.
@@ -42,7 +45,7 @@ def write_files(files: DataFrame, directory: str, folders: int | None = None) ->
     if folders is not None:
         name = F.concat(F.pmod(F.hash(name), F.lit(folders)).cast("string"), F.lit("/"), name)
     rows = files.select(name.alias("name"), F.col("content").cast("binary").alias("content"))
-    target_folder = _uri(qualified(files.sparkSession, directory))
+    target_folder = uri(qualified(files.sparkSession, directory))
 
     def save(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, root = fs.FileSystem.from_uri(target_folder)
@@ -77,9 +80,9 @@ def write_lines(lines: DataFrame, directory: str, name: str) -> None:
     places, end = [], 0
     # As many rows as there are partitions.
     for part in sorted(parts.collect(), key=lambda r: (r["number"], r["path"])):
-        places.append((_uri(part["path"]), end))
+        places.append((uri(part["path"]), end))
         end += part["length"]
-    target_folder = _uri(qualified(spark, directory))
+    target_folder = uri(qualified(spark, directory))
     local = target_folder.startswith("file:")
 
     def copy(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,12 +109,12 @@ def write_lines(lines: DataFrame, directory: str, name: str) -> None:
 
 
 def write_block(
-    tables: dict[str, tuple[DataFrame, list[str]]], directory: str, block: str, keys: str = "filename"
+    tables: dict[str, tuple[DataFrame, list[str]]], directory: str, block: str, keys: str = "filename", folders: int | None = None
 ) -> None:
-    """Write the edited categories of each file as one new file: all of them, or none of that file."""
+    """Write the edited categories of each file as one new file: all of them, or none of that file; ``folders`` as in ``write_files``."""
     texts = render.categories(tables, [keys])
     head = F.concat(F.lit(f"data_{block}\n#\n"), F.col("text"), F.lit("#\n"))
-    write_files(texts.select(F.col(keys).alias("path"), head.alias("content")), directory)
+    write_files(texts.select(F.col(keys).alias("path"), head.alias("content")), directory, folders)
 
 
 def export_csv(frame: DataFrame, directory: str) -> None:

@@ -1,11 +1,12 @@
 """What a query sends to the driver, and what it leaves on disk, does not grow with its files."""
 
 import datetime
+import gzip
 
 import pytest
 
-from cif_lake.plans import scans
-from cif_lake.sources import read
+from cif_lake.plans import relational, scans
+from cif_lake.sources import read, write
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +16,9 @@ def orders(spark, tmp_path_factory):
     made = [(k, k * 3, "OFP"[k % 3], 100.5 + k, day, f"{1 + k % 5}-X") for k in range(1, 80)]
     frame = spark.createDataFrame(made, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string")
     frame.write.parquet(f"{folder}/orders.parquet")
+    made = [(k, f"Customer#{k}", k % 25, 1.5 * k, "MACHINERY") for k in range(40)]
+    frame = spark.createDataFrame(made, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
+    frame.write.parquet(f"{folder}/customer.parquet")
     return folder
 
 
@@ -31,3 +35,30 @@ def test_categories_of_files_are_not_broadcast(spark, orders, monkeypatch):
     monkeypatch.setattr(read, "BROADCAST_LINKS", 1)
     again, plan = executed(scans.list_relationships(spark, orders))
     assert again == rows and "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
+def test_dealt_files_are_read_as_they_are(spark, tmp_path, monkeypatch):
+    texts = {f"a/{n}{'.cif.gz' if n % 3 == 0 else '.cif'}": f"data_{n}\n_e.id é{n}\n" * (n % 4) for n in range(50)}
+    frame = spark.createDataFrame(list(texts.items()), "path string, content string")
+    write.write_files(frame, f"file://{tmp_path}", folders=8)
+    # What a lost task has left is no file.
+    (tmp_path / "3").mkdir(exist_ok=True)
+    (tmp_path / "3" / "1.cif.0a1b2c3d.tmp").write_text("data_ha")
+    monkeypatch.setattr(read, "READ_FILES", 3)
+    got = read.dealt_files(spark, f"file://{tmp_path}", 8)
+    inside = lambda path: path.removeprefix(f"file:{tmp_path}/").split("/", 1)[1]
+    assert {inside(r.path): plain(r.content) for r in got.collect()} == {p: t.encode() for p, t in texts.items()}
+    whole = read.source(spark, f"file://{tmp_path}/*/a/*")
+    # Spark's reader leaves empty files out.
+    assert sorted((n, p, bytes(c)) for n, p, c in got.collect() if c) == sorted((n, p, bytes(c)) for n, p, c in whole.collect())
+
+
+def plain(content):
+    return gzip.decompress(content) if content[:2] == b"\x1f\x8b" else bytes(content)
+
+
+def test_files_are_listed_by_tasks(spark, orders):
+    """The status of every file, held by Spark's readers, does not fit the driver where files are millions."""
+    names, plan = executed(relational.read_whole_file(spark, orders))
+    assert [n for n, _ in names] == sorted(f"{k}.cif" for k in range(40)) and "binaryFile" not in plan
+    assert dict(names)["7.cif"].endswith("B 2 'MACHINERY'\n")
