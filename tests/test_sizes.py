@@ -5,7 +5,7 @@ import gzip
 
 import pytest
 
-from cif_lake.plans import relational, scans
+from cif_lake.plans import editing, relational, scans
 from cif_lake.sources import read, write
 
 
@@ -62,3 +62,10 @@ def test_files_are_listed_by_tasks(spark, orders):
     names, plan = executed(relational.read_whole_file(spark, orders))
     assert [n for n, _ in names] == sorted(f"{k}.cif" for k in range(40)) and "binaryFile" not in plan
     assert dict(names)["7.cif"].endswith("B 2 'MACHINERY'\n")
+
+
+def test_written_blocks_are_listed_by_tasks_and_parsed_once(spark, orders):
+    rows, plan = executed(editing.write_block(spark, orders).select("t", "fkey", "id"))
+    assert {t for t, _, _ in rows} == {"atom_site", "entity", "struct_asym"} and "binaryFile" not in plan
+    assert sorted(i for t, _, i in rows if t == "atom_site") == sorted(str(k) for k in range(1, 80) if k % 13 == 0 or k * 3 % 2 == 0)
+    assert plan.split("== Initial Plan ==")[0].count("MapInArrow") == 1
