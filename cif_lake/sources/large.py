@@ -8,7 +8,7 @@ begins. A piece then cuts its own rows; only the rows that cross the end of a pi
 
 ``index`` writes tables below a folder: the pieces, what begins in them, the records (one row per block and category: items,
 places, number of rows) and the row texts by category. Counts read the records; a scan reads the row texts of its category and
-joins those that cross the end of a piece. The pieces are needed while the index is made only.
+joins those that cross the end of a piece. The pieces are needed while the index is made only, and dropped then.
 
 Bounds: a task holds one piece (one line, if that is longer); the piece states and the marks (not the values) of one file, and
 the marks of one block, come together. A file on a compressed stream (``.gz``) has one split, but pieces as well.
@@ -206,13 +206,14 @@ def index(spark: SparkSession, paths: str | Sequence[str], folder: str | None =
         F.col("value").cast("binary").alias("content"),
     ).withColumn("mark", F.xxhash64("path", "split"))
     cut = lines.mapInArrow(_pieces(piece_bytes), "path string, split long, piece int, content binary, ends array<int>")
-    cut.write.parquet(f"{folder}/pieces")
+    write.save_table(cut, f"{folder}/pieces")
     pieces = spark.read.parquet(f"{folder}/pieces")
     starts = pieces.select(*PIECE, "ends").groupBy("path").applyInPandas(_along_file, "path string, split long, piece int, start int")
-    _units(_lexed(_joined(pieces.drop("ends"), starts))).write.parquet(f"{folder}/units")
+    write.save_table(_units(_lexed(_joined(pieces.drop("ends"), starts))), f"{folder}/units")
     units = spark.read.parquet(f"{folder}/units")
     _records(units).write.parquet(f"{folder}/records")
-    _parts(pieces.drop("ends"), units, spark.read.parquet(f"{folder}/records")).write.parquet(f"{folder}/parts")
+    write.save_table(_parts(pieces.drop("ends"), units, spark.read.parquet(f"{folder}/records")), f"{folder}/parts")
+    write.drop_folder(spark, f"{folder}/pieces")
     return Index.load(spark, folder)
 
 

@@ -8,6 +8,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +16,8 @@ from pyspark.sql import functions as F
 from cif_lake.functions import render
 from cif_lake.operators.relational import work_folder
 
-#: How much of a part is held while it is copied to its place.
-COPY_BYTES = 8 << 20
+#: How many lines of a part are held while they are copied to their place.
+COPY_LINES = 1_000
 #: What the name of a file ends in until it is complete.
 TEMPORARY = re.compile(r"\.[0-9a-f]{8}\.tmp$")
 
@@ -32,6 +33,23 @@ def uri(path: str) -> str:
     return re.sub("^s3a://", "s3://", re.sub("^file:/+", "file:///", path))
 
 
+def save_table(frame: DataFrame, folder: str) -> None:
+    """Write a table that is read again soon, small: compressed by zstd, and without the shuffle files that made it."""
+    conf, key = frame.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        # The setting is read when a frame is made.
+        frame.select("*").write.option("compression", "zstd").parquet(folder)
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_files(files: DataFrame, directory: str, folders: int | None = None) -> int:
     """Write one file per row of ``path, content`` below ``directory``, gzip when the name ends in ``.gz``; gives their number.
 
@@ -66,20 +84,21 @@ def write_files(files: DataFrame, directory: str, folders: int | None = None) ->
 
 
 def write_lines(lines: DataFrame, directory: str, name: str) -> None:
-    """Write sorted lines as one file ``directory/name``; many tasks write it, each a range of its bytes.
+    """Write sorted lines, a frame of one column, as one file ``directory/name``; many tasks write it, each a range of its bytes.
 
-    The partitions are written as parts first; their lengths give the place of each part, and a task copies parts there, a few
-    MB at a time. A retried or speculative task puts the same bytes at the same place. Only a ``file:`` system takes bytes at
-    a place; in any other one task appends the parts in their order.
+    The partitions are written as compressed parts first, and their shuffle is dropped; the lengths of their lines give the place of each
+    part, and a task puts lines there, some MB at a time. A retried or speculative task puts the same bytes at the same place. Only a
+    ``file:`` system takes bytes at a place; in any other one task appends the parts in their order.
     """
     spark = lines.sparkSession
     folder = work_folder(spark)
-    lines.write.option("compression", "none").text(folder)
+    lines = lines.select(F.coalesce(F.col(lines.columns[0]).cast("binary"), F.lit(b"")).alias("line"))
+    save_table(lines, folder)
     number = F.regexp_extract("path", r"/part-(\d+)-[^/]*$", 1).cast("long")
-    parts = spark.read.format("binaryFile").load(folder).select("path", "length", number.alias("number"))
+    held = spark.read.schema("line binary").parquet(folder).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.sum(F.octet_length("line") + F.lit(1).cast("long")).alias("length"))
     places, end = [], 0
     # As many rows as there are partitions.
-    for part in sorted(parts.collect(), key=lambda r: (r["number"], r["path"])):
+    for part in sorted(held.select("path", "length", number.alias("number")).collect(), key=lambda r: (r["number"], r["path"])):
         places.append((uri(part["path"]), end))
         end += part["length"]
     target_folder = uri(qualified(spark, directory))
@@ -88,24 +107,23 @@ def write_lines(lines: DataFrame, directory: str, name: str) -> None:
     def copy(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, root = fs.FileSystem.from_uri(target_folder)
         base.create_dir(root, recursive=True)
-        out = os.fdopen(os.open(f"{root}/{name}", os.O_WRONLY | os.O_CREAT, 0o644), "wb") if local else base.open_output_stream(f"{root}/{name}")
+        out = os.fdopen(os.open(f"{root}/{name}", os.O_WRONLY | os.O_CREAT, 0o644), "wb") if local else base.open_output_stream(f"{root}/{name}", compression=None)
         with out:
             for batch in rows:
                 for source, at in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     system, part = fs.FileSystem.from_uri(source)
                     if local:
                         out.seek(at)
-                    with system.open_input_stream(part) as text:
-                        while piece := text.read(COPY_BYTES):
-                            out.write(piece)
+                    with system.open_input_file(part) as held:
+                        for piece in pq.ParquetFile(held).iter_batches(COPY_LINES):
+                            out.write(b"".join(line + b"\n" for line in piece.column(0).to_pylist()))
         yield pa.RecordBatch.from_pydict({"n": pa.array([1], pa.int64())})
 
     todo = spark.createDataFrame(places, "path string, at long").coalesce(1)
     if local:
         todo = todo.repartition(max(len(places), 1))
     todo.mapInArrow(copy, "n long").count()
-    parts_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    parts_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(parts_path, True)
+    drop_folder(spark, folder)
 
 
 def write_block(

@@ -2,11 +2,13 @@
 
 import datetime
 import gzip
+import os
+import time
 
 import pytest
 
 from cif_lake.plans import editing, relational, scans
-from cif_lake.sources import read, write
+from cif_lake.sources import large, read, write
 
 
 @pytest.fixture(scope="module")
@@ -69,3 +71,33 @@ def test_written_blocks_are_listed_by_tasks_and_parsed_once(spark, orders):
     assert {t for t, _, _ in rows} == {"atom_site", "entity", "struct_asym"} and "binaryFile" not in plan
     assert sorted(i for t, _, i in rows if t == "atom_site") == sorted(str(k) for k in range(1, 80) if k % 13 == 0 or k * 3 % 2 == 0)
     assert plan.split("== Initial Plan ==")[0].count("MapInArrow") == 1
+
+
+def test_large_file_leaves_no_copies(spark, tmp_path, monkeypatch):
+    """The parts of the file are held compressed, the shuffles of what is written and the pieces go."""
+    blocks = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    shuffled = lambda: sum(os.path.getsize(f) for f in blocks.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f and os.path.exists(f))
+    before, dropped, drop = shuffled(), {}, write.drop_folder
+
+    def seen(session, folder):
+        at = folder.removeprefix("file:")
+        dropped[folder] = sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(at) for f in names if not f.startswith((".", "_")))
+        drop(session, folder)
+
+    monkeypatch.setattr(write, "drop_folder", seen)
+    lines = spark.range(20_000).selectExpr("id", "CASE WHEN id % 5000 = 4000 THEN NULL WHEN id = 0 THEN 'data_x\nloop_\n_v.a' ELSE concat('é ''', id % 10, '''') END AS line")
+    write.write_lines(lines.orderBy("id").select("line"), f"file://{tmp_path}/in", "all.cif")
+    want = ["data_x\nloop_\n_v.a" if n == 0 else "" if n % 5000 == 4000 else f"é '{n % 10}'" for n in range(20_000)]
+    text = (tmp_path / "in" / "all.cif").read_bytes()
+    assert text == "".join(f"{line}\n" for line in want).encode()
+    assert 0 < sum(dropped.values()) < len(text) / 2
+    # What stays is of the few rows that say where the parts go; the files go in the background.
+    for _ in range(50):
+        if shuffled() - before < len(text) / 10:
+            break
+        time.sleep(0.2)
+    assert shuffled() - before < len(text) / 10
+    found = large.index(spark, f"{tmp_path}/in", f"{tmp_path}/index")
+    assert sorted(os.listdir(tmp_path / "index")) == ["parts", "records", "units"] and len(dropped) == 2
+    assert large.row_counts(found).select("category", "n_rows").collect() == [("v", 2 * 19_995)]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
